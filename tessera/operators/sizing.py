@@ -1,0 +1,25 @@
+"""Broadcast only behind a size check.
+
+A side is broadcast when it is proven small: its row count, read with a
+``limit`` so the check stops early, stays under a bound. Past the bound the
+join is left to the planner (sort-merge, or AQE's runtime conversion).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Code lists are value domains (document types, cities, classes): thousands of
+# rows at most, whatever the size of the facts.
+DEFAULT_MAX_ROWS = 200_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (one small job)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it fits the bound, else ``df`` unchanged."""
+    return F.broadcast(df) if fits(df, max_rows) else df

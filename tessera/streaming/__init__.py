@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The jobs this library rebuilds read bounded warehouse relations and write one
+bounded export; they have no stream source, watermark, window or state (see
+README). Nothing here is needed to run them.
+"""
