@@ -73,6 +73,17 @@ def duck(sf_dir: str):
     return con
 
 
+_DUCK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz",
+         "DOUBLE": "double", "BOOLEAN": "boolean", "FLOAT": "float", "DATE": "date", "SMALLINT": "smallint"}
+
+
+def duck_type(t: str) -> str:
+    t = str(t)
+    if t.startswith("DECIMAL"):
+        return t.lower().replace(" ", "")
+    return _DUCK.get(t, t)
+
+
 def check(spark, con, name: str, sf_dir: str, verbose: bool = False) -> dict:
     from tessera.plans.catalog import ORACLE, QUERIES
     t0 = time.time()
@@ -86,7 +97,12 @@ def check(spark, con, name: str, sf_dir: str, verbose: bool = False) -> dict:
         return out
     res = con.execute(ORACLE[name])
     d_cols = [c[0] for c in res.description]
+    d_types = [duck_type(c[1]) for c in res.description]
     d_rows = res.fetchall()
+    s_types = dict(df.dtypes)
+    diffs = {c: (s_types.get(c), t) for c, t in zip(d_cols, d_types) if s_types.get(c) != t}
+    if diffs:
+        out["type_diffs"] = diffs
     a, ac = rows_of(s_cols, s_rows)
     b, bc = rows_of(d_cols, d_rows)
     out["oracle_rows"] = len(d_rows)

@@ -199,7 +199,7 @@ def q_decode_label_filter(spark, d):
 
 @register("dup_codes", f"""{cte('code_list')}
 SELECT list_type, coalesce(name, val) AS code, count(*) AS n_rows,
-       sum(CASE WHEN active_flg = 'Y' THEN 1 ELSE 0 END) AS n_active
+       CAST(sum(CASE WHEN active_flg = 'Y' THEN 1 ELSE 0 END) AS BIGINT) AS n_active
 FROM code_list GROUP BY list_type, coalesce(name, val) HAVING count(*) > 1""")
 def q_dup_codes(spark, d):
     return duplicate_codes(_f(spark, d, "code_list")["code_list"])

@@ -53,9 +53,12 @@ AGREE_TEXT = """CASE WHEN e.event_id % 11 = 0 THEN NULL
              WHEN e.event_id % 19 = 0 THEN 'x'
              ELSE cast(e.event_id % 3 AS string) END"""
 
+# Consent owner: each user's events are spread over ten owners, so consents
+# reach every customer document (users are a tenth of the customers).
+CONSENT_OWNER = "(e.user_id * 10 + e.event_id % 10)"
 # Document of a consent owner: zero padded, sometimes with a leading blank.
 CONSENT_DOC = ("concat(CASE WHEN e.event_id % 4 = 0 THEN ' ' ELSE '' END, "
-               "lpad(cast(e.user_id AS string), 10, '0'))")
+               f"lpad(cast({CONSENT_OWNER} AS string), 10, '0'))")
 
 RELATIONS: dict[str, str] = {
     # ---------------------------------------------------------------- CRM star
@@ -159,7 +162,7 @@ RELATIONS: dict[str, str] = {
         FROM {orders}""",
     # ------------------------------------------------------------ consent store
     "consent": f"""
-        SELECT e.event_id AS consent_id, e.user_id AS owner_id,
+        SELECT e.event_id AS consent_id, {CONSENT_OWNER} AS owner_id,
                {CONSENT_DOC} AS ref_num,
                e.event_id % 5 AS purpose_id, e.event_type AS kind,
                {AGREE_TEXT} AS agree_ind,
