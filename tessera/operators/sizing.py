@@ -1,8 +1,15 @@
 """Broadcast only behind a size check.
 
-A side is broadcast when it is proven small: its row count, read with a
-``limit`` so the check stops early, stays under a bound. Past the bound the
-join is left to the planner (sort-merge, or AQE's runtime conversion).
+A side is broadcast when it is proven small:
+
+1. the optimizer's size estimate of its plan (the statistic Spark's own
+   broadcast rule uses; scans report file sizes, filters and aggregates never
+   raise it) is under the session's broadcast threshold; this costs no job;
+2. otherwise its row count, read with a ``limit`` so the check stops early,
+   stays under ``max_rows`` (one small job).
+
+Past both bounds the join is left to the planner (sort-merge, or AQE's
+runtime conversion once real sizes are known).
 """
 
 from __future__ import annotations
@@ -13,13 +20,35 @@ from pyspark.sql import functions as F
 # Code lists are value domains (document types, cities, classes): thousands of
 # rows at most, whatever the size of the facts.
 DEFAULT_MAX_ROWS = 200_000
+DEFAULT_MAX_BYTES = 10 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of ``df`` in bytes, or None when unavailable."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
+    except Exception:  # e.g. Spark Connect: no JVM handle
+        return None
+
+
+def byte_bound(df: DataFrame) -> int:
+    try:
+        raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+        value = int(str(raw).lower().rstrip("b")) if raw is not None else DEFAULT_MAX_BYTES
+    except (TypeError, ValueError):
+        value = DEFAULT_MAX_BYTES
+    return value if value > 0 else DEFAULT_MAX_BYTES
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one small job)."""
+    """True when ``df`` is proven small: by estimate, else by a bounded count."""
+    est = estimated_bytes(df)
+    if est is not None and est <= byte_bound(df):
+        return True
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it fits the bound, else ``df`` unchanged."""
+    """``broadcast(df)`` when it fits the bounds, else ``df`` unchanged."""
     return F.broadcast(df) if fits(df, max_rows) else df
