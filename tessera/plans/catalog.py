@@ -193,8 +193,7 @@ SELECT DISTINCT ROW_ID_CLIENTE AS row_id, SEGMENTO AS segment FROM enriched""")
 def q_decode_label_filter(spark, d):
     f = _f(spark, d, *O.PROFILE_RELATIONS)
     cust = PR.customer_rows(f)
-    return cust.join(PR.class_lists(f, customers=cust).select("row_id"), "row_id", "left_semi").select(
-        "row_id", "segment")
+    return cust.join(PR.class_lists(f).select("row_id"), "row_id", "left_semi").select("row_id", "segment")
 
 
 @register("dup_codes", f"""{cte('code_list')}
@@ -302,7 +301,7 @@ def q_profile_with_points(spark, d):
     """Customers with their point list (null without points), the job's unused phase-5 frame."""
     f = PR.load(spark, d)
     cust = PR.customer_rows(f)
-    cust = cust.join(PR.class_lists(f, customers=cust).select("row_id"), "row_id", "left_semi")
+    cust = cust.join(PR.class_lists(f).select("row_id"), "row_id", "left_semi")
     pts = PR.point_lists(PR.open_points(f), cust, "inner").withColumnRenamed("owner_id", "row_id")
     return cust.join(pts, "row_id", "left").select("row_id", "customer_name", "TELEFONOS")
 

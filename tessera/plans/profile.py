@@ -9,8 +9,9 @@ the same rows with less data in flight:
   customer scan; code lists are broadcast the same way;
 * holdings are reduced to distinct (customer, class) pairs with a partial
   aggregate before anything wide is shuffled, then listed per customer;
-* contact points are listed per owner with the two-step list aggregate
-  (``operators.lists``); only owners that are customers are listed;
+* contact points get their primary mark from a join on (owner, point id),
+  are listed per owner with the two-step list aggregate (``operators.lists``)
+  and only then matched to customers, one row per owner;
 * the report is sorted once, at the end.
 
 The oracle SQL keeps the job's own shape, so the comparison checks that both
@@ -24,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_label, doc_key, full_name, mark_primary, non_blank, or_default, point_text
+from ..functions.text import PRIMARY_MARK, clean_label, doc_key, full_name, non_blank, or_default, point_text
 from ..operators import consent as C
 from ..operators.decode import active_lists, decode, one_list
 from ..operators.lists import distinct_list, ordered_list
@@ -102,13 +103,17 @@ def customer_rows(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
                     "segment", "attention", "addr", "city"))
 
 
-def class_lists(f: dict, p: ProfileParams = DEFAULT, customers: DataFrame | None = None) -> DataFrame:
-    """``(row_id, classes)``: sorted distinct class labels of qualifying holdings."""
+def class_lists(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
+    """``(row_id, classes)``: sorted distinct class labels of qualifying holdings.
+
+    Holdings shrink to distinct (customer, class) pairs right after the product
+    join (partial aggregation on the map side), before any other shuffle; the
+    report's inner join with the customers does the customer filtering later,
+    on one row per customer.
+    """
     held = (f["holding"].filter(F.col("status_code").isin(*p.active_status)
                                 & F.col("relation_type").isin(*p.relation_types))
             .select(F.col("contact_id").alias("row_id"), "product_id"))
-    if customers is not None:
-        held = held.join(customers.select("row_id"), "row_id", "left_semi")
     pairs = held.join(f["product"], "product_id").select("row_id", "class_code").distinct()
     pairs = decode(pairs, code_lists(f, p)["class"], "class_code", "class_label")
     return distinct_list(pairs, ["row_id"], "class_label", "classes")
@@ -119,28 +124,59 @@ def open_points(f: dict) -> DataFrame:
     return f["point"].filter(F.col("end_date").isNull())
 
 
+def _primaries(keys: DataFrame) -> DataFrame:
+    """``(owner_id, point_id, is_primary)`` of the customers' primary points."""
+    return (keys.filter(F.col("primary_point_id").isNotNull())
+            .select(F.col("row_id").alias("owner_id"), F.col("primary_point_id").alias("point_id"))
+            .distinct().withColumn("is_primary", F.lit(True)))
+
+
+def _marked(points: DataFrame, keys: DataFrame) -> DataFrame:
+    """Points with their primary flag.
+
+    The flag comes from a join on (owner, point id): point ids are unique, so
+    an owner holding a third of all points is spread over many tasks instead
+    of landing in one join partition.
+    """
+    return points.join(_primaries(keys), ["owner_id", "point_id"], "left").withColumn(
+        "is_primary", F.coalesce(F.col("is_primary"), F.lit(False)))
+
+
 def point_lists(points: DataFrame, keys: DataFrame, how: str = "left") -> DataFrame:
-    """``(owner_id, TELEFONOS)``: trimmed numbers, primary marked, ordered as text."""
+    """``(owner_id, TELEFONOS)``: trimmed numbers, primary marked, ordered as text.
+
+    ``how='left'`` lists every owner (orphans too, J5); ``'inner'`` keeps owners
+    that are customers in ``keys``, checked after the lists are built, on one
+    row per owner.
+    """
     pre = (points.withColumn("num", F.trim("number")).filter(non_blank("num"))
            .select("owner_id", "point_id", "num"))
-    labeled = pre.join(keys.select(F.col("row_id").alias("owner_id"), "primary_point_id").distinct(),
-                       "owner_id", how)
-    labeled = labeled.withColumn("fmt", mark_primary(point_text("num"), "point_id", "primary_point_id"))
-    return ordered_list(labeled, ["owner_id"], ["num"], "fmt", "TELEFONOS")
+    labeled = _marked(pre, keys).withColumn(
+        "fmt", F.when(F.col("is_primary"), F.concat(F.lit(PRIMARY_MARK), point_text("num")))
+        .otherwise(point_text("num")))
+    lists = ordered_list(labeled, ["owner_id"], ["num"], "fmt", "TELEFONOS")
+    if how == "inner":
+        lists = lists.join(keys.select(F.col("row_id").alias("owner_id")).distinct(), "owner_id", "left_semi")
+    return lists
 
 
 def point_lists_by_customer(points: DataFrame, keys: DataFrame) -> DataFrame:
-    """``(row_id, TELEFONOS)`` from a right join: every customer, ``''`` without points.
+    """``(row_id, TELEFONOS)`` as the right-join variant: every customer, ``''`` without points.
 
-    Grouped by the customer, not by the point's owner (D18).
+    Points are deduplicated on (owner, text) and ordered by number; lists are
+    built per owner first and then attached to every customer, which is the
+    job's right join grouped by the customer rather than the point's owner (D18).
     """
     pts = points.select("owner_id", "point_id", "number", "extension")
-    joined = pts.join(keys.select("row_id", "primary_point_id").distinct(),
-                      F.col("owner_id") == F.col("row_id"), "right")
-    joined = joined.select("row_id", F.trim("number").alias("ord"),
-                           mark_primary(point_text("number", "extension"), "point_id", "primary_point_id")
+    marked = _marked(pts, keys)
+    text = point_text("number", "extension")
+    marked = marked.select("owner_id", F.trim("number").alias("ord"),
+                           F.when(F.col("is_primary"), F.concat(F.lit(PRIMARY_MARK), text)).otherwise(text)
                            .alias("fmt"))
-    return ordered_list(joined, ["row_id"], ["ord"], "fmt", "TELEFONOS", distinct=True)
+    lists = ordered_list(marked, ["owner_id"], ["ord"], "fmt", "TELEFONOS", distinct=True)
+    customers = keys.select("row_id").distinct()
+    return customers.join(lists.withColumnRenamed("owner_id", "row_id"), "row_id", "left").select(
+        "row_id", F.coalesce(F.col("TELEFONOS"), F.lit("")).alias("TELEFONOS"))
 
 
 def report(customers: DataFrame, classes: DataFrame, points: DataFrame, na: str | None = NO_POINTS) -> DataFrame:
@@ -160,7 +196,7 @@ def report(customers: DataFrame, classes: DataFrame, points: DataFrame, na: str
 def profile_final(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
     """L1: profile with ordered point lists; customers without points show N/A."""
     cust = customer_rows(f, p)
-    out = report(cust, class_lists(f, p, cust), point_lists(open_points(f), cust, "inner"))
+    out = report(cust, class_lists(f, p), point_lists(open_points(f), cust, "inner"))
     return out.orderBy(F.col("CLIENTE").asc()) if sort else out
 
 
@@ -177,7 +213,7 @@ def profile_gated(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> Dat
 def profile_excluded(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
     """L3: newest of law A / law B decides; refusals dropped, no consent kept with null channel."""
     cust = customer_rows(f, p)
-    pn = report(cust, class_lists(f, p, cust), point_lists_by_customer(open_points(f), cust), na=None)
+    pn = report(cust, class_lists(f, p), point_lists_by_customer(open_points(f), cust), na=None)
     pn = pn.withColumn("doc_join", doc_key("IDENT"))
     newest = C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
     kept = C.exclude(pn, C.refused(newest))

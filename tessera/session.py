@@ -39,11 +39,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     it is. Only when it is unset (local tests) a fresh scratch folder is set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() or None
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or None
     if not current:
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current

@@ -70,3 +70,12 @@ def test_exclusion_properties(spark):
     report = {r[0] for r in PR.profile_final(f, sort=False).select("IDENT").collect()}
     gated = {r[0] for r in PR.profile_gated(f, sort=False).select("IDENT").collect()}
     assert gated and gated <= report
+
+
+def test_export_job_checkpoints_and_writes(spark, tmp_path):
+    from tessera.plans.jobs import run_export
+    out = run_export(spark, SF0001, "gated", out_dir=str(tmp_path))
+    assert out["counts"]["report"] == spark.read.option("header", "true").csv(out["path"]).count()
+    assert len(out["preview"]) == min(10, out["counts"]["report"]) and out["counts"]["report"] > 0
+    names = [p["CLIENTE"] for p in out["preview"]]
+    assert names == sorted(names)
