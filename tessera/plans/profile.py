@@ -196,7 +196,9 @@ def report(customers: DataFrame, classes: DataFrame, points: DataFrame, na: str
 def profile_final(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
     """L1: profile with ordered point lists; customers without points show N/A."""
     cust = customer_rows(f, p)
-    out = report(cust, class_lists(f, p), point_lists(open_points(f), cust, "inner"))
+    # Primary ids come from the contacts; the report's join keeps customers' lists only,
+    # so the customer plan is not built a second time for the keys.
+    out = report(cust, class_lists(f, p), point_lists(open_points(f), f["contact"]))
     return out.orderBy(F.col("CLIENTE").asc()) if sort else out
 
 
@@ -213,7 +215,7 @@ def profile_gated(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> Dat
 def profile_excluded(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
     """L3: newest of law A / law B decides; refusals dropped, no consent kept with null channel."""
     cust = customer_rows(f, p)
-    pn = report(cust, class_lists(f, p), point_lists_by_customer(open_points(f), cust), na=None)
+    pn = report(cust, class_lists(f, p), point_lists_by_customer(open_points(f), f["contact"]), na=None)
     pn = pn.withColumn("doc_join", doc_key("IDENT"))
     newest = C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
     kept = C.exclude(pn, C.refused(newest))
