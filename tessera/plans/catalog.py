@@ -343,14 +343,7 @@ def q_latest_across_sources(spark, d):
 SELECT * FROM b_union""")
 def q_union_missing_columns(spark, d):
     f = _consent(spark, d)
-    form = C.form_rows(f).select(F.lit(C.SOURCE_FORM).alias("fuente"), T.doc_key("ref_num").alias("doc_join"),
-                                 TM.parse_any("create_date", TM.FORM_FORMATS).alias("ts"),
-                                 F.coalesce("content", F.lit(C.NO_CHANNEL)).alias("canal_form"))
-    reg = C.registry_rows(f).select(F.lit(C.SOURCE_REGISTRY).alias("fuente"),
-                                    T.doc_key("ref_num").alias("doc_join"),
-                                    TM.as_timestamp("create_date").alias("ts"),
-                                    F.col("content").alias("content_rne"))
-    return union_sources(form, reg, allow_missing=True)
+    return C.law_b_union(C.form_rows(f), C.registry_rows(f))
 
 
 @register("latest_across_laws", f"""{cte(*O.CONSENT_RELATIONS)},

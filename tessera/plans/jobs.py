@@ -18,7 +18,6 @@ import argparse
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import consent as C
 from ..operators.audit import stage_counts
@@ -51,7 +50,7 @@ def run_export(spark: SparkSession, sf_dir: str, job: str = "gated", out_dir: st
         stages["law_a_gate"] = C.law_a_gate(C.law_a_rows(f))
         stages["law_b_latest"] = C.law_b_latest(C.form_rows(f), C.registry_rows(f))
     counts = {r["stage"]: r["row_count"] for r in stage_counts(stages).collect()}
-    preview = [r.asDict() for r in report.orderBy(F.col("CLIENTE")).limit(preview_rows).collect()]
+    preview = [r.asDict() for r in PR.by_name(report).limit(preview_rows).collect()]
     return {"path": path, "counts": counts, "preview": preview}
 
 

@@ -43,6 +43,16 @@ GATED_CHANNEL, EXCLUDED_CHANNEL = "CANAL_CONTACTO_FINAL", "CANAL_DE_CONTACTO"
 NO_POINTS = "N/A"
 
 
+def by_name(df: DataFrame) -> DataFrame:
+    """Report order: by customer name (T1), then document.
+
+    The document does not change the order by name; it gives the range
+    partitioner a second key, so a name shared by a third of all rows is
+    split over many sort tasks instead of one.
+    """
+    return df.orderBy(F.col("CLIENTE").asc(), F.col("IDENT").asc())
+
+
 @dataclass(frozen=True)
 class ProfileParams:
     """Selection codes of the profile (values of the test relations)."""
@@ -199,17 +209,17 @@ def profile_final(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> Dat
     # Primary ids come from the contacts; the report's join keeps customers' lists only,
     # so the customer plan is not built a second time for the keys.
     out = report(cust, class_lists(f, p), point_lists(open_points(f), f["contact"]))
-    return out.orderBy(F.col("CLIENTE").asc()) if sort else out
+    return by_name(out) if sort else out
 
 
 def profile_gated(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
     """L2: law A latest must be 1 or 2; law B latest (form or registry) gives the channel."""
     pn = profile_final(f, p, sort=False).withColumn("doc_join", doc_key("IDENT"))
-    gated = C.gate(pn, C.law_a_gate(C.law_a_rows(f)))
-    law_b = C.law_b_latest(C.form_rows(f), C.registry_rows(f))
+    gate_docs, law_b = C.gate_and_channel(C.tagged_consents(f))
+    gated = C.gate(pn, gate_docs)
     out = (gated.join(law_b, "doc_join", "left")
            .select(*[F.col(f"`{c}`") for c in REPORT_COLUMNS], C.winning_channel("N/A").alias(GATED_CHANNEL)))
-    return out.orderBy(F.col("CLIENTE").asc()) if sort else out
+    return by_name(out) if sort else out
 
 
 def profile_excluded(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
@@ -217,8 +227,7 @@ def profile_excluded(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) ->
     cust = customer_rows(f, p)
     pn = report(cust, class_lists(f, p), point_lists_by_customer(open_points(f), f["contact"]), na=None)
     pn = pn.withColumn("doc_join", doc_key("IDENT"))
-    newest = C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
-    kept = C.exclude(pn, C.refused(newest))
-    out = (kept.join(C.allowed(newest), "doc_join", "left")
+    newest = C.newest_consent(C.tagged_consents(f, (C.TAG_A, C.TAG_FORM)))
+    out = (C.exclude_and_attach(pn, newest)
            .select(*[F.col(f"`{c}`") for c in REPORT_COLUMNS], F.col("canal_contacto").alias(EXCLUDED_CHANNEL)))
-    return out.orderBy(F.col("CLIENTE").asc()) if sort else out
+    return by_name(out) if sort else out

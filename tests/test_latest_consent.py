@@ -91,3 +91,29 @@ def test_union_by_name_missing_columns(spark):
     b = spark.createDataFrame([("y", 2)], "b string, id int")
     out = union_sources(a, b, allow_missing=True)
     assert sorted(rows(out, "id", "a", "b")) == [(1, "x", None), (2, None, "y")]
+
+
+def test_exclude_and_attach_equals_two_step_form(spark):
+    a, b = _laws(spark,
+                 [("1581", "1", 1, ts(5), "a1"), ("1581", "2", 0, ts(9), "a2"), ("1581", "5", None, ts(1), "a5")],
+                 [("2300", "1", 0, ts(5), "b1"), ("2300", "2", 1, ts(1), "b2"), ("2300", "4", 1, None, "b4")])
+    newest = C.latest_of_laws(a.withColumn("consent_id", F.lit(1)), b.withColumn("consent_id", F.lit(2)))
+    people = spark.createDataFrame([(1, "1"), (2, "4"), (3, None), (4, "9"), (5, "5"), (6, "2")],
+                                   "row_id int, doc_join string")
+    one_join = sorted(rows(C.exclude_and_attach(people, newest), "row_id", "canal_contacto"))
+    two_step = sorted(rows(C.exclude(people, C.refused(newest)).join(C.allowed(newest), "doc_join", "left"),
+                           "row_id", "canal_contacto"))
+    assert one_join == two_step == [(2, "b4"), (3, None), (4, None), (5, None)]
+
+
+def test_single_pass_consents_equal_per_source_forms(spark):
+    from conftest import SF001
+    from tessera.plans import profile as PR
+    f = PR.load(spark, SF001)
+    gate_docs, law_b = C.gate_and_channel(C.tagged_consents(f))
+    assert sorted(rows(gate_docs)) == sorted(rows(C.law_a_gate(C.law_a_rows(f))))
+    assert sorted(rows(law_b)) == sorted(rows(C.law_b_latest(C.form_rows(f), C.registry_rows(f))))
+    one = C.newest_consent(C.tagged_consents(f, (C.TAG_A, C.TAG_FORM)))
+    two = C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
+    cols = ["ley", "doc_join", "agree", "ts", "canal_contacto", "consent_id"]
+    assert sorted(rows(one, *cols), key=str) == sorted(rows(two, *cols), key=str)
