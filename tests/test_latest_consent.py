@@ -38,7 +38,9 @@ def test_latest_hot_key(spark):
 
 def _laws(spark, a_rows, b_rows):
     schema = "ley string, doc_join string, agree int, ts timestamp, canal_contacto string"
-    return spark.createDataFrame(a_rows, schema), spark.createDataFrame(b_rows, schema)
+    a = spark.createDataFrame(a_rows, schema).withColumn("consent_id", F.lit(1))
+    b = spark.createDataFrame(b_rows, schema).withColumn("consent_id", F.lit(2))
+    return a, b
 
 
 def test_latest_of_laws_tie_goes_to_law_b_and_exclusion(spark):
@@ -97,7 +99,7 @@ def test_exclude_and_attach_equals_two_step_form(spark):
     a, b = _laws(spark,
                  [("1581", "1", 1, ts(5), "a1"), ("1581", "2", 0, ts(9), "a2"), ("1581", "5", None, ts(1), "a5")],
                  [("2300", "1", 0, ts(5), "b1"), ("2300", "2", 1, ts(1), "b2"), ("2300", "4", 1, None, "b4")])
-    newest = C.latest_of_laws(a.withColumn("consent_id", F.lit(1)), b.withColumn("consent_id", F.lit(2)))
+    newest = C.latest_of_laws(a, b)
     people = spark.createDataFrame([(1, "1"), (2, "4"), (3, None), (4, "9"), (5, "5"), (6, "2")],
                                    "row_id int, doc_join string")
     one_join = sorted(rows(C.exclude_and_attach(people, newest), "row_id", "canal_contacto"))
