@@ -22,7 +22,7 @@ from ..functions import times as TM
 from ..operators import consent as C
 from ..operators import periods as P
 from ..operators.audit import stage_counts
-from ..operators.decode import active_lists, decode, duplicate_codes, one_list
+from ..operators.decode import active_lists, decode, duplicate_codes
 from ..operators.latest import union_sources
 from ..operators.lists import ordered_list
 from ..session import ensure_checkpoint_dir
