@@ -425,12 +425,21 @@ def q_product_line(spark, d):
 
 
 _BAL = ("SALDO_K", "SALDO_I", "SALDO_O", "SALDO_TOTAL")
+_BAL_SAFE_SQL = (f"CAST(CASE WHEN NUMTIPOCONCEPTO = {M.ZERO_BALANCE_CONCEPT} THEN 0 ELSE "
+                 f"coalesce(NUMPEEDIK, 0) + coalesce(NUMPEEDII, 0) + coalesce(NUMPEEDIKOTROS, 0) END AS DECIMAL(38,2))")
 
 
-@register("balances", _period_oracle("STRCLINIT, STROBLOBLIGSARC, NUMTIPOCONCEPTO, " + ", ".join(_BAL)))
+@register("balances", f"""WITH s AS ({O.snapshot_sql(PERIOD_NOW, True, 'duckdb')})
+SELECT STRCLINIT, STROBLOBLIGSARC, NUMTIPOCONCEPTO,
+       {', '.join(f"{e} AS {n}" for n, e in O.derived_sql() if n in _BAL)},
+       {_BAL_SAFE_SQL} AS SALDO_TOTAL_NULL_SAFE
+FROM s""")
 def q_balances(spark, d):
-    s = P.derive(_snap(spark, d, PERIOD_NOW, True))
-    return s.select(*P.KEYS, P.CONCEPT, *_BAL)
+    """M5/M6: balances as the job has them, plus the total that equals the sum of the parts."""
+    s = _snap(spark, d, PERIOD_NOW, True)
+    derived = dict(P.derived_columns())
+    return s.select(*P.KEYS, P.CONCEPT, *[derived[n].alias(n) for n in _BAL],
+                    M.total_balance_null_safe(P.CONCEPT, *P.BALANCES).cast(M.MONEY_SUM).alias("SALDO_TOTAL_NULL_SAFE"))
 
 
 _PROV = [n for n, _ in O.derived_sql() if n.startswith("PROV_")]

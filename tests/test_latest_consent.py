@@ -119,3 +119,23 @@ def test_single_pass_consents_equal_per_source_forms(spark):
     two = C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
     cols = ["ley", "doc_join", "agree", "ts", "canal_contacto", "consent_id"]
     assert sorted(rows(one, *cols), key=str) == sorted(rows(two, *cols), key=str)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(0, 5)),
+                          st.integers(0, 3)), min_size=1, max_size=40))
+def test_latest_matches_brute_force(spark, data):
+    df = spark.createDataFrame(data, "k string, t int, v int")
+    got = sorted(rows(latest(df, "k", [F.col("t").desc_nulls_last()]), "k", "t", "v"))
+    best = {}
+    for k, t, v in data:
+        if k is None:
+            continue
+        rank = (0 if t is not None else 1, -(t or 0), v)   # newest first, nulls last, then v ascending
+        if k not in best or rank < best[k][0]:
+            best[k] = (rank, (k, t, v))
+    assert got == sorted(r for _, r in best.values())
