@@ -278,23 +278,25 @@ def snapshot_sql(period: str, current: bool, dialect: str = "spark") -> str:
             f"CASE WHEN max((l_suppkey + {j}) % 13) = 0 THEN NULL ELSE CAST(sum("
             f"CAST(l_extendedprice AS DECIMAL(18,2)) * {a} - CAST(l_quantity AS DECIMAL(18,2)) * {b}"
             f") AS DECIMAL(18,2)) END AS {name}")
-    extra = ",\n               concat(max(l_returnflag), min(l_linestatus)) AS STROBLMODALIDAD" if current else ""
+    extra = (",\n               concat(chr(max(ascii(l_returnflag))), chr(min(ascii(l_linestatus)))) AS STROBLMODALIDAD"
+             if current else "")
     # Grouped by the text key itself, so the aggregate's hash partitioning is the
     # one the period join needs (no second shuffle). Attributes are functions of
-    # the key, read with max().
+    # the key, read with max(); one-letter flags are aggregated as code points,
+    # so every aggregate keeps a fixed-width buffer (hash aggregation, no sort).
     return f"""
         SELECT {k1} AS STRCLINIT,
                {k2} AS STROBLOBLIGSARC,
                {p} AS STRANOMES,
-               max(cast(l_suppkey % 5 AS string)) AS STRPETIPOCREDITO,
+               cast(max(l_suppkey % 5) AS string) AS STRPETIPOCREDITO,
                max(CASE WHEN (l_suppkey + {g}) % 97 = 96 THEN NULL ELSE (l_suppkey * 7 + {g}) % 90 END) AS NUMPEPROCODIGO,
                max(CASE WHEN ({g}) % 11 = 10 THEN NULL ELSE ({g}) % 4 END) AS NUMTIPOCONCEPTO,
-               max(concat('C', cast(({g}) % 4 AS string))) AS STRPECONCEPTO,
+               concat('C', cast(max(({g}) % 4) AS string)) AS STRPECONCEPTO,
                CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS NUMPIMATRIZ_B,
-               max(l_returnflag) AS STRPECALIFICACION,
-               min(l_returnflag) AS STRCALIFHOMOLOGADA,
-               max(l_linestatus) AS STRCALIFICACIONTEMP,
-               min(l_linestatus) AS STRCALIFICACIONREF,
+               chr(max(ascii(l_returnflag))) AS STRPECALIFICACION,
+               chr(min(ascii(l_returnflag))) AS STRCALIFHOMOLOGADA,
+               chr(max(ascii(l_linestatus))) AS STRCALIFICACIONTEMP,
+               chr(min(ascii(l_linestatus))) AS STRCALIFICACIONREF,
                cast(max(l_linenumber) AS string) AS STRPEMAXGARANTIA,
                min(l_linenumber) AS NUMPETIPOGARANTIA,
                CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS PDI,

@@ -79,3 +79,13 @@ def test_export_job_checkpoints_and_writes(spark, tmp_path):
     assert len(out["preview"]) == min(10, out["counts"]["report"]) and out["counts"]["report"] > 0
     names = [p["CLIENTE"] for p in out["preview"]]
     assert names == sorted(names)
+
+
+SLOW_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+              "SortAggregate", "FlatMapGroupsInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "csv_round_trip"))
+def test_plan_has_no_cross_join_python_or_sort_aggregate(spark, name):
+    plan = QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in SLOW_NODES if n in plan]
