@@ -146,9 +146,10 @@ def q_recent_rows(spark, d):
 BASE_SQL_SPARK = """
 SELECT c.row_id AS ROW_ID_CLIENTE, c.id_num, c.id_type, c.primary_point_id, o.org_loc, o.org_name,
        pos.position_name, m.emp_num, att.attention_code, ad.addr, ad.city_code, c.segment_code, pr.class_code
-FROM {position} pos, {org_unit} o, {manager} m, {employee} emp, {holding} h, {product} pr, {contact} c
-LEFT JOIN {attention} att ON att.contact_id = c.row_id
-LEFT JOIN {address} ad ON ad.addr_id = c.addr_id
+FROM {contact} c
+     LEFT JOIN {attention} att ON att.contact_id = c.row_id
+     LEFT JOIN {address} ad ON ad.addr_id = c.addr_id,
+     {position} pos, {org_unit} o, {manager} m, {employee} emp, {holding} h, {product} pr
 WHERE pos.position_id = c.position_id
   AND o.org_id = pos.org_id
   AND m.row_id = pos.manager_id
@@ -166,7 +167,11 @@ WHERE pos.position_id = c.position_id
 SELECT ROW_ID_CLIENTE, id_num, id_type, primary_point_id, org_loc, org_name, position_name, emp_num,
        attention_code, addr, city_code, segment_code, class_code FROM base""")
 def q_star_join_base(spark, d):
-    """The star as SQL text over the relations; Catalyst turns the comma joins into equi-joins."""
+    """The star as SQL text over the relations; Catalyst turns the comma joins into equi-joins.
+
+    The comma list is ordered so that every relation has an equality with the
+    ones before it; the join reordering then never needs a cross product.
+    """
     f = _f(spark, d, *O.PROFILE_RELATIONS)
     p = PR.DEFAULT
     return spark.sql(BASE_SQL_SPARK, args={"flag": p.commercial_flag, "unit": p.excluded_unit,
