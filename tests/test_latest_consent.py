@@ -139,3 +139,11 @@ def test_latest_matches_brute_force(spark, data):
         if k not in best or rank < best[k][0]:
             best[k] = (rank, (k, t, v))
     assert got == sorted(r for _, r in best.values())
+
+
+def test_latest_limits_rows_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("CAST(id % 3 AS string) AS k", "id")
+    plan = latest(df, "k", [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.find("Exchange hashpartitioning")
+    # one WindowGroupLimit above the exchange (final) and one below it (partial, map side)
+    assert plan.count("WindowGroupLimit") == 2 and plan.rfind("WindowGroupLimit") > exchange
