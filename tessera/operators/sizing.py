@@ -4,7 +4,8 @@ A side is broadcast when it is proven small:
 
 1. the optimizer's size estimate of its plan (the statistic Spark's own
    broadcast rule uses; scans report file sizes, filters and aggregates never
-   raise it) is under the session's broadcast threshold; this costs no job;
+   raise it), times an allowance for decompression, is under the session's
+   broadcast threshold; this costs no job;
 2. otherwise its row count, read with a ``limit`` so the check stops early,
    stays under ``max_rows`` (one small job).
 
@@ -21,6 +22,9 @@ from pyspark.sql import functions as F
 # rows at most, whatever the size of the facts.
 DEFAULT_MAX_ROWS = 200_000
 DEFAULT_MAX_BYTES = 10 * 1024 * 1024
+# Scans report compressed file bytes; columnar data grows several times when
+# decoded, so the estimate must fit the threshold with this factor to spare.
+EXPANSION_ALLOWANCE = 10
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -44,7 +48,7 @@ def byte_bound(df: DataFrame) -> int:
 def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
     """True when ``df`` is proven small: by estimate, else by a bounded count."""
     est = estimated_bytes(df)
-    if est is not None and est <= byte_bound(df):
+    if est is not None and est * EXPANSION_ALLOWANCE <= byte_bound(df):
         return True
     return df.limit(max_rows + 1).count() <= max_rows
 
