@@ -15,6 +15,8 @@ runtime conversion once real sizes are known).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +47,28 @@ def byte_bound(df: DataFrame) -> int:
     return value if value > 0 else DEFAULT_MAX_BYTES
 
 
+# Counted results per plan (semantic hash), reused for a short while so that
+# the same small frame is not counted again by every query built in a session.
+COUNT_TTL_SECONDS = 600
+_COUNTED: dict[tuple[int, int], tuple[bool, float]] = {}
+
+
 def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
     """True when ``df`` is proven small: by estimate, else by a bounded count."""
     est = estimated_bytes(df)
     if est is not None and est * EXPANSION_ALLOWANCE <= byte_bound(df):
         return True
-    return df.limit(max_rows + 1).count() <= max_rows
+    try:
+        key = (df.semanticHash(), max_rows)
+    except Exception:  # pragma: no cover - no plan hash available
+        key = None
+    now = time.monotonic()
+    if key is not None and key in _COUNTED and now - _COUNTED[key][1] < COUNT_TTL_SECONDS:
+        return _COUNTED[key][0]
+    small = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _COUNTED[key] = (small, now)
+    return small
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:

@@ -9,6 +9,7 @@ session), and parameters go in as named markers, never by string formatting.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -19,9 +20,22 @@ TABLES = (
 )
 
 
+# Schemas read per path, reused for a short while: schema inference is a
+# Spark job per read, and every query reads the same tables.
+SCHEMA_TTL_SECONDS = 600
+_SCHEMAS: dict[tuple[int, str], tuple[StructType, float]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table. Column pruning and filters reach the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key, now = (id(spark), path), time.monotonic()
+    hit = _SCHEMAS.get(key)
+    if hit is not None and now - hit[1] < SCHEMA_TTL_SECONDS:
+        return spark.read.schema(hit[0]).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[key] = (df.schema, now)
+    return df
 
 
 def tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
