@@ -170,12 +170,14 @@ def point_lists(points: DataFrame, keys: DataFrame, how: str = "left") -> DataFr
     return lists
 
 
-def point_lists_by_customer(points: DataFrame, keys: DataFrame) -> DataFrame:
+def point_lists_by_customer(points: DataFrame, keys: DataFrame, every_customer: bool = True) -> DataFrame:
     """``(row_id, TELEFONOS)`` as the right-join variant: every customer, ``''`` without points.
 
     Points are deduplicated on (owner, text) and ordered by number; lists are
     built per owner first and then attached to every customer, which is the
     job's right join grouped by the customer rather than the point's owner (D18).
+    With ``every_customer=False`` the per-owner lists are returned as they are,
+    for a caller whose own left join supplies the ``''`` default.
     """
     pts = points.select("owner_id", "point_id", "number", "extension")
     marked = _marked(pts, keys)
@@ -184,6 +186,8 @@ def point_lists_by_customer(points: DataFrame, keys: DataFrame) -> DataFrame:
                            F.when(F.col("is_primary"), F.concat(F.lit(PRIMARY_MARK), text)).otherwise(text)
                            .alias("fmt"))
     lists = ordered_list(marked, ["owner_id"], ["ord"], "fmt", "TELEFONOS", distinct=True)
+    if not every_customer:
+        return lists.withColumnRenamed("owner_id", "row_id")
     customers = keys.select("row_id").distinct()
     return customers.join(lists.withColumnRenamed("owner_id", "row_id"), "row_id", "left").select(
         "row_id", F.coalesce(F.col("TELEFONOS"), F.lit("")).alias("TELEFONOS"))
@@ -225,7 +229,8 @@ def profile_gated(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> Dat
 def profile_excluded(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
     """L3: newest of law A / law B decides; refusals dropped, no consent kept with null channel."""
     cust = customer_rows(f, p)
-    pn = report(cust, class_lists(f, p), point_lists_by_customer(open_points(f), f["contact"]), na=None)
+    lists = point_lists_by_customer(open_points(f), f["contact"], every_customer=False)
+    pn = report(cust, class_lists(f, p), lists, na="")
     pn = pn.withColumn("doc_join", doc_key("IDENT"))
     newest = C.newest_consent(C.tagged_consents(f, (C.TAG_A, C.TAG_FORM)))
     out = (C.exclude_and_attach(pn, newest)
