@@ -30,7 +30,9 @@ def ordered_list(df: DataFrame, group_cols, order_cols, value: str, out: str,
     pre = df.groupBy(*group_cols, *keys).agg(F.count(F.lit(1)).alias("_n"))
     fields = [F.col(c).alias(f"k{i}") for i, c in enumerate(order_cols)]
     entry = F.struct(*fields, F.col(value).alias("v"), F.col("_n").alias("n"))
-    agg = pre.groupBy(*group_cols).agg(F.array_sort(F.collect_list(entry)).alias("_entries"),
+    # sort_array orders with the type's own ordering (no per-comparison lambda);
+    # the entries are structs, never null, so it agrees with array_sort.
+    agg = pre.groupBy(*group_cols).agg(F.sort_array(F.collect_list(entry)).alias("_entries"),
                                        F.count(F.col(value)).alias("_values"))
     if distinct:
         values = F.transform("_entries", lambda x: x["v"])
@@ -49,4 +51,4 @@ def distinct_list(df: DataFrame, group_cols, value: str, out: str, sep: str = SE
     without values gives ``''``.
     """
     return (df.groupBy(*group_cols)
-            .agg(F.array_join(F.array_sort(F.collect_set(F.col(value))), sep).alias(out)))
+            .agg(F.array_join(F.sort_array(F.collect_set(F.col(value))), sep).alias(out)))

@@ -307,7 +307,7 @@ def q_profile_with_points(spark, d):
     f = PR.load(spark, d)
     cust = PR.customer_rows(f)
     cust = cust.join(PR.class_lists(f).select("row_id"), "row_id", "left_semi")
-    pts = PR.point_lists(PR.open_points(f), cust, "inner").withColumnRenamed("owner_id", "row_id")
+    pts = PR.point_lists(PR.open_points(f), f["contact"]).withColumnRenamed("owner_id", "row_id")
     return cust.join(pts, "row_id", "left").select("row_id", "customer_name", "TELEFONOS")
 
 
