@@ -25,6 +25,7 @@ from ..operators.audit import stage_counts
 from ..operators.decode import active_lists, decode, duplicate_codes
 from ..operators.latest import union_sources
 from ..operators.lists import ordered_list
+from ..operators.sizing import bounded_broadcast
 from ..session import ensure_checkpoint_dir
 from ..sources.relations import cte, frames, snapshot
 from ..sources.tables import read_csv, run_stamp, table, write_csv
@@ -54,6 +55,17 @@ def _f(spark, sf_dir, *names):
     return frames(spark, sf_dir, *names)
 
 
+# Relations that are dimensions of the star (everything but the contacts,
+# their holdings and their points): passed to SQL text through a size check,
+# so the hint travels inside the frame and only proven-small ones broadcast.
+DIMENSIONS = ("position", "org_unit", "manager", "employee", "attention", "address", "product", "code_list")
+
+
+def _sql_frames(spark, sf_dir, *names):
+    f = _f(spark, sf_dir, *names)
+    return {n: bounded_broadcast(df) if n in DIMENSIONS else df for n, df in f.items()}
+
+
 # =================================================================== text
 @register("full_name", f"""{cte('contact', 'manager')}
 SELECT 'C' AS role, row_id, {O.fullname('fst_name', 'last_name', 'maiden_name')} AS full_name FROM contact
@@ -172,7 +184,7 @@ def q_star_join_base(spark, d):
     The comma list is ordered so that every relation has an equality with the
     ones before it; the join reordering then never needs a cross product.
     """
-    f = _f(spark, d, *O.PROFILE_RELATIONS)
+    f = _sql_frames(spark, d, *O.PROFILE_RELATIONS)
     p = PR.DEFAULT
     return spark.sql(BASE_SQL_SPARK, args={"flag": p.commercial_flag, "unit": p.excluded_unit,
                                            "position": p.excluded_position}, **f)
@@ -665,7 +677,7 @@ _PROFILE_SQL_RELATIONS = ("point", "contact", "attention", "position", "org_unit
 @register("profile_sql", None)
 def q_profile_sql(spark, d):
     """The whole profile as one SQL statement (S12), planned by Catalyst."""
-    f = _f(spark, d, *_PROFILE_SQL_RELATIONS)
+    f = _sql_frames(spark, d, *_PROFILE_SQL_RELATIONS)
     return spark.sql(profile_sql_text("spark"), **f)
 
 
