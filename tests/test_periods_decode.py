@@ -91,3 +91,17 @@ def test_sizing(spark):
 def test_stage_counts(spark):
     a, b = spark.range(5), spark.range(3).filter(F.col("id") > 0)
     assert sorted(rows(stage_counts({"a": a, "b": b}))) == [("a", 5), ("b", 2)]
+
+
+def test_compare_null_and_duplicate_keys_and_null_history(spark):
+    d = Decimal
+    before = P.derive(snapshot(spark, [(None, "1", 1, 1, d("1.00")), ("K", "1", 1, 1, d("1.00")),
+                                       ("K", "1", 1, 1, d("2.00")), ("H", "1", 1, 1, None)], False))
+    now = P.derive(snapshot(spark, [(None, "1", 1, 1, d("1.00")), ("K", "1", 1, 1, d("1.00")),
+                                    ("H", "1", 1, 1, d("1.00"))], True))
+    got = sorted(rows(P.compare(before, now, null_safe=True), "STRCLINIT", "DIFERENCIAL_ACUM"), key=str)
+    # null keys never match (one row per side), the duplicated key repeats (D13),
+    # a null history makes the differential null
+    # (the before-only null-key row has no current concept -> 0; the current-only one has no history -> null)
+    assert got == sorted([(None, d("0.00")), (None, None), ("H", None), ("K", d("0.00")),
+                          ("K", d("6.00"))], key=str)
