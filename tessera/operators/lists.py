@@ -35,7 +35,8 @@ def ordered_list(df: DataFrame, group_cols, order_cols, value: str, out: str,
     agg = pre.groupBy(*group_cols).agg(F.sort_array(F.collect_list(entry)).alias("_entries"),
                                        F.count(F.col(value)).alias("_values"))
     if distinct:
-        values = F.transform("_entries", lambda x: x["v"])
+        # field of an array of structs: compiled, no lambda
+        values = F.col("_entries.v")
     else:
         values = F.flatten(F.transform("_entries", lambda x: F.array_repeat(x["v"], x["n"].cast("int"))))
     text = F.array_join(values, sep)
