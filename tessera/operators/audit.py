@@ -7,7 +7,7 @@ lineage. Here the counts are one DataFrame: a union of global aggregates
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -19,3 +19,13 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` with a row count collected while it runs (no extra job).
+
+    Read ``obs.get["row_count"]`` after the action that executes ``df``.
+    """
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("row_count")), obs
+

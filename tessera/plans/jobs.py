@@ -20,7 +20,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import consent as C
-from ..operators.audit import stage_counts
+from ..operators.audit import observed, stage_counts
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import run_stamp, write_csv
 from . import profile as PR
@@ -42,14 +42,16 @@ def run_export(spark: SparkSession, sf_dir: str, job: str = "gated", out_dir: st
     row per stage) and the preview (``preview_rows`` rows) reach the driver.
     """
     f = PR.load(spark, sf_dir)
-    report = materialize(JOBS[job](f, sort=True))
+    built, report_rows = observed(JOBS[job](f, sort=True), "report")
+    report = materialize(built)          # the one action that runs the job; counts its rows on the way
     root = (out_dir or ensure_checkpoint_dir(spark).rstrip("/") + "/exports").rstrip("/")
     path = write_csv(report, f"{root}/profile_{job}_{run_stamp()}", single_file=single_file)
-    stages = {"report": report, "open_points": PR.open_points(f), "customers": PR.customer_rows(f)}
+    stages = {"open_points": PR.open_points(f), "customers": PR.customer_rows(f)}
     if job == "gated":
         stages["law_a_gate"] = C.law_a_gate(C.law_a_rows(f))
         stages["law_b_latest"] = C.law_b_latest(C.form_rows(f), C.registry_rows(f))
     counts = {r["stage"]: r["row_count"] for r in stage_counts(stages).collect()}
+    counts["report"] = report_rows.get["row_count"]
     preview = [r.asDict() for r in PR.by_name(report).limit(preview_rows).collect()]
     return {"path": path, "counts": counts, "preview": preview}
 
