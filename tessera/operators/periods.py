@@ -96,3 +96,15 @@ def compare(before: DataFrame, now: DataFrame, keys=KEYS, null_safe: bool = Fals
     code = F.col(PRODUCT + SUFFIX_NOW)
     cond = ~code.eqNullSafe(PRODUCT_EXCLUDED) if null_safe else code != PRODUCT_EXCLUDED
     return joined.filter(cond)
+
+
+def duplicate_keys(df: DataFrame, keys=KEYS) -> DataFrame:
+    """Composite keys held by more than one row (D13): such keys multiply in ``compare``.
+
+    One aggregation (partial on the map side); a key held by a third of all
+    rows is one group, counted without being collected.
+    """
+    keys = list(keys)
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+            .filter(F.col("n_rows") > 1))
+

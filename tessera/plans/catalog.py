@@ -491,6 +491,13 @@ def _compare_oracle(null_safe: bool) -> str:
             f"FROM ant FULL OUTER JOIN act ON {on}\nWHERE {cond}")
 
 
+@register("duplicate_keys", """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_duplicate_keys(spark, d):
+    """The join key of a snapshot must be unique; the line-item key of the test data is not."""
+    return P.duplicate_keys(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 @register("period_full_outer", _compare_oracle(True))
 def q_period_full_outer(spark, d):
     before = P.derive(_snap(spark, d, PERIOD_BEFORE, False))
