@@ -37,7 +37,7 @@ def canon(v) -> str:
             return "NULL"
         return f"{v:.9g}"
     if isinstance(v, decimal.Decimal):
-        return format(v.normalize(), "f") if v == v.to_integral() else format(v.normalize(), "f")
+        return format(v.normalize(), "f")
     if hasattr(v, "to_pydatetime"):
         v = v.to_pydatetime()
     if isinstance(v, (dt.datetime, dt.date)):
