@@ -1,16 +1,11 @@
 """Broadcast only behind a size check.
 
-A side is broadcast when it is proven small:
-
-1. the optimizer's size estimate of its plan (the statistic Spark's own
-   broadcast rule uses; scans report file sizes, filters and aggregates never
-   raise it), times an allowance for decompression, is under the session's
-   broadcast threshold; this costs no job;
-2. otherwise its row count, read with a ``limit`` so the check stops early,
-   stays under ``max_rows`` (one small job).
-
-Past both bounds the join is left to the planner (sort-merge, or AQE's
-runtime conversion once real sizes are known).
+A side is broadcast when a row count, read with a ``limit`` so the check stops
+early, proves it holds at most ``max_rows`` rows (one small job). The result
+is remembered per plan (``semanticHash``) for a few minutes, so a frame that
+every query of a session broadcasts is counted once. Past the bound the join
+is left to the planner: Spark's own size rule, a sort-merge join, or AQE's
+runtime conversion once real sizes are known.
 """
 
 from __future__ import annotations
@@ -23,46 +18,22 @@ from pyspark.sql import functions as F
 # Code lists are value domains (document types, cities, classes): thousands of
 # rows at most, whatever the size of the facts.
 DEFAULT_MAX_ROWS = 200_000
-DEFAULT_MAX_BYTES = 10 * 1024 * 1024
-# Scans report compressed file bytes; columnar data grows several times when
-# decoded, so the estimate must fit the threshold with this factor to spare.
-EXPANSION_ALLOWANCE = 10
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` in bytes, or None when unavailable."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size) if isinstance(size, int) else int(size.toString())
-    except Exception:  # e.g. Spark Connect: no JVM handle
-        return None
 
-
-def byte_bound(df: DataFrame) -> int:
-    try:
-        raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-        value = int(str(raw).lower().rstrip("b")) if raw is not None else DEFAULT_MAX_BYTES
-    except (TypeError, ValueError):
-        value = DEFAULT_MAX_BYTES
-    return value if value > 0 else DEFAULT_MAX_BYTES
-
-
-# Counted results per plan (semantic hash), reused for a short while so that
-# the same small frame is not counted again by every query built in a session.
+# Counted results per plan, reused for a short while.
 COUNT_TTL_SECONDS = 600
 _COUNTED: dict[tuple[int, int], tuple[bool, float]] = {}
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    """True when ``df`` is proven small: by estimate, else by a bounded count."""
-    est = estimated_bytes(df)
-    if est is not None and est * EXPANSION_ALLOWANCE <= byte_bound(df):
-        return True
+def _plan_key(df: DataFrame, max_rows: int) -> tuple[int, int] | None:
     try:
-        key = (df.semanticHash(), max_rows)
+        return df.semanticHash(), max_rows
     except Exception:  # pragma: no cover - no plan hash available
-        key = None
-    now = time.monotonic()
+        return None
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (one bounded count, memoised)."""
+    key, now = _plan_key(df, max_rows), time.monotonic()
     if key is not None and key in _COUNTED and now - _COUNTED[key][1] < COUNT_TTL_SECONDS:
         return _COUNTED[key][0]
     small = df.limit(max_rows + 1).count() <= max_rows
@@ -72,5 +43,5 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it fits the bounds, else ``df`` unchanged."""
+    """``broadcast(df)`` when it fits the bound, else ``df`` unchanged."""
     return F.broadcast(df) if fits(df, max_rows) else df
