@@ -89,3 +89,19 @@ SLOW_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
 def test_plan_has_no_cross_join_python_or_sort_aggregate(spark, name):
     plan = QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
     assert not [n for n in SLOW_NODES if n in plan]
+
+
+@pytest.mark.parametrize("setting,value", [("spark.sql.session.timeZone", "America/New_York"),
+                                           ("spark.sql.ansi.enabled", "false")])
+@pytest.mark.parametrize("name", ["parse_timestamps", "latest_across_laws", "profile_gated", "consent_flags"])
+def test_same_rows_under_other_session_settings(spark, setting, value, name):
+    def run():
+        df = QUERIES[name](spark, SF0001)
+        return rows_of(df.columns, [tuple(r) for r in df.collect()])
+    base = run()
+    old = spark.conf.get(setting)
+    spark.conf.set(setting, value)
+    try:
+        assert run() == base
+    finally:
+        spark.conf.set(setting, old)
