@@ -162,7 +162,8 @@ FROM {contact} c
      LEFT JOIN {attention} att ON att.contact_id = c.row_id
      LEFT JOIN {address} ad ON ad.addr_id = c.addr_id,
      {position} pos, {org_unit} o, {manager} m, {employee} emp, {holding} h, {product} pr
-WHERE pos.position_id = c.position_id
+WHERE 1 = 1
+  AND pos.position_id = c.position_id
   AND o.org_id = pos.org_id
   AND m.row_id = pos.manager_id
   AND emp.employee_id = m.employee_id
