@@ -36,36 +36,53 @@ PRODUCT_EXCLUDED = 45
 SUFFIX_BEFORE, SUFFIX_NOW = "_ANT", "_ACT"
 
 
+# The summed measures of the report, in output order, each with
+# the base measures it adds up (a single input is a plain copy).
+MONEY_COLUMNS = (
+    ("PROV_DIF_PRO_K", ("NUMPEDIFK",)),
+    ("PROV_DIF_ANT_K", ("NUMPEANTICICLICADIFCAPITAL",)),
+    ("PROV_DIF_K", ("NUMPEDIFK", "NUMPEANTICICLICADIFCAPITAL")),
+    ("PROV_DIF_PRO_I", ("NUMPEDIFI",)),
+    ("PROV_DIF_ANT_I", ("NUMPEANTICICLICADIFINTERES",)),
+    ("PROV_DIF_I", ("NUMPEDIFI", "NUMPEANTICICLICADIFINTERES")),
+    ("PROV_DIF_PRO_OT", ("NUMDIFCAPOTROS",)),
+    ("PROV_DIF_ANT_OT", ("NUMPEANTICICLICADIFOTROS",)),
+    ("PROV_DIF_O", ("NUMDIFCAPOTROS", "NUMPEANTICICLICADIFOTROS")),
+    ("PROV_DIF", ("NUMPEDIFK", "NUMPEDIFI", "NUMDIFCAPOTROS", "NUMPEANTICICLICADIFCAPITAL",
+                  "NUMPEANTICICLICADIFINTERES", "NUMPEANTICICLICADIFOTROS")),
+    ("PROV_ACUM_PRO_K", ("NUMPECONTABLEK",)),
+    ("PROV_ACUM_ANT_K", ("NUMPEANTICICLICACAPITAL",)),
+    ("PROV_ACUM_K", ("NUMPECONTABLEK", "NUMPEANTICICLICACAPITAL")),
+    ("PROV_ACUM_PRO_I", ("NUMPECONTABLEI",)),
+    ("PROV_ACUM_ANT_I", ("NUMPEANTICICLICAINTERES",)),
+    ("PROV_ACUM_I", ("NUMPECONTABLEI", "NUMPEANTICICLICAINTERES")),
+    ("PROV_ACUM_PRO_OT", ("NUMCAPOTROS",)),
+    ("PROV_ACUM_ANT_OT", ("NUMPEANTICICLICAOTROS",)),
+    ("PROV_ACUM_O", ("NUMCAPOTROS", "NUMPEANTICICLICAOTROS")),
+    ("PROV_ACUM", ("NUMPECONTABLEK", "NUMPECONTABLEI", "NUMCAPOTROS", "NUMPEANTICICLICACAPITAL",
+                   "NUMPEANTICICLICAINTERES", "NUMPEANTICICLICAOTROS")),
+    ("PROV_DIF_ACUM", ("NUM_PE_DIF_K_ACU", "NUM_PE_DIF_I_ACU", "NUM_DIF_KOTROS_ACU", "NUM_PE_CIC_DIF_K_ACU",
+                       "NUM_PE_CIC_DIF_I_ACU", "NUM_PE_CIC_DIF_KOTROS_ACU")),
+    ("PROV_ACUM_ACUM", ("NUM_PE_K_ACU", "NUM_PE_I_ACU", "NUM_KOTROS_ACU", "NUM_PE_CIC_K_ACU",
+                        "NUM_PE_CIC_I_ACU", "NUM_PE_CIC_KOTROS_ACU")),
+    ("PROV_DESACUM_CIC", ("NUM_PE_CIC_K_DES", "NUM_PE_CIC_I_DES", "NUM_PE_CIC_KOTROS_DES")),
+)
+# The balance columns (zero for the zero-balance concept) and their inputs.
+BALANCE_COLUMNS = (("SALDO_K", "NUMPEEDIK"), ("SALDO_I", "NUMPEEDII"), ("SALDO_O", "NUMPEEDIKOTROS"))
+
+
 def derived_columns() -> list[tuple[str, object]]:
     """(name, expression) of the 32 derived columns, in output order."""
-    k, i, o = BALANCES
-    (dk, di, do, adk, adi, ado, ck, ci, co, ack, aci, aco) = PROVISIONS
-    (h_dk, h_di, h_do, h_cdk, h_cdi, h_cdo, h_k, h_i, h_o, h_ck, h_ci, h_co, h_desk, h_desi, h_deso) = HISTORY
-    money = M.money_sum
     out: list[tuple[str, object]] = [
         ("TIPO_CREDITO", M.category_label(CATEGORY)),
         ("RANGOS_MORA", M.arrears_band(CATEGORY, DAYS)),
         ("LINEA_CREDITO", M.product_line(PRODUCT)),
         ("LINEA_CREDITO_2", M.product_line(PRODUCT)),
         ("IFRS_COLGAAP", M.accounting_basis(PRODUCT)),
-        ("SALDO_K", M.balance(CONCEPT, k).cast(M.MONEY_SUM)),
-        ("SALDO_I", M.balance(CONCEPT, i).cast(M.MONEY_SUM)),
-        ("SALDO_O", M.balance(CONCEPT, o).cast(M.MONEY_SUM)),
-        ("SALDO_TOTAL", M.total_balance(CONCEPT, k, i, o).cast(M.MONEY_SUM)),
     ]
-    for label, pro, anti in (("K", dk, adk), ("I", di, adi), ("OT", do, ado)):
-        tail = "O" if label == "OT" else label
-        out += [(f"PROV_DIF_PRO_{label}", money(pro)), (f"PROV_DIF_ANT_{label}", money(anti)),
-                (f"PROV_DIF_{tail}", money(pro, anti))]
-    out.append(("PROV_DIF", money(dk, di, do, adk, adi, ado)))
-    for label, pro, anti in (("K", ck, ack), ("I", ci, aci), ("OT", co, aco)):
-        tail = "O" if label == "OT" else label
-        out += [(f"PROV_ACUM_PRO_{label}", money(pro)), (f"PROV_ACUM_ANT_{label}", money(anti)),
-                (f"PROV_ACUM_{tail}", money(pro, anti))]
-    out.append(("PROV_ACUM", money(ck, ci, co, ack, aci, aco)))
-    out += [("PROV_DIF_ACUM", money(h_dk, h_di, h_do, h_cdk, h_cdi, h_cdo)),
-            ("PROV_ACUM_ACUM", money(h_k, h_i, h_o, h_ck, h_ci, h_co)),
-            ("PROV_DESACUM_CIC", money(h_desk, h_desi, h_deso))]
+    out += [(name, M.balance(CONCEPT, col).cast(M.MONEY_SUM)) for name, col in BALANCE_COLUMNS]
+    out.append(("SALDO_TOTAL", M.total_balance(CONCEPT, *BALANCES).cast(M.MONEY_SUM)))
+    out += [(name, M.money_sum(*cols)) for name, cols in MONEY_COLUMNS]
     return out
 
 
