@@ -11,6 +11,23 @@ Nulls, blanks, misses, ties, closed rows, odd date texts and refusals do not
 occur in the test tables; they are made here from key arithmetic, so every
 edge the jobs guard against is present in the data.
 
+Roles (relation <- test table):
+
+    contact      <- customer (+ first order as primary contact point)
+    position     <- nation          (first role)
+    org_unit     <- region
+    manager      <- supplier
+    employee     <- nation          (second role)
+    attention    <- supplier        (optional attribute, keyed by customer)
+    address      <- nation          (optional, keyed by customer % 30)
+    holding      <- lineitem x orders
+    product      <- part            (class = part type)
+    code_list    <- region, customer, nation, part (one relation, six list types)
+    point        <- orders          (owner, number, extension, close date)
+    consent      <- events          (document, flag text, date text, channel)
+    purpose / regulation / activity / tenant <- region, nation
+    snapshot     <- lineitem        (one row per supplier x part group and month)
+
 Each template names the frames it reads as ``{name}``: a test table or another
 relation. ``frame`` builds the Spark DataFrame; ``cte`` renders a ``WITH`` list
 for DuckDB.
