@@ -21,12 +21,13 @@ DEFAULT_MAX_ROWS = 200_000
 
 # Counted results per plan, reused for a short while.
 COUNT_TTL_SECONDS = 600
-_COUNTED: dict[tuple[int, int], tuple[bool, float]] = {}
+_COUNTED: dict[tuple[int, str, int], tuple[bool, float]] = {}
 
 
-def _plan_key(df: DataFrame, max_rows: int) -> tuple[int, int] | None:
+def _plan_key(df: DataFrame, max_rows: int) -> tuple[int, str, int] | None:
+    """Plan hash (32 bits) plus the schema, so two different plans never share an answer by chance."""
     try:
-        return df.semanticHash(), max_rows
+        return df.semanticHash(), df.schema.simpleString(), max_rows
     except Exception:  # pragma: no cover - no plan hash available
         return None
 
