@@ -25,7 +25,7 @@ _COUNTED: dict[tuple[int, str, int], tuple[bool, float]] = {}
 
 
 def _plan_key(df: DataFrame, max_rows: int) -> tuple[int, str, int] | None:
-    """Plan hash (32 bits) plus the schema, so two different plans never share an answer by chance."""
+    """Plan hash (32 bits) plus the schema: two plans share an answer only if both match."""
     try:
         return df.semanticHash(), df.schema.simpleString(), max_rows
     except Exception:  # pragma: no cover - no plan hash available
