@@ -72,3 +72,63 @@ def test_product_line_matches_table(spark, codes):
     df = spark.createDataFrame([(c,) for c in codes], "p int")
     assert one(df.select(M.product_line("p").alias("l")), "l") == [table.get(c, M.PRODUCT_LINE_DEFAULT)
                                                                    for c in codes]
+
+
+import datetime as dt  # noqa: E402
+import re  # noqa: E402
+
+from tessera.functions import text as T  # noqa: E402
+from tessera.functions import times as TM  # noqa: E402
+
+DATES = st.datetimes(min_value=dt.datetime(2000, 1, 1), max_value=dt.datetime(2099, 12, 31))
+
+
+def shapes(d):
+    """The date texts the consent sources hold, rendered in Python."""
+    h12 = d.hour % 12 or 12
+    ampm = "AM" if d.hour < 12 else "PM"
+    return {
+        "iso": d.strftime("%Y-%m-%d %H:%M:%S"),
+        "iso_ms": d.strftime("%Y-%m-%d %H:%M:%S.") + f"{d.microsecond // 1000:03d}",
+        "dmy": d.strftime("%d/%m/%y ") + f"{h12:02d}" + d.strftime(":%M:%S ") + ampm,
+        "dmy_ns": d.strftime("%d/%m/%y ") + f"{h12:02d}" + d.strftime(":%M:%S,") + f"{d.microsecond:06d}000 " + ampm,
+    }
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(DATES, min_size=1, max_size=20))
+def test_parse_any_matches_python(spark, dates):
+    data = []
+    for d in dates:
+        for shape, text in shapes(d).items():
+            sec = d.replace(microsecond=0)
+            want_a = {"iso": sec, "iso_ms": d.replace(microsecond=d.microsecond // 1000 * 1000), "dmy": sec,
+                      "dmy_ns": None}[shape]
+            want_day_first = {"iso": sec, "iso_ms": d.replace(microsecond=d.microsecond // 1000 * 1000),
+                              "dmy": sec, "dmy_ns": d}[shape]
+            data.append((text, want_a, want_day_first))
+    df = spark.createDataFrame([(t,) for t, _, _ in data], "v string")
+    got = [tuple(r) for r in df.select(TM.parse_any("v", TM.LAW_A_FORMATS),
+                                       TM.parse_any("v", TM.DAY_FIRST_FORMATS)).collect()]
+    assert got == [(a, b) for _, a, b in data]
+
+
+ASCII_TEXT = st.text(alphabet=st.sampled_from(list("aB0 \t\n.xZ9")), max_size=15)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), ASCII_TEXT), st.one_of(st.none(), ASCII_TEXT),
+                          st.one_of(st.none(), ASCII_TEXT)), min_size=1, max_size=20))
+def test_full_name_and_doc_key_match_python(spark, data):
+    def name(a, b, c):
+        s = re.sub(r"\s+", " ", " ".join(x or "" for x in (a, b, c))).strip(" ")
+        return s[:1].upper() + s[1:1001].lower()
+
+    def doc(a):
+        if a is None:
+            return None
+        return re.sub(r"\s+", "", a).lstrip("0") or None
+
+    df = spark.createDataFrame(data, "a string, b string, c string")
+    got = [tuple(r) for r in df.select(T.full_name("a", "b", "c"), T.doc_key("a")).collect()]
+    assert got == [(name(a, b, c), doc(a)) for a, b, c in data]
