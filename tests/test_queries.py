@@ -105,3 +105,15 @@ def test_same_rows_under_other_session_settings(spark, setting, value, name):
         assert run() == base
     finally:
         spark.conf.set(setting, old)
+
+
+def test_parameters_flow_through(spark):
+    from tessera.plans import profile as PR
+    from tessera.sources.relations import snapshot
+    f = PR.load(spark, SF001)
+    one_segment = PR.ProfileParams(segments=("Seg - Building",))
+    segs = {r[0] for r in PR.profile_final(f, one_segment, sort=False).select("SEGMENTO").collect()}
+    assert segs == {"Seg - Building"}
+    assert PR.profile_final(f, one_segment).count() < PR.profile_final(f).count()
+    periods = {r[0] for r in snapshot(spark, SF001, "200001", current=False).select("STRANOMES").collect()}
+    assert periods == {"200001"}
