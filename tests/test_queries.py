@@ -117,3 +117,12 @@ def test_parameters_flow_through(spark):
     assert PR.profile_final(f, one_segment).count() < PR.profile_final(f).count()
     periods = {r[0] for r in snapshot(spark, SF001, "200001", current=False).select("STRANOMES").collect()}
     assert periods == {"200001"}
+
+
+def test_cli_lists_and_runs(spark, capsys, tmp_path):
+    from tessera.__main__ import main
+    main(["list"])
+    listed = capsys.readouterr().out.split("\n")
+    assert len([line for line in listed if line.strip()]) == len(QUERIES)
+    main(["run", "dup_codes", "--sf-dir", SF0001, "--show", "0", "--csv", str(tmp_path / "out")])
+    assert any(p.name.startswith("part-") for p in (tmp_path / "out").iterdir())
