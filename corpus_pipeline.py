@@ -1,7 +1,7 @@
-"""A training-data pipeline over ``documents``: filter, dedupe, decontaminate.
+"""A training-data pipeline over ``documents``: filter, dedupe, decontaminate, redact, tokenize.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept
-and returns the columns of ``documents``. ``run``
+and returns the columns of ``documents`` (the last one: token ids). ``run``
 writes each stage's rows as Parquet to the shared checkpoint folder and reads
 them for the next, so a lost executor costs tasks of one stage only.
 """
@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, simhash, toxicity
+from tessera.llm import bpe, decontaminate, secrets, simhash, toxicity
 from tessera.llm.common import read
 from tessera.session import ensure_checkpoint_dir
 
@@ -32,13 +32,25 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each secret in a text is replaced by a mark; ``n_chars`` follows the text."""
+    return secrets.redacted(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded) of each row: token ids and the text that they decode to."""
+    return bpe.encoded(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash_dedup", drop_near_copies),
     ("decontamination", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("byte_bpe", tokenize),
 ]
 
-# Classifier and fingerprint have no SQL form; tests hold the rows against a brute-force version.
+# Classifier, fingerprint and tokenizer have no SQL form; tests hold the rows against a brute-force version.
 ORACLE_SQL = None
 
 

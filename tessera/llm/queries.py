@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash, toxicity
+from . import bpe, decontaminate, secrets, simhash, token_counts, toxicity
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,33 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+@register()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.encoded(read(spark, sf_dir, "documents"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select("doc_id", "n_tokens", F.sha2(listed, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = token_counts.token_counts(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@register(secrets.ORACLE)
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def n(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    kinds = [r.kind for r in secrets.BASE]
+    base = secrets.listed(F.filter("secrets", lambda s: s["kind"].isin(kinds)))
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(base, 256).alias("base_sha256"),
+                        secrets.listed(F.col("secrets")).alias("spans"))
+
+
 @register(decontaminate.ORACLE)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
