@@ -11,6 +11,7 @@ neither edges nor labels pass the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +53,24 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     return (current.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .unionAll(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))
+
+
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, root) with the same components as the edges (u, v): a task's own share, in memory."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[:len(u)], ends[len(u):]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[a], root[b]
+        open_ = x != y
+        if not open_.any():
+            break
+        a, b = a[open_], b[open_]
+        np.minimum.at(root, np.maximum(x, y)[open_], np.minimum(x, y)[open_])
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+    moved = root != np.arange(len(nodes))
+    return nodes[moved], nodes[root[moved]]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, secrets, simhash, token_counts, toxicity
+from . import bpe, decontaminate, embeddings, secrets, simhash, token_counts, toxicity
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(decontaminate.ORACLE)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register()
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import checkpointed, mapped, row_key, text_bytes
-from .components import components
+from .components import components, forest
 from .words import mixed
 
 SEED = 42
@@ -133,27 +133,6 @@ class Ring:
         return out
 
 
-def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, root) with the same components as the edges (u, v)."""
-    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = ends[:len(u)], ends[len(u):]
-    root = np.arange(len(nodes))
-    while True:
-        x, y = root[a], root[b]
-        open_ = x != y
-        if not open_.any():
-            break
-        a, b = a[open_], b[open_]
-        np.minimum.at(root, np.maximum(x, y)[open_], np.minimum(x, y)[open_])
-        while True:
-            up = root[root]
-            if (up == root).all():
-                break
-            root = up
-    moved = root != np.arange(len(nodes))
-    return nodes[moved], nodes[root[moved]]
-
-
 def _bucket_edges(ring: Ring, table: np.ndarray, key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spanning edges of rows sorted by (table, key); each run of equal ones is a bucket."""
     n = len(fp)
@@ -169,12 +148,12 @@ def _bucket_edges(ring: Ring, table: np.ndarray, key: np.ndarray, fp: np.ndarray
         vs.append(fp[rows[ok] + step])
         held += int(ok.sum())
         if held > 1_000_000:
-            u, v = _forest(np.concatenate(us), np.concatenate(vs))
+            u, v = forest(np.concatenate(us), np.concatenate(vs))
             us, vs, held = [u], [v], 0
         step += 1
     if not us:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    return _forest(np.concatenate(us), np.concatenate(vs))
+    return forest(np.concatenate(us), np.concatenate(vs))
 
 
 def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
