@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, quality, secrets, simhash, token_counts, toxicity
+from . import bpe, decontaminate, embeddings, quality, secrets, shards, simhash, token_counts, toxicity
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+@register()
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shards(read(spark, sf_dir, "documents"))
+
+
 @register(secrets.ORACLE)
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
