@@ -1,9 +1,9 @@
 """Timestamps from text (E6a-c, E7).
 
-The jobs try several formats and take the first that parses. Under ANSI mode
-(the Spark 4 default) ``to_timestamp`` raises on a bad string, so each try is a
-``try_to_timestamp``; the result is a wall-clock ``timestamp_ntz`` so that it
-does not depend on the session time zone.
+Texts come in ISO and day-first shapes. Bad text gives null, also under ANSI
+mode; the result is a wall-clock ``timestamp_ntz`` built from the text's own
+fields, so that it does not depend on the session time zone, not even for a
+time that the zone skips.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 # ``None`` is Spark's default parser (ISO date and time, any fraction).
 DEFAULT = None
 
-# The format lists of the three consent sources, in try order.
+# The format lists of the three consent sources. ISO formats all read as the
+# default parser does (any fraction).
 LAW_A_FORMATS = (DEFAULT, "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss.SSSSSS",
                  "yyyy-MM-dd HH:mm:ss", "dd/MM/yy hh:mm:ss a")
 FORM_FORMATS = (DEFAULT, "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss", "dd/MM/yy hh:mm:ss a")
@@ -25,12 +26,39 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+ISO = r"^\s*\d{4}-"
+DAY_FIRST = r"^(\d{2})/(\d{2})/(\d{2}) (0[1-9]|1[0-2]):(\d{2}):(\d{2}) ([AP])M$"
+DAY_FIRST_FRACTION = r"^(\d{2})/(\d{2})/(\d{2}) (0[1-9]|1[0-2]):(\d{2}):(\d{2}),(\d{9}) ([AP])M$"
+
+
+def _day_first(text: Column, pattern: str, fraction: bool) -> Column:
+    """Wall-clock time of a ``dd/MM/yy hh:mm:ss`` text; null for a day or time that isn't there."""
+    def part(i: int) -> Column:
+        return F.regexp_extract(text, pattern, i).try_cast("int")
+
+    seconds = F.regexp_extract(text, pattern, 6)
+    if fraction:
+        seconds = F.concat(seconds, F.lit("."), F.left(F.regexp_extract(text, pattern, 7), F.lit(6)))
+    half = F.regexp_extract(text, pattern, 8 if fraction else 7)
+    hour = part(4) % 12 + F.when(half == "P", 12).otherwise(0)
+    return F.try_make_timestamp_ntz(F.lit(2000) + part(3), part(2), part(1), hour, part(5),
+                                    seconds.try_cast("decimal(8,6)"))
+
+
 def parse_any(c, formats=LAW_A_FORMATS) -> Column:
-    """First format that parses wins; text that matches none gives null."""
+    """Wall-clock time of a text in one of the formats; null for any other text.
+
+    No two kinds of format fit the same text (ISO texts begin with the year,
+    the others with the day), so the text's shape picks the one parser to run,
+    and none of them passes through an instant of the session's time zone.
+    """
     text = _c(c).cast("string")
-    tries = [F.try_to_timestamp(text) if f is None else F.try_to_timestamp(text, F.lit(f))
-             for f in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    out = F.when(text.rlike(ISO), text.try_cast("timestamp_ntz"))
+    if any(f and "SSSSSSSSS" in f for f in formats):
+        out = out.when(text.rlike(DAY_FIRST_FRACTION), _day_first(text, DAY_FIRST_FRACTION, True))
+    if "dd/MM/yy hh:mm:ss a" in formats:
+        out = out.when(text.rlike(DAY_FIRST), _day_first(text, DAY_FIRST, False))
+    return out
 
 
 def as_timestamp(c) -> Column:

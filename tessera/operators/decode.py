@@ -2,8 +2,9 @@
 
 A code list is one relation ``(list_type, name, val, high, desc_text,
 active_flg)`` holding every list; a decode is a left join of the facts with
-the active rows of one list. Lists are value domains, so they are broadcast
-once their size is checked and the facts are never shuffled for a decode.
+the active rows of one list. No broadcast is forced: lists are value domains, so
+the planner sees their size and broadcasts them by the session's byte bound,
+or joins by sort-merge past it.
 """
 
 from __future__ import annotations
@@ -11,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import DEFAULT_MAX_ROWS, bounded_broadcast
-
 # Renames applied when a list is read.
 LIST_COLUMNS = {"name": "code_name", "val": "code_val", "high": "code_high", "desc_text": "code_desc"}
 
@@ -32,7 +31,7 @@ def one_list(lists: DataFrame, list_type: str, key: str, label: str,
 
 
 def decode(df: DataFrame, code_list: DataFrame, key: str, out: str, how: str = "left",
-           max_rows: int = DEFAULT_MAX_ROWS, label_expr=None) -> DataFrame:
+           label_expr=None) -> DataFrame:
     """Add ``out`` = label of ``df[key]`` in ``code_list`` (from ``one_list``).
 
     ``how='left'`` keeps facts without a label (J4); ``'inner'`` drops them.
@@ -41,7 +40,6 @@ def decode(df: DataFrame, code_list: DataFrame, key: str, out: str, how: str = "
     """
     tag = f"_{out}"
     side = code_list.select(F.col("_code").alias(tag + "_code"), F.col("_label").alias(tag + "_label"))
-    side = bounded_broadcast(side, max_rows)
     label = F.col(tag + "_label")
     joined = df.join(side, F.col(key) == F.col(tag + "_code"), how)
     return joined.withColumn(out, label_expr(label) if label_expr else label).drop(

@@ -22,7 +22,7 @@ def ordered_list(df: DataFrame, group_cols, order_cols, value: str, out: str,
 
     Null sort keys come first (struct order); null values are skipped, so a
     group of only nulls gives ``''`` (R6). With ``distinct`` duplicates of the
-    (order_cols, value) entry appear once. With ``empty_as_null`` a group
+    value appear once in a group, at their first place by ``order_cols``. With ``empty_as_null`` a group
     without any non-null value gives null, as SQL ``listagg`` does.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
@@ -35,8 +35,8 @@ def ordered_list(df: DataFrame, group_cols, order_cols, value: str, out: str,
     agg = pre.groupBy(*group_cols).agg(F.sort_array(F.collect_list(entry)).alias("_entries"),
                                        F.count(F.col(value)).alias("_values"))
     if distinct:
-        # field of an array of structs: compiled, no lambda
-        values = F.col("_entries.v")
+        # field of an array of structs (compiled, no lambda); of equal values the first in order stays
+        values = F.array_distinct(F.col("_entries.v"))
     else:
         values = F.flatten(F.transform("_entries", lambda x: F.array_repeat(x["v"], x["n"].cast("int"))))
     text = F.array_join(values, sep)

@@ -3,7 +3,8 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` builds the Spark plan (lazy);
 ``ORACLE[name]`` is the DuckDB SQL that must give the same rows. Every query
 reads the test tables through ``sources.relations`` and runs over whole
-tables.
+tables; only the period queries that are about one month or two
+(``period_scan``, ``period_full_outer``, ``period_compare``) select months.
 """
 
 from __future__ import annotations
@@ -23,12 +24,10 @@ from ..operators import consent as C
 from ..operators import periods as P
 from ..operators.audit import stage_counts
 from ..operators.decode import active_lists, decode, duplicate_codes
-from ..operators.latest import union_sources
 from ..operators.lists import ordered_list
-from ..operators.sizing import bounded_broadcast
 from ..session import ensure_checkpoint_dir
-from ..sources.relations import cte, frames, snapshot
-from ..sources.tables import read_csv, run_stamp, table, write_csv
+from ..sources.relations import PERIOD, cte, frames, snapshot
+from ..sources.tables import read_csv, run_stamp, sql, table, write_csv
 from . import oracle_sql as O
 from . import profile as PR
 
@@ -55,28 +54,13 @@ def _f(spark, sf_dir, *names):
     return frames(spark, sf_dir, *names)
 
 
-# Relations that are dimensions of the star (everything but the contacts,
-# their holdings and their points): passed to SQL text through a size check,
-# so the hint travels inside the frame and only proven-small ones broadcast.
-DIMENSIONS = ("position", "org_unit", "manager", "employee", "attention", "address", "product", "code_list")
-
-
-def _sql_frames(spark, sf_dir, *names):
-    f = _f(spark, sf_dir, *names)
-    return {n: bounded_broadcast(df) if n in DIMENSIONS else df for n, df in f.items()}
-
-
 # =================================================================== text
-@register("full_name", f"""{cte('contact', 'manager')}
-SELECT 'C' AS role, row_id, {O.fullname('fst_name', 'last_name', 'maiden_name')} AS full_name FROM contact
-UNION ALL
-SELECT 'M' AS role, row_id, {O.fullname('fst_name', 'last_name', 'maiden_name')} AS full_name FROM manager""")
+@register("full_name", f"""{cte('contact')}
+SELECT row_id, {O.fullname('fst_name', 'last_name', 'maiden_name')} AS full_name FROM contact""")
 def q_full_name(spark, d):
-    f = _f(spark, d, "contact", "manager")
-    def names(df, role):
-        return df.select(F.lit(role).alias("role"), "row_id",
-                         T.full_name("fst_name", "last_name", "maiden_name").alias("full_name"))
-    return names(f["contact"], "C").unionByName(names(f["manager"], "M"))
+    """Names of customers and employees."""
+    return _f(spark, d, "contact")["contact"].select(
+        "row_id", T.full_name("fst_name", "last_name", "maiden_name").alias("full_name"))
 
 
 @register("city_label", f"""{cte('code_list')}
@@ -87,17 +71,17 @@ def q_city_label(spark, d):
             .select(F.col("val").alias("city_code"), "desc_text", T.clean_label("desc_text").alias("city")))
 
 
-@register("doc_key", f"""{cte('contact', 'consent')}
+@register("doc_key", f"""{cte('contact', 'identifier')}
 SELECT 'C' AS side, row_id AS id, id_num AS raw_doc, {O.dockey('id_num')} AS doc_join,
        {O.dockey('CAST(row_id AS DECIMAL(38,0))')} AS doc_from_number FROM contact
 UNION ALL
-SELECT 'E' AS side, consent_id AS id, ref_num AS raw_doc, {O.dockey('ref_num')} AS doc_join,
-       {O.dockey('CAST(owner_id AS DECIMAL(38,0))')} AS doc_from_number FROM consent""")
+SELECT 'E' AS side, owner_id AS id, ref_num AS raw_doc, {O.dockey('ref_num')} AS doc_join,
+       {O.dockey('CAST(owner_id AS DECIMAL(38,0))')} AS doc_from_number FROM identifier""")
 def q_doc_key(spark, d):
-    f = _f(spark, d, "contact", "consent")
+    f = _f(spark, d, "contact", "identifier")
     a = f["contact"].select(F.lit("C").alias("side"), F.col("row_id").alias("id"), F.col("id_num").alias("raw_doc"),
                             T.doc_key("id_num").alias("doc_join"), T.doc_key_of_number("row_id").alias("doc_from_number"))
-    b = f["consent"].select(F.lit("E").alias("side"), F.col("consent_id").alias("id"),
+    b = f["identifier"].select(F.lit("E").alias("side"), F.col("owner_id").alias("id"),
                             F.col("ref_num").alias("raw_doc"), T.doc_key("ref_num").alias("doc_join"),
                             T.doc_key_of_number("owner_id").alias("doc_from_number"))
     return a.unionByName(b)
@@ -155,63 +139,67 @@ def q_recent_rows(spark, d):
 
 
 # ================================================================== star
-BASE_SQL_SPARK = """
-SELECT c.row_id AS ROW_ID_CLIENTE, c.id_num, c.id_type, c.primary_point_id, o.org_loc, o.org_name,
-       pos.position_name, m.emp_num, att.attention_code, ad.addr, ad.city_code, c.segment_code, pr.class_code
+STAR_SQL = """
+SELECT c.row_id AS customer_id, c.id_num, c.id_type, c.primary_point_id, o.org_loc, o.org_name, pos.position_name,
+       boss.emp_num, att.attention_code, ad.addr, ad.city_code, sa.segment_code, pr.class_code
 FROM {contact} c
      LEFT JOIN {attention} att ON att.contact_id = c.row_id
      LEFT JOIN {address} ad ON ad.addr_id = c.addr_id,
-     {position} pos, {org_unit} o, {manager} m, {employee} emp, {holding} h, {product} pr
+     {segment_attr} sa, {position_link} pl, {position} pos, {org_unit} o, {contact} boss, {employee} emp,
+     {holding} h, {asset} a, {product} pr
 WHERE 1 = 1
-  AND pos.position_id = c.position_id
+  AND sa.contact_id = c.row_id
+  AND pl.contact_id = c.row_id
+  AND pl.position_id = c.primary_position_id
+  AND pos.position_id = pl.position_id
   AND o.org_id = pos.org_id
-  AND m.row_id = pos.manager_id
-  AND emp.employee_id = m.employee_id
+  AND boss.row_id = pos.manager_id
+  AND emp.contact_id = boss.row_id
   AND h.contact_id = c.row_id
-  AND pr.product_id = h.product_id
-  AND c.segment_flag = :flag
+  AND a.asset_id = h.asset_id
+  AND pr.product_id = a.product_id
+  AND sa.segment_flag = :flag
   AND o.org_name <> :unit
   AND pos.position_name <> :position
-  AND h.status_code IN ('O')
+  AND a.status_code IN ('O')
   AND h.relation_type IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
 
 
-@register("star_join_base", f"""{O.profile_with([O.base_cte()])}
-SELECT ROW_ID_CLIENTE, id_num, id_type, primary_point_id, org_loc, org_name, position_name, emp_num,
-       attention_code, addr, city_code, segment_code, class_code FROM base""")
+@register("star_join_base", f"""{O.with_ctes([O.star_rows_cte()])}
+SELECT * FROM star""")
 def q_star_join_base(spark, d):
     """The star as SQL text over the relations; Catalyst turns the comma joins into equi-joins.
 
     The comma list is ordered so that every relation has an equality with the
     ones before it; the join reordering then never needs a cross product.
+    Contacts are read in two roles: customers and the managers of positions.
     """
-    f = _sql_frames(spark, d, *O.PROFILE_RELATIONS)
     p = PR.DEFAULT
-    return spark.sql(BASE_SQL_SPARK, args={"flag": p.commercial_flag, "unit": p.excluded_unit,
-                                           "position": p.excluded_position}, **f)
+    return sql(spark, STAR_SQL, {"flag": p.commercial_flag, "unit": p.excluded_unit, "position": p.excluded_position},
+               **_f(spark, d, *[r for r in PR.PROFILE_RELATIONS if r not in ("code_list", "point")]))
 
 
-@register("decode_five_lists", f"""{O.profile_with([O.base_cte(), O.enriched_cte(segment_filter=False)])}
-SELECT ROW_ID_CLIENTE, TIPO_DE_DOCUMENTO_COD, SEGMENTO, TIPO_ATENCION, CIUDAD, CLASE_PRODUCTO FROM enriched""")
+@register("decode_five_lists", f"""{O.with_ctes([O.star_rows_cte()])}
+SELECT s.customer_id, td.high AS doc_type, sg.desc_text AS segment, atn.desc_text AS attention,
+       {O.clean('ci.desc_text')} AS city, cl.desc_text AS product_class
+FROM star s {O.code('td', 'doc', 'name', 's.id_type')} {O.code('sg', 'segment', 'name', 's.segment_code')}
+{O.code('atn', 'attention', 'name', 's.attention_code')} {O.code('ci', 'city', 'val', 's.city_code')}
+{O.code('cl', 'class', 'val', 's.class_code')}""")
 def q_decode_five_lists(spark, d):
-    f = _f(spark, d, *O.PROFILE_RELATIONS)
-    base = q_star_join_base(spark, d)
-    lists = PR.code_lists(f)
-    out = decode(base, lists["doc"], "id_type", "TIPO_DE_DOCUMENTO_COD")
-    out = decode(out, lists["segment"], "segment_code", "SEGMENTO")
-    out = decode(out, lists["attention"], "attention_code", "TIPO_ATENCION")
-    out = decode(out, lists["city"], "city_code", "CIUDAD", label_expr=T.clean_label)
-    out = decode(out, lists["class"], "class_code", "CLASE_PRODUCTO")
-    return out.select("ROW_ID_CLIENTE", "TIPO_DE_DOCUMENTO_COD", "SEGMENTO", "TIPO_ATENCION", "CIUDAD",
-                      "CLASE_PRODUCTO")
-
-
-@register("decode_label_filter", f"""{O.profile_with([O.base_cte(), O.enriched_cte()])}
-SELECT DISTINCT ROW_ID_CLIENTE AS row_id, SEGMENTO AS segment FROM enriched""")
+    lists = PR.code_lists(_f(spark, d, "code_list"))
+    out = decode(q_star_join_base(spark, d), lists["doc"], "id_type", "doc_type")
+    out = decode(out, lists["segment"], "segment_code", "segment")
+    out = decode(out, lists["attention"], "attention_code", "attention")
+    out = decode(out, lists["city"], "city_code", "city", label_expr=T.clean_label)
+    out = decode(out, lists["class"], "class_code", "product_class")
+    return out.select("customer_id", "doc_type", "segment", "attention", "city", "product_class")
+
+
+@register("decode_label_filter", f"""{O.with_ctes([O.people_cte(), O.classes_cte()])}
+SELECT DISTINCT p.row_id, p.segment FROM people p JOIN classes cl ON cl.row_id = p.row_id""")
 def q_decode_label_filter(spark, d):
-    f = _f(spark, d, *O.PROFILE_RELATIONS)
-    cust = PR.customer_rows(f)
-    return cust.join(PR.class_lists(f).select("row_id"), "row_id", "left_semi").select("row_id", "segment")
+    f = _f(spark, d, *PR.PROFILE_RELATIONS)
+    return PR.customer_rows(f).join(PR.holders(f), "row_id", "left_semi").select("row_id", "segment").distinct()
 
 
 @register("dup_codes", f"""{cte('code_list')}
@@ -238,172 +226,158 @@ def q_left_join_on_constant(spark, d):
 
 # ================================================================= lists
 @register("points_by_number", f"""{cte('point', 'contact')},
-    {O.phones_cte(keys_from='contact', keys_id='row_id')}
+    {O.phones_cte()}
 SELECT owner_id, TELEFONOS FROM phones""")
 def q_points_by_number(spark, d):
     f = _f(spark, d, "point", "contact")
     return PR.point_lists(PR.open_points(f), f["contact"], "left")
 
 
-@register("points_primary_first", f"""{cte('point', 'contact')},
-    k AS (SELECT DISTINCT row_id, primary_point_id FROM contact),
-    p AS (SELECT DISTINCT p.owner_id,
-                 {O.rank('p.point_id', 'k.primary_point_id')} AS rnk, trim(p.number) AS num,
-                 {O.mark(O.point_text('p.number', 'p.extension'), 'p.point_id', 'k.primary_point_id')} AS fmt
-          FROM point p LEFT JOIN k ON p.owner_id = k.row_id
-          WHERE p.end_date IS NULL AND trim(p.number) IS NOT NULL AND length(trim(p.number)) > 0)
-SELECT owner_id, coalesce(string_agg(fmt, ', ' ORDER BY rnk, num, fmt), '') AS TELEFONOS FROM p GROUP BY owner_id""")
+def _point_labels(f, points):
+    """(owner_id, rnk, num, fmt): ``number|ext`` with the primary point marked.
+
+    The mark comes from a join on (owner, point), so a hot owner's points stay
+    spread over tasks and shrink there before the lists are shuffled.
+    """
+    text = T.point_text("number", "extension")
+    return PR.marked(points, f["contact"]).select(
+        "owner_id", F.when(F.col("is_primary"), 0).otherwise(1).alias("rnk"), F.trim("number").alias("num"),
+        F.when(F.col("is_primary"), F.concat(F.lit(T.PRIMARY_MARK), text)).otherwise(text).alias("fmt"))
+
+
+@register("points_primary_first", f"""{cte('point', 'contact')}
+{O.distinct_points('rnk, num', O.NOT_BLANK)}""")
 def q_points_primary_first(spark, d):
-    """``number|ext``, primary first, deduplicated per (owner, text)."""
+    """``number|ext``, primary first, each text once per owner."""
     f = _f(spark, d, "point", "contact")
-    pts = PR.open_points(f).filter(T.non_blank("number"))
-    keys = f["contact"].select(F.col("row_id").alias("owner_id"), "primary_point_id").distinct()
-    lab = pts.join(keys, "owner_id", "left").select(
-        "owner_id", T.primary_rank("point_id", "primary_point_id").alias("rnk"), F.trim("number").alias("num"),
-        T.mark_primary(T.point_text("number", "extension"), "point_id", "primary_point_id").alias("fmt"))
-    return ordered_list(lab, ["owner_id"], ["rnk", "num"], "fmt", "TELEFONOS", distinct=True)
+    labels = _point_labels(f, PR.open_points(f).filter(T.non_blank("number")))
+    return ordered_list(labels, ["owner_id"], ["rnk", "num"], "fmt", "TELEFONOS", distinct=True)
 
 
 @register("points_right_join", f"""{cte('point', 'contact')},
-    {O.phones_right_cte(keys_from='contact', keys_id='row_id')}
-SELECT owner_id AS row_id, TELEFONOS FROM rphones""")
+    {O.right_phones_cte()}
+SELECT owner_id AS row_id, TELEFONOS FROM phones""")
 def q_points_right_join(spark, d):
     f = _f(spark, d, "point", "contact")
     return PR.point_lists_by_customer(PR.open_points(f), f["contact"])
 
 
 @register("points_inner_join", f"""{cte('point', 'contact')}
-SELECT c.row_id AS owner_id,
-       string_agg({O.mark(O.point_text('p.number', 'p.extension'), 'p.point_id', 'c.primary_point_id')}, ', '
-                  ORDER BY trim(p.number) ASC NULLS FIRST,
-                  {O.mark(O.point_text('p.number', 'p.extension'), 'p.point_id', 'c.primary_point_id')} ASC NULLS FIRST)
-         AS TELEFONOS
-FROM point p, contact c WHERE c.row_id = p.owner_id AND p.end_date IS NULL
-GROUP BY c.row_id""")
+SELECT owner_id, string_agg(txt, ', ' ORDER BY num ASC NULLS FIRST, txt ASC NULLS FIRST) AS TELEFONOS
+FROM ({O.point_rows(O.point_text('p.number', 'p.extension'), 'AND EXISTS (SELECT 1 FROM contact c WHERE c.row_id = p.owner_id)')})
+GROUP BY owner_id""")
 def q_points_inner_join(spark, d):
-    """Open points of known customers, blank numbers kept, ordered by number then text."""
+    """Open points of known contacts, blank numbers kept, ordered by number then text.
+
+    Whether the owner is known is tested on its list, one row per owner.
+    """
     f = _f(spark, d, "point", "contact")
-    j = PR.open_points(f).join(f["contact"].select(F.col("row_id").alias("owner_id"), "primary_point_id"),
-                               "owner_id")
-    j = j.select("owner_id", F.trim("number").alias("num"),
-                 T.mark_primary(T.point_text("number", "extension"), "point_id", "primary_point_id").alias("fmt"))
     # listagg gives null for a group of only null texts (the array form gives '').
-    return ordered_list(j, ["owner_id"], ["num"], "fmt", "TELEFONOS", empty_as_null=True)
+    lists = ordered_list(_point_labels(f, PR.open_points(f)), ["owner_id"], ["num"], "fmt", "TELEFONOS",
+                         empty_as_null=True)
+    return lists.join(f["contact"].select(F.col("row_id").alias("owner_id")), "owner_id", "left_semi")
 
 
-@register("classes_list", f"""{cte('holding', 'product', 'code_list')},
-    cls AS (SELECT DISTINCT h.contact_id AS row_id, l.desc_text AS class_label
-            FROM holding h JOIN product pr ON pr.product_id = h.product_id
-            LEFT JOIN code_list l ON l.list_type = 'PROD_CLASS' AND l.active_flg = 'Y' AND l.val = pr.class_code
-            WHERE h.status_code IN ('O') AND h.relation_type IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))
-SELECT row_id, coalesce(string_agg(DISTINCT class_label, ', ' ORDER BY class_label), '') AS classes
-FROM cls GROUP BY row_id""")
+@register("classes_list", f"""{cte('holding', 'asset', 'product', 'code_list')},
+    {O.classes_cte()}
+SELECT row_id, classes FROM classes""")
 def q_classes_list(spark, d):
-    return PR.class_lists(_f(spark, d, "holding", "product", "code_list"))
+    return PR.class_lists(_f(spark, d, "holding", "asset", "product", "code_list"))
 
 
 @register("dedupe_subset", f"""{cte('holding')}
-SELECT contact_id, product_id, status_code, count(*) AS n_rows FROM holding
-GROUP BY contact_id, product_id, status_code""")
+SELECT contact_id, asset_id, relation_type, count(*) AS n_rows FROM holding
+GROUP BY contact_id, asset_id, relation_type""")
 def q_dedupe_subset(spark, d):
-    """One row per (customer, product, status), with how many rows it stood for."""
+    """One row per (customer, asset, relation), with how many rows it stood for."""
     h = _f(spark, d, "holding")["holding"]
-    return h.groupBy("contact_id", "product_id", "status_code").agg(F.count(F.lit(1)).alias("n_rows"))
+    return h.groupBy("contact_id", "asset_id", "relation_type").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("profile_with_points", f"""{O.profile_with([O.base_cte(), O.enriched_cte(), O.phones_cte()])},
-    cust AS (SELECT DISTINCT ROW_ID_CLIENTE, NOMBRE_CLIENTE FROM enriched)
-SELECT c.ROW_ID_CLIENTE AS row_id, c.NOMBRE_CLIENTE AS customer_name, ph.TELEFONOS
-FROM cust c LEFT JOIN phones ph ON ph.owner_id = c.ROW_ID_CLIENTE""")
+@register("profile_with_points", f"""{O.with_ctes([O.people_cte(), O.classes_cte(), O.phones_cte()])}
+SELECT DISTINCT p.row_id, p.customer_name, ph.TELEFONOS FROM {O.REPORT_FROM}""")
 def q_profile_with_points(spark, d):
     """Customers with their point list (null without points), the job's unused phase-5 frame."""
-    f = PR.load(spark, d)
-    cust = PR.customer_rows(f)
-    cust = cust.join(PR.class_lists(f).select("row_id"), "row_id", "left_semi")
+    f = _f(spark, d, *PR.PROFILE_RELATIONS)
+    cust = (PR.customer_rows(f).join(PR.holders(f), "row_id", "left_semi")
+            .select("row_id", "customer_name").distinct())
     pts = PR.point_lists(PR.open_points(f), f["contact"]).withColumnRenamed("owner_id", "row_id")
     return cust.join(pts, "row_id", "left").select("row_id", "customer_name", "TELEFONOS")
 
 
 # ================================================================ consent
 def _consent(spark, d):
-    return _f(spark, d, *O.CONSENT_RELATIONS)
+    return _f(spark, d, *PR.CONSENT_RELATIONS)
+
+
+def _consent_with(*ctes, contact: bool = False) -> str:
+    return cte(*(("contact",) if contact else ()), *PR.CONSENT_RELATIONS) + ",\n    " + ",\n    ".join(ctes)
 
 
-@register("consent_star", f"""{cte(*O.CONSENT_RELATIONS)},
-    {O.law_a_rows_cte()}, {O.form_rows_cte()}, {O.registry_rows_cte()}
+@register("consent_star", f"""{_consent_with(O.LAW_A_ROWS, O.FORM_ROWS, O.REGISTRY_ROWS)}
 SELECT 'A' AS source, * FROM law_a_rows
 UNION ALL SELECT 'F' AS source, * FROM form_rows
 UNION ALL SELECT 'R' AS source, * FROM registry_rows""")
 def q_consent_star(spark, d):
-    f = _consent(spark, d)
-    return union_sources(C.law_a_rows(f).select(F.lit("A").alias("source"), "*"),
-                         C.form_rows(f).select(F.lit("F").alias("source"), "*"),
-                         C.registry_rows(f).select(F.lit("R").alias("source"), "*"))
+    return C.tagged(_consent(spark, d))
 
 
-@register("latest_per_key", f"""{cte(*O.CONSENT_RELATIONS)},
-    {', '.join(O.laws_ctes())}
-SELECT * FROM la_top""")
+@register("latest_per_key", f"""{_consent_with(O.LAW_A_ROWS)}
+{O.newest(O.LAW_A_KEYED)}""")
 def q_latest_per_key(spark, d):
-    return C.law_a_latest(C.law_a_rows(_consent(spark, d)))
+    return C.latest_of_law(C.source_rows(_consent(spark, d), C.LAW_A))
 
 
-@register("latest_across_sources", f"""{cte(*O.CONSENT_RELATIONS)},
-    {', '.join(O.law_b_ctes())}
-SELECT * FROM law_b""")
+@register("latest_across_sources", f"""{_consent_with(*O.channel_ctes())}
+SELECT * FROM channel""")
 def q_latest_across_sources(spark, d):
-    f = _consent(spark, d)
-    return C.law_b_latest(C.form_rows(f), C.registry_rows(f))
+    return C.latest_channel(C.tagged(_consent(spark, d), (C.FORM, C.REGISTRY)))
 
 
-@register("union_missing_columns", f"""{cte(*O.CONSENT_RELATIONS)},
-    {', '.join(O.law_b_ctes())}
-SELECT * FROM b_union""")
+@register("union_missing_columns", f"""{_consent_with(*O.channel_ctes())}
+SELECT * FROM channel_rows""")
 def q_union_missing_columns(spark, d):
-    f = _consent(spark, d)
-    return C.law_b_union(C.form_rows(f), C.registry_rows(f))
+    return C.channel_rows(C.tagged(_consent(spark, d), (C.FORM, C.REGISTRY)))
 
 
-@register("latest_across_laws", f"""{cte(*O.CONSENT_RELATIONS)},
-    {', '.join(O.laws_ctes())}
+def _newest_consent(f):
+    return C.newest_consent(C.tagged(f, (C.LAW_A, C.FORM)))
+
+
+@register("latest_across_laws", f"""{_consent_with(*O.laws_ctes())}
 SELECT * FROM newest""")
 def q_latest_across_laws(spark, d):
-    f = _consent(spark, d)
-    return C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
+    return _newest_consent(_consent(spark, d))
+
+
+_DOCUMENTS = f"ck AS (SELECT row_id, {O.dockey('id_num')} AS doc_join FROM contact)"
 
 
 def _contacts_keyed(f):
     return f["contact"].select("row_id", T.doc_key("id_num").alias("doc_join"))
 
 
-@register("consent_gate", f"""{cte('contact', *O.CONSENT_RELATIONS)},
-    {', '.join(O.gate_ctes())},
-    ck AS (SELECT row_id, {O.dockey('id_num')} AS doc_join FROM contact)
+@register("consent_gate", f"""{_consent_with(*O.gate_ctes(), _DOCUMENTS, contact=True)}
 SELECT row_id, doc_join FROM ck WHERE EXISTS (SELECT 1 FROM gate g WHERE g.doc_join = ck.doc_join)""")
 def q_consent_gate(spark, d):
-    f = _f(spark, d, "contact", *O.CONSENT_RELATIONS)
-    return C.gate(_contacts_keyed(f), C.law_a_gate(C.law_a_rows(f)))
+    f = _f(spark, d, "contact", *PR.CONSENT_RELATIONS)
+    return C.gate(_contacts_keyed(f), C.law_a_gate(C.source_rows(f, C.LAW_A)))
 
 
-@register("consent_exclude", f"""{cte('contact', *O.CONSENT_RELATIONS)},
-    {', '.join(O.laws_ctes())},
-    ck AS (SELECT row_id, {O.dockey('id_num')} AS doc_join FROM contact)
+@register("consent_exclude", f"""{_consent_with(*O.laws_ctes(), _DOCUMENTS, contact=True)}
 SELECT row_id, doc_join FROM ck WHERE NOT EXISTS (SELECT 1 FROM refused r WHERE r.doc_join = ck.doc_join)""")
 def q_consent_exclude(spark, d):
-    f = _f(spark, d, "contact", *O.CONSENT_RELATIONS)
-    newest = C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
-    return C.exclude(_contacts_keyed(f), C.refused(newest))
+    f = _f(spark, d, "contact", *PR.CONSENT_RELATIONS)
+    return C.exclude(_contacts_keyed(f), C.refused(_newest_consent(f)))
 
 
-@register("consent_channel", f"""{cte('contact', *O.CONSENT_RELATIONS)},
-    {', '.join(O.law_b_ctes())},
-    ck AS (SELECT row_id, {O.dockey('id_num')} AS doc_join FROM contact)
-SELECT ck.row_id, ck.doc_join, {O.channel_sql('N/A', 'lb')} AS channel
-FROM ck LEFT JOIN law_b lb ON lb.doc_join = ck.doc_join""")
+@register("consent_channel", f"""{_consent_with(*O.channel_ctes(), _DOCUMENTS, contact=True)}
+SELECT ck.row_id, ck.doc_join, {O.channel_sql('N/A', 'ch')} AS channel
+FROM ck LEFT JOIN channel ch ON ch.doc_join = ck.doc_join""")
 def q_consent_channel(spark, d):
-    f = _f(spark, d, "contact", *O.CONSENT_RELATIONS)
-    law_b = C.law_b_latest(C.form_rows(f), C.registry_rows(f))
-    return _contacts_keyed(f).join(law_b, "doc_join", "left").select(
+    f = _f(spark, d, "contact", *PR.CONSENT_RELATIONS)
+    channel = C.latest_channel(C.tagged(f, (C.FORM, C.REGISTRY)))
+    return _contacts_keyed(f).join(channel, "doc_join", "left").select(
         "row_id", "doc_join", C.winning_channel("N/A").alias("channel"))
 
 
@@ -412,8 +386,16 @@ def _snap(spark, d, period, current):
     return snapshot(spark, d, period, current)
 
 
-def _period_oracle(select: str, source: str = "act") -> str:
-    return f"{O.snapshot_ctes(PERIOD_BEFORE, PERIOD_NOW)}\nSELECT {select} FROM {source}"
+# Every period's snapshot, key and period making a row.
+_EVERY = P.KEYS + (PERIOD,)
+
+
+def _every(spark, d):
+    return snapshot(spark, d, None, True)
+
+
+def _period_oracle(select: str) -> str:
+    return f"WITH {O.derived_cte('s', None, True)}\nSELECT {select} FROM s"
 
 
 @register("period_scan", f"""{O.snapshot_sql(PERIOD_NOW, True, 'duckdb')}""")
@@ -421,24 +403,24 @@ def q_period_scan(spark, d):
     return _snap(spark, d, PERIOD_NOW, True)
 
 
-@register("category_label", _period_oracle("STRCLINIT, STROBLOBLIGSARC, TIPO_CREDITO"))
+@register("category_label", _period_oracle("STRCLINIT, STROBLOBLIGSARC, STRANOMES, TIPO_CREDITO"))
 def q_category_label(spark, d):
-    s = _snap(spark, d, PERIOD_NOW, True)
-    return s.select(*P.KEYS, M.category_label(P.CATEGORY).alias("TIPO_CREDITO"))
+    s = _every(spark, d)
+    return s.select(*_EVERY, M.category_label(P.CATEGORY).alias("TIPO_CREDITO"))
 
 
-@register("arrears_band", f"""WITH s AS ({O.snapshot_sql(PERIOD_NOW, True, 'duckdb')})
-SELECT STRCLINIT, STROBLOBLIGSARC, STRPETIPOCREDITO, DIAS_MORA,
+@register("arrears_band", f"""WITH s AS ({O.snapshot_sql(None, True, 'duckdb')})
+SELECT STRCLINIT, STROBLOBLIGSARC, STRANOMES, STRPETIPOCREDITO, DIAS_MORA,
        {O.band_sql('STRPETIPOCREDITO', 'DIAS_MORA')} AS RANGOS_MORA FROM s""")
 def q_arrears_band(spark, d):
-    s = _snap(spark, d, PERIOD_NOW, True)
-    return s.select(*P.KEYS, P.CATEGORY, P.DAYS, M.arrears_band(P.CATEGORY, P.DAYS).alias("RANGOS_MORA"))
+    s = _every(spark, d)
+    return s.select(*_EVERY, P.CATEGORY, P.DAYS, M.arrears_band(P.CATEGORY, P.DAYS).alias("RANGOS_MORA"))
 
 
-@register("product_line", _period_oracle("STRCLINIT, STROBLOBLIGSARC, NUMPEPROCODIGO, LINEA_CREDITO, IFRS_COLGAAP"))
+@register("product_line", _period_oracle("STRCLINIT, STROBLOBLIGSARC, STRANOMES, NUMPEPROCODIGO, LINEA_CREDITO, IFRS_COLGAAP"))
 def q_product_line(spark, d):
-    s = _snap(spark, d, PERIOD_NOW, True)
-    return s.select(*P.KEYS, P.PRODUCT, M.product_line(P.PRODUCT).alias("LINEA_CREDITO"),
+    s = _every(spark, d)
+    return s.select(*_EVERY, P.PRODUCT, M.product_line(P.PRODUCT).alias("LINEA_CREDITO"),
                     M.accounting_basis(P.PRODUCT).alias("IFRS_COLGAAP"))
 
 
@@ -447,37 +429,37 @@ _BAL_SAFE_SQL = (f"CAST(CASE WHEN NUMTIPOCONCEPTO = {M.ZERO_BALANCE_CONCEPT} THE
                  f"coalesce(NUMPEEDIK, 0) + coalesce(NUMPEEDII, 0) + coalesce(NUMPEEDIKOTROS, 0) END AS DECIMAL(38,2))")
 
 
-@register("balances", f"""WITH s AS ({O.snapshot_sql(PERIOD_NOW, True, 'duckdb')})
-SELECT STRCLINIT, STROBLOBLIGSARC, NUMTIPOCONCEPTO,
+@register("balances", f"""WITH s AS ({O.snapshot_sql(None, True, 'duckdb')})
+SELECT STRCLINIT, STROBLOBLIGSARC, STRANOMES, NUMTIPOCONCEPTO,
        {', '.join(f"{e} AS {n}" for n, e in O.derived_sql() if n in _BAL)},
        {_BAL_SAFE_SQL} AS SALDO_TOTAL_NULL_SAFE
 FROM s""")
 def q_balances(spark, d):
     """M5/M6: balances as the job has them, plus the total that equals the sum of the parts."""
-    s = _snap(spark, d, PERIOD_NOW, True)
+    s = _every(spark, d)
     derived = dict(P.derived_columns())
-    return s.select(*P.KEYS, P.CONCEPT, *[derived[n].alias(n) for n in _BAL],
+    return s.select(*_EVERY, P.CONCEPT, *[derived[n].alias(n) for n in _BAL],
                     M.total_balance_null_safe(P.CONCEPT, *P.BALANCES).cast(M.MONEY_SUM).alias("SALDO_TOTAL_NULL_SAFE"))
 
 
 _PROV = [n for n, _ in O.derived_sql() if n.startswith("PROV_")]
 
 
-@register("provision_sums", _period_oracle("STRCLINIT, STROBLOBLIGSARC, " + ", ".join(_PROV)))
+@register("provision_sums", _period_oracle("STRCLINIT, STROBLOBLIGSARC, STRANOMES, " + ", ".join(_PROV)))
 def q_provision_sums(spark, d):
-    s = P.derive(_snap(spark, d, PERIOD_NOW, True))
-    return s.select(*P.KEYS, *_PROV)
+    s = P.derive(_every(spark, d))
+    return s.select(*_EVERY, *_PROV)
 
 
 @register("period_measures", _period_oracle(", ".join(O.period_columns(True))))
 def q_period_measures(spark, d):
-    return P.derive(_snap(spark, d, PERIOD_NOW, True))
+    return P.derive(_every(spark, d))
 
 
 @register("period_suffix", _period_oracle(", ".join(
-    c if c in P.KEYS else f"{c} AS {c}{P.SUFFIX_BEFORE}" for c in O.period_columns(False)), "ant"))
+    c if c in P.KEYS else f"{c} AS {c}{P.SUFFIX_BEFORE}" for c in O.period_columns(True))))
 def q_period_suffix(spark, d):
-    return P.suffix(P.derive(_snap(spark, d, PERIOD_BEFORE, False)), P.KEYS, P.SUFFIX_BEFORE)
+    return P.suffix(P.derive(_every(spark, d)), P.KEYS, P.SUFFIX_BEFORE)
 
 
 def _compare_oracle(null_safe: bool) -> str:
@@ -488,7 +470,7 @@ def _compare_oracle(null_safe: bool) -> str:
             "ELSE ant.PROV_ACUM_ACUM - act.PROV_ACUM_ACUM END AS DECIMAL(38,2)) AS DIFERENCIAL_ACUM")
     cond = ("act.NUMPEPROCODIGO IS DISTINCT FROM 45" if null_safe else "act.NUMPEPROCODIGO <> 45")
     on = " AND ".join(f"ant.{k} = act.{k}" for k in P.KEYS)
-    return (f"{O.snapshot_ctes(PERIOD_BEFORE, PERIOD_NOW)}\nSELECT {', '.join(keys + ant + act)}, {diff}\n"
+    return (f"WITH {O.derived_cte('ant', PERIOD_BEFORE, False)},\n{O.derived_cte('act', PERIOD_NOW, True)}\nSELECT {', '.join(keys + ant + act)}, {diff}\n"
             f"FROM ant FULL OUTER JOIN act ON {on}\nWHERE {cond}")
 
 
@@ -519,183 +501,134 @@ def q_profile_final(spark, d):
     return PR.profile_final(PR.load(spark, d))
 
 
-@register("preview_top10", O.profile_final_sql(order=False).replace(
-    "FROM classes c LEFT JOIN phones ph ON ph.owner_id = c.ROW_ID_CLIENTE",
-    "FROM classes c LEFT JOIN phones ph ON ph.owner_id = c.ROW_ID_CLIENTE ORDER BY CLIENTE, IDENT LIMIT 10"))
+@register("preview_top10", O.profile_final_sql(order=False) + " ORDER BY CLIENTE, IDENT LIMIT 10")
 def q_preview_top10(spark, d):
     """The first ten report rows in a unique order (top-k, no full sort)."""
     rep = PR.profile_final(PR.load(spark, d), sort=False)
     return rep.orderBy("CLIENTE", "IDENT").limit(10)
 
 
-@register("profile_gated", None)
-def q_profile_gated(spark, d):
-    return PR.profile_gated(PR.load(spark, d))
-
-
-@register("profile_excluded", None)
-def q_profile_excluded(spark, d):
-    return PR.profile_excluded(PR.load(spark, d))
+def _gated_oracle() -> str:
+    ctes = [O.people_cte(), O.classes_cte(), O.phones_cte(), *O.gate_ctes(), *O.channel_ctes()]
+    tel = f"coalesce(ph.TELEFONOS, {O.q(PR.NO_POINTS)})"
+    doc = O.dockey("p.id_num")
+    return f"""{O.with_ctes(ctes, PR.RELATIONS)}
+    SELECT {O.report_select(tel)}, {O.channel_sql('N/A', 'ch')} AS {PR.GATED_CHANNEL}
+    FROM {O.REPORT_FROM} LEFT JOIN channel ch ON ch.doc_join = {doc}
+    WHERE {doc} IN (SELECT doc_join FROM gate) ORDER BY CLIENTE"""
 
 
-def _gated_oracle() -> str:
-    body = O.profile_with([O.base_cte(), O.enriched_cte(), O.classes_cte(), O.phones_cte()]
-                          + O.gate_ctes() + O.law_b_ctes(), O.PROFILE_RELATIONS + O.CONSENT_RELATIONS)
-    sel = O.REPORT_SELECT.format(tel=f"coalesce(ph.TELEFONOS, {O.q(PR.NO_POINTS)})")
-    return f"""{body},
-    pn AS (SELECT {sel}, {O.dockey('c.NUMERO_DE_DOCUMENTO')} AS doc_join
-           FROM classes c LEFT JOIN phones ph ON ph.owner_id = c.ROW_ID_CLIENTE)
-    SELECT {', '.join('pn.' + c for c in O.REPORT_NAMES.split(', '))},
-           {O.channel_sql('N/A', 'lb')} AS {PR.GATED_CHANNEL}
-    FROM pn JOIN gate g ON g.doc_join = pn.doc_join
-    LEFT JOIN law_b lb ON lb.doc_join = pn.doc_join
-    ORDER BY CLIENTE"""
+@register("profile_gated", _gated_oracle())
+def q_profile_gated(spark, d):
+    return PR.profile_gated(PR.load(spark, d))
 
 
 def _excluded_oracle() -> str:
-    body = O.profile_with([O.base_cte(), O.enriched_cte(), O.classes_cte(), O.phones_right_cte()]
-                          + O.laws_ctes(), O.PROFILE_RELATIONS + O.CONSENT_RELATIONS)
-    sel = O.REPORT_SELECT.format(tel="ph.TELEFONOS")
-    return f"""{body},
-    pn AS (SELECT {sel}, {O.dockey('c.NUMERO_DE_DOCUMENTO')} AS doc_join
-           FROM classes c LEFT JOIN rphones ph ON ph.owner_id = c.ROW_ID_CLIENTE)
-    SELECT {', '.join('pn.' + c for c in O.REPORT_NAMES.split(', '))},
-           al.canal_contacto AS {PR.EXCLUDED_CHANNEL}
-    FROM pn LEFT JOIN allowed al ON al.doc_join = pn.doc_join
-    WHERE NOT EXISTS (SELECT 1 FROM refused r WHERE r.doc_join = pn.doc_join)
-    ORDER BY CLIENTE"""
+    ctes = [O.people_cte(), O.classes_cte(), O.right_phones_cte(), *O.laws_ctes()]
+    doc = O.dockey("p.id_num")
+    return f"""{O.with_ctes(ctes, PR.RELATIONS)}
+    SELECT {O.report_select("ph.TELEFONOS")}, al.canal_contacto AS {PR.EXCLUDED_CHANNEL}
+    FROM {O.REPORT_FROM} LEFT JOIN allowed al ON al.doc_join = {doc}
+    WHERE NOT EXISTS (SELECT 1 FROM refused r WHERE r.doc_join = {doc}) ORDER BY CLIENTE"""
 
 
-ORACLE["profile_gated"] = _gated_oracle()
-ORACLE["profile_excluded"] = _excluded_oracle()
+@register("profile_excluded", _excluded_oracle())
+def q_profile_excluded(spark, d):
+    return PR.profile_excluded(PR.load(spark, d))
 
 
 # ====================================================== profile as one SQL
 PROFILE_SQL = """
-WITH phones AS (
-    SELECT c.row_id AS ORG_ID,
-           CASE WHEN p.point_id = c.primary_point_id
-                THEN 'P-' || trim(p.number) || CASE WHEN length(trim(p.extension)) > 0 THEN '|' || trim(p.extension) ELSE '' END
-                ELSE trim(p.number) || CASE WHEN length(trim(p.extension)) > 0 THEN '|' || trim(p.extension) ELSE '' END
-           END AS PHONE_FORMAT,
-           trim(p.number) AS PHONE_ORDER
-    FROM {point} p, {contact} c
-    WHERE c.row_id = p.owner_id AND p.end_date IS NULL
+WITH code AS (
+    SELECT DISTINCT list_type, coalesce(name, val) AS code, coalesce(high, desc_text) AS label
+    FROM {code_list} WHERE active_flg = 'Y'
+),
+named AS (
+    SELECT *, trim(regexp_replace(concat_ws(' ', fst_name, last_name, maiden_name), '\\\\s+', ' ')) AS raw_name
+    FROM {contact}
+),
+person AS (
+    SELECT *, concat(upper(left(raw_name, 1)), lower(substring(raw_name, 2))) AS person_name FROM named
+),
+seat AS (
+    SELECT pl.contact_id, pl.position_id, o.org_loc, boss.emp_num, boss.person_name AS manager_name
+    FROM {position_link} pl
+    JOIN {position} pos ON pos.position_id = pl.position_id AND pos.position_name <> :position
+    JOIN {org_unit} o ON o.org_id = pos.org_id AND o.org_name <> :unit
+    JOIN person boss ON boss.row_id = pos.manager_id
+    LEFT SEMI JOIN {employee} e ON e.contact_id = pos.manager_id
+),
+place AS (
+    SELECT ad.addr_id, ad.addr, trim(regexp_replace(regexp_replace(ct.label, '\\\\.+\\\\s*$', ''), '\\\\s+', ' ')) AS city
+    FROM {address} ad JOIN code ct ON ct.list_type = 'CITY' AND ct.code = ad.city_code
 ),
-phones_agg AS (
-    SELECT ORG_ID, @LISTAGG_PHONES@ AS TELEFONOS FROM phones GROUP BY ORG_ID
+customer AS (
+    SELECT DISTINCT c.row_id, c.id_num, td.label AS doc_type, c.person_name, s.org_loc, s.manager_name, s.emp_num,
+           sg.label AS segment, atn.label AS attention, pl.addr,
+           concat(upper(left(pl.city, 1)), lower(substring(pl.city, 2))) AS city
+    FROM person c
+    JOIN seat s ON s.contact_id = c.row_id AND s.position_id = c.primary_position_id
+    JOIN {segment_attr} sa ON sa.contact_id = c.row_id AND sa.segment_flag = :flag
+    JOIN code sg ON sg.list_type = 'SEGMENT' AND sg.code = sa.segment_code
+    JOIN code sub ON sub.list_type = 'SUBSEGMENT' AND sub.code = sa.subsegment_code
+    JOIN code td ON td.list_type = 'DOC_TYPE' AND td.code = c.id_type
+    JOIN place pl ON pl.addr_id = c.addr_id
+    JOIN {attention} att ON att.contact_id = c.row_id
+    LEFT JOIN code atn ON atn.list_type = 'ATTENTION' AND atn.code = att.attention_code
+    WHERE array_contains(:segments, sg.label)
 ),
-base AS (
-    SELECT c.row_id AS ROW_ID_CLIENTE,
-           td.high AS TIPO_DE_DOCUMENTO_COD,
-           c.id_num AS NUMERO_DE_DOCUMENTO,
-           concat(upper(substring(trim(@RX@(concat(coalesce(c.fst_name, ''), ' ', coalesce(c.last_name, ''), ' ', coalesce(c.maiden_name, '')), '\\s+', ' '@G@)), 1, 1)),
-                  lower(substring(trim(@RX@(concat(coalesce(c.fst_name, ''), ' ', coalesce(c.last_name, ''), ' ', coalesce(c.maiden_name, '')), '\\s+', ' '@G@)), 2, 1000))) AS NOMBRE_CLIENTE,
-           o.org_loc AS COD_DIVISION_GERENTE,
-           concat(upper(substring(trim(@RX@(concat(coalesce(m.fst_name, ''), ' ', coalesce(m.last_name, ''), ' ', coalesce(m.maiden_name, '')), '\\s+', ' '@G@)), 1, 1)),
-                  lower(substring(trim(@RX@(concat(coalesce(m.fst_name, ''), ' ', coalesce(m.last_name, ''), ' ', coalesce(m.maiden_name, '')), '\\s+', ' '@G@)), 2, 1000))) AS NOMBRE_GERENTE,
-           m.emp_num AS CODIGO_SAP_GERENTE,
-           seg.desc_text AS SEGMENTO_COMERCIAL_CLIENTE,
-           atn.desc_text AS TIPO_ATENCION,
-           ad.addr AS DIRECCION,
-           concat(upper(substring(trim(@RX@(@RX@(city.desc_text, '\\.+\\s*$', ''), '\\s+', ' '@G@)), 1, 1)),
-                  lower(substring(trim(@RX@(@RX@(city.desc_text, '\\.+\\s*$', ''), '\\s+', ' '@G@)), 2, 1000))) AS CIUDAD,
-           cls.desc_text AS CLASE_PRODUCTO
-    FROM {contact} c
-    JOIN {attention} cx ON cx.contact_id = c.row_id
-    JOIN {position} pos ON pos.position_id = c.position_id
-    JOIN {org_unit} o ON o.org_id = pos.org_id
-    JOIN {manager} m ON m.row_id = pos.manager_id
-    JOIN {employee} emp ON emp.employee_id = m.employee_id
-    JOIN {address} ad ON ad.addr_id = c.addr_id
-    JOIN {holding} h ON h.contact_id = c.row_id
-    JOIN {product} pr ON pr.product_id = h.product_id
-    JOIN {code_list} city ON ad.city_code = city.val AND city.list_type = 'CITY' AND city.active_flg = 'Y'
-    JOIN {code_list} seg ON c.segment_code = seg.name AND seg.list_type = 'SEGMENT' AND seg.active_flg = 'Y'
-    JOIN {code_list} sub ON c.subsegment_code = sub.name AND sub.list_type = 'SUBSEGMENT' AND sub.active_flg = 'Y'
-    JOIN {code_list} td ON c.id_type = td.name AND td.list_type = 'DOC_TYPE' AND td.active_flg = 'Y'
-    JOIN {code_list} cls ON pr.class_code = cls.val AND cls.list_type = 'PROD_CLASS' AND cls.active_flg = 'Y'
-    LEFT JOIN {code_list} atn ON cx.attention_code = atn.name AND atn.list_type = 'ATTENTION' AND atn.active_flg = 'Y'
-    WHERE c.segment_flag = '1'
-      AND o.org_name <> 'MIDDLE EAST'
-      AND pos.position_name <> 'NATION_7'
-      AND h.status_code IN ('O')
-      AND h.relation_type IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
-      AND seg.desc_text IN ('Seg - Automobile', 'Seg - Building', 'Seg - Furniture', 'Seg - Household')
+held AS (
+    SELECT DISTINCT h.contact_id, cl.label
+    FROM {holding} h
+    JOIN {asset} a ON a.asset_id = h.asset_id AND a.status_code IN ('O')
+    JOIN {product} pr ON pr.product_id = a.product_id
+    JOIN code cl ON cl.list_type = 'PROD_CLASS' AND cl.code = pr.class_code
+    WHERE h.relation_type IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
 ),
-classes_uniq AS (
-    SELECT ROW_ID_CLIENTE, TIPO_DE_DOCUMENTO_COD, NUMERO_DE_DOCUMENTO, NOMBRE_CLIENTE, COD_DIVISION_GERENTE,
-           NOMBRE_GERENTE, CODIGO_SAP_GERENTE, SEGMENTO_COMERCIAL_CLIENTE, TIPO_ATENCION, DIRECCION, CIUDAD,
-           CLASE_PRODUCTO
-    FROM base
-    GROUP BY ROW_ID_CLIENTE, TIPO_DE_DOCUMENTO_COD, NUMERO_DE_DOCUMENTO, NOMBRE_CLIENTE, COD_DIVISION_GERENTE,
-             NOMBRE_GERENTE, CODIGO_SAP_GERENTE, SEGMENTO_COMERCIAL_CLIENTE, TIPO_ATENCION, DIRECCION, CIUDAD,
-             CLASE_PRODUCTO
+products AS (
+    SELECT contact_id, listagg(label, ', ') WITHIN GROUP (ORDER BY label) AS labels FROM held GROUP BY contact_id
 ),
-classes_agg_client AS (
-    SELECT ROW_ID_CLIENTE, TIPO_DE_DOCUMENTO_COD, NUMERO_DE_DOCUMENTO, NOMBRE_CLIENTE, COD_DIVISION_GERENTE,
-           NOMBRE_GERENTE, CODIGO_SAP_GERENTE, SEGMENTO_COMERCIAL_CLIENTE, TIPO_ATENCION, DIRECCION, CIUDAD,
-           @LISTAGG_CLASSES@ AS CLASES_PRODUCTO
-    FROM classes_uniq
-    GROUP BY ROW_ID_CLIENTE, TIPO_DE_DOCUMENTO_COD, NUMERO_DE_DOCUMENTO, NOMBRE_CLIENTE, COD_DIVISION_GERENTE,
-             NOMBRE_GERENTE, CODIGO_SAP_GERENTE, SEGMENTO_COMERCIAL_CLIENTE, TIPO_ATENCION, DIRECCION, CIUDAD
+points AS (
+    SELECT p.owner_id, trim(p.number) AS num,
+           concat(CASE WHEN k.row_id IS NOT NULL THEN 'P-' ELSE '' END, trim(p.number),
+                  CASE WHEN length(trim(p.extension)) > 0 THEN concat('|', trim(p.extension)) ELSE '' END) AS label
+    FROM {point} p LEFT JOIN {contact} k ON k.row_id = p.owner_id AND k.primary_point_id = p.point_id
+    WHERE p.end_date IS NULL
+),
+phones AS (
+    SELECT owner_id, listagg(label, ', ') WITHIN GROUP (ORDER BY num, label) AS labels FROM points GROUP BY owner_id
 )
-SELECT c.SEGMENTO_COMERCIAL_CLIENTE AS SEGMENTO,
-       c.TIPO_DE_DOCUMENTO_COD AS `TIPO DE DOCUMENTO`,
-       c.NUMERO_DE_DOCUMENTO AS IDENT,
-       c.NOMBRE_CLIENTE AS CLIENTE,
-       c.TIPO_ATENCION AS CAPA,
-       c.COD_DIVISION_GERENTE AS `CODIGO ZONAL`,
-       c.CODIGO_SAP_GERENTE AS `CODIGO SAP GERENTE`,
-       c.NOMBRE_GERENTE,
-       c.CLASES_PRODUCTO AS PRODUCTO,
-       p.TELEFONOS,
-       c.DIRECCION,
-       c.CIUDAD
-FROM classes_agg_client c, phones_agg p
-WHERE p.ORG_ID = c.ROW_ID_CLIENTE
-ORDER BY c.NOMBRE_CLIENTE, c.NUMERO_DE_DOCUMENTO
+SELECT c.segment AS SEGMENTO, c.doc_type AS `TIPO DE DOCUMENTO`, c.id_num AS IDENT, c.person_name AS CLIENTE,
+       c.attention AS CAPA, c.org_loc AS `CODIGO ZONAL`, c.emp_num AS `CODIGO SAP GERENTE`,
+       c.manager_name AS NOMBRE_GERENTE, pr.labels AS PRODUCTO, ph.labels AS TELEFONOS, c.addr AS DIRECCION,
+       c.city AS CIUDAD
+FROM customer c JOIN products pr ON pr.contact_id = c.row_id JOIN phones ph ON ph.owner_id = c.row_id
+ORDER BY c.person_name, c.id_num
 """
 
 
-def profile_sql_text(dialect: str) -> str:
-    """L5 in Spark SQL (``listagg``) or DuckDB (``string_agg``); relations as ``{name}``."""
-    if dialect == "spark":
-        rep = {"@LISTAGG_PHONES@": "listagg(PHONE_FORMAT, ', ') WITHIN GROUP (ORDER BY PHONE_ORDER, PHONE_FORMAT)",
-               "@LISTAGG_CLASSES@": "listagg(CLASE_PRODUCTO, ', ') WITHIN GROUP (ORDER BY CLASE_PRODUCTO)",
-               "@RX@": "regexp_replace", "@G@": ""}
-    else:
-        rep = {"@LISTAGG_PHONES@": "string_agg(PHONE_FORMAT, ', ' ORDER BY PHONE_ORDER, PHONE_FORMAT)",
-               "@LISTAGG_CLASSES@": "string_agg(CLASE_PRODUCTO, ', ' ORDER BY CLASE_PRODUCTO)",
-               "@RX@": "regexp_replace", "@G@": ", 'g'"}
-    text = PROFILE_SQL
-    for k, v in rep.items():
-        text = text.replace(k, v)
-    if dialect == "spark":
-        text = text.replace("\\", "\\\\")  # Spark SQL literals unescape backslashes
-    else:
-        text = text.replace("`", '"').replace("{", "").replace("}", "")
-    return text
-
-
-_PROFILE_SQL_RELATIONS = ("point", "contact", "attention", "position", "org_unit", "manager", "employee",
-                          "address", "holding", "product", "code_list")
+def _profile_sql_oracle() -> str:
+    points = O.point_rows(O.point_text("p.number", "p.extension"), "")
+    phones = f"""phones AS (SELECT owner_id, string_agg(txt, ', ' ORDER BY num ASC NULLS FIRST, txt ASC NULLS FIRST)
+        AS TELEFONOS FROM ({points}) GROUP BY owner_id)"""
+    ctes = [O.people_cte(inner=True), O.classes_cte(inner=True), phones]
+    return f"""{O.with_ctes(ctes)}
+    SELECT {O.report_select("ph.TELEFONOS")}
+    FROM people p JOIN classes cl ON cl.row_id = p.row_id JOIN phones ph ON ph.owner_id = p.row_id
+    ORDER BY CLIENTE, IDENT"""
 
 
-@register("profile_sql", None)
+@register("profile_sql", _profile_sql_oracle())
 def q_profile_sql(spark, d):
-    """The whole profile as one SQL statement (S12), planned by Catalyst."""
-    f = _sql_frames(spark, d, *_PROFILE_SQL_RELATIONS)
-    return spark.sql(profile_sql_text("spark"), **f)
-
-
-def _profile_sql_oracle() -> str:
-    body = profile_sql_text("duckdb").strip()
-    assert body.startswith("WITH ")
-    return cte(*_PROFILE_SQL_RELATIONS) + ",\n" + body[len("WITH "):]
-
+    """The whole profile as one SQL statement (S12), planned by Catalyst.
 
-ORACLE["profile_sql"] = _profile_sql_oracle()
+    Customers are made distinct once, holdings and points become one list per
+    owner before they meet them.
+    """
+    p = PR.DEFAULT
+    args = {"flag": p.commercial_flag, "unit": p.excluded_unit, "position": p.excluded_position,
+            "segments": F.array(*[F.lit(s) for s in p.segments])}
+    return sql(spark, PROFILE_SQL, args, **_f(spark, d, *PR.PROFILE_RELATIONS))
 
 
 # ========================================================== sinks / audit
@@ -707,7 +640,8 @@ def q_csv_round_trip(spark, d):
     """Write the report as CSV to a fresh folder, read it back with a schema.
 
     The folder sits under the session's checkpoint folder (shared storage on
-    a cluster). Empty text and null both come back as null.
+    a cluster). Blanks, quotes and line breaks come back as they were; empty
+    text and null both come back as null.
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/exports/profile_{run_stamp()}_{uuid.uuid4().hex[:8]}.csv_tmp"
@@ -716,62 +650,44 @@ def q_csv_round_trip(spark, d):
 
 
 def _csv_oracle() -> str:
-    body = O.profile_final_sql(order=False)
-    # The CSV writer trims leading and trailing blanks; empty text reads back as null.
-    cols = ", ".join(f"nullif(trim({c}), '') AS {c}" for c in O.REPORT_NAMES.split(", "))
-    return f"SELECT {cols} FROM ({body})"
+    # Empty text reads back as null.
+    cols = ", ".join(f'nullif("{name}", \'\') AS "{name}"' for name, _ in O.REPORT)
+    return f"SELECT {cols} FROM ({O.profile_final_sql(order=False)})"
 
 
 ORACLE["csv_round_trip"] = _csv_oracle()
 
 
-@register("stage_counts", None)
-def q_stage_counts(spark, d):
-    """The row counts the jobs print, as one DataFrame computed in one job."""
-    f = PR.load(spark, d)
-    cust = PR.customer_rows(f)
-    return stage_counts({
-        "code_lists": active_lists(f["code_list"], list(PR.DEFAULT.list_types.values())[:5]),
-        "open_points": PR.open_points(f),
-        "customers": cust,
-        "report": PR.profile_final(f, sort=False),
-        "law_a_gate": C.law_a_gate(C.law_a_rows(f)),
-        "law_b_latest": C.law_b_latest(C.form_rows(f), C.registry_rows(f)),
-        "gated": PR.profile_gated(f, sort=False),
-    })
-
-
 def _stage_oracle() -> str:
     t = PR.DEFAULT.list_types
     types = O.in_list([t["doc"], t["segment"], t["city"], t["class"], t["attention"]])
-    body = O.profile_with([O.base_cte(), O.enriched_cte(), O.classes_cte(), O.phones_cte()]
-                          + O.gate_ctes() + O.law_b_ctes(), O.PROFILE_RELATIONS + O.CONSENT_RELATIONS)
-    return f"""{body},
-    report AS (SELECT c.ROW_ID_CLIENTE, {O.dockey('c.NUMERO_DE_DOCUMENTO')} AS doc_join
-               FROM classes c LEFT JOIN phones ph ON ph.owner_id = c.ROW_ID_CLIENTE),
-    cust_rows AS (
-        SELECT c.row_id FROM contact c
-        JOIN position pos ON pos.position_id = c.position_id
-        JOIN org_unit o ON o.org_id = pos.org_id
-        JOIN manager m ON m.row_id = pos.manager_id
-        JOIN employee emp ON emp.employee_id = m.employee_id
-        LEFT JOIN attention att ON att.contact_id = c.row_id
-        LEFT JOIN address ad ON ad.addr_id = c.addr_id
-        LEFT JOIN lists td ON td.list_type = {O.q(t['doc'])} AND td.name = c.id_type
-        LEFT JOIN lists sg ON sg.list_type = {O.q(t['segment'])} AND sg.name = c.segment_code
-        LEFT JOIN lists atn ON atn.list_type = {O.q(t['attention'])} AND atn.name = att.attention_code
-        LEFT JOIN lists ci ON ci.list_type = {O.q(t['city'])} AND ci.val = ad.city_code
-        WHERE c.segment_flag = {O.q(PR.DEFAULT.commercial_flag)} AND o.org_name <> {O.q(PR.DEFAULT.excluded_unit)}
-          AND pos.position_name <> {O.q(PR.DEFAULT.excluded_position)}
-          AND sg.desc_text IN ({O.in_list(PR.DEFAULT.segments)}))
+    ctes = [O.people_cte(), O.classes_cte(), O.phones_cte(), *O.gate_ctes(), *O.channel_ctes()]
+    return f"""{O.with_ctes(ctes, PR.RELATIONS)},
+    report AS (SELECT {O.dockey('p.id_num')} AS doc_join FROM {O.REPORT_FROM})
     SELECT 'code_lists' AS stage, count(*) AS row_count FROM code_list
       WHERE list_type IN ({types}) AND active_flg = 'Y'
     UNION ALL SELECT 'open_points', count(*) FROM point WHERE end_date IS NULL
-    UNION ALL SELECT 'customers', count(*) FROM cust_rows
+    UNION ALL SELECT 'customers', count(*) FROM people
     UNION ALL SELECT 'report', count(*) FROM report
     UNION ALL SELECT 'law_a_gate', count(*) FROM gate
-    UNION ALL SELECT 'law_b_latest', count(*) FROM law_b
-    UNION ALL SELECT 'gated', count(*) FROM report r JOIN gate g ON g.doc_join = r.doc_join"""
+    UNION ALL SELECT 'law_b_latest', count(*) FROM channel
+    UNION ALL SELECT 'gated', count(*) FROM report WHERE doc_join IN (SELECT doc_join FROM gate)"""
+
 
+@register("stage_counts", _stage_oracle())
+def q_stage_counts(spark, d):
+    """The row counts the jobs print, as one DataFrame computed in one job.
 
-ORACLE["stage_counts"] = _stage_oracle()
+    The report is computed once; those of its rows that pass the gate are counted beside all of them.
+    """
+    f = PR.load(spark, d)
+    rows = C.tagged(f)
+    counted = stage_counts({
+        "code_lists": active_lists(f["code_list"], list(PR.DEFAULT.list_types.values())[:5]),
+        "open_points": PR.open_points(f),
+        "customers": PR.customer_rows(f),
+        "law_a_gate": C.law_a_gate(rows),
+        "law_b_latest": C.latest_channel(rows),
+    })
+    both = PR.flagged_report(f).agg(F.count(F.lit(1)).alias("report"), F.count_if("passes").alias("gated"))
+    return counted.unionByName(both.selectExpr("stack(2, 'report', report, 'gated', gated) AS (stage, row_count)"))

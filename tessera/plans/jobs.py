@@ -48,8 +48,9 @@ def run_export(spark: SparkSession, sf_dir: str, job: str = "gated", out_dir: st
     path = write_csv(report, f"{root}/profile_{job}_{run_stamp()}", single_file=single_file)
     stages = {"open_points": PR.open_points(f), "customers": PR.customer_rows(f)}
     if job == "gated":
-        stages["law_a_gate"] = C.law_a_gate(C.law_a_rows(f))
-        stages["law_b_latest"] = C.law_b_latest(C.form_rows(f), C.registry_rows(f))
+        rows = C.tagged(f)
+        stages["law_a_gate"] = C.law_a_gate(rows)
+        stages["law_b_latest"] = C.latest_channel(rows)
     counts = {r["stage"]: r["row_count"] for r in stage_counts(stages).collect()}
     counts["report"] = report_rows.get["row_count"]
     preview = [r.asDict() for r in PR.by_name(report).limit(preview_rows).collect()]

@@ -4,9 +4,11 @@ The job as written joins the whole star (customer x holding), decodes every
 row, deduplicates on twelve columns and groups on eleven. The plan here gives
 the same rows with less data in flight:
 
-* customer attributes are built once per customer: the position / unit /
-  manager chain is tiny and broadcast (behind a size check) into the
-  customer scan; code lists are broadcast the same way;
+* customer attributes are built once per customer and made distinct there:
+  repeated rows of a dimension (equal code, address or attention rows) repeat
+  a customer, and the report has each combination once; the position / unit /
+  manager chain and the code lists are small, and whether they are broadcast
+  is the planner's decision by their bytes;
 * holdings are reduced to distinct (customer, class) pairs with a partial
   aggregate before anything wide is shuffled, then listed per customer;
 * contact points get their primary mark from a join on (owner, point id),
@@ -29,12 +31,13 @@ from ..functions.text import PRIMARY_MARK, clean_label, doc_key, full_name, non_
 from ..operators import consent as C
 from ..operators.decode import active_lists, decode, one_list
 from ..operators.lists import distinct_list, ordered_list
-from ..operators.sizing import bounded_broadcast
 from ..sources.relations import frames
 
-RELATIONS = ("contact", "position", "org_unit", "manager", "employee", "attention", "address",
-             "holding", "product", "code_list", "point",
-             "consent", "purpose", "regulation", "activity", "tenant")
+PROFILE_RELATIONS = ("contact", "segment_attr", "position_link", "position", "org_unit", "employee", "attention",
+                     "address", "holding", "asset", "product", "code_list", "point")
+CONSENT_RELATIONS = ("consent", "owner", "identifier", "provision", "entity", "purpose", "regulation", "activity",
+                     "tenant")
+RELATIONS = PROFILE_RELATIONS + CONSENT_RELATIONS
 
 # Report column names, in report order.
 REPORT_COLUMNS = ("SEGMENTO", "TIPO DE DOCUMENTO", "IDENT", "CLIENTE", "CAPA", "CODIGO ZONAL",
@@ -87,45 +90,66 @@ def code_lists(f: dict, p: ProfileParams = DEFAULT) -> dict[str, DataFrame]:
     }
 
 
+def primary_positions(f: dict) -> DataFrame:
+    """(row_id, position_id) of customers that are linked to their primary position (F8)."""
+    links = f["position_link"].select(F.col("contact_id").alias("row_id"), "position_id").distinct()
+    wanted = f["contact"].select("row_id", F.col("primary_position_id").alias("position_id"))
+    return links.join(wanted, ["row_id", "position_id"])
+
+
+def position_chain(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
+    """Positions with their unit and manager; the manager is a contact too, and has an employee record."""
+    managers = f["contact"].select(F.col("row_id").alias("manager_id"), "emp_num",
+                                   full_name("fst_name", "last_name", "maiden_name").alias("manager_name"))
+    employed = f["employee"].select(F.col("contact_id").alias("manager_id"))
+    return (f["position"].filter(F.col("position_name") != p.excluded_position)
+            .join(f["org_unit"].filter(F.col("org_name") != p.excluded_unit), "org_id")
+            .join(employed, "manager_id").join(managers, "manager_id")
+            .select("position_id", "org_loc", "emp_num", "manager_name"))
+
+
 def customer_rows(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
-    """One row per selected customer with decoded and cleaned attributes."""
-    chain = (f["position"].filter(F.col("position_name") != p.excluded_position)
-             .join(bounded_broadcast(f["org_unit"].filter(F.col("org_name") != p.excluded_unit)), "org_id"))
-    managers = f["manager"].select(F.col("row_id").alias("manager_id"), "emp_num", "employee_id",
-                                   F.col("fst_name").alias("g_fst"), F.col("last_name").alias("g_last"),
-                                   F.col("maiden_name").alias("g_maiden"))
-    chain = (managers.join(bounded_broadcast(chain), "manager_id")
-             .join(bounded_broadcast(f["employee"]), "employee_id")
-             .select("position_id", "org_loc", "emp_num", "g_fst", "g_last", "g_maiden"))
-    cust = (f["contact"].filter(F.col("segment_flag") == p.commercial_flag)
-            .join(bounded_broadcast(chain), "position_id")
-            .join(f["attention"].withColumnRenamed("contact_id", "row_id"), "row_id", "left")
-            .join(bounded_broadcast(f["address"]), "addr_id", "left"))
+    """One row per selected customer and combination of decoded, cleaned attributes."""
+    def keyed(name: str) -> DataFrame:
+        return f[name].withColumnRenamed("contact_id", "row_id")
+
+    people = f["contact"].select("row_id", "id_num", "id_type", "addr_id", "primary_point_id",
+                                 full_name("fst_name", "last_name", "maiden_name").alias("customer_name"))
+    cust = (people.join(primary_positions(f), "row_id")
+            .join(keyed("segment_attr").filter(F.col("segment_flag") == p.commercial_flag), "row_id")
+            .join(position_chain(f, p), "position_id")
+            .join(keyed("attention"), "row_id", "left")
+            .join(f["address"], "addr_id", "left"))
     lists = code_lists(f, p)
     cust = decode(cust, lists["doc"], "id_type", "doc_type")
     cust = decode(cust, lists["segment"], "segment_code", "segment")
     cust = decode(cust, lists["attention"], "attention_code", "attention")
     cust = decode(cust, lists["city"], "city_code", "city", label_expr=clean_label)
     return (cust.filter(F.col("segment").isin(*p.segments))
-            .select("row_id", "primary_point_id", "id_num", "doc_type",
-                    full_name("fst_name", "last_name", "maiden_name").alias("customer_name"),
-                    "org_loc", "emp_num", full_name("g_fst", "g_last", "g_maiden").alias("manager_name"),
-                    "segment", "attention", "addr", "city"))
+            .select("row_id", "primary_point_id", "id_num", "doc_type", "customer_name", "org_loc", "emp_num",
+                    "manager_name", "segment", "attention", "addr", "city").distinct())
 
 
-def class_lists(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
-    """``(row_id, classes)``: sorted distinct class labels of qualifying holdings.
+def held_classes(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
+    """Distinct (row_id, class_code) of qualifying holdings: holding, its asset, the asset's product.
 
-    Holdings shrink to distinct (customer, class) pairs right after the product
-    join (partial aggregation on the map side), before any other shuffle; the
-    report's inner join with the customers does the customer filtering later,
-    on one row per customer.
+    The pairs shrink with a partial aggregate right after the joins.
     """
-    held = (f["holding"].filter(F.col("status_code").isin(*p.active_status)
-                                & F.col("relation_type").isin(*p.relation_types))
-            .select(F.col("contact_id").alias("row_id"), "product_id"))
-    pairs = held.join(f["product"], "product_id").select("row_id", "class_code").distinct()
-    pairs = decode(pairs, code_lists(f, p)["class"], "class_code", "class_label")
+    held = (f["holding"].filter(F.col("relation_type").isin(*p.relation_types))
+            .select(F.col("contact_id").alias("row_id"), "asset_id"))
+    assets = f["asset"].filter(F.col("status_code").isin(*p.active_status)).select("asset_id", "product_id")
+    products = assets.join(f["product"], "product_id").select("asset_id", "class_code")
+    return held.join(products, "asset_id").select("row_id", "class_code").distinct()
+
+
+def holders(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
+    """Customers with any qualifying holding, to test for existence only."""
+    return held_classes(f, p).select("row_id").distinct()
+
+
+def class_lists(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
+    """``(row_id, classes)``: sorted distinct class labels of qualifying holdings."""
+    pairs = decode(held_classes(f, p), code_lists(f, p)["class"], "class_code", "class_label")
     return distinct_list(pairs, ["row_id"], "class_label", "classes")
 
 
@@ -141,7 +165,7 @@ def _primaries(keys: DataFrame) -> DataFrame:
             .distinct().withColumn("is_primary", F.lit(True)))
 
 
-def _marked(points: DataFrame, keys: DataFrame) -> DataFrame:
+def marked(points: DataFrame, keys: DataFrame) -> DataFrame:
     """Points with their primary flag.
 
     The flag comes from a join on (owner, point id): point ids are unique, so
@@ -161,7 +185,7 @@ def point_lists(points: DataFrame, keys: DataFrame, how: str = "left") -> DataFr
     """
     pre = (points.withColumn("num", F.trim("number")).filter(non_blank("num"))
            .select("owner_id", "point_id", "num"))
-    labeled = _marked(pre, keys).withColumn(
+    labeled = marked(pre, keys).withColumn(
         "fmt", F.when(F.col("is_primary"), F.concat(F.lit(PRIMARY_MARK), point_text("num")))
         .otherwise(point_text("num")))
     lists = ordered_list(labeled, ["owner_id"], ["num"], "fmt", "TELEFONOS")
@@ -180,12 +204,12 @@ def point_lists_by_customer(points: DataFrame, keys: DataFrame, every_customer:
     for a caller whose own left join supplies the ``''`` default.
     """
     pts = points.select("owner_id", "point_id", "number", "extension")
-    marked = _marked(pts, keys)
+    pts = marked(pts, keys)
     text = point_text("number", "extension")
-    marked = marked.select("owner_id", F.trim("number").alias("ord"),
+    labeled = pts.select("owner_id", F.trim("number").alias("ord"),
                            F.when(F.col("is_primary"), F.concat(F.lit(PRIMARY_MARK), text)).otherwise(text)
                            .alias("fmt"))
-    lists = ordered_list(marked, ["owner_id"], ["ord"], "fmt", "TELEFONOS", distinct=True)
+    lists = ordered_list(labeled, ["owner_id"], ["ord"], "fmt", "TELEFONOS", distinct=True)
     if not every_customer:
         return lists.withColumnRenamed("owner_id", "row_id")
     customers = keys.select("row_id").distinct()
@@ -216,12 +240,20 @@ def profile_final(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> Dat
     return by_name(out) if sort else out
 
 
+def flagged_report(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
+    """The L1 report with ``passes`` (the customer's law A gate) and the law B channel: one plan for both counts."""
+    rows = C.tagged(f)
+    gate = C.law_a_gate(rows).withColumn("passes", F.lit(True))
+    out = (profile_final(f, p, sort=False).withColumn("doc_join", doc_key("IDENT"))
+           .join(gate, "doc_join", "left").join(C.latest_channel(rows), "doc_join", "left"))
+    return out.withColumn("passes", F.coalesce("passes", F.lit(False)))
+
+
 def profile_gated(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
     """L2: law A latest must be 1 or 2; law B latest (form or registry) gives the channel."""
+    rows = C.tagged(f)
     pn = profile_final(f, p, sort=False).withColumn("doc_join", doc_key("IDENT"))
-    gate_docs, law_b = C.gate_and_channel(C.tagged_consents(f))
-    gated = C.gate(pn, gate_docs)
-    out = (gated.join(law_b, "doc_join", "left")
+    out = (C.gate(pn, C.law_a_gate(rows)).join(C.latest_channel(rows), "doc_join", "left")
            .select(*[F.col(f"`{c}`") for c in REPORT_COLUMNS], C.winning_channel("N/A").alias(GATED_CHANNEL)))
     return by_name(out) if sort else out
 
@@ -230,9 +262,8 @@ def profile_excluded(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) ->
     """L3: newest of law A / law B decides; refusals dropped, no consent kept with null channel."""
     cust = customer_rows(f, p)
     lists = point_lists_by_customer(open_points(f), f["contact"], every_customer=False)
-    pn = report(cust, class_lists(f, p), lists, na="")
-    pn = pn.withColumn("doc_join", doc_key("IDENT"))
-    newest = C.newest_consent(C.tagged_consents(f, (C.TAG_A, C.TAG_FORM)))
+    pn = report(cust, class_lists(f, p), lists, na="").withColumn("doc_join", doc_key("IDENT"))
+    newest = C.newest_consent(C.tagged(f, (C.LAW_A, C.FORM)))
     out = (C.exclude_and_attach(pn, newest)
            .select(*[F.col(f"`{c}`") for c in REPORT_COLUMNS], F.col("canal_contacto").alias(EXCLUDED_CHANNEL)))
     return by_name(out) if sort else out

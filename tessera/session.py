@@ -58,21 +58,19 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 # Share of the input that reaches a shuffle after column pruning, filters and
 # map-side partial aggregation (the plans shuffle reduced data).
 SHUFFLED_SHARE = 0.1
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def cluster_conf(input_bytes: int, executors_cores: int = 8000) -> dict[str, str]:
     """Session settings the plans are written for, sized for ``input_bytes`` of input.
 
     Shuffle partitions start at about one per 128 MiB of shuffled data (at
-    least two waves of the cluster's cores, at most 100,000 so map statuses
-    stay small); AQE coalesces small partitions and splits skewed ones at run
+    least two waves of the cluster's cores), however large the input, so a
+    partition never grows past its target; AQE coalesces small partitions and splits skewed ones at run
     time. Broadcasts stay bounded by the threshold; larger sides go to
     sort-merge joins.
     """
     shuffled = int(input_bytes * SHUFFLED_SHARE)
-    partitions = min(MAX_SHUFFLE_PARTITIONS,
-                     max(2 * executors_cores, -(-shuffled // TARGET_PARTITION_BYTES)))
+    partitions = max(2 * executors_cores, -(-shuffled // TARGET_PARTITION_BYTES))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -1,8 +1,9 @@
 """The warehouse relations the jobs read, derived from the test tables.
 
-The jobs read a CRM star (contacts, positions, units, managers, addresses,
-holdings, code lists, contact points), a consent store (consents, purposes,
-regulations, activities, tenants) and a monthly provision snapshot. The test
+The jobs read a CRM star (contacts, position links, positions, units,
+employees, addresses, segment attributes, holdings, assets, products, code
+lists, contact points), a consent store (consents, owners, identifiers,
+provisions, entities, purposes, regulations, activities, tenants) and a monthly provision snapshot. The test
 folders hold TPC-H-like tables instead, so each relation is derived from them
 by one SQL text that Spark and DuckDB both run unchanged. That keeps the
 Spark plans and the oracle on exactly the same inputs.
@@ -13,18 +14,22 @@ edge the jobs guard against is present in the data.
 
 Roles (relation <- test table):
 
-    contact      <- customer (+ first order as primary contact point)
-    position     <- nation          (first role)
+    contact      <- customer (+ first order as primary contact point), supplier (employees)
+    segment_attr <- customer
+    position_link <- customer       (primary and other positions of a customer)
+    position     <- nation
     org_unit     <- region
-    manager      <- supplier
-    employee     <- nation          (second role)
+    employee     <- nation          (which managers have an employee record)
     attention    <- supplier        (optional attribute, keyed by customer)
     address      <- nation          (optional, keyed by customer % 30)
     holding      <- lineitem x orders
+    asset        <- lineitem
     product      <- part            (class = part type)
     code_list    <- region, customer, nation, part (one relation, six list types)
     point        <- orders          (owner, number, extension, close date)
-    consent      <- events          (document, flag text, date text, channel)
+    consent      <- events          (owner, purpose, flag text, date text)
+    owner / identifier <- customer
+    provision / entity <- events    (channel and attributes of a consent)
     purpose / regulation / activity / tenant <- region, nation
     snapshot     <- lineitem        (one row per supplier x part group and month)
 
@@ -39,7 +44,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import TABLES, table
+from .tables import TABLES, sql, table
 
 # Text of a consent date in one of six shapes, built from the event time with
 # functions both engines share (no format strings, which differ between them).
@@ -73,9 +78,6 @@ AGREE_TEXT = """CASE WHEN e.event_id % 11 = 0 THEN NULL
 # Consent owner: each user's events are spread over ten owners, so consents
 # reach every customer document (users are a tenth of the customers).
 CONSENT_OWNER = "(e.user_id * 10 + e.event_id % 10)"
-# Document of a consent owner: zero padded, sometimes with a leading blank.
-CONSENT_DOC = ("concat(CASE WHEN e.event_id % 4 = 0 THEN ' ' ELSE '' END, "
-               f"lpad(cast({CONSENT_OWNER} AS string), 10, '0'))")
 
 RELATIONS: dict[str, str] = {
     # ---------------------------------------------------------------- CRM star
@@ -83,7 +85,7 @@ RELATIONS: dict[str, str] = {
     "first_point": """
         SELECT o_custkey AS owner_id, min(o_orderkey) AS first_point_id
         FROM {orders} GROUP BY o_custkey""",
-    # Customer contact with its segment attributes.
+    # Contacts: customers, and the employees who manage positions (one relation, read in both roles).
     "contact": """
         SELECT c.c_custkey AS row_id,
                concat(CASE WHEN c.c_custkey % 6 = 1 THEN ' ' ELSE '' END,
@@ -93,52 +95,72 @@ RELATIONS: dict[str, str] = {
                CASE WHEN c.c_custkey % 7 = 0 THEN NULL
                     ELSE concat(chr(9), replace(c.c_name, '#', '  ')) END AS last_name,
                CASE WHEN c.c_custkey % 3 = 0 THEN concat(' del ', c.c_mktsegment, '   ') END AS maiden_name,
-               c.c_nationkey AS position_id,
+               CAST(NULL AS string) AS emp_num,
+               CAST(c.c_nationkey AS bigint) AS primary_position_id,
                c.c_custkey % 30 AS addr_id,
-               CASE WHEN c.c_custkey % 8 = 3 THEN NULL ELSE fp.first_point_id END AS primary_point_id,
-               c.c_mktsegment AS segment_code,
-               substring(c.c_mktsegment, 1, 2) AS subsegment_code,
-               CASE WHEN c.c_custkey % 10 = 9 THEN '2' ELSE '1' END AS segment_flag,
-               c.c_acctbal AS balance
-        FROM {customer} c LEFT JOIN {first_point} fp ON fp.owner_id = c.c_custkey""",
-    # Position (nation, first role): its unit and its manager.
+               CASE WHEN c.c_custkey % 8 = 3 THEN NULL ELSE fp.first_point_id END AS primary_point_id
+        FROM {customer} c LEFT JOIN {first_point} fp ON fp.owner_id = c.c_custkey
+        UNION ALL
+        SELECT 1000000000000 + s_suppkey, CAST(NULL AS string), CAST(NULL AS string),
+               CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE replace(s_name, '#', ' #') END,
+               concat('  gestor  ', cast(s_nationkey AS string)), CAST(NULL AS string),
+               concat('SAP', lpad(cast(s_suppkey AS string), 6, '0')),
+               CAST(NULL AS bigint), CAST(NULL AS bigint), CAST(NULL AS bigint)
+        FROM {supplier}""",
+    # Segment attributes of a customer.
+    "segment_attr": """
+        SELECT c_custkey AS contact_id, c_mktsegment AS segment_code,
+               substring(c_mktsegment, 1, 2) AS subsegment_code,
+               CASE WHEN c_custkey % 10 = 9 THEN '2' ELSE '1' END AS segment_flag
+        FROM {customer}""",
+    # Links of customers to positions: the primary one (missing for some) and another.
+    "position_link": """
+        SELECT CAST(c_nationkey AS bigint) AS position_id, c_custkey AS contact_id
+        FROM {customer} WHERE c_custkey % 12 <> 5
+        UNION ALL
+        SELECT CAST((c_nationkey + 1) % 25 AS bigint), c_custkey FROM {customer}""",
+    # Position (nation): its unit and its manager.
     "position": """
-        SELECT n_nationkey AS position_id, n_name AS position_name,
-               n_regionkey AS org_id, n_nationkey AS manager_id
+        SELECT CAST(n_nationkey AS bigint) AS position_id, n_name AS position_name,
+               n_regionkey AS org_id, 1000000000000 + n_nationkey AS manager_id
         FROM {nation}""",
     "org_unit": """
         SELECT r_regionkey AS org_id, concat('Z', lpad(cast(r_regionkey AS string), 3, '0')) AS org_loc,
                r_name AS org_name
         FROM {region}""",
-    "manager": """
-        SELECT s_suppkey AS row_id, concat('SAP', lpad(cast(s_suppkey AS string), 6, '0')) AS emp_num,
-               CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE replace(s_name, '#', ' #') END AS fst_name,
-               concat('  gestor  ', cast(s_nationkey AS string)) AS last_name,
-               CAST(NULL AS string) AS maiden_name,
-               s_nationkey AS employee_id
-        FROM {supplier}""",
-    # Employee record of a manager (nation, second role).
+    # Employee record of a manager; some managers have none.
     "employee": """
-        SELECT n_nationkey AS employee_id FROM {nation}""",
-    # Optional attention type: only contacts with a supplier of the same key have one.
+        SELECT 1000000000000 + n_nationkey AS contact_id FROM {nation} WHERE n_nationkey % 10 <> 9""",
+    # Optional attention type: only contacts with a supplier of the same key have one; some are listed twice.
     "attention": """
         SELECT s_suppkey AS contact_id, concat('AT', cast(s_nationkey % 5 AS string)) AS attention_code
-        FROM {supplier}""",
-    # Optional address; contacts with addr_id 25-29 have none.
+        FROM {supplier}
+        UNION ALL
+        SELECT s_suppkey, concat('AT', cast(s_nationkey % 5 AS string)) FROM {supplier} WHERE s_suppkey % 3 = 0""",
+    # Optional address; contacts with addr_id 25-29 have none, some addresses are listed twice.
     "address": """
-        SELECT n_nationkey AS addr_id,
+        SELECT CAST(n_nationkey AS bigint) AS addr_id,
                concat('Calle ', cast(n_nationkey AS string), ' # ', lower(n_name)) AS addr,
                cast(n_nationkey AS string) AS city_code
-        FROM {nation}""",
-    # Product holdings of a contact: order line -> part.
+        FROM {nation}
+        UNION ALL
+        SELECT CAST(n_nationkey AS bigint),
+               concat('Calle ', cast(n_nationkey AS string), ' # ', lower(n_name)), cast(n_nationkey AS string)
+        FROM {nation} WHERE n_nationkey % 6 = 2""",
+    # Holdings of a contact (order line) and the assets they are of (part and line status).
     "holding": """
-        SELECT o.o_custkey AS contact_id, l.l_partkey AS product_id,
-               o.o_orderpriority AS relation_type, l.l_linestatus AS status_code
+        SELECT o.o_custkey AS contact_id,
+               l.l_partkey * 2 + CASE WHEN l.l_linestatus = 'O' THEN 1 ELSE 0 END AS asset_id,
+               o.o_orderpriority AS relation_type
         FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey""",
+    "asset": """
+        SELECT DISTINCT l_partkey * 2 + CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS asset_id,
+               l_partkey AS product_id, l_linestatus AS status_code
+        FROM {lineitem}""",
     "product": """
         SELECT p_partkey AS product_id, p_type AS class_code FROM {part}""",
     # Code lists, one relation for every list type. Some codes are inactive
-    # (or, for segments, missing from the facts) so decodes also miss.
+    # (or missing from the facts) so decodes also miss; some segments are listed twice.
     "code_list": """
         SELECT 'DOC_TYPE' AS list_type,
                CASE r_regionkey WHEN 0 THEN 'CC' WHEN 1 THEN 'CE' WHEN 2 THEN 'NIT' WHEN 3 THEN 'CC' ELSE 'TI' END AS name,
@@ -149,9 +171,13 @@ RELATIONS: dict[str, str] = {
         FROM {region}
         UNION ALL
         SELECT 'SEGMENT', s.seg, CAST(NULL AS string), CAST(NULL AS string),
-               concat('Seg - ', upper(substring(s.seg, 1, 1)), lower(substring(s.seg, 2, 1000))), 'Y'
+               concat('Seg - ', upper(substring(s.seg, 1, 1)), lower(substring(s.seg, 2))), 'Y'
         FROM (SELECT DISTINCT c_mktsegment AS seg FROM {customer}) s
         UNION ALL
+        SELECT 'SEGMENT', s.seg, CAST(NULL AS string), CAST(NULL AS string),
+               concat('Seg - ', upper(substring(s.seg, 1, 1)), lower(substring(s.seg, 2))), 'Y'
+        FROM (SELECT DISTINCT c_mktsegment AS seg FROM {customer}) s WHERE s.seg < 'F'
+        UNION ALL
         SELECT 'SUBSEGMENT', s.sub, CAST(NULL AS string), CAST(NULL AS string), concat('Sub ', s.sub),
                CASE WHEN s.sub = 'BU' THEN 'N' ELSE 'Y' END
         FROM (SELECT DISTINCT substring(c_mktsegment, 1, 2) AS sub FROM {customer}) s
@@ -168,31 +194,57 @@ RELATIONS: dict[str, str] = {
         SELECT 'ATTENTION', concat('AT', cast(r_regionkey AS string)), CAST(NULL AS string), CAST(NULL AS string),
                concat('Attention ', lower(r_name)), CASE WHEN r_regionkey = 4 THEN 'N' ELSE 'Y' END
         FROM {region}""",
-    # Contact points: owner, id, number, extension and close date.
+    # Contact points: owner, id, number, extension and close date. Different
+    # numbers and extensions can make one text ('12|5' as it is, '12' with extension 5).
     "point": """
         SELECT o_custkey AS owner_id, o_orderkey AS point_id,
                CASE WHEN o_orderkey % 13 = 0 THEN '   '
                     WHEN o_orderkey % 17 = 0 THEN NULL
+                    WHEN o_orderkey % 5 = 1 THEN '12|5'
+                    WHEN o_orderkey % 5 = 2 THEN ' 12 '
                     WHEN o_orderkey % 2 = 0 THEN concat(' ', cast(o_orderkey % 97 AS string), ' ')
                     ELSE cast(o_orderkey % 97 AS string) END AS number,
-               CASE o_orderkey % 3 WHEN 0 THEN substring(o_orderpriority, 1, 1) WHEN 1 THEN '  ' END AS extension,
+               CASE WHEN o_orderkey % 5 = 1 THEN NULL WHEN o_orderkey % 5 = 2 THEN '5'
+                    WHEN o_orderkey % 3 = 0 THEN substring(o_orderpriority, 1, 1)
+                    WHEN o_orderkey % 3 = 1 THEN '  ' END AS extension,
                CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS end_date
         FROM {orders}""",
     # ------------------------------------------------------------ consent store
+    # Consent facts; owners, their documents and what each consent provides are relations of their own.
     "consent": f"""
         SELECT e.event_id AS consent_id, {CONSENT_OWNER} AS owner_id,
-               {CONSENT_DOC} AS ref_num,
-               e.event_id % 5 AS purpose_id, e.event_type AS kind,
-               {AGREE_TEXT} AS agree_ind,
-               {DATE_TEXT} AS create_date,
-               e.ts AS create_ts,
+               e.event_id % 5 AS purpose_id, {AGREE_TEXT} AS agree_ind, {DATE_TEXT} AS create_date,
                CASE WHEN e.event_id % 23 = 0 THEN e.ts END AS end_dt,
-               CASE WHEN e.event_id % 9 = 0 THEN NULL ELSE concat('tel:', e.props) END AS content,
-               CASE WHEN e.event_id % 2 = 0 THEN 'PHONE' ELSE 'EMAIL' END AS entity_attr
+               CASE WHEN e.event_id % 6 = 1 THEN NULL ELSE cast(1000000 + e.event_id % 4 AS string) END AS auth_channel
         FROM {{events}} e""",
+    # Owners: customers; some inactive.
+    "owner": """
+        SELECT c_custkey AS owner_id,
+               CASE WHEN c_custkey % 14 = 3 THEN '2020-01-01' END AS inactivated_dt
+        FROM {customer}""",
+    # Documents of an owner: zero padded, sometimes with a leading blank; some closed, some owners have two.
+    "identifier": """
+        SELECT c_custkey AS owner_id, 'CC' AS id_kind,
+               concat(CASE WHEN c_custkey % 4 = 0 THEN ' ' ELSE '' END,
+                      lpad(cast(c_custkey AS string), 10, '0')) AS ref_num,
+               CASE WHEN c_custkey % 15 = 7 THEN '2021-01-01' END AS end_dt
+        FROM {customer}
+        UNION ALL
+        SELECT c_custkey, 'PAS', lpad(cast(c_custkey + 7 AS string), 10, '0'),
+               CASE WHEN c_custkey % 20 = 4 THEN '2019-01-01' END
+        FROM {customer} WHERE c_custkey % 10 = 4""",
+    # What a consent provides: a channel text (null for some); some consents have no provision.
+    "provision": """
+        SELECT event_id AS consent_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE concat('tel:', props) END AS content
+        FROM {events} WHERE event_id % 7 <> 2""",
+    # Attributes that a consent concerns: none, one or two.
+    "entity": """
+        SELECT event_id AS consent_id, 'PHONE' AS attribute FROM {events} WHERE event_id % 4 <> 1
+        UNION ALL
+        SELECT event_id, 'EMAIL' FROM {events} WHERE event_id % 8 = 0""",
     "purpose": """
         SELECT r_regionkey AS purpose_id,
-               CASE WHEN r_regionkey = 4 THEN 'OTHER' ELSE 'COMMERCIAL' END AS purpose_type
+               CASE WHEN r_regionkey >= 3 THEN 'OTHER' ELSE 'COMMERCIAL' END AS purpose_type
         FROM {region}""",
     # Purposes 2-4 are law A and listed twice (the join repeats those consents),
     # purposes 0-1 are law B.
@@ -244,7 +296,7 @@ def frame(spark: SparkSession, sf_dir: str, name: str, _cache: dict | None = Non
         df = table(spark, sf_dir, name)
     else:
         deps = {d: frame(spark, sf_dir, d, cache) for d in dependencies(name)}
-        df = spark.sql(RELATIONS[name], **deps)
+        df = sql(spark, RELATIONS[name], **deps)
     cache[name] = df
     return df
 
@@ -277,16 +329,23 @@ def period_bounds(period: str) -> tuple[str, str]:
     return f"{y:04d}-{m:02d}-01 00:00:00", f"{ny:04d}-{nm:02d}-01 00:00:00"
 
 
-def snapshot_sql(period: str, current: bool, dialect: str = "spark") -> str:
-    """SQL of the snapshot for ``period``; the Spark text uses parameter markers."""
+PERIOD = "STRANOMES"
+MONTH = "concat(cast(year(l_shipdate) AS string), lpad(cast(month(l_shipdate) AS string), 2, '0'))"
+
+
+def snapshot_sql(period: str | None, current: bool, dialect: str = "spark") -> str:
+    """SQL of the snapshot for ``period`` (the Spark text uses parameter markers), or of all periods for None."""
     from ..operators.periods import MEASURES
-    if dialect == "spark":
-        p, start, end = ":period", "CAST(:start AS TIMESTAMP_NTZ)", "CAST(:end AS TIMESTAMP_NTZ)"
-        src = "{lineitem}"
+    src = "{lineitem}" if dialect == "spark" else "lineitem"
+    if period is None:
+        p, where, by = MONTH, "", f", {MONTH}"
+    elif dialect == "spark":
+        p, by = ":period", ""
+        where = "WHERE l_shipdate >= CAST(:start AS TIMESTAMP_NTZ) AND l_shipdate < CAST(:end AS TIMESTAMP_NTZ)"
     else:
         s, e = period_bounds(period)
-        p, start, end = f"'{period}'", f"CAST('{s}' AS TIMESTAMP)", f"CAST('{e}' AS TIMESTAMP)"
-        src = "lineitem"
+        p, by = f"'{period}'", ""
+        where = f"WHERE l_shipdate >= CAST('{s}' AS TIMESTAMP) AND l_shipdate < CAST('{e}' AS TIMESTAMP)"
     g = "l_partkey % 50"
     k1, k2 = "cast(l_suppkey AS string)", f"cast({g} AS string)"
     measures = []
@@ -325,13 +384,27 @@ def snapshot_sql(period: str, current: bool, dialect: str = "spark") -> str:
                          ELSE (count(*) * 37 + max(l_suppkey) * 11 + max({g})) % 620 END AS INT) AS DIAS_MORA,
                {(','+chr(10)+'               ').join(measures)}{extra}
         FROM {src}
-        WHERE l_shipdate >= {start} AND l_shipdate < {end}
-        GROUP BY {k1}, {k2}"""
+        {where}
+        GROUP BY {k1}, {k2}{by}"""
+
+
+def snapshot(spark: SparkSession, sf_dir: str, period: str | None, current: bool) -> DataFrame:
+    """Snapshot of one period (S2), or of every period in the table for None (one row per key and period).
+
+    The period predicate is on a column without a time zone, which Spark lists
+    as pushed but doesn't use to skip row groups of these files. Where a period
+    is to be read without the others, store the snapshots by period
+    (``write_snapshots``) and select one by equality (``read_snapshot``).
+    """
+    args = {} if period is None else dict(zip(("start", "end"), period_bounds(period)), period=period)
+    return sql(spark, snapshot_sql(period, current, "spark"), args, lineitem=table(spark, sf_dir, "lineitem"))
+
+
+def write_snapshots(snapshots: DataFrame, folder: str) -> None:
+    """Snapshots of many periods as a table partitioned by the period column."""
+    snapshots.write.mode("overwrite").partitionBy(PERIOD).parquet(folder)
 
 
-def snapshot(spark: SparkSession, sf_dir: str, period: str, current: bool) -> DataFrame:
-    """Snapshot of one period (S2): the period filter reaches the parquet scan."""
-    start, end = period_bounds(period)
-    return spark.sql(snapshot_sql(period, current, "spark"),
-                     args={"period": period, "start": start, "end": end},
-                     lineitem=table(spark, sf_dir, "lineitem"))
+def read_snapshot(spark: SparkSession, folder: str, period: str) -> DataFrame:
+    """One period of a stored table; only its own folder is read."""
+    return spark.read.option("basePath", folder).parquet(folder).where(f"{PERIOD} = '{int(period)}'")

@@ -60,32 +60,56 @@ def test_latest_of_laws_tie_goes_to_law_b_and_exclusion(spark):
     assert kept == [2, 3, 4]  # no document and no consent are kept
 
 
+ROW = "source string, consent_id long, ref_num string, agree_ind string, create_date string, content string"
+
+
 def test_law_a_gate_reads_flag_after_latest(spark):
-    cols = "consent_id long, ref_num string, agree_ind string, create_date string, content string, entity_attr string"
     df = spark.createDataFrame([
-        (1, " 0001", "1", "2024-01-01 10:00:00", None, None),   # doc 1: older accept ...
-        (2, "001", "0", "2024-01-02 10:00:00", None, None),     # ... newer refusal -> out
-        (3, "2", "0", "2024-01-01 10:00:00", None, None),       # doc 2: older refusal ...
-        (4, "0002", "2", "02/01/24 10:00:00 AM", None, None),   # ... newer '2' (day-first) -> in
-        (5, "3", "1.0", None, None, None),                      # doc 3: only a dateless '1.0' -> in
-        (6, "000", "1", "2024-01-01 10:00:00", None, None),     # empty document -> never
-    ], cols)
+        ("A", 1, " 0001", "1", "2024-01-01 10:00:00", None),   # doc 1: older accept ...
+        ("A", 2, "001", "0", "2024-01-02 10:00:00", None),     # ... newer refusal -> out
+        ("A", 3, "2", "0", "2024-01-01 10:00:00", None),       # doc 2: older refusal ...
+        ("A", 4, "0002", "2", "02/01/24 10:00:00 AM", None),   # ... newer '2' (day-first) -> in
+        ("A", 5, "3", "1.0", None, None),                      # doc 3: only a dateless '1.0' -> in
+        ("A", 6, "000", "1", "2024-01-01 10:00:00", None),     # empty document -> never
+        ("F", 7, "1", "1", "2025-01-01 10:00:00", None),       # another source doesn't count
+    ], ROW)
     assert sorted(r[0] for r in rows(C.law_a_gate(df))) == ["2", "3"]
     people = spark.createDataFrame([(10, "1"), (20, "2"), (30, "3"), (40, None)], "row_id int, doc_join string")
     assert sorted(r[0] for r in rows(C.gate(people, C.law_a_gate(df)), "row_id")) == [20, 30]
 
 
-def test_law_b_latest_tie_goes_to_registry_and_union_fills_nulls(spark):
-    cols = "consent_id long, ref_num string, agree_ind string, create_date string, content string, entity_attr string"
-    form = spark.createDataFrame([(1, "7", "1", "2024-01-01 10:00:00", None, "E"),
-                                  (2, "8", "1", "2024-01-03 10:00:00", "web", "E")], cols)
-    reg = spark.createDataFrame([(3, "7", "1", "2024-01-01 10:00:00", "rne-7", "E"),
-                                 (4, "8", "1", "2024-01-02 10:00:00", "rne-8", "E")], cols)
-    out = C.law_b_latest(form, reg)
-    got = {r[0]: (r[1], r[2], r[3]) for r in rows(out, "doc_join", "fuente", "CANAL_DE_CONTACTO", "CONTENT")}
-    assert got == {"7": ("2300_RNE", None, "rne-7"), "8": ("2300_FORM", "web", None)}
-    chan = {r[0]: r[1] for r in rows(out.select("doc_join", C.winning_channel().alias("c")))}
-    assert chan == {"7": "rne-7", "8": "web"}
+def test_latest_channel_tie_goes_to_registry_and_union_fills_nulls(spark):
+    df = spark.createDataFrame([("F", 1, "7", "1", "2024-01-01 10:00:00", None),
+                                ("F", 2, "8", "1", "2024-01-03 10:00:00", "web"),
+                                ("F", 5, "9", "1", "2024-01-03 10:00:00", None),
+                                ("R", 3, "7", "1", "2024-01-01 10:00:00", "rne-7"),
+                                ("R", 4, "8", "1", "2024-01-02 10:00:00", "rne-8")], ROW)
+    got = {r[0]: r[1:] for r in rows(C.latest_channel(df), "doc_join", "origin", "channel")}
+    assert got == {"7": ("2300_RNE", "rne-7"), "8": ("2300_FORM", "web"), "9": ("2300_FORM", "-")}
+    both = {(r[0], r[1]): r[2:] for r in rows(C.channel_rows(df), "origin", "doc_join", "form_channel", "registry_channel")}
+    assert both[("2300_FORM", "7")] == ("-", None) and both[("2300_RNE", "8")] == (None, "rne-8")
+
+
+def test_every_edge_of_the_consent_store_matters(spark):
+    """Emptying a condition of the star, one at a time, changes the consents that come out."""
+    from conftest import SF001
+    from tessera.plans import profile as PR
+    f = PR.load(spark, SF001)
+    base = C.tagged(f).count()
+    opened = {
+        "consent": ("end_dt", "string"), "owner": ("inactivated_dt", "string"), "identifier": ("end_dt", "string")}
+    for name, (column, kind) in opened.items():
+        assert C.tagged({**f, name: f[name].withColumn(column, F.lit(None).cast(kind))}).count() > base, name
+    consents = f["consent"].select("consent_id")
+    every = consents.withColumn("content", F.lit("x"))
+    assert C.tagged({**f, "provision": every}).count() > base
+    assert C.tagged({**f, "entity": consents.withColumn("attribute", F.lit("x"))}).count() > base
+    for name, column, code in (("purpose", "purpose_type", "COMMERCIAL"), ("regulation", "regulation_code", "LAW_A"),
+                               ("activity", "activity_code", "ACT1"), ("tenant", "tenant_code", "T7")):
+        assert C.tagged({**f, name: f[name].withColumn(column, F.lit(code))}).count() != base, name
+    law_a = C.source_rows(f, C.LAW_A)
+    assert law_a.where("content IS NULL").count() > C.source_rows({**f, "provision": every}, C.LAW_A).where(
+        "content IS NULL").count()
 
 
 def test_union_by_name_missing_columns(spark):
@@ -108,15 +132,14 @@ def test_exclude_and_attach_equals_two_step_form(spark):
     assert one_join == two_step == [(2, "b4"), (3, None), (4, None), (5, None)]
 
 
-def test_single_pass_consents_equal_per_source_forms(spark):
+def test_one_read_equals_each_source_by_itself(spark):
     from conftest import SF001
     from tessera.plans import profile as PR
     f = PR.load(spark, SF001)
-    gate_docs, law_b = C.gate_and_channel(C.tagged_consents(f))
-    assert sorted(rows(gate_docs)) == sorted(rows(C.law_a_gate(C.law_a_rows(f))))
-    assert sorted(rows(law_b)) == sorted(rows(C.law_b_latest(C.form_rows(f), C.registry_rows(f))))
-    one = C.newest_consent(C.tagged_consents(f, (C.TAG_A, C.TAG_FORM)))
-    two = C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
+    whole = sorted(rows(C.tagged(f)), key=str)
+    assert whole == sorted((r for s in C.SOURCES for r in rows(C.source_rows(f, s))), key=str)
+    one = C.newest_consent(C.tagged(f, (C.LAW_A, C.FORM)))
+    two = C.latest_of_laws(*[C.latest_of_law(C.source_rows(f, s)) for s in (C.LAW_A, C.FORM)])
     cols = ["ley", "doc_join", "agree", "ts", "canal_contacto", "consent_id"]
     assert sorted(rows(one, *cols), key=str) == sorted(rows(two, *cols), key=str)
 

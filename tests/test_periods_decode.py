@@ -6,7 +6,6 @@ from conftest import rows
 from tessera.operators import periods as P
 from tessera.operators.audit import stage_counts
 from tessera.operators.decode import active_lists, decode, duplicate_codes, one_list
-from tessera.operators.sizing import bounded_broadcast, fits
 
 
 def snapshot(spark, keys, current):
@@ -79,14 +78,6 @@ def test_decode_left_missing_inactive_and_duplicates(spark):
     assert sorted(dups) == [("CITY", "11", 2, 2), ("DOC", "CC", 2, 1)]
 
 
-def test_sizing(spark):
-    small = spark.range(10)
-    assert fits(small) and fits(small)          # second answer from the memo
-    assert not fits(spark.range(1000), max_rows=100)
-    plan = bounded_broadcast(small).join(spark.range(100), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-
-
 def test_stage_counts(spark):
     a, b = spark.range(5), spark.range(3).filter(F.col("id") > 0)
     assert sorted(rows(stage_counts({"a": a, "b": b}))) == [("a", 5), ("b", 2)]

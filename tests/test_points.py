@@ -39,3 +39,10 @@ def test_point_lists_right_join_variant(spark):
     # number|ext, deduplicated per text, blank number kept as '|9', null number skipped,
     # every customer present ('' without open points), orphans dropped
     assert got == {1: "|9, 10, P-10|7, 2", 2: "", 3: "", 4: "8"}
+
+
+def test_one_entry_for_one_text_of_different_numbers(spark):
+    pts = spark.createDataFrame([(1, 10, "12|5", None, None), (1, 11, "12", "5", None), (1, 12, "3", None, None)], POINTS)
+    keys = spark.createDataFrame([(1, None)], KEYS)
+    got = dict(rows(PR.point_lists_by_customer(PR.open_points({"point": pts}), keys), "row_id", "TELEFONOS"))
+    assert got == {1: "12|5, 3"}

@@ -63,7 +63,7 @@ def test_exclusion_properties(spark):
     from tessera.plans import profile as PR
     from tessera.functions.text import doc_key
     f = PR.load(spark, SF001)
-    newest = C.latest_of_laws(C.law_a_latest(C.law_a_rows(f)), C.law_b_form_latest(C.form_rows(f)))
+    newest = C.newest_consent(C.tagged(f, (C.LAW_A, C.FORM)))
     refused = {r[0] for r in C.refused(newest).collect()}
     out = PR.profile_excluded(f, sort=False).select(doc_key("IDENT").alias("d"))
     assert refused and not ({r[0] for r in out.collect()} & refused)
@@ -126,3 +126,44 @@ def test_cli_lists_and_runs(spark, capsys, tmp_path):
     assert len([line for line in listed if line.strip()]) == len(QUERIES)
     main(["run", "dup_codes", "--sf-dir", SF0001, "--show", "0", "--csv", str(tmp_path / "out")])
     assert any(p.name.startswith("part-") for p in (tmp_path / "out").iterdir())
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "csv_round_trip"))
+def test_building_a_query_runs_no_job(spark, name):
+    sc = spark.sparkContext
+    group = f"build-{name}"
+    sc.setJobGroup(group, "building only")
+    try:
+        QUERIES[name](spark, SF0001)
+        assert not sc.statusTracker().getJobIdsForGroup(group)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "csv_round_trip"))
+def test_plan_without_broadcasts_has_no_cross_join(spark, name):
+    """The plan that large tables get: nothing is small enough to broadcast, and no hint forces it."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not [n for n in (*SLOW_NODES, "BroadcastHashJoin") if n in plan]
+
+
+def test_repeated_dimension_rows_repeat_no_report_row(spark):
+    from tessera.plans import profile as PR
+    f = PR.load(spark, SF001)
+    assert f["attention"].count() > f["attention"].distinct().count()
+    assert f["address"].count() > f["address"].distinct().count()
+    report = PR.profile_final(f, sort=False)
+    assert report.count() == report.distinct().count() > 0
+    again = {**f, **{n: f[n].unionAll(f[n]) for n in ("attention", "address", "code_list", "segment_attr", "position_link")}}
+    assert PR.profile_final(again, sort=False).exceptAll(report).count() == 0
+    assert report.exceptAll(PR.profile_final(again, sort=False)).count() == 0
+
+
+def test_period_measures_cover_every_month(spark):
+    out = QUERIES["period_measures"](spark, SF0001).groupBy("STRANOMES").count().collect()
+    assert len(out) > 12

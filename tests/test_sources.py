@@ -34,3 +34,31 @@ def test_csv_sink_options_and_stamp(spark, tmp_path):
     back = read_csv(spark, path, df.schema, sep=";")
     assert sorted((tuple(r) for r in back.collect()), key=str) == sorted([("a;b", "x"), (None, None)], key=str)
     assert run_stamp(dt.datetime(2024, 1, 2, 3, 4, 5)) == "20240102030405"
+
+
+def test_csv_keeps_blanks_quotes_line_breaks_and_encoding(spark, tmp_path):
+    rows = [(" 001 ", "a\nb"), ('say "x"', "tab\t"), ("ñandú", "c,d")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    for encoding in ("UTF-8", "UTF-16LE"):
+        path = write_csv(df, str(tmp_path / encoding), encoding=encoding)
+        back = read_csv(spark, path, df.schema, encoding=encoding)
+        assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+def test_stored_snapshots_are_read_by_period(spark, tmp_path):
+    folder = str(tmp_path / "snapshots")
+    R.write_snapshots(R.snapshot(spark, SF0001, None, True), folder)
+    one = R.read_snapshot(spark, folder, "199807")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(STRANOMES" in plan and "= 199807" in plan
+    direct = R.snapshot(spark, SF0001, "199807", True)
+    assert one.count() == direct.count() > 0
+    assert one.select("NUMPEEDIK").exceptAll(direct.select("NUMPEEDIK")).count() == 0
+    assert R.snapshot(spark, SF0001, None, True).select("STRANOMES").distinct().count() > 12
+
+
+def test_added_columns_are_no_matter(spark, tmp_path):
+    from tessera.sources.tables import table
+    spark.createDataFrame([(1, "R", "x")], "r_regionkey int, r_name string, more string").write.parquet(
+        str(tmp_path / "region.parquet"))
+    assert table(spark, str(tmp_path), "region").collect() == [(1, "R")]

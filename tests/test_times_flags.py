@@ -17,6 +17,21 @@ def test_law_a_formats(spark):
                    dt.datetime(2024, 1, 5, 13, 4, 5), dt.datetime(2024, 1, 5, 0, 4, 5), None, None, None]
 
 
+def test_times_that_a_zone_skips_and_impossible_ones(spark):
+    df = frame(spark, ["2024-03-10 02:30:00", "10/03/24 02:30:00 AM", "31/02/24 01:00:00 AM", "10/03/24 13:00:00 PM",
+                       "10/03/24 12:59:59 PM", "2024-13-01 00:00:00", " 2024-03-10 02:30:00.5"])
+    out = df.select(TM.parse_any("v").alias("t"))
+    want = [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 2, 30), None, None,
+            dt.datetime(2024, 3, 10, 12, 59, 59), None, dt.datetime(2024, 3, 10, 2, 30, 0, 500000)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert one(out, "t") == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_day_first_nine_digit_fraction_kept_to_micros(spark):
     df = frame(spark, ["05/01/24 01:04:05,123456789 PM", "2024-01-05 13:04:05", "2024-01-05 13:04:05.5"])
     got = one(df.select(TM.parse_any("v", TM.DAY_FIRST_FORMATS).alias("t")), "t")
