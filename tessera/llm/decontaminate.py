@@ -40,7 +40,7 @@ K = 5
 THRESHOLD = 0.8
 HASHES = 64
 BLOCK_SHINGLES = 500_000
-SMALLEST_CLASS = 3
+SMALLEST_CLASS = 0
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 FACTORS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
