@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from .common import mapped, slices, texts
+from .common import mapped, text_slices
 from .units import UnitIds
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-# Characters encoded at once by a task.
-STEP_CHARS = 1 << 21
+# Bytes of text encoded at once by a task.
+STEP_BYTES = 1 << 21
 
 
 def byte_characters() -> dict[int, str]:
@@ -65,7 +65,8 @@ class ByteBpe:
         for spelling, i in vocabulary.items():
             self.bytes_of[i] = bytes(back[c] for c in spelling)
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
-        self.units = UnitIds(lambda batch: (e.ids for e in self.model.encode_batch_fast(batch, add_special_tokens=False)))
+        self.units = UnitIds(lambda batch: (e.ids for e in self.model.encode_batch_fast(batch, add_special_tokens=False)),
+                             self.lengths)
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -114,13 +115,12 @@ def encoded(docs: DataFrame, path: str | None = None, offsets: bool = False) ->
     def rows(batches):
         model = tokenizer(path)
         for batch in batches:
-            own = texts(batch)
-            for a, b in slices(np.array([len(t) for t in own]), STEP_CHARS):
-                ids = model.encode(own[a:b])
-                columns = [batch.column("doc_id").slice(a, b - a), pa.array([len(x) for x in ids], pa.int64()),
+            for part, own in text_slices(batch, STEP_BYTES):
+                ids = model.encode(own)
+                columns = [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
                            arrays(ids), pa.array([model.decode(x) for x in ids], pa.binary())]
                 if offsets:
-                    places = [model.offsets(t, x) for t, x in zip(own[a:b], ids)]
+                    places = [model.offsets(t, x) for t, x in zip(own, ids)]
                     columns += [arrays([p[0] for p in places]), arrays([p[1] for p in places])]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 

@@ -7,8 +7,8 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,13 +81,14 @@ def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
                                       names=[*batch.schema.names, *columns])
 
 
-def slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive rows whose sizes sum to ``limit`` at most (one row at least)."""
+def text_slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batch in slices of ``limit`` bytes of text at most (one row at least), each with its texts; null is empty."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, total = 0, 0
-    for i, size in enumerate(sizes.tolist()):
+    for i, size in enumerate(sizes):
         if i > start and total + size > limit:
-            yield start, i
+            yield batch.slice(start, i - start), texts(batch.slice(start, i - start), column)
             start, total = i, 0
         total += size
     if start < len(sizes):
-        yield start, len(sizes)
+        yield batch.slice(start), texts(batch.slice(start), column)

@@ -28,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import STEP_CHARS, VOCABULARY, tokenizer
-from .common import checkpointed, mapped, slices, texts
+from .bpe import STEP_BYTES, VOCABULARY, tokenizer
+from .common import checkpointed, mapped, text_slices
 from .words import mixed
 
 END_OF_TEXT = 50_256
@@ -92,14 +92,13 @@ def token_table(docs: DataFrame, path: str | None = None) -> DataFrame:
         part, start = TaskContext.get().partitionId(), 0
         model = tokenizer(path)
         for batch in batches:
-            own = texts(batch)
-            for a, b in slices(np.array([len(t) for t in own]), STEP_CHARS):
-                ids = model.encode(own[a:b])
+            for piece, own in text_slices(batch, STEP_BYTES):
+                ids = model.encode(own)
                 n = np.array([len(x) + 1 for x in ids], np.int64)
                 starts = start + np.cumsum(n) - n
                 start += int(n.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(np.full(b - a, part, np.int32)), pa.array(starts),
+                    [piece.column("doc_id"), pa.array(np.full(len(own), part, np.int32)), pa.array(starts),
                      pa.array(n), pa.array([x.astype("<u2").tobytes() + end for x in ids], pa.binary())],
                     names=["doc_id", "part", "start", "n", "ids"])
 

@@ -22,14 +22,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mapped, slices, texts
+from .common import mapped, text_slices
 from .units import SEAM, UnitIds
 
 VOCABULARY = "byte_bpe_50k.json"
 LONG_CHARS = 65_536
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
-STEP_CHARS = 1 << 21
+STEP_BYTES = 1 << 21
+
+
+def token_lengths(model) -> np.ndarray:
+    """Bytes of each token of a byte-level vocabulary; special tokens are spelled as they are."""
+    special = {i: t.content for i, t in model.get_added_tokens_decoder().items()}
+    out = np.zeros(model.get_vocab_size(), np.int64)
+    for spelling, i in model.get_vocab().items():
+        out[i] = len(special[i].encode()) if i in special else len(spelling)  # one character stands for one byte
+    return out
 
 
 class Counter:
@@ -42,7 +51,8 @@ class Counter:
         self.model.no_truncation()
         self.model.no_padding()
         self.long, self.chunk, self.overlap = long, chunk, overlap
-        self.units = UnitIds(lambda batch: (e.ids for e in self.model.encode_batch_fast(batch, add_special_tokens=False)))
+        self.units = UnitIds(lambda batch: (e.ids for e in self.model.encode_batch_fast(batch, add_special_tokens=False)),
+                             token_lengths(self.model))
 
     def counts(self, batch: list[str]) -> list[int]:
         short = [t if len(t) <= self.long else "" for t in batch]
@@ -108,10 +118,9 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     def rows(batches):
         count = counter(path).counts
         for batch in batches:
-            own = texts(batch)
-            n = [x for a, b in slices(np.array([len(t) for t in own]), STEP_CHARS) for x in count(own[a:b])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(t.encode()) for t in own], pa.int64()), pa.array(n, pa.int64())],
-                names=schema.names)
+            for part, own in text_slices(batch, STEP_BYTES):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([len(t.encode()) for t in own], pa.int64()),
+                     pa.array(count(own), pa.int64())], names=schema.names)
 
     return mapped(slim, rows, schema)

@@ -16,37 +16,63 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 BLANK = r"[^\S\x1c-\x1f]"
+BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.match(BLANK, c))
 UNIT = re.compile(rf"{BLANK}*[\S\x1c-\x1f]+|{BLANK}+")
 # A place where a unit surely ends: before a blank that follows another character.
 SEAM = re.compile(rf"(?<=[\S\x1c-\x1f])(?={BLANK})")
 
 # Units kept per worker, and the longest that is kept: bounds the memory of the table.
-KEPT_UNITS = 400_000
+KEPT_UNITS = 500_000
 LONGEST_KEPT = 48
 
 
+# New units encoded as one text (they begin with a blank, so each begins a unit there too).
+JOINED = 256
+
+
 class UnitIds:
-    """Ids of texts; distinct units are encoded once and kept for the worker's next batches."""
+    """Ids of texts; distinct units are encoded once and kept for the worker's next batches.
 
-    def __init__(self, encode_batch: Callable[[list[str]], Iterable[list[int]]]):
+    ``encode_batch`` gives the ids of each of some texts, ``lengths`` the bytes
+    of each id's token.
+    """
+
+    def __init__(self, encode_batch: Callable[[list[str]], Iterable[list[int]]], lengths: np.ndarray):
         self.encode_batch = encode_batch
+        self.lengths = lengths
         self.kept: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         parted = [UNIT.findall(t) for t in texts]
-        new = {u for units in parted for u in units if u not in self.kept}
-        if len(self.kept) + len(new) > KEPT_UNITS:
-            self.kept.clear()
+        kept = self.kept
+        new = {u for units in parted for u in units if u not in kept}
+        if len(kept) + len(new) > KEPT_UNITS:
+            kept.clear()
             new = {u for units in parted for u in units}
-        order = list(new)
-        fresh = {u: np.array(ids, np.int32).tobytes() for u, ids in zip(order, self.encode_batch(order))}
-        self.kept.update(fresh)
-        out = [np.frombuffer(b"".join(map(self.kept.__getitem__, units)), np.int32) for units in parted]
-        if len(self.kept) > KEPT_UNITS:
-            self.kept.clear()
-        else:
-            for u in order:
-                if len(u) > LONGEST_KEPT:
-                    del self.kept[u]
+        self._add(new)
+        out = [np.frombuffer(b"".join(map(kept.__getitem__, units)), np.int32) for units in parted]
+        if len(kept) > KEPT_UNITS:
+            kept.clear()
+        for u in new:
+            if len(u) > LONGEST_KEPT:
+                kept.pop(u, None)
         return out
+
+    def _add(self, new: set[str]) -> None:
+        inner = [u for u in new if u[0] in BLANKS and u[-1] not in BLANKS]
+        groups = [inner[i:i + JOINED] for i in range(0, len(inner), JOINED)]
+        for units, ids in zip(groups, self.encode_batch(["".join(g) for g in groups])):
+            packed = np.array(ids, np.int32)
+            token_ends = np.cumsum(self.lengths[packed])
+            data = np.frombuffer("".join(units).encode(), np.uint8)
+            characters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+            unit_ends = characters[np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))]
+            cuts = np.searchsorted(token_ends, unit_ends) + 1
+            if not np.array_equal(token_ends[cuts - 1], unit_ends):
+                raise ValueError("the tokenizer joined units")
+            stored, bounds = packed.tobytes(), [0, *(4 * cuts).tolist()]
+            self.kept.update(zip(units, map(stored.__getitem__, map(slice, bounds, bounds[1:]))))
+        others = list(new.difference(inner))
+        for u, ids in zip(others, self.encode_batch(others)):
+            self.kept[u] = np.array(ids, np.int32).tobytes()
