@@ -91,8 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     sample = F.broadcast(training_labels(labels, "toxic", per_class))  # 2 * per_class rows at most
     chosen = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "y")
     rows = mapped(chosen, _sampled_buckets, "y int, buckets binary").collect()
-    grams = [np.frombuffer(r.buckets, np.int32) for r in rows]
-    return fit_buckets(grams, np.array([r.y for r in rows], float))
+    return fit_buckets([np.frombuffer(r.buckets, np.int32) for r in rows], np.array([r.y for r in rows], float))
 
 
 def fit_buckets(grams: list[np.ndarray], y: np.ndarray) -> Model:
@@ -101,17 +100,16 @@ def fit_buckets(grams: list[np.ndarray], y: np.ndarray) -> Model:
     if not 0 < positive < n:
         share = (positive + 0.5) / (n + 1) if n else 1e-3
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    lengths = np.array([len(g) for g in grams])
-    bucket = np.concatenate(grams)
-    row = np.repeat(np.arange(n), lengths)
-    in_toxic = np.bincount(bucket[y[row] == 1], minlength=size)
-    in_other = np.bincount(bucket[y[row] == 0], minlength=size)
+    counts = np.zeros((2, size), np.int32)
+    for own, label in zip(grams, y):
+        counts[int(label), own] += 1  # a text has each bucket once
+    in_other, in_toxic = counts
     ratio = (np.log((in_toxic + 1) / (in_toxic.sum() + size))
              - np.log((in_other + 1) / (in_other.sum() + size)))
-    used = ((in_toxic + in_other >= max(LEAST_TEXTS, LEAST_SHARE * n)) & (np.abs(ratio) >= LEAST_RATIO))
-    place = np.cumsum(used) - 1
-    keep = used[bucket]
-    col, row = place[bucket[keep]], row[keep]
+    used = (in_toxic + in_other >= max(LEAST_TEXTS, LEAST_SHARE * n)) & (np.abs(ratio) >= LEAST_RATIO)
+    grams = [own[used[own]] for own in grams]
+    col = (np.cumsum(used) - 1)[np.concatenate(grams)]
+    row = np.repeat(np.arange(n), [len(own) for own in grams])
     scale, m = ratio[used], int(used.sum())
     w = np.zeros(m + 1)
     first, second = np.zeros(m + 1), np.zeros(m + 1)
