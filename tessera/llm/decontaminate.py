@@ -240,12 +240,14 @@ parted AS (
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
   FROM words WHERE text IS NOT NULL),
 shingled AS (
-  SELECT DISTINCT kind, r, id, unnest(CASE
+  SELECT kind, r, id, unnest(CASE
     WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s
   FROM parted),
-items AS (SELECT r, id, s, count(*) OVER (PARTITION BY r) AS n_item FROM shingled WHERE kind = 'item')
+items AS (SELECT r, id, s, count(*) OVER (PARTITION BY r) AS n_item
+          FROM (SELECT DISTINCT r, id, s FROM shingled WHERE kind = 'item')),
+held AS (SELECT DISTINCT r, id, s FROM shingled WHERE kind = 'doc' AND s IN (SELECT s FROM items))
 SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, i.n_item, count(*) / i.n_item AS containment
-FROM shingled d JOIN items i USING (s) WHERE d.kind = 'doc'
+FROM held d JOIN items i USING (s)
 GROUP BY d.r, d.id, i.r, i.id, i.n_item HAVING count(*) >= 0.8 * i.n_item
 """

@@ -38,7 +38,6 @@ def test_links_give_the_components_of_all_pairs(spark, monkeypatch, max_bits, sp
     values = sorted(values)
     df = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long").repartition(4)
     edges = [(int(np.int64(r.u).view(np.uint64)), int(np.int64(r.v).view(np.uint64))) for r in S.links(df, max_bits).collect()]
-    assert all((a ^ b).bit_count() <= max_bits for a, b in edges) or split_over  # roots may be further off than a link
     want = components_of(values, [(a, b) for i, a in enumerate(values) for b in values[i + 1:] if (a ^ b).bit_count() <= max_bits])
     assert components_of(values, edges) == want
 
