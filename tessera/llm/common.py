@@ -81,14 +81,20 @@ def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
                                       names=[*batch.schema.names, *columns])
 
 
-def text_slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """The batch in slices of ``limit`` bytes of text at most (one row at least), each with its texts; null is empty."""
+def row_slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batch in slices of consecutive rows with ``limit`` bytes in the column at most (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, total = 0, 0
     for i, size in enumerate(sizes):
         if i > start and total + size > limit:
-            yield batch.slice(start, i - start), texts(batch.slice(start, i - start), column)
+            yield batch.slice(start, i - start)
             start, total = i, 0
         total += size
     if start < len(sizes):
-        yield batch.slice(start), texts(batch.slice(start), column)
+        yield batch.slice(start)
+
+
+def text_slices(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of the batch by the bytes of its texts, each with these texts; null is empty."""
+    for part in row_slices(batch, limit):
+        yield part, texts(part)

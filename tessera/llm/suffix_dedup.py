@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, mapped, row_key, text_bytes
+from .common import checkpointed, mapped, row_key, row_slices, text_bytes
 from .words import _powers, mixed
 
 WIDTH = 200
@@ -48,7 +48,9 @@ GRAM = 64
 WINDOW_GRAMS = WIDTH - GRAM + 1
 # Bytes hashed at once; bytes of regions in one suffix array; regions of an anchor sorted in one task.
 STEP_BYTES = 1 << 18
-ARRAY_BYTES = 1 << 19
+ARRAY_BYTES = 1 << 18
+# Bytes of texts (packed ones too) taken from an Arrow batch at a time.
+TAKEN_BYTES = 1 << 20
 SPLIT_OVER = 8192
 
 # What is to be done with a region: remove it; compare it, the region having copies or none (MANY: its anchor has very many).
@@ -247,14 +249,19 @@ def _batch(**columns) -> pa.RecordBatch:
                                       names=list(columns))
 
 
-def _grams(batches):
+def _taken(batches, column: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        yield from row_slices(batch, TAKEN_BYTES, column)
+
+
+def _grams(batches):
+    for batch in _taken(batches, "text"):
         for found in regions(list(text_bytes(batch))):
             yield _batch(gram=found.gram.view(np.int64))
 
 
 def _all_regions(batches):
-    for batch in batches:
+    for batch in _taken(batches, "text"):
         rid = batch.column("rid").to_numpy()
         for found in regions(list(text_bytes(batch))):
             yield _batch(gram=found.gram.view(np.int64), region=found.region.view(np.int64), rid=rid[found.text],
@@ -264,7 +271,7 @@ def _all_regions(batches):
 def _stored(batches):
     """Texts that can hold a repeat travel compressed; the others are done."""
     pack = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in _taken(batches, "text"):
         own = list(text_bytes(batch))
         yield _batch(rid=batch.column("rid"), doc_id=batch.column("doc_id"), n_bytes=[len(t) for t in own],
                      sha256=[hashlib.sha256(t).hexdigest() for t in own],
@@ -306,7 +313,7 @@ def _verified(text: bytes, todo: pa.Array) -> tuple[np.ndarray, ...]:
 def _half(batches):
     """Whole-region spans applied; texts with regions still to be compared go on."""
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in _taken(batches, "packed"):
         todo, packed = batch.column("todo"), batch.column("packed")
         n = batch.num_rows
         sha, spans, asks = batch.column("sha256").to_pylist(), [b""] * n, [None] * n
@@ -333,7 +340,7 @@ def _half(batches):
 def _asked(batches):
     """The bytes of each region to be compared."""
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in _taken(batches, "packed"):
         for rid, asks, packed in zip(*(batch.column(c).to_pylist() for c in ("rid", "asks", "packed"))):
             text = unpack.decompress(packed)
             kind, gram, start, end = np.frombuffer(asks, np.int64).reshape(-1, 4).T
@@ -383,7 +390,7 @@ def _windows(batches):
 
 def _final(batches):
     unpack = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in _taken(batches, "packed"):
         sha, spans = batch.column("sha256").to_pylist(), batch.column("spans").to_pylist()
         more, packed = batch.column("more"), batch.column("packed")
         for i in range(batch.num_rows):
