@@ -353,13 +353,17 @@ def _sorted_groups(batches):
     def found(held: list[pa.Table]):
         table = pa.concat_tables(held)
         kind, rid, start = (table.column(c).to_numpy() for c in ("kind", "rid", "start"))
-        out = []
+        out = [np.empty((0, 2), np.int64)]
         for length, member, offset in repeat_groups(table.column("bytes").to_pylist()):
-            out.append(np.stack([member, start[member] + offset, np.full(len(member), length)], 1))
-        if out:
-            rows = np.concatenate(out)
-            rows = rows[kind[rows[:, 0]] == ASK_SINGLE]  # the others are removed as whole regions
-            yield _batch(rid=rid[rows[:, 0]], start=rows[:, 1], end=rows[:, 1] + rows[:, 2])
+            own = kind[member] == ASK_SINGLE  # the others are removed as whole regions
+            at = (member[own] << SIZE_BITS) + offset[own]
+            out.append(np.stack([at, at + length], 1))
+        # Intervals lie within one another: what is removed of a region is their union.
+        runs = _unions(np.concatenate(out))
+        if len(runs):
+            member = runs[:, 0] >> SIZE_BITS
+            shift = start[member] - (member << SIZE_BITS)
+            yield _batch(rid=rid[member], start=runs[:, 0] + shift, end=runs[:, 1] + shift)
 
     held, size, last = [], 0, None
     for batch in batches:
