@@ -17,12 +17,12 @@ import numpy as np
 
 BLANK = r"[^\S\x1c-\x1f]"
 BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.match(BLANK, c))
-UNIT = re.compile(rf"{BLANK}*[\S\x1c-\x1f]+|{BLANK}+")
+UNIT = re.compile(rf"{BLANK}*+[\S\x1c-\x1f]++|{BLANK}++")
 # A place where a unit surely ends: before a blank that follows another character.
 SEAM = re.compile(rf"(?<=[\S\x1c-\x1f])(?={BLANK})")
 
 # Units kept per worker, and the longest that is kept: bounds the memory of the table.
-KEPT_UNITS = 500_000
+KEPT_UNITS = 600_000
 LONGEST_KEPT = 48
 
 
@@ -46,17 +46,17 @@ class UnitIds:
         """The ids of each text."""
         parted = [UNIT.findall(t) for t in texts]
         kept = self.kept
-        new = {u for units in parted for u in units if u not in kept}
+        every = set().union(*parted)
+        new = every.difference(kept)
         if len(kept) + len(new) > KEPT_UNITS:
             kept.clear()
-            new = {u for units in parted for u in units}
+            new = every
         self._add(new)
         out = [np.frombuffer(b"".join(map(kept.__getitem__, units)), np.int32) for units in parted]
         if len(kept) > KEPT_UNITS:
             kept.clear()
-        for u in new:
-            if len(u) > LONGEST_KEPT:
-                kept.pop(u, None)
+        for u in [u for u in new if len(u) > LONGEST_KEPT]:
+            kept.pop(u, None)
         return out
 
     def _add(self, new: set[str]) -> None:
