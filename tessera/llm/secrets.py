@@ -220,7 +220,7 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[sec
     Texts without spans stay as they are, null ones too.
     """
     names = docs.columns
-    found = scan(docs, rules)
+    found = scan(docs.withColumnRenamed("secrets", "__own_secrets"), rules)  # a column of that name is kept
     cut = F.aggregate(
         "secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
@@ -233,7 +233,7 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[sec
     new = found.withColumn("__text", F.when(changed, cut).otherwise(F.col("text")))
     columns = [F.col("__text").alias("text") if n == "text" else
                F.when(changed, F.length("__text")).otherwise(F.col(n)).cast(docs.schema[n].dataType).alias(n)
-               if n == "n_chars" else F.col(n) for n in names]
+               if n == "n_chars" else F.col("__own_secrets" if n == "secrets" else n).alias(n) for n in names]
     return new.select(*columns)
 
 
