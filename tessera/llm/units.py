@@ -21,9 +21,8 @@ UNIT = re.compile(rf"{BLANK}*+[\S\x1c-\x1f]++|{BLANK}++")
 # A place where a unit surely ends: before a blank that follows another character.
 SEAM = re.compile(rf"(?<=[\S\x1c-\x1f])(?={BLANK})")
 
-# Units kept per worker (those of a slice of texts come on top), and the longest that is kept: bounds the
-# memory of the tables.
-KEPT_UNITS = 400_000
+# Units kept per worker, and the longest that is kept: bounds the memory of the table.
+KEPT_UNITS = 600_000
 LONGEST_KEPT = 48
 
 
@@ -41,23 +40,23 @@ class UnitIds:
     def __init__(self, encode_batch: Callable[[list[str]], Iterable[list[int]]], lengths: np.ndarray):
         self.encode_batch = encode_batch
         self.lengths = lengths
-        self.kept: dict[str, bytes] = {}  # the younger half of the units
-        self.older: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         parted = [UNIT.findall(t) for t in texts]
-        kept, older = self.kept, self.older
-        new = set().union(*parted).difference(kept)
-        again = new.intersection(older)
-        kept.update(zip(again, map(older.__getitem__, again)))
-        new -= again
+        kept = self.kept
+        every = set().union(*parted)
+        new = every.difference(kept)
+        if len(kept) + len(new) > KEPT_UNITS:
+            kept.clear()
+            new = every
         self._add(new)
         out = [np.frombuffer(b"".join(map(kept.__getitem__, units)), np.int32) for units in parted]
+        if len(kept) > KEPT_UNITS:
+            kept.clear()
         for u in [u for u in new if len(u) > LONGEST_KEPT]:
             kept.pop(u, None)
-        if len(kept) > KEPT_UNITS // 2:  # what was in no text since is given up
-            self.kept, self.older = {}, kept
         return out
 
     def _add(self, new: set[str]) -> None:
