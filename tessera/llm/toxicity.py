@@ -8,7 +8,9 @@ feature's value is its log-count ratio between toxic and other training texts
 The fit reads a bounded sample of the labelled rows: at most
 ``SAMPLE_PER_CLASS`` rows of either label, chosen by a hash of the id. Spark
 selects them, cuts their n-grams in tasks and sends those buckets, not texts,
-to the driver. The weights (4 MB whatever the input) are broadcast; scoring is
+to the driver. A label with more rows is sampled at a lower rate; the intercept
+takes the two rates back, so that scores follow the labels' real share whatever
+the bound. The weights (4 MB whatever the input) are broadcast; scoring is
 one pass over all rows without a shuffle.
 """
 
@@ -64,20 +66,32 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def training_labels(labels: DataFrame, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """(doc_id, y) of the sampled training rows: ``per_class`` of each label at most.
+def usable_labels(labels: DataFrame, label: str = "toxic") -> DataFrame:
+    """(doc_id, y) of all training rows.
 
     Held-out ids, null ids and null labels are left out; an id labelled twice
     counts once, with its larger label.
     """
-    usable = (labels.select("doc_id", F.col(label).cast("int").alias("y"))
-              .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
-              .groupBy("doc_id").agg(F.max("y").alias("y")))
+    return (labels.select("doc_id", F.col(label).cast("int").alias("y"))
+            .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
+            .groupBy("doc_id").agg(F.max("y").alias("y")))
+
+
+def training_labels(labels: DataFrame, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """(doc_id, y) of the sampled training rows: ``per_class`` of each label at most."""
+    usable = usable_labels(labels, label)
     order = (F.xxhash64(F.lit("sample"), "doc_id"), F.col("doc_id"))
     return (usable.where("y = 1").orderBy(*order).limit(per_class)
             .unionAll(usable.where("y = 0").orderBy(*order).limit(per_class)))
 
 
+def share_shift(labels: DataFrame, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> float:
+    """Log odds of label 1 among all training rows less those among the sampled ones."""
+    rows = {r.y: r["count"] for r in usable_labels(labels, label).groupBy("y").count().collect()}
+    thinned = {y: np.log(max(1.0, rows.get(y, 0) / per_class)) for y in (0, 1)}
+    return float(thinned[1] - thinned[0])
+
+
 def _sampled_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         grams = [np.unique(ngram_buckets(t)) for t in texts(batch)]
@@ -91,15 +105,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     sample = F.broadcast(training_labels(labels, "toxic", per_class))  # 2 * per_class rows at most
     chosen = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "y")
     rows = mapped(chosen, _sampled_buckets, "y int, buckets binary").collect()
-    return fit_buckets([np.frombuffer(r.buckets, np.int32) for r in rows], np.array([r.y for r in rows], float))
+    return fit_buckets([np.frombuffer(r.buckets, np.int32) for r in rows], np.array([r.y for r in rows], float),
+                       share_shift(labels, "toxic", per_class))
 
 
-def fit_buckets(grams: list[np.ndarray], y: np.ndarray) -> Model:
+def fit_buckets(grams: list[np.ndarray], y: np.ndarray, shift: float = 0.0) -> Model:
+    """Fit on sampled rows; ``shift`` takes the intercept from their odds to those of all rows."""
     size = 1 << BITS
     n, positive = len(y), float(y.sum())
     if not 0 < positive < n:
-        share = (positive + 0.5) / (n + 1) if n else 1e-3
-        return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
+        share, shift = ((positive + 0.5) / (n + 1), shift) if n else (1e-3, 0.0)
+        return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))) + shift)
     counts = np.zeros((2, size), np.int32)
     for own, label in zip(grams, y):
         counts[int(label), own] += 1  # a text has each bucket once
@@ -122,7 +138,7 @@ def fit_buckets(grams: list[np.ndarray], y: np.ndarray) -> Model:
         w -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
     weights = np.zeros(size, np.float32)
     weights[used] = w[:m] * scale
-    return Model(weights, float(w[m]))
+    return Model(weights, float(w[m]) + shift)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,9 +1,11 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from llm_helpers import SF0001, documents, nothing, odd  # noqa: F401
 from tessera.llm import quality as Q
 from tessera.llm import queries as K
 from tessera.llm import toxicity as X
+from tessera.llm.common import held_out as held_out_id
 
 
 
@@ -26,6 +28,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert auc(y, s) > 0.9 and (y == p).mean() > 0.94 and s.between(0, 1).all()
 
 
+def test_toxicity_follows_the_real_share_when_both_labels_are_sampled(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    model = X.fit(docs, labels, per_class=300)  # 352 toxic and 2803 other training rows
+    assert np.isclose(X.share_shift(labels, per_class=300), np.log(352 / 2803))
+    assert X.share_shift(labels, per_class=5000) == 0
+    got = X.score(docs.join(labels.select("doc_id", "toxic"), "doc_id").where(held_out_id(F.col("doc_id"))), model).toPandas()
+    y, s = got["toxic"], got["toxicity"]
+    assert auc(y, s) > 0.9 and abs(s.mean() - y.mean()) < 0.04
+    assert (s[y == 0] >= 0.5).mean() < 0.03
+
+
 def test_quality_on_held_out_rows(spark):
     y, s, p = held_out(spark, "op9_quality", "quality")
     assert auc(y, s) > 0.95 and (y == p).mean() > 0.93 and s.between(0, 1).all()
