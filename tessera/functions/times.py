@@ -26,9 +26,10 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-ISO = r"^\s*\d{4}-"
-DAY_FIRST = r"^(\d{2})/(\d{2})/(\d{2}) (0[1-9]|1[0-2]):(\d{2}):(\d{2}) ([AP])M$"
-DAY_FIRST_FRACTION = r"^(\d{2})/(\d{2})/(\d{2}) (0[1-9]|1[0-2]):(\d{2}):(\d{2}),(\d{9}) ([AP])M$"
+# What Spark's own reader takes for these formats: the half-day mark in either case, one to nine
+# digits where nine S stand, no second 60, nothing after the mark (``$`` would let a line end pass).
+DAY_FIRST = r"^(\d{2})/(\d{2})/(\d{2}) (0[1-9]|1[0-2]):(\d{2}):([0-5]\d) ([AaPp])[Mm]\z"
+DAY_FIRST_FRACTION = r"^(\d{2})/(\d{2})/(\d{2}) (0[1-9]|1[0-2]):(\d{2}):([0-5]\d),(\d{1,9}) ([AaPp])[Mm]\z"
 
 
 def _day_first(text: Column, pattern: str, fraction: bool) -> Column:
@@ -39,7 +40,7 @@ def _day_first(text: Column, pattern: str, fraction: bool) -> Column:
     seconds = F.regexp_extract(text, pattern, 6)
     if fraction:
         seconds = F.concat(seconds, F.lit("."), F.left(F.regexp_extract(text, pattern, 7), F.lit(6)))
-    half = F.regexp_extract(text, pattern, 8 if fraction else 7)
+    half = F.upper(F.regexp_extract(text, pattern, 8 if fraction else 7))
     hour = part(4) % 12 + F.when(half == "P", 12).otherwise(0)
     return F.try_make_timestamp_ntz(F.lit(2000) + part(3), part(2), part(1), hour, part(5),
                                     seconds.try_cast("decimal(8,6)"))
@@ -49,15 +50,16 @@ def parse_any(c, formats=LAW_A_FORMATS) -> Column:
     """Wall-clock time of a text in one of the formats; null for any other text.
 
     No two kinds of format fit the same text (ISO texts begin with the year,
-    the others with the day), so the text's shape picks the one parser to run,
-    and none of them passes through an instant of the session's time zone.
+    the others with the day), so the text's shape picks the one parser to run:
+    whatever is not day-first goes to the default parser. None of them passes
+    through an instant of the session's time zone.
     """
     text = _c(c).cast("string")
-    out = F.when(text.rlike(ISO), text.try_cast("timestamp_ntz"))
-    if any(f and "SSSSSSSSS" in f for f in formats):
-        out = out.when(text.rlike(DAY_FIRST_FRACTION), _day_first(text, DAY_FIRST_FRACTION, True))
+    out = text.try_cast("timestamp_ntz")
     if "dd/MM/yy hh:mm:ss a" in formats:
-        out = out.when(text.rlike(DAY_FIRST), _day_first(text, DAY_FIRST, False))
+        out = F.when(text.rlike(DAY_FIRST), _day_first(text, DAY_FIRST, False)).otherwise(out)
+    if any(f and "SSSSSSSSS" in f for f in formats):
+        out = F.when(text.rlike(DAY_FIRST_FRACTION), _day_first(text, DAY_FIRST_FRACTION, True)).otherwise(out)
     return out
 
 

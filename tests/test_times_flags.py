@@ -1,6 +1,7 @@
 import datetime as dt
 
 from conftest import one
+from pyspark.sql import functions as F
 from tessera.functions import flags as FL
 from tessera.functions import times as TM
 
@@ -39,6 +40,34 @@ def test_day_first_nine_digit_fraction_kept_to_micros(spark):
                    dt.datetime(2024, 1, 5, 13, 4, 5, 500000)]
 
 
+def test_every_text_that_sparks_own_formats_take(spark):
+    day = ["10/03/24 02:30:00 pm", "10/03/24 02:30:00 Pm", "10/03/24 12:00:00 am", "10/03/24 02:30:60 AM",
+           "10/03/24 02:30:00 AM\n"]
+    fraction = ["10/03/24 02:30:00,123456789 am", "10/03/24 02:30:00,123 Am", "10/03/24 02:30:00,1 PM",
+                "10/03/24 02:30:00, PM", "10/03/24 02:30:59,1234567891 PM"]
+    iso = ["2024", " 2024 ", "2024-03", "2024-3-1", "+2024-01-01", "2024-03-10 02:30:60", "bad", ""]
+    half_past = dt.datetime(2024, 3, 10, 14, 30)
+    want = [half_past, half_past, dt.datetime(2024, 3, 10), None, None,
+            dt.datetime(2024, 3, 10, 2, 30, 0, 123456), dt.datetime(2024, 3, 10, 2, 30, 0, 123000),
+            dt.datetime(2024, 3, 10, 14, 30, 0, 100000), None, None,
+            dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 1),
+            dt.datetime(2024, 1, 1), None, None, None]
+    df = frame(spark, day + fraction + iso)
+    assert one(df.select(TM.parse_any("v", TM.DAY_FIRST_FORMATS).alias("t")), "t") == want
+    for formats in (TM.LAW_A_FORMATS, TM.FORM_FORMATS):  # these have no fraction of a day-first text
+        assert one(df.select(TM.parse_any("v", formats).alias("t")), "t") == want[:5] + [None] * 5 + want[10:]
+    zoned = frame(spark, ["2024-03-10 02:30:00 America/New_York"])  # a zone's slash is no day-first text
+    assert one(zoned.select(TM.parse_any("v").alias("t")), "t") == [dt.datetime(2024, 3, 10, 2, 30)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        for formats in (TM.LAW_A_FORMATS, TM.FORM_FORMATS, TM.DAY_FIRST_FORMATS):
+            own = F.coalesce(*[F.try_to_timestamp("v", F.lit(f)) if f else F.try_to_timestamp("v") for f in formats])
+            assert df.where(~TM.parse_any("v", formats).eqNullSafe(own.cast("timestamp_ntz"))).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_result_type_is_wall_clock(spark):
     df = frame(spark, ["2024-03-10 02:30:00"]).select(TM.parse_any("v").alias("t"))
     assert dict(df.dtypes)["t"] == "timestamp_ntz"
