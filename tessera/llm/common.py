@@ -63,6 +63,12 @@ def row_key(doc_id: Column, text: Column) -> Column:
                           F.when(text.isNull(), F.lit("\x00null")).otherwise(F.concat(F.lit("\x00="), text))))
 
 
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """The small ``sample``'s columns (``doc_id`` among them) and ``text``: one row per id, its smallest text."""
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return found.groupBy(*sample.columns).agg(F.min("text").alias("text"))
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The batch's texts; null is the empty text."""
     return [t if t is not None else "" for t in batch.column(column).to_pylist()]

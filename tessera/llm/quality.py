@@ -12,7 +12,8 @@ A document is pooled to the mean and the spread of its words' context vectors
 (scaled to unit length). A network of two layers in numpy turns these into a
 logit, and a temperature fitted on rows that the network did not see divides it
 before the logistic function. The fit reads at most ``SAMPLE`` labelled rows,
-chosen by a hash of the id; only their pooled vectors come to the driver.
+chosen by a hash of the id, one row of each id (that of the smallest text);
+only their pooled vectors come to the driver.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import held_out, mapped, text_bytes
+from .common import held_out, mapped, sampled_texts, text_bytes
 from .words import SAME, WORDS_AND_MARKS, mixed, words
 
 BUCKETS = 1 << 14
@@ -219,9 +220,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 [batch.column("place"), batch.column("y"), pa.array([r.tobytes() for r in x], pa.binary())],
                 names=["place", "y", "x"])
 
-    chosen = F.broadcast(training_labels(labels, rows=sample))  # ``sample`` rows at most
-    rows = mapped(docs.select("doc_id", "text").join(chosen, "doc_id").select("place", "y", "text"),
-                  features, "place long, y int, x binary").collect()
+    chosen = sampled_texts(docs, training_labels(labels, rows=sample))  # ``sample`` rows at most
+    rows = mapped(chosen.select("place", "y", "text"), features, "place long, y int, x binary").collect()
     rows.sort(key=lambda r: (r.place, r.x))
     x = np.array([np.frombuffer(r.x, np.float64) for r in rows]).reshape(len(rows), 2 * SIZE)
     return Model(vectors, fit_network(x, np.array([r.y for r in rows], float)))

@@ -6,9 +6,10 @@ feature's value is its log-count ratio between toxic and other training texts
 (Wang & Manning 2012); a logistic regression on these values gives the score.
 
 The fit reads a bounded sample of the labelled rows: at most
-``SAMPLE_PER_CLASS`` rows of either label, chosen by a hash of the id. Spark
-selects them, cuts their n-grams in tasks and sends those buckets, not texts,
-to the driver. A label with more rows is sampled at a lower rate; the intercept
+``SAMPLE_PER_CLASS`` rows of either label, chosen by a hash of the id, one row
+of each id (that of the smallest text). Spark selects them, cuts their n-grams
+in tasks and counts the texts of each label that have a bucket; of a text, the
+driver gets the buckets of the features chosen by these counts. A label with more rows is sampled at a lower rate; the intercept
 takes the two rates back, so that scores follow the labels' real share whatever
 the bound. The weights (4 MB whatever the input) are broadcast; scoring is
 one pass over all rows without a shuffle.
@@ -25,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import held_out, mapped, texts
+from .common import checkpointed, held_out, mapped, sampled_texts, texts
 
 LENGTHS = (3, 4, 5)
 BITS = 20
 # Bound of the fit: labelled rows of each class.
 SAMPLE_PER_CLASS = 1500
 # A feature is used if it occurs in so many sampled texts (and this share) and its ratio is this far from even.
+SLICE = 1 << 14  # buckets whose counts travel together
 LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO = 5, 0.003, 1.0
 RIDGE, STEPS, RATE = 1e-3, 200, 0.05
 REJECT_AT = 0.5
@@ -100,33 +102,81 @@ def _sampled_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             names=["y", "buckets"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Fit on the sampled training rows. With no row of either label, every score is the other's share."""
-    sample = F.broadcast(training_labels(labels, "toxic", per_class))  # 2 * per_class rows at most
-    chosen = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "y")
-    rows = mapped(chosen, _sampled_buckets, "y int, buckets binary").collect()
-    return fit_buckets([np.frombuffer(r.buckets, np.int32) for r in rows], np.array([r.y for r in rows], float),
-                       share_shift(labels, "toxic", per_class))
+def bucket_counts(rows: DataFrame) -> np.ndarray:
+    """For each label, how many of ``rows`` (y, buckets) have each bucket."""
+    def shares(batches):
+        counts = np.zeros((2, 1 << BITS), np.int32)
+        for batch in batches:
+            for y, own in zip(batch.column("y").to_pylist(), batch.column("buckets")):
+                counts[y, np.frombuffer(own.as_py(), np.int32)] += 1  # a text has each bucket once
+        for y in (0, 1):
+            for k, part in enumerate(counts[y].reshape(-1, SLICE)):
+                some = np.flatnonzero(part)
+                if len(some):
+                    yield pa.RecordBatch.from_pydict({
+                        "y": pa.array([y], pa.int32()), "slice": pa.array([k], pa.int32()),
+                        "places": [some.astype(np.int32).tobytes()], "counts": [part[some].tobytes()]})
+
+    def added(batches):
+        total: dict[tuple[int, int], np.ndarray] = {}  # as many slices at most as there are keys
+        for batch in batches:
+            for y, k, places, counts in zip(*(batch.column(c).to_pylist() for c in ("y", "slice", "places", "counts"))):
+                held = total.setdefault((y, k), np.zeros(SLICE, np.int32))
+                held[np.frombuffer(places, np.int32)] += np.frombuffer(counts, np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in total], pa.int32()),
+                                          pa.array([k for _, k in total], pa.int32()),
+                                          pa.array([v.tobytes() for v in total.values()], pa.binary())],
+                                         names=["y", "slice", "counts"])
+
+    dealt = mapped(rows, shares, "y int, slice int, places binary, counts binary").repartition("y", "slice")
+    out = np.zeros((2, (1 << BITS) // SLICE, SLICE), np.int32)
+    for r in mapped(dealt, added, "y int, slice int, counts binary").collect():  # 8 MB at most
+        out[r.y, r.slice] = np.frombuffer(r.counts, np.int32)
+    return out.reshape(2, -1)
+
+
+def chosen_features(counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which buckets the fit uses, and the log-count ratio of every bucket, from ``n`` texts."""
+    in_other, in_toxic = counts
+    size = len(in_other)
+    ratio = (np.log((in_toxic + 1) / (in_toxic.sum() + size))
+             - np.log((in_other + 1) / (in_other.sum() + size)))
+    return (in_toxic + in_other >= max(LEAST_TEXTS, LEAST_SHARE * n)) & (np.abs(ratio) >= LEAST_RATIO), ratio
 
 
-def fit_buckets(grams: list[np.ndarray], y: np.ndarray, shift: float = 0.0) -> Model:
-    """Fit on sampled rows; ``shift`` takes the intercept from their odds to those of all rows."""
-    size = 1 << BITS
-    n, positive = len(y), float(y.sum())
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
+    """Fit on the sampled training rows. With no row of either label, every score is the other's share."""
+    chosen = sampled_texts(docs, training_labels(labels, "toxic", per_class))  # 2 * per_class rows at most
+    rows = checkpointed(mapped(chosen.select("text", "y"), _sampled_buckets, "y int, buckets binary"))
+    seen = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    n, positive, size = sum(seen.values()), seen.get(1, 0), 1 << BITS
+    shift = share_shift(labels, "toxic", per_class)
     if not 0 < positive < n:
         share, shift = ((positive + 0.5) / (n + 1), shift) if n else (1e-3, 0.0)
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))) + shift)
-    counts = np.zeros((2, size), np.int32)
-    for own, label in zip(grams, y):
-        counts[int(label), own] += 1  # a text has each bucket once
-    in_other, in_toxic = counts
-    ratio = (np.log((in_toxic + 1) / (in_toxic.sum() + size))
-             - np.log((in_other + 1) / (in_other.sum() + size)))
-    used = (in_toxic + in_other >= max(LEAST_TEXTS, LEAST_SHARE * n)) & (np.abs(ratio) >= LEAST_RATIO)
-    grams = [own[used[own]] for own in grams]
-    col = (np.cumsum(used) - 1)[np.concatenate(grams)]
-    row = np.repeat(np.arange(n), [len(own) for own in grams])
-    scale, m = ratio[used], int(used.sum())
+    used, ratio = chosen_features(bucket_counts(rows), n)
+    shared = docs.sparkSession.sparkContext.broadcast(used)
+
+    def features(batches):
+        for batch in batches:
+            owns = [np.frombuffer(b.as_py(), np.int32) for b in batch.column("buckets")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("y"), pa.array([own[shared.value[own]].tobytes() for own in owns], pa.binary())],
+                names=["y", "buckets"])
+
+    found = mapped(rows, features, "y int, buckets binary").collect()
+    number = np.cumsum(used) - 1  # of each used bucket
+    w = fit_ratios([number[np.frombuffer(r.buckets, np.int32)] for r in found], np.array([r.y for r in found], float), ratio[used])
+    weights = np.zeros(size, np.float32)
+    weights[used] = w[:-1] * ratio[used]
+    return Model(weights, float(w[-1]) + shift)
+
+
+def fit_ratios(features: list[np.ndarray], y: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Coefficient of each feature, then the intercept of the sampled rows' odds."""
+    n, m = len(y), len(scale)
+    col = np.concatenate(features)
+    row = np.repeat(np.arange(n), [len(own) for own in features])
     w = np.zeros(m + 1)
     first, second = np.zeros(m + 1), np.zeros(m + 1)
     for step in range(1, STEPS + 1):
@@ -136,9 +186,7 @@ def fit_buckets(grams: list[np.ndarray], y: np.ndarray, shift: float = 0.0) -> M
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
         w -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    weights = np.zeros(size, np.float32)
-    weights[used] = w[:m] * scale
-    return Model(weights, float(w[m]) + shift)
+    return w
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -89,6 +89,31 @@ def test_twice_labelled_and_held_out_ids(spark):
     assert rows.get(2, 1) == 1 and X.training_labels(labels, per_class=3).count() == 6
 
 
+def test_an_id_with_many_rows_counts_once(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF0001}/labels.parquet")
+    toxic = X.training_labels(labels).where("y = 1").orderBy("doc_id").limit(1).select("doc_id")
+    later = docs.join(toxic, "doc_id").crossJoin(spark.range(300)).select(
+        "doc_id", F.concat("text", F.lit(" more "), F.col("id").cast("string")).alias("text"))
+    many = docs.unionAll(later)
+    assert later.count() == 300
+    a, b = X.fit(docs, labels), X.fit(many, labels)
+    assert np.allclose(a.weights, b.weights, atol=1e-4) and np.isclose(a.intercept, b.intercept, atol=1e-4)
+    vectors = Q.context_vectors(docs)
+    monkeypatch.setattr(Q, "context_vectors", lambda _: vectors)
+    a, b = Q.fit(docs, labels).network, Q.fit(many, labels).network
+    assert np.allclose(a.centre, b.centre) and np.allclose(a.w1, b.w1, atol=1e-4)
+
+
+def test_bucket_counts_are_those_of_the_texts(spark):
+    rows = [(i % 3 % 2, np.unique(X.ngram_buckets(f"text {i} of {i * i}")).astype(np.int32)) for i in range(60)]
+    want = np.zeros((2, 1 << X.BITS), np.int64)
+    for y, own in rows:
+        want[y, own] += 1
+    frame = spark.createDataFrame([(y, bytearray(own.tobytes())) for y, own in rows], "y int, buckets binary")
+    assert (X.bucket_counts(frame.repartition(4)) == want).all()
+
+
 def test_contexts_are_the_same_for_any_partitioning(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
     a, b = Q.context_vectors(docs.repartition(1)), Q.context_vectors(docs.repartition(7))
