@@ -9,7 +9,8 @@ numbers, so any sequence's slot is known without sorting or a shuffle table.
 
 Shard s holds the slots from s * ``per_shard`` on, each record of the same
 number of bytes, so slot n is read at a computed offset and training resumes at
-any slot by reading shards in order. Ids are stored once, as two bytes each;
+any slot by reading shards in order. Ids are stored once, as two bytes each, so
+a vocabulary that reaches the end-of-text id is refused;
 the numbering needs one number per input partition, and one shuffle deals the
 documents' pieces to ranges of slots, where Spark sorts them and each shard is
 put together by itself. Shards are rows of a Parquet table: Spark commits a
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import STEP_BYTES, VOCABULARY, tokenizer
+from .bpe import STEP_BYTES, VOCABULARY, read_ranks, tokenizer
 from .common import checkpointed, mapped, text_slices
 from .words import mixed
 
@@ -82,9 +83,13 @@ def token_table(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     ``start`` counts the ids before it in its partition. Stored in the
     checkpoint folder, so numbering and shards see one and the same table.
-    Null and empty texts have the end-of-text id only.
+    Null and empty texts have the end-of-text id only. A vocabulary with ids
+    from the end-of-text id on raises ValueError: they would wrap or be taken for it.
     """
     path = path or public_tokenizers.path(VOCABULARY)
+    largest = max(read_ranks(path).values(), default=-1)
+    if largest >= END_OF_TEXT:
+        raise ValueError(f"{path}: ids go up to {largest}, shards hold ids below {END_OF_TEXT}")
     slim = docs.select("doc_id", "text")
     end = np.array([END_OF_TEXT], "<u2").tobytes()
 

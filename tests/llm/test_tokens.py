@@ -1,8 +1,10 @@
+import base64
 import hashlib
 import random
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -117,3 +119,13 @@ def test_shards_hold_the_stream_in_training_order(spark, tmp_path):
         assert bpe.tokenizer(PATH).decode(np.frombuffer(r.ids, "<u2")[:-1]) == texts[r.doc_id].encode()
     part = shards.read_slots(spark, folder, 30, 90).orderBy("slot").collect()  # resume anywhere
     assert [r.slot for r in part] == list(range(30, 120)) and (np.array([r.ids for r in part]) == slots[30:120]).all()
+
+
+@pytest.mark.parametrize("last", [shards.END_OF_TEXT, 70_000])
+def test_shards_refuse_ids_that_do_not_fit(spark, tmp_path, last):
+    path = str(tmp_path / "wide.tiktoken")
+    with open(path, "wb") as out:
+        for i, b in enumerate(range(256)):
+            out.write(base64.b64encode(bytes([b])) + b" %d\n" % (last if i == 255 else i))
+    with pytest.raises(ValueError, match=str(last)):
+        shards.shards(documents(spark, [(1, "a text")]), path=path)
