@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from .common import mapped, text_slices
-from .units import UnitIds
+from .common import mapped, row_slices, texts
+from .splice import Splicer
+from .units import UnitIds, text_buffers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Bytes of text encoded at once by a task.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 22
 
 
 def byte_characters() -> dict[int, str]:
@@ -65,13 +66,18 @@ class ByteBpe:
         for spelling, i in vocabulary.items():
             self.bytes_of[i] = bytes(back[c] for c in spelling)
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
+        splicer = Splicer(self.model)
         self.units = UnitIds(lambda batch: (e.ids for e in self.model.encode_batch_fast(batch, add_special_tokens=False)),
-                             self.lengths)
+                             self.lengths, encode_long=lambda text: np.concatenate(list(splicer.ids(text))))
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         return self.units.ids(batch)
 
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of an Arrow column, one after the other, and where each text's begin (and the last's end)."""
+        return self.units.encoded(*text_buffers(column))
+
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
@@ -98,7 +104,10 @@ def encoded(docs: DataFrame, path: str | None = None, offsets: bool = False) ->
     """(doc_id, n_tokens, ids, decoded) per row; ``decoded`` has the bytes that the ids decode to.
 
     With ``offsets`` also ``starts`` and ``ends``, the tokens' character
-    offsets. Null and empty texts have no tokens.
+    offsets. Null and empty texts have no tokens, repeated rows a row each; an
+    empty table gives no rows, other columns don't matter, whatever their names.
+    Texts are encoded as a whole, a stretch of over 64 KB without a sure cut in
+    spliced chunks (see ``splice``).
     """
     path = path or public_tokenizers.path(VOCABULARY)
     slim = docs.select("doc_id", "text")
@@ -108,20 +117,20 @@ def encoded(docs: DataFrame, path: str | None = None, offsets: bool = False) ->
     if offsets:
         fields += [StructField("starts", numbers), StructField("ends", numbers)]
 
-    def arrays(parts: list[np.ndarray]) -> pa.Array:
-        bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([*parts, []]).astype(np.int32)))
+    def listed(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
 
     def rows(batches):
         model = tokenizer(path)
         for batch in batches:
-            for part, own in text_slices(batch, STEP_BYTES):
-                ids = model.encode(own)
-                columns = [part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                           arrays(ids), pa.array([model.decode(x) for x in ids], pa.binary())]
+            for part in row_slices(batch, STEP_BYTES):
+                ids, bounds = model.encode_column(part.column("text"))
+                own = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                columns = [part.column("doc_id"), pa.array(np.diff(bounds)), listed(bounds, ids),
+                           pa.array([model.decode(x) for x in own], pa.binary())]
                 if offsets:
-                    places = [model.offsets(t, x) for t, x in zip(own, ids)]
-                    columns += [arrays([p[0] for p in places]), arrays([p[1] for p in places])]
+                    places = [model.offsets(t, x) for t, x in zip(texts(part), own)]
+                    columns += [listed(bounds, np.concatenate([*(p[k] for p in places), ids[:0]])) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
     return mapped(slim, rows, StructType(fields))

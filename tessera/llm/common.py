@@ -98,9 +98,3 @@ def row_slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Itera
         total += size
     if start < len(sizes):
         yield batch.slice(start)
-
-
-def text_slices(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batch by the bytes of its texts, each with these texts; null is empty."""
-    for part in row_slices(batch, limit):
-        yield part, texts(part)

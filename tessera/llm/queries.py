@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, quality, secrets, shards, simhash, suffix_dedup, token_counts, toxicity
+from . import bpe, decontaminate, embeddings, packing, quality, secrets, shards, simhash, suffix_dedup, token_counts, toxicity
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@register()
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(read(spark, sf_dir, "documents"))

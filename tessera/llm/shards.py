@@ -1,18 +1,18 @@
 """Token-id output in training order: fixed-stride shards by a keyed permutation.
 
-Every document's ids and an end-of-text id form one stream, in the order of the
-stored token table; sequence i is the stream's i-th run of ``length`` ids (the
-last one is filled up with end-of-text ids). A Feistel network keyed by the
-seed permutes the next power of four; cycle-walking (applying it again while
-the value is no sequence number) makes it a permutation of the sequence
-numbers, so any sequence's slot is known without sorting or a shuffle table.
+Every document's ids and an end-of-text id form one stream, in a stable order
+that does not depend on how the table is partitioned (see ``stream``); sequence
+i is the stream's i-th run of ``length`` ids (the last one is filled up with
+end-of-text ids). A Feistel network keyed by the seed permutes the next power
+of four; cycle-walking (applying it again while the value is no sequence
+number) makes it a permutation of the sequence numbers, so any sequence's slot
+is known without sorting or a shuffle table.
 
 Shard s holds the slots from s * ``per_shard`` on, each record of the same
 number of bytes, so slot n is read at a computed offset and training resumes at
-any slot by reading shards in order. Ids are stored once, as two bytes each, so
-a vocabulary that reaches the end-of-text id is refused;
-the numbering needs one number per input partition, and one shuffle deals the
-documents' pieces to ranges of slots, where Spark sorts them and each shard is
+any slot by reading shards in order. Ids take two bytes each, so a vocabulary
+that reaches the end-of-text id is refused; one shuffle deals the documents'
+pieces, compressed, to ranges of slots, where Spark sorts them and each shard is
 put together by itself. Shards are rows of a Parquet table: Spark commits a
 task's shards at once, so lost executors leave no partial ones.
 """
@@ -25,12 +25,13 @@ from dataclasses import dataclass
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import STEP_BYTES, VOCABULARY, read_ranks, tokenizer
-from .common import checkpointed, mapped, text_slices
+from .bpe import VOCABULARY, read_ranks, tokenizer
+from .common import mapped
+from .stream import Stream, token_stream
 from .words import mixed
 
 END_OF_TEXT = 50_256
@@ -78,78 +79,60 @@ class Permutation:
         return self._walk(slot, True)
 
 
-def token_table(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, part, start, n, ids): each row's ids as two bytes each, end-of-text id included.
+def stream(docs: DataFrame, path: str | None = None) -> Stream:
+    """The token stream of ``docs``, an end-of-text id after each row's ids.
 
-    ``start`` counts the ids before it in its partition. Stored in the
-    checkpoint folder, so numbering and shards see one and the same table.
-    Null and empty texts have the end-of-text id only. A vocabulary with ids
-    from the end-of-text id on raises ValueError: they would wrap or be taken for it.
+    A vocabulary with ids from the end-of-text id on raises ValueError: they
+    would wrap or be taken for it.
     """
     path = path or public_tokenizers.path(VOCABULARY)
     largest = max(read_ranks(path).values(), default=-1)
     if largest >= END_OF_TEXT:
         raise ValueError(f"{path}: ids go up to {largest}, shards hold ids below {END_OF_TEXT}")
-    slim = docs.select("doc_id", "text")
-    end = np.array([END_OF_TEXT], "<u2").tobytes()
-
-    def rows(batches):
-        part, start = TaskContext.get().partitionId(), 0
-        model = tokenizer(path)
-        for batch in batches:
-            for piece, own in text_slices(batch, STEP_BYTES):
-                ids = model.encode(own)
-                n = np.array([len(x) + 1 for x in ids], np.int64)
-                starts = start + np.cumsum(n) - n
-                start += int(n.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(np.full(len(own), part, np.int32)), pa.array(starts),
-                     pa.array(n), pa.array([x.astype("<u2").tobytes() + end for x in ids], pa.binary())],
-                    names=["doc_id", "part", "start", "n", "ids"])
-
-    kind = dict(slim.dtypes)["doc_id"]
-    return checkpointed(mapped(slim, rows, f"doc_id {kind}, part int, start long, n long, ids binary"))
+    return token_stream(docs, lambda: tokenizer(path).encode_column, END_OF_TEXT, largest)
 
 
 def shards(docs: DataFrame, seed: int = 17, length: int = LENGTH, per_shard: int = PER_SHARD,
            path: str | None = None) -> DataFrame:
     """(shard, first_slot, n_sequences, n_tokens, stride, sha256, payload), one row per shard.
 
-    ``n_tokens`` leaves the filling out; ``stride`` is a record's bytes. No
-    documents, no shards.
+    ``n_tokens`` leaves the filling out; ``stride`` is a record's bytes. The
+    same rows, seed and sizes give the same shards, however the table is
+    partitioned. Null and empty texts have the end-of-text id only, a text of
+    any length goes on over as many sequences as it takes, repeated rows come as
+    often as they do, other columns don't matter. No documents, no shards.
     """
-    return shards_of(token_table(docs, path), seed, length, per_shard)
+    return shards_of(stream(docs, path), seed, length, per_shard)
 
 
-def shards_of(table: DataFrame, seed: int = 17, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
-    """The shards of a stored token table."""
-    totals = {r.part: r.n for r in table.groupBy("part").agg(F.sum("n").alias("n")).collect()}  # one per partition
-    before, total = {}, 0
-    for part in sorted(totals):
-        before[part] = total
-        total += totals[part]
-    sequences = -(-total // length)
+def shards_of(source: Stream, seed: int = 17, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
+    """The shards of a stored token stream."""
+    places = source.places
+    sequences = -(-places.total // length)
     order = Permutation(sequences, seed)
 
     def pieces(batches):
+        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         for batch in batches:
-            first = np.array([before[p] for p in batch.column("part").to_pylist()], np.int64) + batch.column("start").to_numpy()
-            n = batch.column("n").to_numpy()
+            first, n = places.firsts(batch), batch.column("n").to_numpy()
             sequence = first // length
             count = (first + n - 1) // length - sequence + 1
             row = np.repeat(np.arange(len(n)), count)
             own = sequence[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             begin = np.maximum(own * length, first[row])
             end = np.minimum((own + 1) * length, (first + n)[row])
-            data = batch.column("ids")
-            cut = [data[r].as_buffer()[a:b] for r, a, b in
-                   zip(row.tolist(), (2 * (begin - first[row])).tolist(), (2 * (end - first[row])).tolist())]
+            cut, held, data = [], -1, None
+            for r, a, b in zip(row.tolist(), (begin - first[row]).tolist(), (end - first[row]).tolist()):
+                if r != held:
+                    held, data = r, places.unpacked(batch.column("ids")[r].as_py(), unpack)
+                cut.append(pack.compress(data[a:b].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(order.slot(own)), pa.array((begin - own * length).astype(np.int32)),
-                 pa.array([c.to_pybytes() for c in cut], pa.binary())], names=["slot", "place", "ids"])
+                 pa.array(cut, pa.binary())], names=["slot", "place", "ids"])
 
     def written(batches):
         held, payload, used = None, None, 0
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             columns = [batch.column(c) for c in ("slot", "place", "ids")]
             for slot, place, ids in zip(columns[0].to_pylist(), columns[1].to_pylist(), columns[2]):
@@ -158,7 +141,7 @@ def shards_of(table: DataFrame, seed: int = 17, length: int = LENGTH, per_shard:
                         yield record(held, payload, used)
                     held, used = slot // per_shard, 0
                     payload = np.full(min(per_shard, sequences - held * per_shard) * length, END_OF_TEXT, "<u2")
-                own = np.frombuffer(ids.as_buffer(), "<u2")
+                own = places.unpacked(ids.as_py(), unpack)
                 at = (slot - held * per_shard) * length + place
                 payload[at:at + len(own)] = own
                 used += len(own)
@@ -173,8 +156,8 @@ def shards_of(table: DataFrame, seed: int = 17, length: int = LENGTH, per_shard:
             "sha256": [hashlib.sha256(data).hexdigest()], "payload": [data]})
 
     n_shards = max(1, -(-sequences // per_shard))
-    parts = min(n_shards, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = mapped(table.select("part", "start", "n", "ids"), pieces, "slot long, place int, ids binary")
+    parts = min(n_shards, int(source.table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = mapped(source.table.select("part", "start", "n", "ids"), pieces, "slot long, place int, ids binary")
     ranges = dealt.repartitionById(parts, F.expr(f"cast((slot div {per_shard}) * {parts} div {n_shards} as int)"))
     return mapped(ranges.sortWithinPartitions("slot", "place"), written,
                   "shard long, first_slot long, n_sequences long, n_tokens long, stride int, sha256 string, payload binary")

@@ -1,78 +1,248 @@
-"""Token ids of texts by way of their distinct units.
-
-A unit is a run of blanks and the run of other characters after it. The
-tokenizers used here split a text by a pattern none of whose pieces goes on
-from a non-blank character to a blank one, and what it does after such a place
-depends on the text from there on only. So the units' ids, one after the other,
-are the text's ids. Blank means blank to every engine involved: Python's
-``str.isspace`` less the four separators U+001C to U+001F.
+"""Token ids of texts by way of their distinct units, over the bytes of Arrow batches.
+
+A unit is a stretch of a text between two sure cuts. The pattern of the byte-level
+tokenizers used here matches runs of letters, of digits or of other characters,
+each with one space before it at most, runs of blanks, and an apostrophe with
+some letters after it. So a match surely begins
+
+- at a blank after a character that is none,
+- after a letter, at a character that is none; after a digit likewise,
+- after another character (an apostrophe aside), at a letter or digit,
+
+and what the tokenizer does from there on depends on the text from there on
+only. The ids of the units, one after the other, are the text's ids. Cuts are
+taken only beside ASCII characters and blanks, and never within the spelling of
+a special token that the tokenizer looks for.
+
+Distinct units of a batch are found by Arrow's dictionary encoding, those met
+before are looked up, and the others go to the library, many joined to one text.
+The ids of kept units lie in one flat array. When the table is full, the units
+that the latest batches did not need make room.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-BLANK = r"[^\S\x1c-\x1f]"
-BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.match(BLANK, c))
-UNIT = re.compile(rf"{BLANK}*+[\S\x1c-\x1f]++|{BLANK}++")
-# A place where a unit surely ends: before a blank that follows another character.
-SEAM = re.compile(rf"(?<=[\S\x1c-\x1f])(?={BLANK})")
-
-# Units kept per worker, and the longest that is kept: bounds the memory of the table.
-KEPT_UNITS = 600_000
+# Units kept per worker, and the longest that is kept (bytes): bounds the memory of the table.
+KEPT_UNITS = 1_000_000
 LONGEST_KEPT = 48
+# New units encoded as one text (each begins with a blank, so each begins a unit there too).
+JOINED = 256
+# Occurrences of units looked up at once; units of more bytes are encoded in chunks.
+STEP_UNITS = 1 << 18
+LONG_UNIT = 1 << 16
 
+BLANK, LETTER, DIGIT, OTHER, WIDE = 1, 2, 3, 4, 5
+ASCII_BLANKS = b"\t\n\x0b\x0c\r "
+
+
+def _classes() -> np.ndarray:
+    """Class of each byte; the separators U+001C to U+001F, which engines see differently, have none."""
+    out = np.zeros(256, np.uint8)
+    for b in range(128):
+        c = chr(b)
+        if b not in range(0x1C, 0x20):
+            out[b] = BLANK if b in ASCII_BLANKS else LETTER if c.isalpha() else DIGIT if c.isdigit() else OTHER
+    out[128:] = WIDE
+    return out
+
+
+CLASSES = _classes()
+
+
+def cut_table(fine: bool = True, blanks: bytes = ASCII_BLANKS) -> np.ndarray:
+    """For each pair of bytes: 1 if a unit begins at the second, 2 if the character before has to be looked at.
+
+    Without ``fine`` units begin at the given blanks only.
+    """
+    before, after = CLASSES[:, None], CLASSES[None, :]
+    blank = np.isin(np.arange(256), list(blanks))[None, :]
+    out = (blank & np.isin(before, (LETTER, DIGIT, OTHER))).astype(np.uint8)
+    if fine:
+        out |= (before == LETTER) & np.isin(after, (DIGIT, OTHER))
+        out |= (before == DIGIT) & np.isin(after, (LETTER, OTHER))
+        out |= (before == OTHER) & (after == DIGIT)
+        out |= (before == OTHER) & (after == LETTER) & (np.arange(256)[:, None] != ord("'"))
+    out[(before == WIDE) & blank] = 2
+    return out.reshape(-1)
 
-# New units encoded as one text (they begin with a blank, so each begins a unit there too).
-JOINED = 256
+
+# Last bytes of the blanks beyond ASCII, by their first two or one.
+WIDE_BLANKS = np.array(sorted(int.from_bytes(chr(c).encode().rjust(3, b"\0"), "big") for c in
+                              [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
+def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a batch's texts, one after the other, and where each begins (and the last ends); null is empty."""
+    column = pc.fill_null(column, "") if column.null_count else column
+    if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+        kind = np.int64
+    else:
+        kind = np.int32
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, kind, len(column) + 1, column.offset * kind().itemsize).astype(np.int64)
+    size = int(bounds[-1] - bounds[0])
+    held = np.frombuffer(data, np.uint8, size, int(bounds[0])) if size else np.empty(0, np.uint8)
+    return held, bounds - bounds[0]
+
+
+def buffers(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    return text_buffers(pa.array(texts, pa.string()))
+
+
+def starts(data: np.ndarray, bounds: np.ndarray, table: np.ndarray, special: re.Pattern | None = None) -> np.ndarray:
+    """Where units begin; the first byte of each text that isn't empty does."""
+    n = len(data)
+    mark = np.zeros(n + 1, bool)
+    if n > 1:
+        found = table[(data[:-1].astype(np.uint16) << np.uint16(8)) | data[1:]]
+        mark[1:n] = found == 1
+        look = np.flatnonzero(found == 2) + 1
+        if len(look):
+            two = data[look - 1].astype(np.int64) | data[np.maximum(look - 2, 0)].astype(np.int64) << 8
+            three = two | data[np.maximum(look - 3, 0)].astype(np.int64) << 16
+            wide = np.isin(three, WIDE_BLANKS) | ((two >> 8 == 0xC2) & np.isin(two, WIDE_BLANKS))
+            mark[look[~wide]] = True
+    if special is not None:
+        for m in special.finditer(data):
+            mark[m.start() + 1:m.end()] = False
+    mark[bounds[:-1][np.diff(bounds) > 0]] = True
+    return np.flatnonzero(mark[:n])
+
+
+def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers first[i], first[i] + 1, ... (count[i] of them) of each i, one after the other."""
+    ends = np.cumsum(count)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(first - (ends - count), count) + np.arange(total)
 
 
 class UnitIds:
     """Ids of texts; distinct units are encoded once and kept for the worker's next batches.
 
     ``encode_batch`` gives the ids of each of some texts, ``lengths`` the bytes
-    of each id's token.
+    of each id's token, ``special`` the spellings that the tokenizer looks for
+    before anything else, ``encode_long`` the ids of a text of any length.
     """
 
-    def __init__(self, encode_batch: Callable[[list[str]], Iterable[list[int]]], lengths: np.ndarray):
-        self.encode_batch = encode_batch
+    def __init__(self, encode_batch: Callable[[list[str]], Iterable[list[int]]], lengths: np.ndarray,
+                 special: Sequence[str] = (), encode_long: Callable[[str], np.ndarray] | None = None):
+        self.encode_batch, self.encode_long = encode_batch, encode_long
         self.lengths = lengths
-        self.kept: dict[str, bytes] = {}
+        self.table = cut_table()
+        self.special = re.compile(b"|".join(re.escape(s.encode()) for s in special)) if special else None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.kept: dict[bytes, int] = {}
+        self.begins = np.zeros(1, np.int64)  # of each kept unit's ids, and the end of the last
+        self.flat = np.empty(0, np.int32)
+        self.used = np.empty(0, np.int64)  # the latest step that met each unit
+        self.step = 0
+
+    def encoded(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts in ``data``, one after the other, and where each text's begin (and the last's end)."""
+        at = starts(data, bounds, self.table, self.special)
+        ids, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for s in range(0, len(at), STEP_UNITS):
+            own = at[s:s + STEP_UNITS + 1]
+            if s + STEP_UNITS >= len(at):
+                own = np.append(at[s:], len(data))
+            part, n = self._step(data[own[0]:own[-1]], own - own[0])
+            ids.append(part)
+            counts.append(n)
+        before = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        return np.concatenate(ids), before[np.searchsorted(at, bounds)]
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def ids(self, texts: Sequence[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        parted = [UNIT.findall(t) for t in texts]
-        kept = self.kept
-        every = set().union(*parted)
-        new = every.difference(kept)
-        if len(kept) + len(new) > KEPT_UNITS:
-            kept.clear()
-            new = every
-        self._add(new)
-        out = [np.frombuffer(b"".join(map(kept.__getitem__, units)), np.int32) for units in parted]
-        if len(kept) > KEPT_UNITS:
-            kept.clear()
-        for u in [u for u in new if len(u) > LONGEST_KEPT]:
-            kept.pop(u, None)
-        return out
-
-    def _add(self, new: set[str]) -> None:
-        inner = [u for u in new if u[0] in BLANKS and u[-1] not in BLANKS]
-        groups = [inner[i:i + JOINED] for i in range(0, len(inner), JOINED)]
-        for units, ids in zip(groups, self.encode_batch(["".join(g) for g in groups])):
-            packed = np.array(ids, np.int32)
-            token_ends = np.cumsum(self.lengths[packed])
-            data = np.frombuffer("".join(units).encode(), np.uint8)
-            characters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-            unit_ends = characters[np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))]
-            cuts = np.searchsorted(token_ends, unit_ends) + 1
-            if not np.array_equal(token_ends[cuts - 1], unit_ends):
+        flat, bounds = self.encoded(*buffers(texts))
+        return [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+    def _step(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the units between ``bounds``, one after the other, and how many each has."""
+        every = pa.Array.from_buffers(pa.binary(), len(bounds) - 1,
+                                      [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = every.dictionary_encode()
+        occurring = coded.indices.to_numpy()
+        units = coded.dictionary.to_pylist()
+        self.step += 1
+        place = np.fromiter(map(self.kept.get, units, repeat(-1)), np.int64, len(units))
+        fresh = np.flatnonzero(place < 0)
+        n_kept = len(self.kept)
+        self.used[place[place >= 0]] = self.step
+        new_ids, new_counts = self._new([units[i] for i in fresh.tolist()])
+        place[fresh] = n_kept + np.arange(len(fresh))
+        begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(new_counts)])
+        flat = np.concatenate([self.flat[:self.begins[-1]], new_ids])
+        count = np.diff(begins)[place]
+        out = flat[spread(begins[place][occurring], count[occurring])]
+        self._keep(units, fresh, begins, flat)
+        return out, count[occurring]
+
+    def _keep(self, units: list[bytes], fresh: np.ndarray, begins: np.ndarray, flat: np.ndarray) -> None:
+        """Add this step's new units to the table; drop those not needed for longest if it is full."""
+        n_kept = len(self.kept)
+        added = [units[i] for i in fresh.tolist()]
+        if max(map(len, added), default=0) > LONGEST_KEPT:
+            small = np.fromiter((len(u) <= LONGEST_KEPT for u in added), bool, len(added))
+            keep = np.concatenate([np.arange(n_kept), n_kept + np.flatnonzero(small)])
+            count = np.diff(begins)[keep]
+            flat = flat[spread(begins[keep], count)]
+            begins = np.concatenate([[0], np.cumsum(count)])
+            added = [u for u in added if len(u) <= LONGEST_KEPT]
+        self.kept.update(zip(added, range(n_kept, n_kept + len(added))))
+        self.begins, self.flat = begins, flat
+        self.used = np.concatenate([self.used, np.full(len(added), self.step)])
+        if len(self.kept) > KEPT_UNITS:
+            # The half used last stays.
+            keep = np.sort(np.argsort(-self.used, kind="stable")[:KEPT_UNITS // 2])
+            count = np.diff(begins)[keep]
+            self.flat = flat[spread(begins[keep], count)]
+            self.begins = np.concatenate([[0], np.cumsum(count)])
+            self.used = self.used[keep]
+            names = list(self.kept)  # in order of their places
+            self.kept = {names[i]: j for j, i in enumerate(keep.tolist())}
+
+    def _new(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units, one after the other, and how many each has."""
+        count = np.zeros(len(units), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []  # (unit numbers, their ids one after the other)
+        long = [i for i, u in enumerate(units) if len(u) > LONG_UNIT]
+        held = set(long)
+        inner = [i for i, u in enumerate(units) if u[0] in ASCII_BLANKS and u[-1] < 128 and u[-1] not in ASCII_BLANKS
+                 and i not in held]
+        held.update(inner)
+        others = [i for i in range(len(units)) if i not in held]
+        if inner:
+            groups = [inner[i:i + JOINED] for i in range(0, len(inner), JOINED)]
+            joined = [b"".join([units[i] for i in g]).decode() for g in groups]
+            ids = np.concatenate([np.array(x, np.int32) for x in self.encode_batch(joined)])
+            ends = np.cumsum(self.lengths[ids])
+            unit_ends = np.cumsum(np.fromiter(map(len, map(units.__getitem__, inner)), np.int64, len(inner)))
+            cuts = np.searchsorted(ends, unit_ends) + 1
+            if cuts[-1] != len(ids) or not np.array_equal(ends[cuts - 1], unit_ends):
                 raise ValueError("the tokenizer joined units")
-            stored, bounds = packed.tobytes(), [0, *(4 * cuts).tolist()]
-            self.kept.update(zip(units, map(stored.__getitem__, map(slice, bounds, bounds[1:]))))
-        others = list(new.difference(inner))
-        for u, ids in zip(others, self.encode_batch(others)):
-            self.kept[u] = np.array(ids, np.int32).tobytes()
+            count[inner] = np.diff(cuts, prepend=0)
+            parts.append((np.array(inner), ids))
+        if others:
+            found = [np.array(x, np.int32) for x in self.encode_batch([units[i].decode() for i in others])]
+            count[others] = [len(x) for x in found]
+            parts.append((np.array(others), np.concatenate(found)))
+        for i in long:
+            text = units[i].decode()
+            found = self.encode_long(text) if self.encode_long else np.array(next(iter(self.encode_batch([text]))), np.int32)
+            count[i] = len(found)
+            parts.append((np.array([i]), np.asarray(found, np.int32)))
+        begins = np.cumsum(count) - count
+        out = np.empty(int(count.sum()), np.int32)
+        for rows, ids in parts:
+            out[spread(begins[rows], count[rows])] = ids
+        return out, count

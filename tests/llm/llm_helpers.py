@@ -19,7 +19,7 @@ def documents(spark, rows):
 
 
 ODD_ROWS = [(1, None), (2, ""), (3, "   \n"), (4, "one"), (4, "one"), (None, "one two three four five six"),
-            (5, "x" * 30_000), (6, "word " * 8_000), (7, "Ünï çødé 漢字 😀 !?"), (8, "one two three four five six")]
+            (5, "x" * 30_000), (6, "word " * 8_000), (9, "long text, " * 7_000), (7, "Ünï çødé 漢字 😀 !?"), (8, "one two three four five six")]
 
 
 @pytest.fixture(scope="session")

@@ -4,12 +4,13 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from llm_helpers import SF0001, documents, nothing, odd  # noqa: F401
-from tessera.llm import bpe, shards, token_counts
+from llm_helpers import ODD_ROWS, SF0001, documents, nothing, odd  # noqa: F401
+from tessera.llm import bpe, shards, token_counts, units
 from tessera.llm import queries as K
 
 PATH = P.path(bpe.VOCABULARY)
@@ -47,8 +48,8 @@ def test_offsets_are_the_librarys_and_split_characters_come_back():
 
 
 def test_kept_units_are_bounded(monkeypatch):
-    from tessera.llm import units
     monkeypatch.setattr(units, "KEPT_UNITS", 20)
+    monkeypatch.setattr(units, "STEP_UNITS", 50)
     model = bpe.ByteBpe(bpe.read_ranks(PATH))
     batch = odd_texts(3, 300)
     for i in range(0, len(batch), 7):
@@ -60,11 +61,40 @@ def test_kept_units_are_bounded(monkeypatch):
 def test_long_counts_are_whole_counts():
     path = P.path(token_counts.VOCABULARY)
     whole = Tokenizer.from_file(path)
+    r = random.Random(0)
+    endless = ["".join(r.choices("abcdefgh"[:r.randint(1, 8)], k=900)) for _ in range(40)]
+    few = ["".join(r.choices(r.sample(PIECES, 3), k=400)) for _ in range(60)]
     for long, chunk, overlap in ((100, 40, 4), (50, 64, 1), (200, 33, 16)):
-        counter = token_counts.Counter(path, long, chunk, overlap)
-        batch = odd_texts(long, 200, 500) + ["x" * 900, " " * 700, "a " * 600, "é" * 300, "<|endoftext|>" * 40]
-        want = [len(whole.encode(t, add_special_tokens=False).ids) for t in batch]
-        assert counter.counts(batch) == want
+        own = token_counts.Encoder(path, long, chunk, overlap)
+        batch = odd_texts(long, 200, 500) + endless + few + [
+            "x" * 900, " " * 700, "\n " * 400, "a " * 600, "é" * 300, "漢字" * 300, "́" * 500, "<|endoftext|>" * 40,
+            "<|endoftext|" * 40, "'s" * 300, "!'" * 300]
+        want = [x.ids for x in whole.encode_batch(batch, add_special_tokens=False)]
+        assert own.counts(pa.array(batch)).tolist() == list(map(len, want))
+        for t, ids in zip(batch, want):
+            assert np.concatenate([*own.splicer.ids(t), []]).tolist() == ids
+
+
+def test_long_units_are_spliced(monkeypatch):
+    monkeypatch.setattr(units, "LONG_UNIT", 60)
+    model = bpe.ByteBpe(bpe.read_ranks(PATH))
+    batch = ["x" * 900, "漢字" * 300, "ab" * 200 + " c", "é" * 200]
+    assert [x.tolist() for x in model.encode(batch)] == [REFERENCE.encode_ordinary(t) for t in batch]
+
+
+@pytest.mark.parametrize("text", ["".join(chr(0x4E00 + i * 7919 % 20_000) for i in range(400_000)), "a" * 400_000])
+def test_texts_without_blanks_take_linear_work(text):
+    own = token_counts.Encoder(P.path(token_counts.VOCABULARY))
+    given = []
+    encode = own.splicer._tokens
+    own.splicer._tokens = lambda t, a, b: given.append(b - a) or encode(t, a, b)
+    assert own.counts(pa.array([text])).tolist() == [len(own.model.encode(text, add_special_tokens=False).ids)]
+    assert sum(given) < 1.2 * len(text) and max(given) < 2 * token_counts.CHUNK_CHARS
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        token_counts.Encoder(P.path("word_bpe_49k.json"))
 
 
 def test_query_digests(spark):
@@ -82,13 +112,16 @@ def test_query_digests(spark):
 
 def test_odd_rows(odd, nothing):
     rows = bpe.encoded(odd, offsets=True).collect()
-    assert len(rows) == 10 and {r.n_tokens for r in rows if r.doc_id in (1, 2)} == {0}
+    assert len(rows) == 11 and {r.n_tokens for r in rows if r.doc_id in (1, 2)} == {0}
     assert all(len(r.ids) == len(r.starts) == len(r.ends) == r.n_tokens for r in rows)
     counts = {r.doc_id: r for r in token_counts.token_counts(odd).collect()}
     assert counts[1].n_tokens == counts[2].n_bytes == 0 and counts[5].n_bytes == 30_000 and None in counts
+    long = ODD_ROWS[8][1]
+    assert len(long) > token_counts.LONG_CHARS
+    assert counts[9].n_tokens == len(Tokenizer.from_file(P.path(token_counts.VOCABULARY)).encode(long).ids)
     for frame in (bpe.encoded(nothing), token_counts.token_counts(nothing), shards.shards(nothing)):
         assert frame.count() == 0
-    assert sum(r.n_tokens for r in shards.shards(odd).collect()) == sum(r.n_tokens for r in rows) + 10
+    assert sum(r.n_tokens for r in shards.shards(odd).collect()) == sum(r.n_tokens for r in rows) + 11
 
 
 def test_permutation():
@@ -99,14 +132,20 @@ def test_permutation():
     assert (shards.Permutation(1000, 1).slot(np.arange(1000)) != shards.Permutation(1000, 2).slot(np.arange(1000))).any()
 
 
+def in_stream_order(rows):
+    """(doc_id, text) rows of distinct ids as the stream has them."""
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+
+
 def test_shards_hold_the_stream_in_training_order(spark, tmp_path):
-    docs = documents(spark, list(enumerate(odd_texts(4, 200)))).repartition(5)
-    table = shards.token_table(docs)
-    folder = str(tmp_path / "shards")
-    shards.shards_of(table, seed=9, length=16, per_shard=50).write.parquet(folder)
-    rows = spark.read.parquet(folder).orderBy("shard").collect()
-    stored = table.orderBy("part", "start").collect()
-    stream = np.concatenate([np.frombuffer(r.ids, "<u2") for r in stored])
+    texts = list(enumerate(odd_texts(4, 200)))
+    docs = documents(spark, texts)
+    folders = [str(tmp_path / f"shards{i}") for i in range(2)]
+    for folder, frame in zip(folders, (docs.repartition(5), docs.repartition(3, "text"))):
+        shards.write_shards(frame, folder, seed=9, length=16, per_shard=50)
+    rows, again = (spark.read.parquet(f).orderBy("shard").collect() for f in folders)
+    assert [r.payload for r in rows] == [r.payload for r in again]  # the input's partitions don't matter
+    stream = np.array([i for _, t in in_stream_order(texts) for i in [*REFERENCE.encode_ordinary(t), shards.END_OF_TEXT]])
     slots = np.concatenate([np.frombuffer(r.payload, "<u2").reshape(-1, 16) for r in rows])
     assert all(len(r.payload) == r.stride * r.n_sequences and r.first_slot == 50 * r.shard for r in rows)
     assert all(hashlib.sha256(r.payload).hexdigest() == r.sha256 for r in rows)
@@ -114,10 +153,7 @@ def test_shards_hold_the_stream_in_training_order(spark, tmp_path):
     back = slots[order].reshape(-1)
     assert (back[:len(stream)] == stream).all() and (back[len(stream):] == shards.END_OF_TEXT).all()
     assert sum(r.n_tokens for r in rows) == len(stream) and len(slots) == -(-len(stream) // 16)
-    texts = dict(enumerate(odd_texts(4, 200)))
-    for r in stored:
-        assert bpe.tokenizer(PATH).decode(np.frombuffer(r.ids, "<u2")[:-1]) == texts[r.doc_id].encode()
-    part = shards.read_slots(spark, folder, 30, 90).orderBy("slot").collect()  # resume anywhere
+    part = shards.read_slots(spark, folders[0], 30, 90).orderBy("slot").collect()  # resume anywhere
     assert [r.slot for r in part] == list(range(30, 120)) and (np.array([r.ids for r in part]) == slots[30:120]).all()
 
 
