@@ -15,9 +15,10 @@ taken only beside ASCII characters and blanks, and never within the spelling of
 a special token that the tokenizer looks for.
 
 Distinct units of a batch are found by Arrow's dictionary encoding, those met
-before are looked up, and the others go to the library, many joined to one text.
-The ids of kept units lie in one flat array. When the table is full, the units
-that the latest batches did not need make room.
+before are looked up by hash and compared, and the others go to the library, many
+joined to one text. Kept units lie in flat arrays of bytes, hashes and ids, some
+fifty bytes each. When the table is full, the units that the latest batches did
+not need make room.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Units kept per worker, and the longest that is kept (bytes): bounds the memory of the table.
-KEPT_UNITS = 1_000_000
+KEPT_UNITS = 800_000
 LONGEST_KEPT = 48
 # New units encoded as one text (each begins with a blank, so each begins a unit there too).
 JOINED = 256
+# Texts given to the library at once.
+AT_ONCE = 128
 # Occurrences of units looked up at once; units of more bytes are encoded in chunks.
 STEP_UNITS = 1 << 18
 LONG_UNIT = 1 << 16
@@ -124,6 +127,167 @@ def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(first - (ends - count), count) + np.arange(total)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+WORD_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def _words(data: np.ndarray, begin: np.ndarray, size: np.ndarray, at: int) -> np.ndarray:
+    """The bytes ``at`` to ``at`` + 7 of each stretch as one number; what lies beyond its end is zero.
+
+    ``data`` has eight bytes more than the stretches.
+    """
+    every = np.ndarray(max(len(data) - 7, 0), "<u8", np.ascontiguousarray(data), strides=(1,))
+    return every[begin + np.minimum(at, size)] & WORD_MASKS[np.clip(size - at, 0, 8)]
+
+
+def _padded(data: np.ndarray) -> np.ndarray:
+    return np.concatenate([data, np.zeros(8, np.uint8)])
+
+
+def binary_array(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1,
+                                 [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+class UnitTable:
+    """Distinct units met before, in flat arrays: where each one's bytes lie, its hash, and when it was last met.
+
+    Units are found by a 64-bit hash and then compared byte by byte; of two with
+    one hash only the first is kept. Entries are numbered; ``keep`` tells the
+    caller which of its own rows stay.
+    """
+
+    def __init__(self):
+        self.hashes = np.empty(0, np.uint64)  # in order
+        self.entries = np.empty(0, np.int64)  # the entry of each hash
+        self.begins, self.data = np.zeros(1, np.int64), _padded(np.empty(0, np.uint8))
+        self.used = np.empty(0, np.int64)
+        self.step = 0
+
+    def __len__(self) -> int:
+        return len(self.used)
+
+    def find(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entry of each of some distinct units (-1: none), and their hashes. ``data`` is padded."""
+        begin, size = bounds[:-1], np.diff(bounds)
+        small = np.flatnonzero(size <= LONGEST_KEPT)
+        hashes = np.zeros(len(size), np.uint64)
+        hashes[small] = size[small].astype(np.uint64)
+        for at in range(0, LONGEST_KEPT, 8):
+            own = small[size[small] > at]
+            hashes[own] = _mixed(hashes[own] * np.uint64(0x9E3779B97F4A7C15) + _words(data, begin[own], size[own], at))
+        place = np.full(len(size), -1, np.int64)
+        if len(self):
+            small = small[np.argsort(hashes[small])]
+            at = np.minimum(np.searchsorted(self.hashes, hashes[small]), len(self) - 1)
+            hit = self.hashes[at] == hashes[small]
+            place[small[hit]] = self.entries[at[hit]]
+            rows = np.flatnonzero(place >= 0)
+            kept = self.begins[place[rows]]
+            same = self.begins[place[rows] + 1] - kept == size[rows]
+            for w in range(0, LONGEST_KEPT, 8):
+                own = np.flatnonzero(same & (size[rows] > w))
+                same[own] = (_words(data, begin[rows[own]], size[rows[own]], w)
+                             == _words(self.data, kept[own], size[rows[own]], w))
+            place[rows[~same]] = -1
+        self.step += 1
+        self.used[place[place >= 0]] = self.step
+        return place, hashes
+
+    def add(self, data: np.ndarray, bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Adds units that ``find`` did not find; the numbers of those that became entries, in their order."""
+        size = np.diff(bounds)
+        new = np.flatnonzero(size <= LONGEST_KEPT)
+        new = new[np.sort(np.unique(hashes[new], return_index=True)[1])]
+        if len(self):
+            at = np.minimum(np.searchsorted(self.hashes, hashes[new]), len(self) - 1)
+            new = new[self.hashes[at] != hashes[new]]
+        self.data = _padded(np.concatenate([self.data[:self.begins[-1]], data[spread(bounds[:-1][new], size[new])]]))
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(size[new])])
+        joined = np.concatenate([self.hashes, hashes[new]])
+        order = np.argsort(joined, kind="stable")
+        self.hashes = joined[order]
+        self.entries = np.concatenate([self.entries, len(self) + np.arange(len(new))])[order]
+        self.used = np.concatenate([self.used, np.full(len(new), self.step)])
+        return new
+
+    def keep(self) -> np.ndarray | None:
+        """If the table is over full, its half used last stays: their former numbers, in the order of the new ones."""
+        if len(self) <= KEPT_UNITS:
+            return None
+        stay = np.sort(np.argsort(-self.used, kind="stable")[:KEPT_UNITS // 2])
+        number = np.full(len(self), -1, np.int64)
+        number[stay] = np.arange(len(stay))
+        entries = number[self.entries]
+        self.hashes, self.entries = self.hashes[entries >= 0], entries[entries >= 0]
+        size = np.diff(self.begins)[stay]
+        self.data = _padded(self.data[spread(self.begins[stay], size)])
+        self.begins = np.concatenate([[0], np.cumsum(size)])
+        self.used = self.used[stay]
+        return stay
+
+
+def steps(data: np.ndarray, at: np.ndarray):
+    """(bytes, bounds in them) of the units that begin at ``at``, some at a time."""
+    for s in range(0, len(at), STEP_UNITS):
+        own = at[s:s + STEP_UNITS + 1]
+        if s + STEP_UNITS >= len(at):
+            own = np.append(at[s:], len(data))
+        yield data[own[0]:own[-1]], own - own[0]
+
+
+def distinct_units(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ones of some units: their bytes (padded), bounds, and which of them each unit is."""
+    coded = binary_array(data, bounds).dictionary_encode()
+    own, own_bounds = text_buffers(coded.dictionary)
+    return _padded(own), own_bounds, coded.indices.to_numpy()
+
+
+def encoded_units(encode_batch: Callable[[list[str]], Iterable[list[int]]], lengths: np.ndarray, data: np.ndarray,
+                  bounds: np.ndarray, first: str = "") -> tuple[np.ndarray, np.ndarray]:
+    """The ids of units, one after the other, and how many each has.
+
+    Units that begin with a blank and end with none are joined to texts of
+    ``JOINED`` units each, whose ids are cut where the units end; the others are
+    encoded one by one. ``lengths`` has the bytes of each id's token. ``first``
+    is put before each text; its ids are left out.
+    """
+    size = np.diff(bounds)
+    n_first = len(first.encode())
+    last = data[bounds[1:] - 1]
+    inner = np.isin(data[bounds[:-1]], list(ASCII_BLANKS)) & (last < 128) & ~np.isin(last, list(ASCII_BLANKS))
+    order = np.concatenate([np.flatnonzero(inner), np.flatnonzero(~inner)])
+    n_inner = int(inner.sum())
+    moved = data[spread(bounds[order], size[order])]
+    ends = np.cumsum(size[order])
+    edges = np.concatenate([np.arange(0, n_inner, JOINED), np.arange(n_inner, len(order) + 1)])
+    at = np.concatenate([[0], ends])[edges]
+    raw = moved.tobytes()
+    batch = [first + raw[a:b].decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+    found = [np.array(x, np.int32) for i in range(0, len(batch), AT_ONCE) for x in encode_batch(batch[i:i + AT_ONCE])]
+    if first:
+        skip = [int(np.searchsorted(np.cumsum(lengths[x]), n_first)) + 1 for x in found]
+        if any(int(lengths[x[:k]].sum()) != n_first for x, k in zip(found, skip)):
+            raise ValueError("the tokenizer joined units")
+        found = [x[k:] for x, k in zip(found, skip)]
+    ids = np.concatenate([np.empty(0, np.int32), *found])
+    token_ends = np.cumsum(lengths[ids])
+    cuts = np.searchsorted(token_ends, ends) + 1
+    if len(ends) and (cuts[-1] != len(ids) or not np.array_equal(token_ends[cuts - 1], ends)):
+        raise ValueError("the tokenizer joined units")
+    count = np.empty(len(order), np.int64)
+    own = np.diff(cuts, prepend=0)
+    count[order] = own
+    begin = np.empty(len(order), np.int64)
+    begin[order] = cuts - own
+    return ids[spread(begin, count)], count
+
+
 class UnitIds:
     """Ids of texts; distinct units are encoded once and kept for the worker's next batches.
 
@@ -136,30 +300,17 @@ class UnitIds:
                  special: Sequence[str] = (), encode_long: Callable[[str], np.ndarray] | None = None):
         self.encode_batch, self.encode_long = encode_batch, encode_long
         self.lengths = lengths
-        self.table = cut_table()
+        self.cuts = cut_table()
         self.special = re.compile(b"|".join(re.escape(s.encode()) for s in special)) if special else None
-        self._clear()
-
-    def _clear(self) -> None:
-        self.kept: dict[bytes, int] = {}
-        self.begins = np.zeros(1, np.int64)  # of each kept unit's ids, and the end of the last
-        self.flat = np.empty(0, np.int32)
-        self.used = np.empty(0, np.int64)  # the latest step that met each unit
-        self.step = 0
+        self.kept = UnitTable()
+        self.begins, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)  # the kept units' ids
 
     def encoded(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts in ``data``, one after the other, and where each text's begin (and the last's end)."""
-        at = starts(data, bounds, self.table, self.special)
-        ids, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
-        for s in range(0, len(at), STEP_UNITS):
-            own = at[s:s + STEP_UNITS + 1]
-            if s + STEP_UNITS >= len(at):
-                own = np.append(at[s:], len(data))
-            part, n = self._step(data[own[0]:own[-1]], own - own[0])
-            ids.append(part)
-            counts.append(n)
-        before = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-        return np.concatenate(ids), before[np.searchsorted(at, bounds)]
+        at = starts(data, bounds, self.cuts, self.special)
+        found = [self._step(part, own) for part, own in steps(data, at)]
+        before = np.concatenate([[0], np.cumsum(np.concatenate([np.empty(0, np.int64), *(n for _, n in found)]))])
+        return np.concatenate([np.empty(0, np.int32), *(ids for ids, _ in found)]), before[np.searchsorted(at, bounds)]
 
     def ids(self, texts: Sequence[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -168,81 +319,42 @@ class UnitIds:
 
     def _step(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the units between ``bounds``, one after the other, and how many each has."""
-        every = pa.Array.from_buffers(pa.binary(), len(bounds) - 1,
-                                      [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
-        coded = every.dictionary_encode()
-        occurring = coded.indices.to_numpy()
-        units = coded.dictionary.to_pylist()
-        self.step += 1
-        place = np.fromiter(map(self.kept.get, units, repeat(-1)), np.int64, len(units))
+        data, bounds, occurring = distinct_units(data, bounds)
+        place, hashes = self.kept.find(data, bounds)
         fresh = np.flatnonzero(place < 0)
+        size = np.diff(bounds)[fresh]
+        new_data, new_bounds = _padded(data[spread(bounds[fresh], size)]), np.concatenate([[0], np.cumsum(size)])
+        new_ids, new_counts = self._new(new_data, new_bounds)
         n_kept = len(self.kept)
-        self.used[place[place >= 0]] = self.step
-        new_ids, new_counts = self._new([units[i] for i in fresh.tolist()])
         place[fresh] = n_kept + np.arange(len(fresh))
-        begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(new_counts)])
-        flat = np.concatenate([self.flat[:self.begins[-1]], new_ids])
+        new_begins = self.begins[-1] + np.cumsum(new_counts)
+        begins, flat = np.concatenate([self.begins, new_begins]), np.concatenate([self.flat, new_ids])
         count = np.diff(begins)[place]
         out = flat[spread(begins[place][occurring], count[occurring])]
-        self._keep(units, fresh, begins, flat)
+        added = self.kept.add(new_data, new_bounds, hashes[fresh])
+        stay = np.concatenate([np.arange(n_kept), n_kept + added]) if len(added) < len(fresh) else None
+        half = self.kept.keep()
+        if half is not None:
+            stay = half if stay is None else stay[half]
+        if stay is not None:
+            n = np.diff(begins)[stay]
+            begins, flat = np.concatenate([[0], np.cumsum(n)]), flat[spread(begins[stay], n)]
+        self.begins, self.flat = begins, flat
         return out, count[occurring]
 
-    def _keep(self, units: list[bytes], fresh: np.ndarray, begins: np.ndarray, flat: np.ndarray) -> None:
-        """Add this step's new units to the table; drop those not needed for longest if it is full."""
-        n_kept = len(self.kept)
-        added = [units[i] for i in fresh.tolist()]
-        if max(map(len, added), default=0) > LONGEST_KEPT:
-            small = np.fromiter((len(u) <= LONGEST_KEPT for u in added), bool, len(added))
-            keep = np.concatenate([np.arange(n_kept), n_kept + np.flatnonzero(small)])
-            count = np.diff(begins)[keep]
-            flat = flat[spread(begins[keep], count)]
-            begins = np.concatenate([[0], np.cumsum(count)])
-            added = [u for u in added if len(u) <= LONGEST_KEPT]
-        self.kept.update(zip(added, range(n_kept, n_kept + len(added))))
-        self.begins, self.flat = begins, flat
-        self.used = np.concatenate([self.used, np.full(len(added), self.step)])
-        if len(self.kept) > KEPT_UNITS:
-            # The half used last stays.
-            keep = np.sort(np.argsort(-self.used, kind="stable")[:KEPT_UNITS // 2])
-            count = np.diff(begins)[keep]
-            self.flat = flat[spread(begins[keep], count)]
-            self.begins = np.concatenate([[0], np.cumsum(count)])
-            self.used = self.used[keep]
-            names = list(self.kept)  # in order of their places
-            self.kept = {names[i]: j for j, i in enumerate(keep.tolist())}
-
-    def _new(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of units, one after the other, and how many each has."""
-        count = np.zeros(len(units), np.int64)
-        parts: list[tuple[np.ndarray, np.ndarray]] = []  # (unit numbers, their ids one after the other)
-        long = [i for i, u in enumerate(units) if len(u) > LONG_UNIT]
-        held = set(long)
-        inner = [i for i, u in enumerate(units) if u[0] in ASCII_BLANKS and u[-1] < 128 and u[-1] not in ASCII_BLANKS
-                 and i not in held]
-        held.update(inner)
-        others = [i for i in range(len(units)) if i not in held]
-        if inner:
-            groups = [inner[i:i + JOINED] for i in range(0, len(inner), JOINED)]
-            joined = [b"".join([units[i] for i in g]).decode() for g in groups]
-            ids = np.concatenate([np.array(x, np.int32) for x in self.encode_batch(joined)])
-            ends = np.cumsum(self.lengths[ids])
-            unit_ends = np.cumsum(np.fromiter(map(len, map(units.__getitem__, inner)), np.int64, len(inner)))
-            cuts = np.searchsorted(ends, unit_ends) + 1
-            if cuts[-1] != len(ids) or not np.array_equal(ends[cuts - 1], unit_ends):
-                raise ValueError("the tokenizer joined units")
-            count[inner] = np.diff(cuts, prepend=0)
-            parts.append((np.array(inner), ids))
-        if others:
-            found = [np.array(x, np.int32) for x in self.encode_batch([units[i].decode() for i in others])]
-            count[others] = [len(x) for x in found]
-            parts.append((np.array(others), np.concatenate(found)))
-        for i in long:
-            text = units[i].decode()
-            found = self.encode_long(text) if self.encode_long else np.array(next(iter(self.encode_batch([text]))), np.int32)
-            count[i] = len(found)
-            parts.append((np.array([i]), np.asarray(found, np.int32)))
-        begins = np.cumsum(count) - count
-        out = np.empty(int(count.sum()), np.int32)
-        for rows, ids in parts:
-            out[spread(begins[rows], count[rows])] = ids
-        return out, count
+    def _new(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units, one after the other, and how many each has; long ones by ``encode_long``."""
+        long = np.flatnonzero(np.diff(bounds) > LONG_UNIT) if self.encode_long else []
+        if not len(long):
+            return encoded_units(self.encode_batch, self.lengths, data, bounds)
+        ids, counts, edges = [], [], [-1, *long.tolist(), len(bounds) - 1]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if a >= 0:
+                ids.append(np.asarray(self.encode_long(data[bounds[a]:bounds[a + 1]].tobytes().decode()), np.int32))
+                counts.append([len(ids[-1])])
+            if a + 1 < b:
+                own = bounds[a + 1:b + 1]
+                part = encoded_units(self.encode_batch, self.lengths, data[own[0]:own[-1]], own - own[0])
+                ids.append(part[0])
+                counts.append(part[1])
+        return np.concatenate(ids), np.concatenate(counts).astype(np.int64)
