@@ -98,3 +98,22 @@ def row_slices(batch: pa.RecordBatch, limit: int, column: str = "text") -> Itera
         total += size
     if start < len(sizes):
         yield batch.slice(start)
+
+
+# Keys given to every task by join_totals: at most so many have over one in so many of all rows.
+HOT_KEYS = 1 << 10
+
+
+def join_totals(rows: DataFrame, totals: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` joined with ``totals`` (one row per key, ``n`` of them in ``rows``) on ``key``, which is never null.
+
+    Keys with over one in ``HOT_KEYS`` of all rows, fewer than ``HOT_KEYS`` of
+    them, are broadcast; the others are joined by a shuffle that none of them
+    makes uneven. ``rows`` is read twice, so it should be stored.
+    """
+    every = totals.agg(F.sum(n)).first()[0] or 0
+    hot = totals.where(F.col(n) * HOT_KEYS > every)
+    cold = totals.where(F.col(n) * HOT_KEYS <= every)
+    near = rows.join(F.broadcast(hot), key)
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return near.unionByName(far)

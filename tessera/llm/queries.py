@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, packing, quality, secrets, shards, simhash, suffix_dedup, token_counts, toxicity
+from . import alignment, bpe, decontaminate, embeddings, packing, quality, secrets, shards, simhash, suffix_dedup, token_counts, toxicity, vector_codes
 from .common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,16 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(read(spark, sf_dir, "documents"))
+
+
+@register(vector_codes.ORACLE)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes.vector_codes(read(spark, sf_dir, "embeddings"))
+    if found is None:
+        return spark.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
+    return found.rows.withColumn("codebooks_sha256", F.lit(found.sha256()))
+
+
+@register()
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.linked(read(spark, sf_dir, "documents"))

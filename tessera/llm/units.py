@@ -31,6 +31,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .words import mixed
+
 # Units kept per worker, and the longest that is kept (bytes): bounds the memory of the table.
 KEPT_UNITS = 800_000
 LONGEST_KEPT = 48
@@ -100,6 +102,13 @@ def buffers(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return text_buffers(pa.array(texts, pa.string()))
 
 
+def _after_wide_blank(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Whether a blank beyond ASCII ends at each place."""
+    two = data[places - 1].astype(np.int64) | data[np.maximum(places - 2, 0)].astype(np.int64) << 8
+    three = two | data[np.maximum(places - 3, 0)].astype(np.int64) << 16
+    return np.isin(three, WIDE_BLANKS) | ((two >> 8 == 0xC2) & np.isin(two, WIDE_BLANKS))
+
+
 def starts(data: np.ndarray, bounds: np.ndarray, table: np.ndarray, special: re.Pattern | None = None) -> np.ndarray:
     """Where units begin; the first byte of each text that isn't empty does."""
     n = len(data)
@@ -108,11 +117,7 @@ def starts(data: np.ndarray, bounds: np.ndarray, table: np.ndarray, special: re.
         found = table[(data[:-1].astype(np.uint16) << np.uint16(8)) | data[1:]]
         mark[1:n] = found == 1
         look = np.flatnonzero(found == 2) + 1
-        if len(look):
-            two = data[look - 1].astype(np.int64) | data[np.maximum(look - 2, 0)].astype(np.int64) << 8
-            three = two | data[np.maximum(look - 3, 0)].astype(np.int64) << 16
-            wide = np.isin(three, WIDE_BLANKS) | ((two >> 8 == 0xC2) & np.isin(two, WIDE_BLANKS))
-            mark[look[~wide]] = True
+        mark[look[~_after_wide_blank(data, look)]] = True
     if special is not None:
         for m in special.finditer(data):
             mark[m.start() + 1:m.end()] = False
@@ -127,12 +132,6 @@ def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(first - (ends - count), count) + np.arange(total)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 WORD_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
@@ -180,7 +179,7 @@ class UnitTable:
         hashes[small] = size[small].astype(np.uint64)
         for at in range(0, LONGEST_KEPT, 8):
             own = small[size[small] > at]
-            hashes[own] = _mixed(hashes[own] * np.uint64(0x9E3779B97F4A7C15) + _words(data, begin[own], size[own], at))
+            hashes[own] = mixed(hashes[own] * np.uint64(0x9E3779B97F4A7C15) + _words(data, begin[own], size[own], at))
         place = np.full(len(size), -1, np.int64)
         if len(self):
             small = small[np.argsort(hashes[small])]
@@ -259,8 +258,8 @@ def encoded_units(encode_batch: Callable[[list[str]], Iterable[list[int]]], leng
     """
     size = np.diff(bounds)
     n_first = len(first.encode())
-    last = data[bounds[1:] - 1]
-    inner = np.isin(data[bounds[:-1]], list(ASCII_BLANKS)) & (last < 128) & ~np.isin(last, list(ASCII_BLANKS))
+    inner = (np.isin(data[bounds[:-1]], list(ASCII_BLANKS)) & ~np.isin(CLASSES[data[bounds[1:] - 1]], (0, BLANK))
+             & ~_after_wide_blank(data, bounds[1:]))
     order = np.concatenate([np.flatnonzero(inner), np.flatnonzero(~inner)])
     n_inner = int(inner.sum())
     moved = data[spread(bounds[order], size[order])]
