@@ -27,13 +27,12 @@ from .common import checkpointed, mapped, row_slices
 STEP_BYTES = 1 << 22
 
 
-def ordered(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) in ranges of the stable order, each sorted."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select(F.col("doc_id"), F.col("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
-                        F.monotonically_increasing_id().alias("salt"))
+def ordered(rows: DataFrame) -> DataFrame:
+    """(doc_id, n, ids) of stored ``rows``, which have the hash ``h`` too, in ranges of the stable order, each sorted."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("salt")]
-    return keyed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("doc_id", "text")
+    salted = rows.withColumn("salt", F.monotonically_increasing_id())
+    return salted.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("doc_id", "n", "ids")
 
 
 @dataclass
@@ -76,26 +75,33 @@ def token_stream(docs: DataFrame, encode: Callable[[], Callable], end: int, larg
     come as often as they do; other columns don't matter, whatever their names.
     """
     kind = id_kind(max(end, largest))
-    slim = ordered(docs)
+    slim = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    id_type = dict(slim.dtypes)["doc_id"]
 
-    def rows(batches):
-        part, start = TaskContext.get().partitionId(), 0
+    def coded(batches):
         own, pack = encode(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for piece in row_slices(batch, STEP_BYTES):
                 ids, bounds = own(piece.column("text"))
-                n = np.diff(bounds) + 1
-                starts = start + np.cumsum(n) - n
-                start += int(n.sum())
                 with_end = np.insert(ids, bounds[1:], end).astype(kind)
                 bounds = bounds + np.arange(len(bounds))
                 data = [pack.compress(with_end[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(starts),
-                     pa.array(n), pa.array(data, pa.binary())], names=["doc_id", "part", "start", "n", "ids"])
+                    [piece.column("doc_id"), piece.column("h"), pa.array(np.diff(bounds)), pa.array(data, pa.binary())],
+                    names=["doc_id", "h", "n", "ids"])
 
-    id_type = dict(slim.dtypes)["doc_id"]
-    table = checkpointed(mapped(slim, rows, f"doc_id {id_type}, part int, start long, n long, ids binary"))
+    def placed(batches):
+        part, start = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            starts = start + np.cumsum(n) - n
+            start += int(n.sum())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(starts), *batch.columns[1:]],
+                names=["doc_id", "part", "start", "n", "ids"])
+
+    stored = checkpointed(mapped(slim, coded, f"doc_id {id_type}, h long, n long, ids binary"))
+    table = checkpointed(mapped(ordered(stored), placed, f"doc_id {id_type}, part int, start long, n long, ids binary"))
     totals = {r.part: r.n for r in table.groupBy("part").agg(F.sum("n").alias("n")).collect()}  # one per part
     before, total = {}, 0
     for part in sorted(totals):
