@@ -21,18 +21,49 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import checkpointed, mapped, row_slices
+from .units import text_buffers
 
 STEP_BYTES = 1 << 22
 
 
-def ordered(rows: DataFrame) -> DataFrame:
-    """(doc_id, n, ids) of stored ``rows``, which have the hash ``h`` too, in ranges of the stable order, each sorted."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def ordered(docs: DataFrame) -> DataFrame:
+    """(doc_id, packed) in ranges of the stable order, each sorted; ``packed`` is the text, compressed."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slim = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
+                       F.monotonically_increasing_id().alias("salt"))
+
+    def packed(batches):
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for piece in row_slices(batch, STEP_BYTES):
+                data, bounds = text_buffers(piece.column("text"))
+                edges = bounds.tolist()
+                own = [pack.compress(data[a:b]) for a, b in zip(edges, edges[1:])]
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(own, pa.binary()), *piece.columns[2:]],
+                                                 names=["doc_id", "packed", "h", "salt"])
+
+    rows = mapped(slim, packed, StructType([slim.schema["doc_id"], StructField("packed", BinaryType()),
+                                            slim.schema["h"], slim.schema["salt"]]))
     keys = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("salt")]
-    salted = rows.withColumn("salt", F.monotonically_increasing_id())
-    return salted.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("doc_id", "n", "ids")
+    return rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("doc_id", "packed")
+
+
+def unpacked_slices(batch: pa.RecordBatch):
+    """(rows, texts) of an ordered batch, some at a time."""
+    unpack = zstandard.ZstdDecompressor()
+    start, held, size = 0, [], 0
+    for i, data in enumerate(batch.column("packed")):
+        text = unpack.decompress(data.as_py())
+        if held and size + len(text) > STEP_BYTES:
+            yield batch.slice(start, len(held)), pa.array(held, pa.binary())
+            start, held, size = i, [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield batch.slice(start), pa.array(held, pa.binary())
 
 
 @dataclass
@@ -75,33 +106,26 @@ def token_stream(docs: DataFrame, encode: Callable[[], Callable], end: int, larg
     come as often as they do; other columns don't matter, whatever their names.
     """
     kind = id_kind(max(end, largest))
-    slim = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    slim = ordered(docs)
     id_type = dict(slim.dtypes)["doc_id"]
 
-    def coded(batches):
+    def rows(batches):
+        part, start = TaskContext.get().partitionId(), 0
         own, pack = encode(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for piece in row_slices(batch, STEP_BYTES):
-                ids, bounds = own(piece.column("text"))
+            for piece, texts in unpacked_slices(batch):
+                ids, bounds = own(texts)
                 with_end = np.insert(ids, bounds[1:], end).astype(kind)
                 bounds = bounds + np.arange(len(bounds))
+                n = np.diff(bounds)
+                starts = start + np.cumsum(n) - n
+                start += int(n.sum())
                 data = [pack.compress(with_end[a:b].tobytes()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), piece.column("h"), pa.array(np.diff(bounds)), pa.array(data, pa.binary())],
-                    names=["doc_id", "h", "n", "ids"])
+                    [piece.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(starts), pa.array(n),
+                     pa.array(data, pa.binary())], names=["doc_id", "part", "start", "n", "ids"])
 
-    def placed(batches):
-        part, start = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            n = batch.column("n").to_numpy()
-            starts = start + np.cumsum(n) - n
-            start += int(n.sum())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(starts), *batch.columns[1:]],
-                names=["doc_id", "part", "start", "n", "ids"])
-
-    stored = checkpointed(mapped(slim, coded, f"doc_id {id_type}, h long, n long, ids binary"))
-    table = checkpointed(mapped(ordered(stored), placed, f"doc_id {id_type}, part int, start long, n long, ids binary"))
+    table = checkpointed(mapped(slim, rows, f"doc_id {id_type}, part int, start long, n long, ids binary"))
     totals = {r.part: r.n for r in table.groupBy("part").agg(F.sum("n").alias("n")).collect()}  # one per part
     before, total = {}, 0
     for part in sorted(totals):

@@ -34,14 +34,14 @@ import pyarrow.compute as pc
 from .words import mixed
 
 # Units kept per worker, and the longest that is kept (bytes): bounds the memory of the table.
-KEPT_UNITS = 800_000
+KEPT_UNITS = 400_000
 LONGEST_KEPT = 48
 # New units encoded as one text (each begins with a blank, so each begins a unit there too).
 JOINED = 256
 # Texts given to the library at once.
 AT_ONCE = 128
 # Occurrences of units looked up at once; units of more bytes are encoded in chunks.
-STEP_UNITS = 1 << 18
+STEP_UNITS = 1 << 17
 LONG_UNIT = 1 << 16
 
 BLANK, LETTER, DIGIT, OTHER, WIDE = 1, 2, 3, 4, 5
@@ -86,7 +86,7 @@ WIDE_BLANKS = np.array(sorted(int.from_bytes(chr(c).encode().rjust(3, b"\0"), "b
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a batch's texts, one after the other, and where each begins (and the last ends); null is empty."""
-    column = pc.fill_null(column, "") if column.null_count else column
+    column = pc.fill_null(column, pa.scalar(b"").cast(column.type)) if column.null_count else column
     if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
         kind = np.int64
     else:
