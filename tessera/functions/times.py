@@ -3,7 +3,8 @@
 Texts come in ISO and day-first shapes. Bad text gives null, also under ANSI
 mode; the result is a wall-clock ``timestamp_ntz`` built from the text's own
 fields, so that it does not depend on the session time zone, not even for a
-time that the zone skips.
+time that the zone skips. A text with a zone or offset of its own names an
+instant: its wall-clock time is that of ``zone`` (UTC by default).
 """
 
 from __future__ import annotations
@@ -46,7 +47,21 @@ def _day_first(text: Column, pattern: str, fraction: bool) -> Column:
                                     seconds.try_cast("decimal(8,6)"))
 
 
-def parse_any(c, formats=LAW_A_FORMATS) -> Column:
+# An ISO date and time with something after it that begins a zone: a letter or a sign.
+ZONED = r"^\s*[+-]?\d{4,6}-\d{1,2}-\d{1,2}[ T]\d{1,2}(:\d{1,2}){0,2}(\.\d*)?\s*[A-Za-z+-]"
+UTC = "UTC"
+
+
+def _iso(text: Column, zone: str = UTC) -> Column:
+    """What Spark's default parser reads; an instant becomes the wall-clock time of ``zone``."""
+    micros = F.unix_micros(text.try_cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(10,0)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc = epoch + F.make_dt_interval(secs=micros.cast("decimal(18,6)"))
+    local = utc if zone == UTC else F.convert_timezone(F.lit(UTC), F.lit(zone), utc)
+    return F.when(text.rlike(ZONED), local).otherwise(text.try_cast("timestamp_ntz"))
+
+
+def parse_any(c, formats=LAW_A_FORMATS, zone: str = UTC) -> Column:
     """Wall-clock time of a text in one of the formats; null for any other text.
 
     No two kinds of format fit the same text (ISO texts begin with the year,
@@ -55,7 +70,7 @@ def parse_any(c, formats=LAW_A_FORMATS) -> Column:
     through an instant of the session's time zone.
     """
     text = _c(c).cast("string")
-    out = text.try_cast("timestamp_ntz")
+    out = _iso(text, zone)
     if "dd/MM/yy hh:mm:ss a" in formats:
         out = F.when(text.rlike(DAY_FIRST), _day_first(text, DAY_FIRST, False)).otherwise(out)
     if any(f and "SSSSSSSSS" in f for f in formats):
@@ -63,6 +78,6 @@ def parse_any(c, formats=LAW_A_FORMATS) -> Column:
     return out
 
 
-def as_timestamp(c) -> Column:
-    """Plain cast; null instead of an error for bad text."""
-    return _c(c).try_cast("timestamp_ntz")
+def as_timestamp(c, zone: str = UTC) -> Column:
+    """Spark's default parser alone; null instead of an error for bad text."""
+    return _iso(_c(c).cast("string"), zone)

@@ -3,22 +3,29 @@
 The jobs print one ``count()`` per stage, each an action that recomputes the
 lineage. Here the counts are one DataFrame: a union of global aggregates
 (each a partial count per task and a one-row final), read in a single job.
+Stages that are flags of one plan are counted side by side in it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def counts_of(plans: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """``(stage, row_count)``: of each plan one aggregate, which counts all its stages."""
+    out = None
+    for df, stages in plans:
+        one = df.agg(*[count.alias(name) for name, count in stages.items()])
+        pairs = ", ".join(f"'{name}', `{name}`" for name in stages)
+        rows = one.selectExpr(f"stack({len(stages)}, {pairs}) AS (stage, row_count)")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """``(stage, row_count)`` for every named frame."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(name).alias("stage"), F.col("row_count")) for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return counts_of([(df, {name: F.count(F.lit(1))}) for name, df in stages.items()])
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

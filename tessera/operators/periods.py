@@ -125,3 +125,35 @@ def duplicate_keys(df: DataFrame, keys=KEYS) -> DataFrame:
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
             .filter(F.col("n_rows") > 1))
 
+
+# Columns that count the rows a line of ``compare_unique`` stands for.
+N_ROWS = "FILAS"
+
+
+def compare_unique(snapshots: DataFrame, before: str, now: str, period_col: str, keys=KEYS) -> DataFrame:
+    """Two periods side by side, one row per key and concept (D13): repeated keys neither multiply nor meet another concept.
+
+    A full outer join of two periods that are first made unique is one
+    aggregation over both: rows of a key and concept (null is a concept of its
+    own) sum their money columns by period and take the least value of each
+    attribute; ``FILAS_ANT`` and ``FILAS_ACT`` say how many rows they were, 0
+    for a period without any. Stored snapshots bucketed by the keys are read
+    once and not shuffled. The differential is 0 without a current row or
+    concept; rows whose current product is the excluded one go, others stay.
+    """
+    money = [name for name, _ in BALANCE_COLUMNS] + ["SALDO_TOTAL"] + [name for name, _ in MONEY_COLUMNS]
+    rows = derive(snapshots.filter(F.col(period_col).isin(before, now)))
+    attributes = [c for c in rows.columns if c not in (*keys, CONCEPT, *money)]
+    columns = []
+    for period, sfx in ((before, SUFFIX_BEFORE), (now, SUFFIX_NOW)):
+        own = F.col(period_col) == period
+        columns.append(F.count_if(own).alias(N_ROWS + sfx))
+        columns += [F.min(F.when(own, F.col(c))).alias(c + sfx) for c in attributes
+                    if sfx == SUFFIX_NOW or c not in CURRENT_ONLY]
+        columns += [F.sum(F.when(own, F.col(c))).cast(M.MONEY_SUM).alias(c + sfx) for c in money]
+    out = rows.groupBy(*keys, CONCEPT).agg(*columns)
+    current = F.when(F.col(N_ROWS + SUFFIX_NOW) > 0, F.col(CONCEPT))
+    total = "PROV_ACUM_ACUM"
+    difference = F.when(current.isNull(), F.lit(0)).otherwise(F.col(total + SUFFIX_BEFORE) - F.col(total + SUFFIX_NOW))
+    return (out.withColumn("DIFERENCIAL_ACUM", difference.cast(M.MONEY_SUM))
+            .filter(~F.col(PRODUCT + SUFFIX_NOW).eqNullSafe(PRODUCT_EXCLUDED)))

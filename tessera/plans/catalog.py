@@ -9,7 +9,6 @@ tables; only the period queries that are about one month or two
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +21,11 @@ from ..functions import text as T
 from ..functions import times as TM
 from ..operators import consent as C
 from ..operators import periods as P
-from ..operators.audit import stage_counts
-from ..operators.decode import active_lists, decode, duplicate_codes
+from ..operators.audit import counts_of
+from ..operators.decode import active_lists, decode_by, duplicate_codes, unique_labels
 from ..operators.lists import ordered_list
-from ..session import ensure_checkpoint_dir
-from ..sources.relations import PERIOD, cte, frames, snapshot
-from ..sources.tables import read_csv, run_stamp, sql, table, write_csv
+from ..sources.relations import PERIOD, cte, frames, read_snapshot, snapshot, snapshot_store
+from ..sources.tables import csv_lines, parse_csv_lines, sql, table
 from . import oracle_sql as O
 from . import profile as PR
 
@@ -179,6 +177,13 @@ def q_star_join_base(spark, d):
                **_f(spark, d, *[r for r in PR.PROFILE_RELATIONS if r not in ("code_list", "point")]))
 
 
+def _decoded(star, labelled):
+    """The star with all five lists decoded from one frame of labels."""
+    out = PR.decode_customers(star, labelled)
+    out = decode_by(out, labelled, PR.DEFAULT.list_types["class"], "class_code", "product_class")
+    return out.select("customer_id", "doc_type", "segment", "attention", "city", "product_class")
+
+
 @register("decode_five_lists", f"""{O.with_ctes([O.star_rows_cte()])}
 SELECT s.customer_id, td.high AS doc_type, sg.desc_text AS segment, atn.desc_text AS attention,
        {O.clean('ci.desc_text')} AS city, cl.desc_text AS product_class
@@ -186,13 +191,36 @@ FROM star s {O.code('td', 'doc', 'name', 's.id_type')} {O.code('sg', 'segment',
 {O.code('atn', 'attention', 'name', 's.attention_code')} {O.code('ci', 'city', 'val', 's.city_code')}
 {O.code('cl', 'class', 'val', 's.class_code')}""")
 def q_decode_five_lists(spark, d):
-    lists = PR.code_lists(_f(spark, d, "code_list"))
-    out = decode(q_star_join_base(spark, d), lists["doc"], "id_type", "doc_type")
-    out = decode(out, lists["segment"], "segment_code", "segment")
-    out = decode(out, lists["attention"], "attention_code", "attention")
-    out = decode(out, lists["city"], "city_code", "city", label_expr=T.clean_label)
-    out = decode(out, lists["class"], "class_code", "product_class")
-    return out.select("customer_id", "doc_type", "segment", "attention", "city", "product_class")
+    """S4a/J4 as written: a code listed twice repeats the facts."""
+    return _decoded(q_star_join_base(spark, d), PR.labels(_f(spark, d, "code_list")))
+
+
+def _unique_code(kind: str, on: str) -> str:
+    """A fact's label by a list of which each code counts once."""
+    key, label = {"doc": ("name", "high"), "city": ("val", "desc_text"), "class": ("val", "desc_text")}.get(
+        kind, ("name", "desc_text"))
+    return (f"(SELECT min({label}) FROM code_list l WHERE l.list_type = {O.q(PR.DEFAULT.list_types[kind])} "
+            f"AND l.active_flg = 'Y' AND l.{key} = {on})")
+
+
+@register("decode_unique_codes", f"""{O.with_ctes([O.star_rows_cte()])}
+SELECT s.customer_id, {_unique_code('doc', 's.id_type')} AS doc_type, {_unique_code('segment', 's.segment_code')} AS segment,
+       {_unique_code('attention', 's.attention_code')} AS attention,
+       {O.clean(_unique_code('city', 's.city_code'))} AS city, {_unique_code('class', 's.class_code')} AS product_class
+FROM star s""")
+def q_decode_unique_codes(spark, d):
+    """The same decode by lists of unique codes; no fact is repeated."""
+    return _decoded(q_star_join_base(spark, d), unique_labels(PR.labels(_f(spark, d, "code_list"))))
+
+
+@register("dropped_codes", f"""{cte('code_list')},
+    coded AS (SELECT list_type || '|' || CASE WHEN list_type IN ('CITY', 'PROD_CLASS') THEN val ELSE name END AS list_code,
+                     CASE WHEN list_type = 'DOC_TYPE' THEN high ELSE desc_text END AS label
+              FROM code_list WHERE active_flg = 'Y' AND list_type <> 'SUBSEGMENT')
+SELECT list_code, min(label) AS label, count(*) - 1 AS n_dropped FROM coded WHERE list_code IS NOT NULL GROUP BY list_code""")
+def q_dropped_codes(spark, d):
+    """The label that each code keeps, and how many rows it had beside it."""
+    return unique_labels(PR.labels(_f(spark, d, "code_list")))
 
 
 @register("decode_label_filter", f"""{O.with_ctes([O.people_cte(), O.classes_cte()])}
@@ -202,12 +230,13 @@ def q_decode_label_filter(spark, d):
     return PR.customer_rows(f).join(PR.holders(f), "row_id", "left_semi").select("row_id", "segment").distinct()
 
 
-@register("dup_codes", f"""{cte('code_list')}
-SELECT list_type, coalesce(name, val) AS code, count(*) AS n_rows,
+@register("dup_codes", f"""{cte('code_list')},
+    coded AS (SELECT *, CASE WHEN list_type IN ('CITY', 'PROD_CLASS') THEN val ELSE name END AS code FROM code_list)
+SELECT list_type, code, count(*) AS n_rows,
        CAST(sum(CASE WHEN active_flg = 'Y' THEN 1 ELSE 0 END) AS BIGINT) AS n_active
-FROM code_list GROUP BY list_type, coalesce(name, val) HAVING count(*) > 1""")
+FROM coded GROUP BY list_type, code HAVING count(*) > 1""")
 def q_dup_codes(spark, d):
-    return duplicate_codes(_f(spark, d, "code_list")["code_list"])
+    return duplicate_codes(_f(spark, d, "code_list")["code_list"], PR.DEFAULT.shapes())
 
 
 @register("left_join_on_constant", f"""{cte('attention', 'code_list')}
@@ -382,11 +411,7 @@ def q_consent_channel(spark, d):
 
 
 # ================================================================ periods
-def _snap(spark, d, period, current):
-    return snapshot(spark, d, period, current)
-
-
-# Every period's snapshot, key and period making a row.
+# Every period's snapshot: its rows by key and period.
 _EVERY = P.KEYS + (PERIOD,)
 
 
@@ -400,7 +425,8 @@ def _period_oracle(select: str) -> str:
 
 @register("period_scan", f"""{O.snapshot_sql(PERIOD_NOW, True, 'duckdb')}""")
 def q_period_scan(spark, d):
-    return _snap(spark, d, PERIOD_NOW, True)
+    """One period of the stored snapshots; the others' folders are not read."""
+    return read_snapshot(spark, d, PERIOD_NOW)
 
 
 @register("category_label", _period_oracle("STRCLINIT, STROBLOBLIGSARC, STRANOMES, TIPO_CREDITO"))
@@ -474,25 +500,50 @@ def _compare_oracle(null_safe: bool) -> str:
             f"FROM ant FULL OUTER JOIN act ON {on}\nWHERE {cond}")
 
 
-@register("duplicate_keys", """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
-GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+@register("duplicate_keys", f"""WITH s AS ({O.snapshot_sql(None, True, 'duckdb')})
+SELECT STRCLINIT, STROBLOBLIGSARC, STRANOMES, count(*) AS n_rows FROM s
+GROUP BY STRCLINIT, STROBLOBLIGSARC, STRANOMES HAVING count(*) > 1""")
 def q_duplicate_keys(spark, d):
-    """The join key of a snapshot must be unique; the line-item key of the test data is not."""
-    return P.duplicate_keys(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+    """Keys that a period's snapshot has several rows of; the comparison as written multiplies them."""
+    return P.duplicate_keys(_every(spark, d), _EVERY)
+
+
+def _periods(spark, d):
+    return (P.derive(read_snapshot(spark, d, PERIOD_BEFORE, current=False)),
+            P.derive(read_snapshot(spark, d, PERIOD_NOW)))
 
 
 @register("period_full_outer", _compare_oracle(True))
 def q_period_full_outer(spark, d):
-    before = P.derive(_snap(spark, d, PERIOD_BEFORE, False))
-    now = P.derive(_snap(spark, d, PERIOD_NOW, True))
-    return P.compare(before, now, null_safe=True)
+    return P.compare(*_periods(spark, d), null_safe=True)
 
 
 @register("period_compare", _compare_oracle(False))
 def q_period_compare(spark, d):
-    before = P.derive(_snap(spark, d, PERIOD_BEFORE, False))
-    now = P.derive(_snap(spark, d, PERIOD_NOW, True))
-    return P.compare(before, now)
+    return P.compare(*_periods(spark, d))
+
+
+def _unique_oracle() -> str:
+    money = [n for n, e in O.derived_sql() if n.startswith(("SALDO", "PROV_"))]
+    sides, out = [], [f"coalesce(ant.{k}, act.{k}) AS {k}" for k in (*P.KEYS, P.CONCEPT)]
+    for name, current, sfx in (("ant", False, P.SUFFIX_BEFORE), ("act", True, P.SUFFIX_NOW)):
+        attributes = [c for c in O.period_columns(current) if c not in (*P.KEYS, P.CONCEPT, *money)]
+        own = [f"min({c}) AS {c}" for c in attributes] + [f"CAST(sum({c}) AS DECIMAL(38,2)) AS {c}" for c in money]
+        sides.append(f"{name}_unique AS (SELECT {', '.join((*P.KEYS, P.CONCEPT))}, count(*) AS n, {', '.join(own)} "
+                     f"FROM {name} GROUP BY ALL)")
+        out += [f"coalesce({name}.n, 0) AS {P.N_ROWS}{sfx}"] + [f"{name}.{c} AS {c}{sfx}" for c in (*attributes, *money)]
+    on = " AND ".join(f"ant.{k} IS NOT DISTINCT FROM act.{k}" for k in (*P.KEYS, P.CONCEPT))
+    diff = ("CAST(CASE WHEN act.n IS NULL OR act.NUMTIPOCONCEPTO IS NULL THEN 0 "
+            "ELSE ant.PROV_ACUM_ACUM - act.PROV_ACUM_ACUM END AS DECIMAL(38,2)) AS DIFERENCIAL_ACUM")
+    return (f"WITH {O.derived_cte('ant', PERIOD_BEFORE, False)},\n{O.derived_cte('act', PERIOD_NOW, True)},\n"
+            f"{', '.join(sides)}\nSELECT {', '.join(out)}, {diff}\nFROM ant_unique ant FULL OUTER JOIN act_unique act ON {on}\n"
+            "WHERE act.NUMPEPROCODIGO IS DISTINCT FROM 45")
+
+
+@register("period_compare_unique", _unique_oracle())
+def q_period_compare_unique(spark, d):
+    """The comparison with one row per customer, obligation and concept, and how many rows each period had of it."""
+    return P.compare_unique(snapshot_store(spark, d), PERIOD_BEFORE, PERIOD_NOW, PERIOD)
 
 
 # ============================================================== pipelines
@@ -540,7 +591,11 @@ def q_profile_excluded(spark, d):
 # ====================================================== profile as one SQL
 PROFILE_SQL = """
 WITH code AS (
-    SELECT DISTINCT list_type, coalesce(name, val) AS code, coalesce(high, desc_text) AS label
+    SELECT DISTINCT list_type,
+           CASE WHEN array_contains(map_keys(:key_columns), list_type)
+                THEN CASE :key_columns[list_type] WHEN 'val' THEN val ELSE name END END AS code,
+           CASE WHEN array_contains(map_keys(:label_columns), list_type)
+                THEN CASE :label_columns[list_type] WHEN 'high' THEN high ELSE desc_text END END AS label
     FROM {code_list} WHERE active_flg = 'Y'
 ),
 named AS (
@@ -560,7 +615,7 @@ seat AS (
 ),
 place AS (
     SELECT ad.addr_id, ad.addr, trim(regexp_replace(regexp_replace(ct.label, '\\\\.+\\\\s*$', ''), '\\\\s+', ' ')) AS city
-    FROM {address} ad JOIN code ct ON ct.list_type = 'CITY' AND ct.code = ad.city_code
+    FROM {address} ad JOIN code ct ON ct.list_type = :city_list AND ct.code = ad.city_code
 ),
 customer AS (
     SELECT DISTINCT c.row_id, c.id_num, td.label AS doc_type, c.person_name, s.org_loc, s.manager_name, s.emp_num,
@@ -569,21 +624,21 @@ customer AS (
     FROM person c
     JOIN seat s ON s.contact_id = c.row_id AND s.position_id = c.primary_position_id
     JOIN {segment_attr} sa ON sa.contact_id = c.row_id AND sa.segment_flag = :flag
-    JOIN code sg ON sg.list_type = 'SEGMENT' AND sg.code = sa.segment_code
-    JOIN code sub ON sub.list_type = 'SUBSEGMENT' AND sub.code = sa.subsegment_code
-    JOIN code td ON td.list_type = 'DOC_TYPE' AND td.code = c.id_type
+    JOIN code sg ON sg.list_type = :segment_list AND sg.code = sa.segment_code
+    JOIN code sub ON sub.list_type = :subsegment_list AND sub.code = sa.subsegment_code
+    JOIN code td ON td.list_type = :doc_list AND td.code = c.id_type
     JOIN place pl ON pl.addr_id = c.addr_id
     JOIN {attention} att ON att.contact_id = c.row_id
-    LEFT JOIN code atn ON atn.list_type = 'ATTENTION' AND atn.code = att.attention_code
+    LEFT JOIN code atn ON atn.list_type = :attention_list AND atn.code = att.attention_code
     WHERE array_contains(:segments, sg.label)
 ),
 held AS (
     SELECT DISTINCT h.contact_id, cl.label
     FROM {holding} h
-    JOIN {asset} a ON a.asset_id = h.asset_id AND a.status_code IN ('O')
+    JOIN {asset} a ON a.asset_id = h.asset_id AND array_contains(:statuses, a.status_code)
     JOIN {product} pr ON pr.product_id = a.product_id
-    JOIN code cl ON cl.list_type = 'PROD_CLASS' AND cl.code = pr.class_code
-    WHERE h.relation_type IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+    JOIN code cl ON cl.list_type = :class_list AND cl.code = pr.class_code
+    WHERE array_contains(:relations, h.relation_type)
 ),
 products AS (
     SELECT contact_id, listagg(label, ', ') WITHIN GROUP (ORDER BY label) AS labels FROM held GROUP BY contact_id
@@ -592,7 +647,8 @@ points AS (
     SELECT p.owner_id, trim(p.number) AS num,
            concat(CASE WHEN k.row_id IS NOT NULL THEN 'P-' ELSE '' END, trim(p.number),
                   CASE WHEN length(trim(p.extension)) > 0 THEN concat('|', trim(p.extension)) ELSE '' END) AS label
-    FROM {point} p LEFT JOIN {contact} k ON k.row_id = p.owner_id AND k.primary_point_id = p.point_id
+    FROM {point} p LEFT JOIN (SELECT DISTINCT row_id, primary_point_id FROM {contact}) k
+         ON k.row_id = p.owner_id AND k.primary_point_id = p.point_id
     WHERE p.end_date IS NULL
 ),
 phones AS (
@@ -625,37 +681,36 @@ def q_profile_sql(spark, d):
     Customers are made distinct once, holdings and points become one list per
     owner before they meet them.
     """
-    p = PR.DEFAULT
+    return profile_sql(spark, _f(spark, d, *PR.PROFILE_RELATIONS))
+
+
+def profile_sql(spark, f, p=PR.DEFAULT):
+    def listed(values):
+        return F.array(*[F.lit(v) for v in values])
+
+    def mapped(which: int):
+        return F.create_map(*[F.lit(x) for t, columns in p.shapes().items() for x in (t, columns[which])])
+
     args = {"flag": p.commercial_flag, "unit": p.excluded_unit, "position": p.excluded_position,
-            "segments": F.array(*[F.lit(s) for s in p.segments])}
-    return sql(spark, PROFILE_SQL, args, **_f(spark, d, *PR.PROFILE_RELATIONS))
+            "segments": listed(p.segments), "statuses": listed(p.active_status), "relations": listed(p.relation_types),
+            "key_columns": mapped(0), "label_columns": mapped(1),
+            **{f"{kind}_list": t for kind, t in p.list_types.items()}}
+    return sql(spark, PROFILE_SQL, args, **f)
 
 
 # ========================================================== sinks / audit
 EXPORT_SCHEMA = StructType([StructField(c, StringType()) for c in PR.REPORT_COLUMNS])
 
 
-@register("csv_round_trip", None)
+@register("csv_round_trip", O.profile_final_sql(order=False))
 def q_csv_round_trip(spark, d):
-    """Write the report as CSV to a fresh folder, read it back with a schema.
+    """The report as the lines of the CSV export, read back with a schema.
 
-    The folder sits under the session's checkpoint folder (shared storage on
-    a cluster). Blanks, quotes and line breaks come back as they were; empty
-    text and null both come back as null.
+    Blanks, quotes, line breaks, empty text and null come back as they were.
+    Lines are made and read at run time; ``write_csv`` and ``read_csv`` put the
+    same lines to files.
     """
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/exports/profile_{run_stamp()}_{uuid.uuid4().hex[:8]}.csv_tmp"
-    write_csv(PR.profile_final(PR.load(spark, d)), path)
-    return read_csv(spark, path, EXPORT_SCHEMA)
-
-
-def _csv_oracle() -> str:
-    # Empty text reads back as null.
-    cols = ", ".join(f'nullif("{name}", \'\') AS "{name}"' for name, _ in O.REPORT)
-    return f"SELECT {cols} FROM ({O.profile_final_sql(order=False)})"
-
-
-ORACLE["csv_round_trip"] = _csv_oracle()
+    return parse_csv_lines(csv_lines(PR.profile_final(PR.load(spark, d))), EXPORT_SCHEMA)
 
 
 def _stage_oracle() -> str:
@@ -678,16 +733,16 @@ def _stage_oracle() -> str:
 def q_stage_counts(spark, d):
     """The row counts the jobs print, as one DataFrame computed in one job.
 
-    The report is computed once; those of its rows that pass the gate are counted beside all of them.
+    Customers, report and gated rows are flags of one plan, gate and channel
+    documents those of one consent state.
     """
     f = PR.load(spark, d)
-    rows = C.tagged(f)
-    counted = stage_counts({
-        "code_lists": active_lists(f["code_list"], list(PR.DEFAULT.list_types.values())[:5]),
-        "open_points": PR.open_points(f),
-        "customers": PR.customer_rows(f),
-        "law_a_gate": C.law_a_gate(rows),
-        "law_b_latest": C.latest_channel(rows),
-    })
-    both = PR.flagged_report(f).agg(F.count(F.lit(1)).alias("report"), F.count_if("passes").alias("gated"))
-    return counted.unionByName(both.selectExpr("stack(2, 'report', report, 'gated', gated) AS (stage, row_count)"))
+    lists = active_lists(f["code_list"], list(PR.DEFAULT.list_types.values())[:5])
+    one = F.count(F.lit(1))
+    return counts_of([
+        (lists, {"code_lists": one}),
+        (PR.open_points(f), {"open_points": one}),
+        (PR.customer_flags(f), {"customers": one, "report": F.count_if("in_report"),
+                                "gated": F.count_if(F.col("in_report") & F.col("passes"))}),
+        (C.document_state(C.tagged(f)), {"law_a_gate": F.count_if("passes"), "law_b_latest": F.count("origin")}),
+    ])

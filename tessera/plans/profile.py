@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import PRIMARY_MARK, clean_label, doc_key, full_name, non_blank, or_default, point_text
 from ..operators import consent as C
-from ..operators.decode import active_lists, decode, one_list
+from ..operators import decode as D
 from ..operators.lists import distinct_list, ordered_list
 from ..sources.relations import frames
 
@@ -68,6 +68,14 @@ class ProfileParams:
     list_types: dict = field(default_factory=lambda: {
         "doc": "DOC_TYPE", "segment": "SEGMENT", "city": "CITY", "class": "PROD_CLASS",
         "attention": "ATTENTION", "subsegment": "SUBSEGMENT"})
+    # Which columns of a list are its key and its label.
+    list_columns: dict = field(default_factory=lambda: {
+        "doc": ("name", "high"), "segment": ("name", "desc_text"), "city": ("val", "desc_text"),
+        "class": ("val", "desc_text"), "attention": ("name", "desc_text"), "subsegment": ("name", "desc_text")})
+
+    def shapes(self, *kinds: str) -> dict[str, tuple[str, str]]:
+        """Key and label column by list type, of all lists or some."""
+        return {self.list_types[k]: self.list_columns[k] for k in kinds or self.list_types}
 
 
 DEFAULT = ProfileParams()
@@ -77,17 +85,13 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return frames(spark, sf_dir, *RELATIONS)
 
 
-def code_lists(f: dict, p: ProfileParams = DEFAULT) -> dict[str, DataFrame]:
-    """The five lists of the job, split from one read."""
-    t = p.list_types
-    lists = active_lists(f["code_list"], [t["doc"], t["segment"], t["city"], t["class"], t["attention"]])
-    return {
-        "doc": one_list(lists, t["doc"], "code_name", "code_high"),
-        "segment": one_list(lists, t["segment"], "code_name", "code_desc"),
-        "attention": one_list(lists, t["attention"], "code_name", "code_desc"),
-        "city": one_list(lists, t["city"], "code_val", "code_desc"),
-        "class": one_list(lists, t["class"], "code_val", "code_desc"),
-    }
+# The lists that the job decodes.
+DECODED = ("doc", "segment", "attention", "city", "class")
+
+
+def labels(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
+    """The five lists of the job as (list and code, label), from one read."""
+    return D.labels(f["code_list"], p.shapes(*DECODED))
 
 
 def primary_positions(f: dict) -> DataFrame:
@@ -108,25 +112,30 @@ def position_chain(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
             .select("position_id", "org_loc", "emp_num", "manager_name"))
 
 
+def decode_customers(df: DataFrame, labelled: DataFrame, p: ProfileParams = DEFAULT) -> DataFrame:
+    """Document type, segment, attention and city of customers by their codes."""
+    t = p.list_types
+    df = D.decode_by(df, labelled, t["doc"], "id_type", "doc_type")
+    df = D.decode_by(df, labelled, t["segment"], "segment_code", "segment")
+    df = D.decode_by(df, labelled, t["attention"], "attention_code", "attention")
+    return D.decode_by(df, labelled, t["city"], "city_code", "city", label_expr=clean_label)
+
+
 def customer_rows(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
     """One row per selected customer and combination of decoded, cleaned attributes."""
     def keyed(name: str) -> DataFrame:
         return f[name].withColumnRenamed("contact_id", "row_id")
 
-    people = f["contact"].select("row_id", "id_num", "id_type", "addr_id", "primary_point_id",
+    people = f["contact"].select("row_id", "id_num", "id_type", "addr_id",
                                  full_name("fst_name", "last_name", "maiden_name").alias("customer_name"))
     cust = (people.join(primary_positions(f), "row_id")
             .join(keyed("segment_attr").filter(F.col("segment_flag") == p.commercial_flag), "row_id")
             .join(position_chain(f, p), "position_id")
             .join(keyed("attention"), "row_id", "left")
             .join(f["address"], "addr_id", "left"))
-    lists = code_lists(f, p)
-    cust = decode(cust, lists["doc"], "id_type", "doc_type")
-    cust = decode(cust, lists["segment"], "segment_code", "segment")
-    cust = decode(cust, lists["attention"], "attention_code", "attention")
-    cust = decode(cust, lists["city"], "city_code", "city", label_expr=clean_label)
+    cust = decode_customers(cust, labels(f, p), p)
     return (cust.filter(F.col("segment").isin(*p.segments))
-            .select("row_id", "primary_point_id", "id_num", "doc_type", "customer_name", "org_loc", "emp_num",
+            .select("row_id", "id_num", "doc_type", "customer_name", "org_loc", "emp_num",
                     "manager_name", "segment", "attention", "addr", "city").distinct())
 
 
@@ -149,7 +158,7 @@ def holders(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
 
 def class_lists(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
     """``(row_id, classes)``: sorted distinct class labels of qualifying holdings."""
-    pairs = decode(held_classes(f, p), code_lists(f, p)["class"], "class_code", "class_label")
+    pairs = D.decode_by(held_classes(f, p), labels(f, p), p.list_types["class"], "class_code", "class_label")
     return distinct_list(pairs, ["row_id"], "class_label", "classes")
 
 
@@ -240,21 +249,29 @@ def profile_final(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> Dat
     return by_name(out) if sort else out
 
 
-def flagged_report(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
-    """The L1 report with ``passes`` (the customer's law A gate) and the law B channel: one plan for both counts."""
-    rows = C.tagged(f)
-    gate = C.law_a_gate(rows).withColumn("passes", F.lit(True))
-    out = (profile_final(f, p, sort=False).withColumn("doc_join", doc_key("IDENT"))
-           .join(gate, "doc_join", "left").join(C.latest_channel(rows), "doc_join", "left"))
-    return out.withColumn("passes", F.coalesce("passes", F.lit(False)))
+def customer_flags(f: dict, p: ProfileParams = DEFAULT) -> DataFrame:
+    """(in_report, passes) of every selected customer: has a qualifying class list, and passes the law A gate.
+
+    One plan for the counts of customers, report rows and gated rows; contact
+    points change none of them.
+    """
+    cust = customer_rows(f, p).withColumn("doc_join", doc_key("id_num"))
+    held = class_lists(f, p).select("row_id", F.lit(True).alias("in_report"))
+    state = C.document_state(C.tagged(f)).select("doc_join", "passes")
+    out = cust.join(held, "row_id", "left").join(state, "doc_join", "left")
+    return out.select(F.coalesce("in_report", F.lit(False)).alias("in_report"), F.coalesce("passes", F.lit(False)).alias("passes"))
 
 
 def profile_gated(f: dict, p: ProfileParams = DEFAULT, sort: bool = True) -> DataFrame:
-    """L2: law A latest must be 1 or 2; law B latest (form or registry) gives the channel."""
-    rows = C.tagged(f)
+    """L2: law A latest must be 1 or 2; law B latest (form or registry) gives the channel.
+
+    Gate and channel come from one state per document, so the consent facts are
+    read once and joined once.
+    """
+    state = C.document_state(C.tagged(f)).filter("passes")
     pn = profile_final(f, p, sort=False).withColumn("doc_join", doc_key("IDENT"))
-    out = (C.gate(pn, C.law_a_gate(rows)).join(C.latest_channel(rows), "doc_join", "left")
-           .select(*[F.col(f"`{c}`") for c in REPORT_COLUMNS], C.winning_channel("N/A").alias(GATED_CHANNEL)))
+    out = pn.join(state, "doc_join").select(
+        *[F.col(f"`{c}`") for c in REPORT_COLUMNS], C.winning_channel("N/A").alias(GATED_CHANNEL))
     return by_name(out) if sort else out
 
 

@@ -14,7 +14,7 @@ edge the jobs guard against is present in the data.
 
 Roles (relation <- test table):
 
-    contact      <- customer (+ first order as primary contact point), supplier (employees)
+    contact      <- customer (+ first or last order as primary contact point), supplier (employees)
     segment_attr <- customer
     position_link <- customer       (primary and other positions of a customer)
     position     <- nation
@@ -31,7 +31,7 @@ Roles (relation <- test table):
     owner / identifier <- customer
     provision / entity <- events    (channel and attributes of a consent)
     purpose / regulation / activity / tenant <- region, nation
-    snapshot     <- lineitem        (one row per supplier x part group and month)
+    snapshot     <- lineitem        (rows of supplier x part group and month, some of several concepts, some repeated)
 
 Each template names the frames it reads as ``{name}``: a test table or another
 relation. ``frame`` builds the Spark DataFrame; ``cte`` renders a ``WITH`` list
@@ -40,13 +40,16 @@ for DuckDB.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .tables import TABLES, sql, table
 
-# Text of a consent date in one of six shapes, built from the event time with
+# Text of a consent date in one of six shapes (ISO ones with and without an offset), built from the event time with
 # functions both engines share (no format strings, which differ between them).
 _YMD = ("concat(cast(year(e.ts) AS string), '-', lpad(cast(month(e.ts) AS string), 2, '0'), '-', "
         "lpad(cast(day(e.ts) AS string), 2, '0'))")
@@ -60,7 +63,9 @@ _AMPM = "CASE WHEN hour(e.ts) < 12 THEN 'AM' ELSE 'PM' END"
 _MILLI = "lpad(cast(e.event_id % 1000 AS string), 3, '0')"
 _MICRO = "lpad(cast(e.event_id % 1000000 AS string), 6, '0')"
 DATE_TEXT = f"""CASE e.event_id % 6
-            WHEN 0 THEN concat({_YMD}, ' ', {_HMS})
+            WHEN 0 THEN CASE e.event_id % 18 WHEN 0 THEN concat({_YMD}, 'T', {_HMS}, 'Z')
+                                             WHEN 6 THEN concat({_YMD}, ' ', {_HMS}, '+05:30')
+                                             ELSE concat({_YMD}, ' ', {_HMS}) END
             WHEN 1 THEN concat({_YMD}, ' ', {_HMS}, '.', {_MILLI})
             WHEN 2 THEN concat({_YMD}, ' ', {_HMS}, '.', {_MICRO})
             WHEN 3 THEN concat({_DMY}, ' ', {_H12}, ' ', {_AMPM})
@@ -85,7 +90,11 @@ RELATIONS: dict[str, str] = {
     "first_point": """
         SELECT o_custkey AS owner_id, min(o_orderkey) AS first_point_id
         FROM {orders} GROUP BY o_custkey""",
-    # Contacts: customers, and the employees who manage positions (one relation, read in both roles).
+    # Another one: its last order.
+    "last_point": """
+        SELECT o_custkey AS owner_id, max(o_orderkey) AS last_point_id
+        FROM {orders} GROUP BY o_custkey""",
+    # Contacts: customers (some listed twice, with another primary point), and the employees who manage positions (one relation, read in both roles).
     "contact": """
         SELECT c.c_custkey AS row_id,
                concat(CASE WHEN c.c_custkey % 6 = 1 THEN ' ' ELSE '' END,
@@ -101,6 +110,14 @@ RELATIONS: dict[str, str] = {
                CASE WHEN c.c_custkey % 8 = 3 THEN NULL ELSE fp.first_point_id END AS primary_point_id
         FROM {customer} c LEFT JOIN {first_point} fp ON fp.owner_id = c.c_custkey
         UNION ALL
+        SELECT c.c_custkey, concat(CASE WHEN c.c_custkey % 6 = 1 THEN ' ' ELSE '' END, lpad(cast(c.c_custkey AS string), 12, '0')),
+               CASE c.c_custkey % 4 WHEN 0 THEN 'CC' WHEN 1 THEN 'CE' WHEN 2 THEN 'NIT' ELSE 'PAS' END,
+               CASE WHEN c.c_custkey % 5 = 0 THEN NULL ELSE lower(c.c_mktsegment) END,
+               CASE WHEN c.c_custkey % 7 = 0 THEN NULL ELSE concat(chr(9), replace(c.c_name, '#', '  ')) END,
+               CASE WHEN c.c_custkey % 3 = 0 THEN concat(' del ', c.c_mktsegment, '   ') END,
+               CAST(NULL AS string), CAST(c.c_nationkey AS bigint), c.c_custkey % 30, lp.last_point_id
+        FROM {customer} c JOIN {last_point} lp ON lp.owner_id = c.c_custkey WHERE c.c_custkey % 9 = 4
+        UNION ALL
         SELECT 1000000000000 + s_suppkey, CAST(NULL AS string), CAST(NULL AS string),
                CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE replace(s_name, '#', ' #') END,
                concat('  gestor  ', cast(s_nationkey AS string)), CAST(NULL AS string),
@@ -161,6 +178,7 @@ RELATIONS: dict[str, str] = {
         SELECT p_partkey AS product_id, p_type AS class_code FROM {part}""",
     # Code lists, one relation for every list type. Some codes are inactive
     # (or missing from the facts) so decodes also miss; some segments are listed twice.
+    # Every row fills all columns; which of them are a list's key and label is up to its type.
     "code_list": """
         SELECT 'DOC_TYPE' AS list_type,
                CASE r_regionkey WHEN 0 THEN 'CC' WHEN 1 THEN 'CE' WHEN 2 THEN 'NIT' WHEN 3 THEN 'CC' ELSE 'TI' END AS name,
@@ -170,28 +188,28 @@ RELATIONS: dict[str, str] = {
                CASE WHEN r_regionkey = 3 THEN 'N' ELSE 'Y' END AS active_flg
         FROM {region}
         UNION ALL
-        SELECT 'SEGMENT', s.seg, CAST(NULL AS string), CAST(NULL AS string),
+        SELECT 'SEGMENT', s.seg, concat('S', s.seg), 'high',
                concat('Seg - ', upper(substring(s.seg, 1, 1)), lower(substring(s.seg, 2))), 'Y'
         FROM (SELECT DISTINCT c_mktsegment AS seg FROM {customer}) s
         UNION ALL
-        SELECT 'SEGMENT', s.seg, CAST(NULL AS string), CAST(NULL AS string),
+        SELECT 'SEGMENT', s.seg, concat('S', s.seg), 'other high',
                concat('Seg - ', upper(substring(s.seg, 1, 1)), lower(substring(s.seg, 2))), 'Y'
         FROM (SELECT DISTINCT c_mktsegment AS seg FROM {customer}) s WHERE s.seg < 'F'
         UNION ALL
-        SELECT 'SUBSEGMENT', s.sub, CAST(NULL AS string), CAST(NULL AS string), concat('Sub ', s.sub),
+        SELECT 'SUBSEGMENT', s.sub, lower(s.sub), CAST(NULL AS string), concat('Sub ', s.sub),
                CASE WHEN s.sub = 'BU' THEN 'N' ELSE 'Y' END
         FROM (SELECT DISTINCT substring(c_mktsegment, 1, 2) AS sub FROM {customer}) s
         UNION ALL
-        SELECT 'CITY', CAST(NULL AS string), cast(n_nationkey AS string), CAST(NULL AS string),
+        SELECT 'CITY', n_name, cast(n_nationkey AS string), concat('high ', n_name),
                concat(n_name, CASE n_nationkey % 4 WHEN 0 THEN '..' WHEN 1 THEN '. ' WHEN 2 THEN '.x' ELSE '' END),
                CASE WHEN n_nationkey % 9 = 8 THEN 'N' ELSE 'Y' END
         FROM {nation}
         UNION ALL
-        SELECT 'PROD_CLASS', CAST(NULL AS string), t.ptype, CAST(NULL AS string),
+        SELECT 'PROD_CLASS', concat('P', t.ptype), t.ptype, upper(t.ptype),
                concat('Class ', lower(t.ptype)), CASE WHEN t.ptype = 'SMALL' THEN 'N' ELSE 'Y' END
         FROM (SELECT DISTINCT p_type AS ptype FROM {part}) t
         UNION ALL
-        SELECT 'ATTENTION', concat('AT', cast(r_regionkey AS string)), CAST(NULL AS string), CAST(NULL AS string),
+        SELECT 'ATTENTION', concat('AT', cast(r_regionkey AS string)), cast(r_regionkey AS string), CAST(NULL AS string),
                concat('Attention ', lower(r_name)), CASE WHEN r_regionkey = 4 THEN 'N' ELSE 'Y' END
         FROM {region}""",
     # Contact points: owner, id, number, extension and close date. Different
@@ -316,9 +334,10 @@ def cte(*names: str) -> str:
 
 
 # ------------------------------------------------------------ period snapshot
-# One row per (supplier, part group) and month of the ship date: the provision
-# table of one period. Attributes are functions of the key; the 30 measures are
-# exact decimal sums, null for some keys so every null path is taken.
+# The provision table: rows of (supplier, part group) and month of the ship
+# date. Attributes are functions of the key; the 30 measures are weighted sums,
+# null for some keys so every null path is taken. The two-column key is not
+# unique: some keys have a row of a second concept, some have a concept twice.
 SNAPSHOT_MEASURE_WEIGHTS = tuple((j % 7 + 1, j % 3) for j in range(30))
 
 
@@ -346,65 +365,97 @@ def snapshot_sql(period: str | None, current: bool, dialect: str = "spark") -> s
         s, e = period_bounds(period)
         p, by = f"'{period}'", ""
         where = f"WHERE l_shipdate >= CAST('{s}' AS TIMESTAMP) AND l_shipdate < CAST('{e}' AS TIMESTAMP)"
-    g = "l_partkey % 50"
-    k1, k2 = "cast(l_suppkey AS string)", f"cast({g} AS string)"
+    k1, k2 = "cast(l_suppkey AS string)", "cast(l_partkey % 50 AS string)"
+    listed, each = ("array", "explode") if dialect == "spark" else ("list_value", "unnest")
     measures = []
     for j, name in enumerate(MEASURES):
         a, b = SNAPSHOT_MEASURE_WEIGHTS[j]
-        measures.append(
-            f"CASE WHEN max((l_suppkey + {j}) % 13) = 0 THEN NULL ELSE CAST(sum("
-            f"CAST(l_extendedprice AS DECIMAL(18,2)) * {a} - CAST(l_quantity AS DECIMAL(18,2)) * {b}"
-            f") AS DECIMAL(18,2)) END AS {name}")
-    extra = (",\n               concat(chr(max(ascii(l_returnflag))), chr(min(ascii(l_linestatus)))) AS STROBLMODALIDAD"
-             if current else "")
-    # Grouped by the text key itself, so the aggregate's hash partitioning is the
-    # one the period join needs (no second shuffle). Attributes are functions of
-    # the key, read with max(); one-letter flags are aggregated as code points,
-    # so every aggregate keeps a fixed-width buffer (hash aggregation, no sort).
+        measures.append(f"CASE WHEN (s + {j}) % 13 = 0 THEN NULL ELSE CAST((price * {a} - quantity * {b}) * (c + 1) "
+                        f"AS DECIMAL(18,2)) END AS {name}")
+    extra = ",\n               concat(chr(flag_max), chr(status_min)) AS STROBLMODALIDAD" if current else ""
+    # Grouped by the text key itself, so the aggregate's hash partitioning is the one that
+    # the period join needs. Attributes are functions of the key, read with max(); one-letter
+    # flags are aggregated as code points, so every aggregate keeps a fixed-width buffer (hash
+    # aggregation, no sort), and the measures are linear in two sums, so a group holds few.
     return f"""
-        SELECT {k1} AS STRCLINIT,
-               {k2} AS STROBLOBLIGSARC,
-               {p} AS STRANOMES,
-               cast(max(l_suppkey % 5) AS string) AS STRPETIPOCREDITO,
-               max(CASE WHEN (l_suppkey + {g}) % 97 = 96 THEN NULL ELSE (l_suppkey * 7 + {g}) % 90 END) AS NUMPEPROCODIGO,
-               max(CASE WHEN ({g}) % 11 = 10 THEN NULL ELSE ({g}) % 4 END) AS NUMTIPOCONCEPTO,
-               concat('C', cast(max(({g}) % 4) AS string)) AS STRPECONCEPTO,
-               CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS NUMPIMATRIZ_B,
-               chr(max(ascii(l_returnflag))) AS STRPECALIFICACION,
-               chr(min(ascii(l_returnflag))) AS STRCALIFHOMOLOGADA,
-               chr(max(ascii(l_linestatus))) AS STRCALIFICACIONTEMP,
-               chr(min(ascii(l_linestatus))) AS STRCALIFICACIONREF,
-               cast(max(l_linenumber) AS string) AS STRPEMAXGARANTIA,
-               min(l_linenumber) AS NUMPETIPOGARANTIA,
-               CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS PDI,
-               CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS VALOR_GAR,
-               CAST(count(*) AS INT) AS TIPO_EMPRESA,
-               CAST(CASE WHEN max(l_suppkey % 31) = 30 THEN NULL
-                         WHEN max(l_suppkey % 29) = 28 THEN -1
-                         ELSE (count(*) * 37 + max(l_suppkey) * 11 + max({g})) % 620 END AS INT) AS DIAS_MORA,
+        SELECT STRCLINIT, STROBLOBLIGSARC, STRANOMES,
+               cast(s % 5 AS string) AS STRPETIPOCREDITO,
+               CASE WHEN (s + g) % 97 = 96 THEN NULL ELSE (s * 7 + g) % 90 END AS NUMPEPROCODIGO,
+               CASE WHEN g % 11 = 10 THEN NULL WHEN c = 1 THEN (g + 1) % 4 ELSE g % 4 END AS NUMTIPOCONCEPTO,
+               concat('C', cast(g % 4 AS string)) AS STRPECONCEPTO,
+               CAST(quantity AS DECIMAL(18,2)) AS NUMPIMATRIZ_B,
+               chr(flag_max) AS STRPECALIFICACION,
+               chr(flag_min) AS STRCALIFHOMOLOGADA,
+               chr(status_max) AS STRCALIFICACIONTEMP,
+               chr(status_min) AS STRCALIFICACIONREF,
+               cast(line_max AS string) AS STRPEMAXGARANTIA,
+               line_min AS NUMPETIPOGARANTIA,
+               CAST(tax AS DECIMAL(18,2)) AS PDI,
+               CAST(discount AS DECIMAL(18,2)) AS VALOR_GAR,
+               CAST(n AS INT) AS TIPO_EMPRESA,
+               CAST(CASE WHEN s % 31 = 30 THEN NULL
+                         WHEN s % 29 = 28 THEN -1
+                         ELSE (n * 37 + s * 11 + g) % 620 END AS INT) AS DIAS_MORA,
                {(','+chr(10)+'               ').join(measures)}{extra}
-        FROM {src}
-        {where}
-        GROUP BY {k1}, {k2}{by}"""
+        FROM (
+            SELECT *, {each}(CASE WHEN (s + g) % 5 = 0 AND (s + g) % 17 = 0 THEN {listed}(0, 1, 2)
+                                  WHEN (s + g) % 5 = 0 THEN {listed}(0, 1)
+                                  WHEN (s + g) % 17 = 0 THEN {listed}(0, 2) ELSE {listed}(0) END) AS c
+            FROM (
+                SELECT {k1} AS STRCLINIT, {k2} AS STROBLOBLIGSARC, {p} AS STRANOMES,
+                       max(l_suppkey) AS s, max(l_partkey % 50) AS g, count(*) AS n,
+                       sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS price, sum(CAST(l_quantity AS DECIMAL(18,2))) AS quantity,
+                       sum(CAST(l_tax AS DECIMAL(18,2))) AS tax, sum(CAST(l_discount AS DECIMAL(18,2))) AS discount,
+                       max(ascii(l_returnflag)) AS flag_max, min(ascii(l_returnflag)) AS flag_min,
+                       max(ascii(l_linestatus)) AS status_max, min(ascii(l_linestatus)) AS status_min,
+                       max(l_linenumber) AS line_max, min(l_linenumber) AS line_min
+                FROM {src}
+                {where}
+                GROUP BY {k1}, {k2}{by}) keyed) listed"""
 
 
 def snapshot(spark: SparkSession, sf_dir: str, period: str | None, current: bool) -> DataFrame:
-    """Snapshot of one period (S2), or of every period in the table for None (one row per key and period).
-
-    The period predicate is on a column without a time zone, which Spark lists
-    as pushed but doesn't use to skip row groups of these files. Where a period
-    is to be read without the others, store the snapshots by period
-    (``write_snapshots``) and select one by equality (``read_snapshot``).
-    """
+    """Snapshot of one period, or of every period in the table for None, derived from the order lines."""
     args = {} if period is None else dict(zip(("start", "end"), period_bounds(period)), period=period)
     return sql(spark, snapshot_sql(period, current, "spark"), args, lineitem=table(spark, sf_dir, "lineitem"))
 
 
-def write_snapshots(snapshots: DataFrame, folder: str) -> None:
-    """Snapshots of many periods as a table partitioned by the period column."""
-    snapshots.write.mode("overwrite").partitionBy(PERIOD).parquet(folder)
+# Buckets of the snapshot store: one task of a period join each. A cluster's store has some thousands.
+SNAPSHOT_BUCKETS = 4
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def write_snapshots(snapshots: DataFrame, name: str, folder: str, keys, buckets: int = SNAPSHOT_BUCKETS) -> None:
+    """Snapshots of many periods as table ``name`` in ``folder``: partitioned by period, bucketed and sorted by the keys.
+
+    The rows are dealt by the hash that buckets use, so that each task writes
+    one file for each period, and a join or aggregate on the keys shuffles nothing.
+    """
+    (snapshots.repartition(buckets, *keys).write.mode("overwrite").option("path", folder)
+     .partitionBy(PERIOD).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+
+
+def snapshot_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored snapshots of every period: the provision table as the warehouse has it.
+
+    The test folders have no such table, so the first use in a Spark
+    application writes it, next to the checkpoints (shared storage on a
+    cluster); after that it is read.
+    """
+    from ..operators.periods import KEYS
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STORES or not spark.catalog.tableExists(_STORES[key]):
+        name = "tessera_snapshot_" + hashlib.md5("\x00".join(key).encode()).hexdigest()[:16]
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+        write_snapshots(snapshot(spark, sf_dir, None, True), name, folder, KEYS)
+        _STORES[key] = name
+    return spark.table(_STORES[key])
+
 
+def read_snapshot(spark: SparkSession, sf_dir: str, period: str, current: bool = True) -> DataFrame:
+    """One period of the store (S2); only its own folder is read. Earlier periods lack the columns of the current one."""
+    from ..operators.periods import CURRENT_ONLY
 
-def read_snapshot(spark: SparkSession, folder: str, period: str) -> DataFrame:
-    """One period of a stored table; only its own folder is read."""
-    return spark.read.option("basePath", folder).parquet(folder).where(f"{PERIOD} = '{int(period)}'")
+    rows = snapshot_store(spark, sf_dir).where(F.col(PERIOD) == period)
+    return rows if current else rows.drop(*CURRENT_ONLY)

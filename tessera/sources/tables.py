@@ -11,7 +11,8 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 # Tables of the test folders (TESTDATA.md) and their columns. With the schema
 # given, planning a query reads no footer and runs no job, and a changed table
@@ -51,32 +52,78 @@ def run_stamp(now: _dt.datetime | None = None) -> str:
     return (now or _dt.datetime.now()).strftime("%Y%m%d%H%M%S")
 
 
+# A cell is text without line breaks: a backslash, a line feed and a carriage return are
+# written as two characters, so a part file can be cut at any line. Null is a mark that
+# no text gives, and an empty text is a quoted nothing; blanks stay at either end,
+# quotes are doubled.
+ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+NULL_MARK = "\\N"
+EXACT = {"quote": '"', "escape": '"', "nullValue": NULL_MARK, "emptyValue": "",
+         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _text_columns(df: DataFrame, change) -> DataFrame:
+    return df.select(*[change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema])
+
+
+def encode_cells(df: DataFrame) -> DataFrame:
+    """Text columns as CSV cells without line breaks."""
+    def encoded(c):
+        for plain, code in ESCAPES:
+            c = F.replace(c, F.lit(plain), F.lit(code))
+        return c
+
+    return _text_columns(df, encoded)
+
+
+def decode_cells(df: DataFrame) -> DataFrame:
+    """The text of ``encode_cells``: every backslash begins a code, so the codes are undone last to first."""
+    def decoded(c):
+        for plain, code in reversed(ESCAPES):
+            c = F.replace(c, F.lit(code), F.lit(plain))
+        return c
+
+    return _text_columns(df, decoded)
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, sep: str = ",",
               encoding: str = "UTF-8") -> str:
-    """CSV export with a header, overwrite mode.
+    """CSV export with a header, overwrite mode (S9, S10, H3). Null and empty text stay apart.
 
     ``single_file`` funnels the export through one task (``coalesce(1)``): only
     for exports known to be small. By default every partition writes its part.
     The target is a folder of ``part-*.csv`` files.
     """
-    out = df.coalesce(1) if single_file else df
+    out = encode_cells(df.coalesce(1) if single_file else df)
     (out.write.mode("overwrite")
-        .options(header="true", sep=sep, encoding=encoding, **EXACT)
+        .options(header="true", sep=sep, encoding=encoding, **{**EXACT, "emptyValue": '""'})
         .csv(path))
     return path
 
 
-# Text goes out and comes back as it is: blanks kept at either end, quotes
-# doubled, a cell with a line break quoted.
-EXACT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-
-
 def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
              encoding: str = "UTF-8") -> DataFrame:
-    """Read an export back with an explicit schema (no inference pass).
+    """Read an export back with an explicit schema (no inference pass); every text is what was written.
 
-    Cells may hold line breaks, so a part file is read by one task.
+    No cell holds a line break, so a large part file is split over many tasks
+    (not in an encoding of two or four bytes, whose lines Spark doesn't find by themselves).
     """
-    return (spark.read.schema(schema)
-            .options(header="true", sep=sep, encoding=encoding, multiLine="true", **EXACT)
-            .csv(path))
+    whole = str(encoding.upper().startswith(("UTF-16", "UTF-32"))).lower()
+    return decode_cells(spark.read.schema(schema)
+                        .options(header="true", sep=sep, encoding=encoding, multiLine=whole, **EXACT)
+                        .csv(path))
+
+
+def csv_lines(df: DataFrame, sep: str = ",") -> DataFrame:
+    """``(line)``: each row as the line that ``write_csv`` writes for it."""
+    cells = encode_cells(df)
+    row = F.struct(*[F.col(f"`{c}`") for c in cells.columns])
+    return cells.select(F.to_csv(row, {"sep": sep, **EXACT, "emptyValue": '""'}).alias("line"))
+
+
+def parse_csv_lines(lines: DataFrame, schema: StructType, sep: str = ",") -> DataFrame:
+    """The rows of ``csv_lines``."""
+    text = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parsed = lines.select(F.from_csv("line", text, {"sep": sep, **EXACT}).alias("row"))
+    return decode_cells(parsed.select("row.*"))

@@ -170,3 +170,16 @@ def test_latest_limits_rows_before_the_shuffle(spark):
     exchange = plan.find("Exchange hashpartitioning")
     # one WindowGroupLimit above the exchange (final) and one below it (partial, map side)
     assert plan.count("WindowGroupLimit") == 2 and plan.rfind("WindowGroupLimit") > exchange
+
+
+def test_document_state_is_gate_and_channel_of_each_document(spark):
+    from conftest import SF0001
+    from tessera.sources.relations import frames
+    from tessera.plans.profile import CONSENT_RELATIONS
+    tagged = C.tagged(frames(spark, SF0001, *CONSENT_RELATIONS))
+    state = {r.doc_join: r for r in C.document_state(tagged).collect()}
+    gate = {r.doc_join for r in C.law_a_gate(tagged).collect()}
+    channel = {r.doc_join: (r.origin, r.channel) for r in C.latest_channel(tagged).collect()}
+    assert {d for d, r in state.items() if r.passes} == gate and gate
+    assert {d: (r.origin, r.channel) for d, r in state.items() if r.origin} == channel and channel
+    assert any(not r.passes and r.origin is None for r in state.values()) or set(state) == gate | set(channel)

@@ -32,7 +32,7 @@ def test_csv_sink_options_and_stamp(spark, tmp_path):
     parts = [p for p in (tmp_path / "out.csv_tmp").iterdir() if p.name.startswith("part-")]
     assert len(parts) == 1
     back = read_csv(spark, path, df.schema, sep=";")
-    assert sorted((tuple(r) for r in back.collect()), key=str) == sorted([("a;b", "x"), (None, None)], key=str)
+    assert sorted((tuple(r) for r in back.collect()), key=str) == sorted([("a;b", "x"), ("", None)], key=str)
     assert run_stamp(dt.datetime(2024, 1, 2, 3, 4, 5)) == "20240102030405"
 
 
@@ -45,16 +45,52 @@ def test_csv_keeps_blanks_quotes_line_breaks_and_encoding(spark, tmp_path):
         assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
 
 
-def test_stored_snapshots_are_read_by_period(spark, tmp_path):
-    folder = str(tmp_path / "snapshots")
-    R.write_snapshots(R.snapshot(spark, SF0001, None, True), folder)
-    one = R.read_snapshot(spark, folder, "199807")
+def test_exports_keep_null_empty_and_line_breaks_and_split(spark, tmp_path):
+    from tessera.sources.tables import csv_lines, parse_csv_lines
+    texts = [None, "", " ", "\n", "a\r\nb", "\\", "\\n", "\\N", "\\b\\", '"', '""', ',', "\\\n\\", "N", "null", "#x"]
+    df = spark.createDataFrame([(t, i, u) for i, t in enumerate(texts) for u in (None, "", "\\N", "x\ny")],
+                               "`p q` string, i int, r string")
+    path = write_csv(df, str(tmp_path / "out"))
+    back = read_csv(spark, path, df.schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    lines = csv_lines(df)
+    assert not [r.line for r in lines.collect() if "\n" in r.line or "\r" in r.line]
+    again = parse_csv_lines(lines, df.schema)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    written = {line for part in (tmp_path / "out").glob("part-*") for line in part.read_text().split("\n")[1:] if line}
+    assert written == {r.line for r in lines.collect()}
+    big = spark.range(2000).selectExpr("concat('x\\n', id) AS t").coalesce(1)
+    one = read_csv(spark, write_csv(big, str(tmp_path / "big")), big.schema)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        split = read_csv(spark, str(tmp_path / "big"), big.schema)
+        assert split.rdd.getNumPartitions() > 1 and split.exceptAll(one).count() == 0 and split.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_stored_snapshots_are_read_by_period_and_joined_without_a_shuffle(spark):
+    from tessera.plans.catalog import QUERIES
+    one = R.read_snapshot(spark, SF0001, "199807")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(STRANOMES" in plan and "= 199807" in plan
-    direct = R.snapshot(spark, SF0001, "199807", True)
+    direct = R.snapshot(spark, SF0001, "199807", True).select(one.columns)
     assert one.count() == direct.count() > 0
-    assert one.select("NUMPEEDIK").exceptAll(direct.select("NUMPEEDIK")).count() == 0
-    assert R.snapshot(spark, SF0001, None, True).select("STRANOMES").distinct().count() > 12
+    assert one.exceptAll(direct).count() == direct.exceptAll(one).count() == 0
+    assert R.snapshot_store(spark, SF0001).select("STRANOMES").distinct().count() > 12
+    for name in ("period_full_outer", "period_compare", "period_compare_unique"):
+        for threshold in ("-1", "10485760"):
+            old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            try:
+                df = QUERIES[name](spark, SF0001)
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                assert "Exchange hashpartitioning" not in plan
+                assert "Bucketed: true" in plan or threshold != "-1"  # a small side is broadcast instead
+                assert plan.count("Scan parquet") == (1 if name == "period_compare_unique" else 2)
+            finally:
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_added_columns_are_no_matter(spark, tmp_path):

@@ -57,7 +57,27 @@ def test_every_text_that_sparks_own_formats_take(spark):
     for formats in (TM.LAW_A_FORMATS, TM.FORM_FORMATS):  # these have no fraction of a day-first text
         assert one(df.select(TM.parse_any("v", formats).alias("t")), "t") == want[:5] + [None] * 5 + want[10:]
     zoned = frame(spark, ["2024-03-10 02:30:00 America/New_York"])  # a zone's slash is no day-first text
-    assert one(zoned.select(TM.parse_any("v").alias("t")), "t") == [dt.datetime(2024, 3, 10, 2, 30)]
+    assert one(zoned.select(TM.parse_any("v").alias("t")), "t") == [dt.datetime(2024, 3, 10, 7, 30)]
+
+
+def test_offsets_are_those_of_sparks_default_parser_in_utc(spark):
+    texts = ["2024-03-10T02:30:00+05:00", "2024-03-10 02:30:00Z", "2024-03-10 02:30:00.123456-03:30", "2024-03-10T02:30:00 UTC",
+             "2024-03-10 02:30:00 PST", "2024-03-10 02:30:00GMT+1", "2024-03-10 02:30+14:00", "1969-01-01 00:00:00.000001+01:00",
+             "2024-03-10 02:30:00+25:00", "2024-03-10 02:30:00 Nowhere/City", "2024-03-10", "2024-03-10 02:30"]
+    df = frame(spark, texts)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        want = one(df.select(F.try_to_timestamp("v").cast("timestamp_ntz").alias("t")), "t")
+        assert want[0] == dt.datetime(2024, 3, 9, 21, 30) and want[8:10] == [None, None]
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for expr in (TM.parse_any("v"), TM.parse_any("v", TM.DAY_FIRST_FORMATS), TM.as_timestamp("v")):
+                assert one(df.select(expr.alias("t")), "t") == want
+        kolkata = one(df.select(TM.as_timestamp("v", "Asia/Kolkata").alias("t")), "t")
+        assert kolkata[0] == dt.datetime(2024, 3, 10, 3, 0) and kolkata[10:] == want[10:]  # a text without a zone stays
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
