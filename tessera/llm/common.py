@@ -63,6 +63,22 @@ def row_key(doc_id: Column, text: Column) -> Column:
                           F.when(text.isNull(), F.lit("\x00null")).otherwise(F.concat(F.lit("\x00="), text))))
 
 
+def named(column: str, parent: str | None = None) -> Column:
+    """The column (or field of a struct column) of that very name, dots and quotes included."""
+    quoted = "`" + column.replace("`", "``") + "`"
+    return F.col(quoted if parent is None else f"{parent}.{quoted}")
+
+
+def boxed(docs: DataFrame, box: str = "doc") -> Column:
+    """All columns of ``docs`` in one struct, so that an operator's own columns can't clash with them."""
+    return F.struct(*[named(c) for c in docs.columns]).alias(box)
+
+
+def unboxed(docs: DataFrame, box: str = "doc") -> list[Column]:
+    """The columns of ``docs`` out of that struct."""
+    return [named(c, box).alias(c) for c in docs.columns]
+
+
 def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """The small ``sample``'s columns (``doc_id`` among them) and ``text``: one row per id, its smallest text."""
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import held_out, mapped, sampled_texts, text_bytes
+from .common import held_out, mapped, named, sampled_texts, text_bytes
 from .words import SAME, WORDS_AND_MARKS, mixed, words
 
 BUCKETS = 1 << 14
@@ -234,7 +234,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c != "quality_score"]
-    plain = docs.select(*names)
+    plain = docs.select(*map(named, names))
 
     def scored(batches):
         for batch in batches:

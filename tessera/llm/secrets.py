@@ -16,6 +16,7 @@ source or group of copies makes a hot key.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 from re import _constants as sre
@@ -24,7 +25,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key
+from .common import boxed, named, row_key, unboxed
 
 
 @dataclass(frozen=True)
@@ -162,39 +163,67 @@ def candidates(rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             .groupBy("key").agg(F.bit_or("rule").alias("rules")))
 
 
+# Elements of an array that one walk goes through; longer arrays are walked in pieces of
+# this size and then piece by piece, so the copies that a growing array costs stay few.
+PIECE = 128
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of the value, which is worked out once, however often it is used within."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _pieces(array: Column) -> Column:
+    """The array, a bound value, in pieces of ``PIECE`` elements."""
+    n = F.size(array)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.floor((n - 1) / PIECE).cast("int")),
+                                     lambda i: F.slice(array, i * PIECE + 1, F.lit(PIECE)))).otherwise(
+        F.slice(F.array(array), 2, 1))
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Spans (start, order, end) of the rule's matches, in code points: the text is
     cut at the matches, and pieces and matches are measured in turn."""
     pattern = F.lit(rule.pattern)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
     kept = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    pieces = F.slice(F.split(text, rule.pattern, -1), F.lit(1), F.size(matches))
-    rows = F.arrays_zip(*[F.transform(a, F.length) for a in (pieces, matches, kept)]).cast(
-        "array<struct<gap:int,own:int,kept:int>>")
-    empty = F.array().cast(SPANS)
-    walked = F.aggregate(
-        rows, F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["own"]).alias("at"),
-            F.array_append(acc["spans"], F.struct(
-                (acc["at"] + x["gap"]).alias("start"), F.lit(order).alias("order"),
-                (acc["at"] + x["gap"] + x["own"]).alias("end"), x["kept"].alias("kept"))).alias("spans")),
-        lambda acc: acc["spans"])
-    return F.filter(walked, lambda s: s["kept"] >= rule.least)
+    gaps = F.split(text, rule.pattern, -1)
 
+    def measured(matches: Column) -> Column:
+        arrays = (F.slice(gaps, F.lit(1), F.size(matches)), matches, kept)
+        return F.arrays_zip(*[F.transform(a, F.length) for a in arrays]).cast("array<struct<gap:int,own:int,kept:int>>")
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with ``secrets``: array of (start, kind, end), by start, then kind as listed.
+    rows = _let(F.regexp_extract_all(text, pattern, F.lit(0)), measured)
+    empty = F.array().cast(SPANS)
 
-    ``start`` and ``end`` (exclusive) count code points. Null and empty texts
-    have no spans; every row is returned once, repeated rows included. A column
-    named ``secrets`` is replaced.
-    """
-    names = [c for c in docs.columns if c != "secrets"]
-    text = F.coalesce(F.col("__doc.text"), F.lit(""))
-    rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), F.struct(*names).alias("__doc"))
+    def walked(piece: Column) -> Column:
+        """Where the piece ends and its spans, counted from its own begin."""
+        return F.aggregate(
+            piece, F.struct(F.lit(0).alias("at"), empty.alias("spans")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + x["own"]).alias("at"),
+                F.array_append(acc["spans"], F.struct(
+                    (acc["at"] + x["gap"]).alias("start"), F.lit(order).alias("order"),
+                    (acc["at"] + x["gap"] + x["own"]).alias("end"), x["kept"].alias("kept"))).alias("spans")))
+
+    def moved(spans: Column, by: Column) -> Column:
+        return F.transform(spans, lambda s: F.struct((s["start"] + by).alias("start"), s["order"].alias("order"),
+                                                     (s["end"] + by).alias("end"), s["kept"].alias("kept")))
+
+    placed = F.aggregate(
+        _let(rows, lambda r: F.transform(_pieces(r), walked)),
+        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("spans")),
+        lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"),
+                                F.array_append(acc["spans"], moved(x["spans"], acc["at"])).alias("spans")),
+        lambda acc: F.flatten(acc["spans"]))
+    return F.filter(placed, lambda s: s["kept"] >= rule.least)
+
+
+def _found(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(doc, secrets): each row of ``docs`` in a struct, and its spans."""
+    text = F.coalesce(F.col("doc.text"), F.lit(""))
+    rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), boxed(docs))
     indexed = [bool(trigram_query(r.pattern)) for r in rules]
-    found = candidates(rows.select("key", F.col("__doc.text").alias("text")), rules)
+    found = candidates(rows.select("key", F.col("doc.text").alias("text")), rules)
     joined = rows.join(found, "key", "left")
     none = F.array().cast(SPANS)
     per_rule = []
@@ -205,7 +234,19 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     spans = F.transform(F.array_sort(F.concat(*per_rule)),
                         lambda s: F.struct(s["start"].alias("start"), F.get(kinds, s["order"]).alias("kind"),
                                            s["end"].alias("end")))
-    return joined.select(*[F.col(f"__doc.`{n}`").alias(n) for n in names], spans.alias("secrets"))
+    return joined.select("doc", spans.alias("secrets"))
+
+
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with ``secrets``: array of (start, kind, end), by start, then kind as listed.
+
+    ``start`` and ``end`` (exclusive) count code points. Null and empty texts
+    have no spans; every row is returned once, repeated rows included; an empty
+    table gives no rows, and texts of any length are scanned as a whole. A
+    column named ``secrets`` is replaced; others stay, whatever their names.
+    """
+    kept = docs.select(*[named(c) for c in docs.columns if c != "secrets"])
+    return _found(kept, rules).select(*unboxed(kept), "secrets")
 
 
 def listed(spans: Column) -> Column:
@@ -213,28 +254,67 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _cuts(spans: Column) -> Column:
+    """(start, end, fresh) of the stretches that the sorted spans cover, in order and apart.
+
+    ``fresh`` is false for one that only goes on with the one before it.
+    """
+    cut = "array<struct<start:int,end:int,fresh:boolean>>"
+
+    def add(acc: Column, s: Column) -> Column:
+        own = F.struct(F.greatest(s["start"], acc["at"]).alias("start"), s["end"].alias("end"),
+                       (s["start"] >= acc["at"]).alias("fresh"))
+        return F.when(s["end"] <= acc["at"], acc).otherwise(
+            F.struct(s["end"].alias("at"), F.array_append(acc["cuts"], own).alias("cuts")))
+
+    def within(piece: Column, at: Column) -> Column:
+        return F.aggregate(piece, F.struct(at.alias("at"), F.array().cast(cut).alias("cuts")), add)
+
+    def piecewise(acc: Column, piece: Column) -> Column:
+        return _let(within(piece, acc["at"]), lambda own: F.struct(
+            own["at"].alias("at"), F.array_append(acc["cuts"], own["cuts"]).alias("cuts")))
+
+    return F.aggregate(_let(spans, _pieces), F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{cut}>").alias("cuts")),
+                       piecewise, lambda acc: F.flatten(acc["cuts"]))
+
+
+def _without(text: Column, cuts: Column, mark: str) -> Column:
+    """The text with each fresh cut replaced by the mark, others by nothing.
+
+    The text is first cut into stretches of ``PIECE`` cuts each, then these at
+    their cuts, so no cut is looked for from the text's begin.
+    """
+    def stretch(begin: Column, g: Column) -> Column:
+        return _let(F.substring(text, begin + 1, F.element_at(g, -1)["end"] - begin), lambda own: _let(
+            F.concat(F.array(begin), F.transform(g, lambda c: c["end"])), lambda ends: F.array_join(F.transform(
+                g, lambda c, k: F.concat(
+                    F.substring(own, F.get(ends, k) - begin + 1, c["start"] - F.get(ends, k)),
+                    F.when(c["fresh"], F.lit(mark)).otherwise(F.lit("")))), "")))
+
+    def whole(groups: Column, begins: Column) -> Column:
+        rest = F.substring(text, F.get(begins, F.size(groups)) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(groups, lambda g, i: stretch(F.get(begins, i), g)), ""), rest)
+
+    return _let(_let(cuts, _pieces), lambda groups: _let(
+        F.concat(F.array(F.lit(0)), F.transform(groups, lambda g: F.element_at(g, -1)["end"])),
+        lambda begins: whole(groups, begins)))
+
+
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """``docs`` with each run of overlapping spans of the text replaced by ``mark``; all columns kept.
 
     ``n_chars``, where there is one, becomes the length of a changed text.
-    Texts without spans stay as they are, null ones too.
+    Texts without spans stay as they are, null ones too; repeated rows stay
+    repeated, an empty table empty, and columns of any name as they are.
     """
-    names = docs.columns
-    found = scan(docs.withColumnRenamed("secrets", "__own_secrets"), rules)  # a column of that name is kept
-    cut = F.aggregate(
-        "secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.when(s["start"] < acc["at"], acc["out"]).otherwise(
-                F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]),
-                         F.lit(mark))).alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    found = _found(docs, rules)
     changed = F.size("secrets") > 0
-    new = found.withColumn("__text", F.when(changed, cut).otherwise(F.col("text")))
-    columns = [F.col("__text").alias("text") if n == "text" else
-               F.when(changed, F.length("__text")).otherwise(F.col(n)).cast(docs.schema[n].dataType).alias(n)
-               if n == "n_chars" else F.col("__own_secrets" if n == "secrets" else n).alias(n) for n in names]
-    return new.select(*columns)
+    new = F.when(changed, _without(F.col("doc.text"), _cuts(F.col("secrets")), mark)).otherwise(F.col("doc.text"))
+    rows = found.select("doc", new.alias("new"), changed.alias("changed"))
+    columns = [F.col("new").alias("text") if n == "text" else
+               F.when(F.col("changed"), F.length("new")).otherwise(named(n, "doc")).cast(docs.schema[n].dataType).alias(n)
+               if n == "n_chars" else named(n, "doc").alias(n) for n in docs.columns]
+    return rows.select(*columns)
 
 
 def _oracle() -> str:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import checkpointed, mapped, row_key, text_bytes
+from .common import boxed, checkpointed, mapped, row_key, text_bytes, unboxed
 from .components import components, forest
 from .words import mixed
 
@@ -237,8 +237,7 @@ def simhash_groups(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row of each group of near copies, all columns kept."""
-    names = docs.columns
-    kept = simhash_groups(docs, k, max_bits).where("representative").select(F.col("row_key").alias("__key"))
-    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*names)
+    """One row of each group of near copies, all columns kept, whatever their names; of repeated rows one stays."""
+    kept = simhash_groups(docs, k, max_bits).where("representative").select(F.col("row_key").alias("key"))
+    keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), boxed(docs))
+    return keyed.join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*unboxed(docs))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import checkpointed, held_out, mapped, sampled_texts, texts
+from .common import checkpointed, held_out, mapped, named, sampled_texts, texts
 
 LENGTHS = (3, 4, 5)
 BITS = 20
@@ -196,7 +196,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c != "toxicity"]
-    plain = docs.select(*names)
+    plain = docs.select(*map(named, names))
 
     def scored(batches):
         for batch in batches:

@@ -27,7 +27,8 @@ def odd(spark):
     """Nulls, empty and very long texts, repeated rows, and a column named like the operators' own."""
     from pyspark.sql import functions as F
     df = documents(spark, ODD_ROWS)
-    for name in ("toxicity", "fp", "key", "secrets", "rid", "n", "t", "u", "v", "node", "root", "y", "__text2"):
+    for name in ("toxicity", "fp", "key", "secrets", "rid", "n", "t", "u", "v", "node", "root", "y", "doc", "new", "__key",
+                 "__text", "__doc", "a.b", "c`d"):
         df = df.withColumn(name, F.lit("own"))
     return df
 

@@ -60,13 +60,13 @@ def test_odd_rows(odd, nothing, spark):
     labels = spark.read.parquet(f"{SF0001}/labels.parquet")
     tox = X.fit(docs, labels)
     scored = X.score(odd, tox).collect()
-    assert len(scored) == 10 and all(0 <= r.toxicity <= 1 for r in scored)
+    assert len(scored) == 11 and all(0 <= r.toxicity <= 1 for r in scored)
     assert len({r.toxicity for r in scored if not r.text}) == 1
     kept = X.without_toxic(odd, tox)
     assert kept.schema == odd.schema and kept.count() == sum(r.toxicity < 0.5 for r in scored)
     model = Q.fit(docs, labels)
     again = Q.score(odd, model).collect()
-    assert len(again) == 10 and all(0 <= r.quality_score <= 1 for r in again)
+    assert len(again) == 11 and all(0 <= r.quality_score <= 1 for r in again)
     assert X.score(nothing, tox).count() == 0 and Q.score(nothing, model).count() == 0
 
 

@@ -82,6 +82,6 @@ def test_odd_rows(spark, odd, nothing):
     pairs = [(4, 3), (4, 3), (8, None), (8, 5), (None, None), (None, 5)]
     assert got == sorted(pairs, key=str)
     kept = D.without_contaminated(odd, items)
-    assert kept.schema == odd.schema and kept.count() == 6
+    assert kept.schema == odd.schema and kept.count() == 7
     assert D.contaminated(nothing, items).count() == 0 and D.contaminated(odd, items.limit(0)).count() == 0
-    assert D.without_contaminated(odd, items.limit(0)).count() == 10
+    assert D.without_contaminated(odd, items.limit(0)).count() == 11

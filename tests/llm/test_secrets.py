@@ -66,6 +66,24 @@ def test_redaction(spark):
     assert got[2].text is None and got[3].text == "plain" and got[4].text == "[secret] z"
 
 
+def merged(text, mark="[secret]"):
+    at, parts = 0, []
+    for a, _, b in spans(text):
+        if b > at:
+            parts += [text[at:a], mark] if a >= at else []
+            at = b
+    return "".join([*parts, text[at:]])
+
+
+def test_texts_with_very_many_secrets(spark):
+    r = random.Random(4)
+    many = [" ".join(r.choices(CASES, k=n)) for n in (100, 400, 1500)] + ["token=abcdef,é " * 600, "0" * 24 + "x" + "0" * 24]
+    df = documents(spark, list(enumerate(many)))
+    got = {row.doc_id: [tuple(s) for s in row.secrets] for row in S.scan(df).collect()}
+    assert got == {i: spans(t) for i, t in enumerate(many)} and max(map(len, got.values())) > 3 * S.PIECE
+    assert {row.doc_id: row.text for row in S.redacted(df).collect()} == {i: merged(t) for i, t in enumerate(many)}
+
+
 def test_query_digests(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
     for r in K.QUERIES["op7_secret_scan"](spark, SF0001).collect():
@@ -83,8 +101,8 @@ def test_plan_is_native(spark):
 
 def test_odd_rows(odd, nothing):
     got = S.scan(odd)
-    assert got.count() == 10 and got.columns == [c for c in odd.columns if c != "secrets"] + ["secrets"]
+    assert got.count() == 11 and got.columns == [c for c in odd.columns if c != "secrets"] + ["secrets"]
     kept = S.redacted(odd)
-    assert kept.schema.simpleString() == odd.schema.simpleString() and kept.count() == 10
+    assert kept.schema.simpleString() == odd.schema.simpleString() and kept.count() == 11
     assert {r.secrets for r in kept.collect()} == {"own"}
     assert S.scan(nothing).count() == 0 and S.redacted(nothing).count() == 0

@@ -64,7 +64,7 @@ def test_groups_match_brute_force(spark):
 
 def test_odd_rows(odd, nothing):
     got = S.simhash_groups(odd).collect()
-    assert len(got) == 10
+    assert len(got) == 11
     by_id = {r.doc_id: r for r in got}
     zero = "0" * 16
     assert {by_id[i].fingerprint for i in (1, 2, 3)} == {zero} and {by_id[i].component_id for i in (1, 2, 3)} == {1}

@@ -92,7 +92,7 @@ def test_multibyte_text(spark):
 
 def test_odd_rows(odd, nothing):
     got = S.removed_spans(odd).collect()
-    assert len(got) == 10
+    assert len(got) == 11
     by_id = {r.doc_id: r for r in got}
     empty = hashlib.sha256(b"").hexdigest()
     for i in (1, 2):
