@@ -2,8 +2,9 @@
 
 A document is contaminated by an item if it holds at least ``THRESHOLD`` of
 the item's distinct word shingles (five words; A-Z lower-cased; words are runs
-without ASCII blanks and punctuation). Fewer words make one shingle of all of
-them; a text without words has none and matches nothing.
+without ASCII blanks and punctuation). An item of fewer words is one shingle of
+all of them and is held by every document with these words in a row; a text
+without words has none and matches nothing.
 
 Candidates come from a size-partitioned MinHash containment search after LSH
 Ensemble (Zhu et al. 2016). MinHash estimates Jaccard similarity, which for an
@@ -14,7 +15,8 @@ containment of 0.8 means a similarity of 0.19 at least. Window signatures for
 larger classes are minima of those for smaller ones. With ``HASHES`` bands of
 one row, an item at that bound is missed with probability 0.81^64, about
 1.4e-6. Candidates are then verified by exact containment on the shingles'
-words over the whole document.
+words over the whole document. Items of under five words have a class for each
+number of words: the documents' runs of that length are looked up in it.
 
 The documents are read once per block of items, without a shuffle. A block
 holds at most ``BLOCK_SHINGLES`` shingles (one item at least), so what is
@@ -58,6 +60,15 @@ def shingles(text: bytes) -> set[tuple[bytes, ...]]:
     return set(zip(*(found[i:] for i in range(K))))
 
 
+def held_run(text: bytes, wanted: set[tuple[bytes, ...]]) -> int:
+    """1 if the wanted shingle has under five words and the text has them in a row."""
+    (run, *others) = wanted
+    if others or len(run) >= K:
+        return 0
+    found = WORD.findall(text.lower())
+    return int(any(tuple(found[i:i + len(run)]) == run for i in range(len(found) - len(run) + 1)))
+
+
 def size_class(n: int) -> int:
     """c with 2^c <= n < 2^(c + 1), at least the smallest class."""
     return max(SMALLEST_CLASS, n.bit_length() - 1)
@@ -69,16 +80,22 @@ class Index:
 
     items: list[tuple[object, set]] = field(default_factory=list)
     minima: dict[int, list] = field(default_factory=dict)
+    runs: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)  # hashes and numbers of items by words
 
     @classmethod
     def of(cls, items: list[tuple[object, bytes]]) -> Index:
         out = cls()
-        by_class = defaultdict(list)
+        by_class, by_words = defaultdict(list), defaultdict(list)
         for item_id, text in items:
             own = shingles(text)
             if own:
                 (part,) = words([text])
                 hashes, _ = part.shingles(K)
+                n_words = len(next(iter(own)))
+                if n_words < K:
+                    by_words[n_words].append((int(part.shingles(n_words)[0][0]), len(out.items)))
+                    out.items.append((item_id, own))
+                    continue
                 lows = [(hashes * a + b).min() for a, b in zip(FACTORS, SHIFTS)]
                 by_class[size_class(len(own))].append((len(out.items), np.array(lows, np.uint64)))
                 out.items.append((item_id, own))
@@ -91,8 +108,20 @@ class Index:
                 sieve = np.zeros(1 << SIEVE_BITS, bool)
                 sieve[lows[:, j] & np.uint64((1 << SIEVE_BITS) - 1)] = True
                 out.minima[c].append((lows[order, j], numbers[order], sieve))
+        for n, rows in by_words.items():
+            rows.sort()
+            out.runs[n] = np.array([h for h, _ in rows], np.uint64), np.array([i for _, i in rows])
         return out
 
+    def short_candidates(self, part: Words) -> Iterator[tuple[int, int]]:
+        """(text, item) for items of few words of which a text may hold the run."""
+        for n, (values, numbers) in self.runs.items():
+            hashes, bounds = part.shingles(n)
+            left, right = np.searchsorted(values, hashes, "left"), np.searchsorted(values, hashes, "right")
+            for at in np.flatnonzero(right > left).tolist():
+                text = int(np.searchsorted(bounds, at, "right")) - 1
+                yield from ((text, int(i)) for i in numbers[left[at]:right[at]])
+
     def candidates(self, part: Words) -> set[tuple[int, int]]:
         """(text, item) pairs with an equal minimum in some window."""
         hashes, bounds = part.shingles(K)
@@ -144,13 +173,14 @@ class Index:
         """(text, item_id, shared shingles, item's shingles) of every verified pair, texts in order."""
         for part in words(texts):
             by_text = defaultdict(list)
-            for t, n in self.candidates(part):
+            for t, n in self.candidates(part) | set(self.short_candidates(part)):
                 by_text[t].append(n)
             for t in sorted(by_text):
-                own = shingles(texts[part.first_text + t])
+                text = texts[part.first_text + t]
+                own = shingles(text)
                 for n in sorted(by_text[t]):
                     item_id, wanted = self.items[n]
-                    shared = len(wanted & own)
+                    shared = len(wanted & own) or held_run(text, wanted)
                     if shared >= THRESHOLD * len(wanted):
                         yield part.first_text + t, item_id, shared, len(wanted)
 
@@ -173,7 +203,9 @@ def blocks(benchmark: DataFrame) -> Iterator[Index]:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment) for every contaminated pair of rows.
 
-    Repeated rows of either table give repeated pairs; null texts match nothing.
+    Repeated rows of either table give repeated pairs; null and empty texts and
+    those without words match nothing; empty tables give no pairs. Texts are
+    searched as a whole, whatever their length; other columns don't matter.
     """
     schema = StructType([docs.schema["doc_id"], StructField("item_id", benchmark.schema["item_id"].dataType),
                          StructField("n_shared", LongType()), StructField("n_item", LongType()),
@@ -242,12 +274,17 @@ parted AS (
 shingled AS (
   SELECT kind, r, id, unnest(CASE
     WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
-    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s
+    ELSE [] END) AS s
   FROM parted),
+brief AS (SELECT r, id, ' ' || array_to_string(ws, ' ') || ' ' AS run FROM parted
+          WHERE kind = 'item' AND len(ws) BETWEEN 1 AND 4),
 items AS (SELECT r, id, s, count(*) OVER (PARTITION BY r) AS n_item
           FROM (SELECT DISTINCT r, id, s FROM shingled WHERE kind = 'item')),
 held AS (SELECT DISTINCT r, id, s FROM shingled WHERE kind = 'doc' AND s IN (SELECT s FROM items))
 SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, i.n_item, count(*) / i.n_item AS containment
 FROM held d JOIN items i USING (s)
 GROUP BY d.r, d.id, i.r, i.id, i.n_item HAVING count(*) >= 0.8 * i.n_item
+UNION ALL
+SELECT d.id, b.id, 1, 1, 1.0
+FROM parted d JOIN brief b ON d.kind = 'doc' AND contains(' ' || array_to_string(d.ws, ' ') || ' ', b.run)
 """
