@@ -47,9 +47,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def mapped(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the tasks."""
+    """``df.mapInArrow`` with this package at hand in the tasks, whatever the columns' names."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    names = df.columns
+    if all(name.isidentifier() for name in names):
+        return df.mapInArrow(function, schema)
+
+    def renamed(batches):  # Spark takes names with dots and quotes apart
+        return function(batch.rename_columns(names) for batch in batches)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, schema)
 
 
 def held_out(doc_id: Column) -> Column:
