@@ -37,10 +37,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, mapped, row_key, row_slices, text_bytes
+from .common import checkpointed, join_totals, mapped, row_key, row_slices, text_bytes
 from .words import _powers, mixed
 
 WIDTH = 200
@@ -413,6 +413,17 @@ def _final(batches):
                      spans=pa.ListArray.from_arrays(pa.array(places), pairs), kept_sha256=pa.array(sha))
 
 
+def _region_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, found, alike): rows of ``docs`` with their key ``rid``; every region whose anchor
+    occurs twice, stored; and its distinct regions with their number and one occurrence."""
+    rows = docs.select("doc_id", "text", F.xxhash64(row_key(F.col("doc_id"), F.col("text"))).alias("rid"))
+    twice = mapped(rows.select("text"), _grams, "gram long").groupBy("gram").count().where("count > 1").select("gram")
+    every = mapped(rows.select("rid", "text"), _all_regions, "gram long, region long, rid long, place long")
+    found = checkpointed(every.join(twice, "gram"))
+    alike = found.groupBy("gram", "region").agg(F.count("*").alias("n"), F.min(F.struct("rid", "place")).alias("one"))
+    return rows, found, alike
+
+
 def removed_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, spans, kept_sha256) per row of ``docs``.
 
@@ -421,13 +432,8 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     null text is empty; texts under ``WIDTH`` bytes lose nothing; a row that
     repeats a longer text as a whole loses all of it, as do all its copies.
     """
-    rows = docs.select("doc_id", "text", F.xxhash64(row_key(F.col("doc_id"), F.col("text"))).alias("rid"))
+    rows, found, alike = _region_rows(docs)
     kind = dict(rows.dtypes)["doc_id"]
-    twice = mapped(rows.select("text"), _grams, "gram long").groupBy("gram").count().where("count > 1").select("gram")
-    every = mapped(rows.select("rid", "text"), _all_regions, "gram long, region long, rid long, place long")
-    found = checkpointed(every.join(twice, "gram"))
-
-    alike = found.groupBy("gram", "region").agg(F.count("*").alias("n"), F.min(F.struct("rid", "place")).alias("one"))
     several = alike.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
     whole = (found.join(alike.where("n > 1").select("gram", "region"), ["gram", "region"])
              .select("rid", F.lit(COVER).alias("kind"), "gram", "region", "place"))
@@ -452,3 +458,116 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     more = by_array.unionAll(by_window).groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("more"))
     return mapped(half.join(more, "rid", "left"), _final,
                   f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept_sha256 string")
+
+
+# ---- the groups themselves
+
+def _region_bytes(batches):
+    """The bytes of each region to be compared, where the text has its hash."""
+    for batch in _taken(batches, "text"):
+        for text, todo in zip(text_bytes(batch), batch.column("todo")):
+            gram, region, place = (todo.values.field(c).to_numpy() for c in ("gram", "region", "place"))
+            start, size, at = _unpacked(place)
+            sums = _sums(np.frombuffer(text, np.uint8))
+            good = _region_hash(sums, start, start + size, start + at).view(np.int64) == region
+            yield _batch(gram=gram[good], region=region[good], bytes=pa.array(
+                [text[a:a + n] for a, n in zip(start[good].tolist(), size[good].tolist())], pa.binary()))
+
+
+def _held_anchors(batches, key: str = "gram"):
+    """Tables of all rows of some anchors, from batches sorted by anchor."""
+    held, size, last = [], 0, None
+    for batch in batches:
+        grams = batch.column(key).to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(grams[1:] != grams[:-1]) + 1, [len(grams)]])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if a < b:
+                if size > ARRAY_BYTES and grams[a] != last:
+                    yield pa.concat_tables(held)
+                    held, size = [], 0
+                held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+                size += held[-1].nbytes
+                last = grams[a]
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _interval_members(batches):
+    """(grp, length, gram, region, shift): the regions and places in them of each interval's occurrences."""
+    for table in _held_anchors(batches):
+        gram, region = (table.column(c).to_numpy() for c in ("gram", "region"))
+        for length, member, offset in repeat_groups(table.column("bytes").to_pylist()):
+            name = hashlib.md5(np.array([length, gram[member[0]], region[member[0]], offset[0]], np.int64).tobytes()).digest()
+            yield _batch(grp=pa.array([name] * len(member), pa.binary()), length=np.full(len(member), length, np.int64),
+                         gram=gram[member], region=region[member], shift=offset.astype(np.int64))
+
+
+def _window_members(batches):
+    """The same of an anchor that very many regions have: each window is a string of its own."""
+    for batch in batches:
+        for gram, region, data in zip(*(batch.column(c).to_pylist() for c in ("gram", "region", "bytes"))):
+            sums = _sums(np.frombuffer(data, np.uint8))
+            at = np.arange(len(data) - WIDTH + 1)
+            own = mixed(_hashes(sums, at, at + WIDTH) ^ mixed(np.array([gram]).view(np.uint64)))
+            yield _batch(grp=pa.array([x.tobytes() for x in own], pa.binary()), length=np.full(len(at), WIDTH, np.int64),
+                         gram=np.full(len(at), gram), region=np.full(len(at), region), shift=at)
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """(group_id, length, n, doc_id, start): every occurrence of each maximal repeat found, one row each.
+
+    The ``length`` bytes from ``start`` on are the same in all ``n`` rows of a
+    group, and are nowhere else. Groups come from the suffix arrays' intervals
+    (left-extension tested), whole regions with copies, and, for anchors in over
+    ``SPLIT_OVER`` regions, windows; a region's representative stands for all
+    rows that hold it. Groups that have the same occurrences at a constant
+    distance and touch or overlap are one, so a repeat longer than a region comes
+    out whole unless parts of it occur elsewhere, too; such parts are groups of
+    their own. Null and short texts are in no group; repeated rows are separate
+    occurrences; other columns don't matter, and an empty table has no groups.
+    """
+    rows, found, alike = _region_rows(docs)
+    kind = dict(rows.dtypes)["doc_id"]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    several = alike.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
+    asks = alike.join(several, "gram").select("one.rid", "gram", "region", "one.place", (F.col("m") > SPLIT_OVER).alias("many"))
+
+    def members(many: bool, function) -> DataFrame:
+        own = asks.where(F.col("many") == many)
+        todo = own.groupBy("rid").agg(F.collect_set(F.struct("gram", "region", "place")).alias("todo"))
+        texts = rows.dropDuplicates(["rid"]).join(todo, "rid").select("text", "todo")
+        data = mapped(texts, _region_bytes, "gram long, region long, bytes binary")
+        dealt = data if many else data.repartition(parts, "gram").sortWithinPartitions("gram")
+        return mapped(dealt, function, "grp binary, length long, gram long, region long, shift long")
+
+    inside = checkpointed(members(False, _interval_members))
+    windows = members(True, _window_members)
+    size = F.expr(f"(one.place >> {AT_BITS}) & {(1 << SIZE_BITS) - 1}")
+    crowded = asks.where("many").select("gram").distinct()
+    whole = (alike.where("n > 1").select("gram", "region", size.alias("length"))
+             .join(inside.where("shift = 0").select("gram", "region", "length"), ["gram", "region", "length"], "left_anti")
+             .join(crowded, "gram", "left_anti")
+             .select(F.md5(F.concat_ws(":", "gram", "region")).cast("binary").alias("grp"), "length", "gram", "region",
+                     F.lit(0).cast("long").alias("shift")))
+    placed = found.select("gram", "region", "rid", F.shiftright("place", AT_BITS + SIZE_BITS).alias("begin"))
+    every = inside.unionByName(windows).unionByName(whole)
+    occurring = checkpointed(every.join(placed, ["gram", "region"]).select(
+        "grp", "length", "rid", (F.col("begin") + F.col("shift")).alias("start")))
+    firsts = checkpointed(occurring.groupBy("grp").agg(
+        F.first("length").alias("size"), F.count("*").alias("n"), F.min(F.struct("rid", "start")).alias("first")).where("n > 1"))
+    # Groups with one shape have the same occurrences but for a constant distance.
+    placing = F.xxhash64("rid", F.col("start") - F.col("first.start"))
+    shapes = (join_totals(occurring.select("grp", "rid", "start"), firsts, "grp", "n").groupBy("grp", "size", "n", "first")
+              .agg(F.sum(placing.cast("decimal(38,0)")).alias("shape")))
+    same = Window.partitionBy("shape", "n", "first.rid").orderBy("first.start", F.col("size").desc(), "grp")
+    reach = F.max(F.col("first.start") + F.col("size")).over(same.rowsBetween(Window.unboundedPreceding, -1))
+    chained = shapes.withColumn("new", F.coalesce(F.col("first.start") > reach, F.lit(True)).cast("int"))
+    chained = chained.withColumn("chain", F.sum("new").over(same))
+    chains = (chained.groupBy("shape", "n", F.col("first.rid").alias("rid0"), "chain")
+              .agg(F.min(F.struct("first.start", "grp")).alias("head"),
+                   F.max(F.col("first.start") + F.col("size")).alias("end"))
+              .select(F.col("head.grp").alias("grp"), "n", (F.col("end") - F.col("head.start")).alias("length")))
+    out = join_totals(occurring.select("grp", "rid", "start"), checkpointed(chains), "grp", "n")
+    ids = rows.groupBy("rid").agg(F.first("doc_id").alias("doc_id"))
+    return out.join(ids, "rid").select(F.lower(F.hex("grp")).alias("group_id"), "length", "n",
+                                       F.col("doc_id").cast(kind).alias("doc_id"), "start")

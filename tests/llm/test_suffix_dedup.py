@@ -107,3 +107,49 @@ def test_a_repeated_row_loses_all(spark):
     df = documents(spark, [(1, text), (1, text), (2, text[:199])])
     assert sorted((r.doc_id, len(r.spans), r.n_bytes) for r in S.removed_spans(df).collect()) == [
         (1, 1, 700), (1, 1, 700), (2, 0, 199)]
+
+
+def groups_of(frame):
+    out = collections.defaultdict(list)
+    for r in S.repeats(frame).collect():
+        out[r.group_id].append(r)
+    return out
+
+
+@pytest.mark.parametrize("split", [S.SPLIT_OVER, 1])
+def test_repeat_groups_through_spark(spark, monkeypatch, split):
+    monkeypatch.setattr(S, "SPLIT_OVER", split)
+    texts = corpus(5)
+    groups = groups_of(documents(spark, [(i, t.decode()) for i, t in enumerate(texts)]).repartition(3))
+    mask = [np.zeros(len(t), bool) for t in texts]
+    for rows in groups.values():
+        length, n = rows[0].length, rows[0].n
+        assert {(r.length, r.n) for r in rows} == {(length, n)} and n == len(rows) > 1 and length >= S.WIDTH
+        (string,) = {texts[r.doc_id][r.start:r.start + length] for r in rows}
+        assert len(string) == length
+        everywhere = {(m, i) for m, t in enumerate(texts) for i in range(len(t) - length + 1) if t.startswith(string, i)}
+        assert everywhere == {(r.doc_id, r.start) for r in rows}
+        for r in rows:
+            mask[r.doc_id][r.start:r.start + length] = True
+    assert all((a == b).all() for a, b in zip(mask, covered(texts)))
+
+
+@pytest.mark.parametrize("split", [S.SPLIT_OVER, 1])
+def test_long_repeats_are_one_group(spark, monkeypatch, split):
+    monkeypatch.setattr(S, "SPLIT_OVER", split)
+    r = random.Random(3)
+
+    def own(n):
+        return "".join(r.choices("abcdefghijklmnop ", k=n))
+
+    long, copy, short = own(3000), own(1500), own(199)
+    docs = [(1, own(400) + "X" + long + "Y" + own(300)), (2, own(100) + "Z" + long + "W" + own(700)), (3, "Q" + long + "R" + own(9)),
+            (4, copy), (5, copy), (5, copy), (6, own(300) + short), (7, short + own(300))]
+    groups = groups_of(documents(spark, docs))
+    found = sorted((rows[0].length, sorted((x.doc_id, x.start) for x in rows)) for rows in groups.values())
+    assert found == [(1500, [(4, 0), (5, 0), (5, 0)]), (3000, [(1, 401), (2, 101), (3, 1)])]
+
+
+def test_repeat_groups_of_odd_rows(odd, nothing):
+    rows = S.repeats(odd).collect()
+    assert {r.doc_id for r in rows} == {5, 6, 9} and S.repeats(nothing).count() == 0
