@@ -124,7 +124,7 @@ class Aligner:
         by_bytes.update({t: i for i, t in enumerate(self.b.tokens) if t and not self.b.model.is_byte(i)})
         self.identity = np.array([by_bytes.get(t, -1) for t in token_bytes(self.a)], np.int64)
         self.cuts = cut_table(fine=False, blanks=self.b.blanks)
-        self.kept = UnitTable()
+        self.kept = UnitTable(share=2)  # its groups are kept, too
         self.numbers = np.empty((0, 3), np.int64)  # A tokens, B tokens and groups of each kept unit; -1: can't be aligned
         self.begins, self.links = np.zeros(1, np.int64), np.empty(0, np.int64)
         self.written: list[bytes] = []  # its groups, spelled

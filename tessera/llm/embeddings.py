@@ -252,7 +252,9 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     ``component_id`` is the smallest id that links reach; ``kept`` tells
     whether it is the row's own. A vector that is null, empty or zero, or holds
     a null or non-finite component, and vectors of different length link with
-    nothing; null ids are passed over for the smallest id.
+    nothing; null ids are passed over for the smallest id. Repeated rows link
+    with one another; an empty table gives no rows; other columns don't matter,
+    whatever their names.
     """
     rows = _nodes(table, id_col, vector_col)
     ids = checkpointed(rows.select("id", "node"))

@@ -209,7 +209,11 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Context vectors from all rows of ``docs``, the network from the sampled labelled ones."""
+    """Context vectors from all rows of ``docs``, the network from the sampled labelled ones.
+
+    Rows are sampled by a hash of their ids, ties by the id; an id with several
+    rows counts with its smallest text. Empty tables give a model, too.
+    """
     vectors = context_vectors(docs)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
@@ -230,7 +234,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with a column ``quality_score`` (0 to 1; replaces one of that name).
 
-    Null and empty texts get the score of a document without words.
+    Null and empty texts get the score of a document without words, equal texts
+    equal scores; texts of any length are read as a whole. An empty table gives
+    no rows; other columns stay, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c != "quality_score"]

@@ -220,7 +220,8 @@ def simhash_groups(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
     links of at most ``max_bits`` bits reach (null if all of them are null);
     ``representative`` is true on the rows of the group's first (doc_id,
     row_key), so on one row unless whole rows repeat. Null and empty texts have
-    fingerprint zero and are linked like any other.
+    fingerprint zero and are linked like any other; texts of any length are read
+    as a whole; an empty table gives no rows; other columns don't matter.
     """
     prints = checkpointed(fingerprints(docs, k))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))

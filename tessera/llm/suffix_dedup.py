@@ -430,7 +430,9 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     ``spans`` are the removed runs of bytes (start, end exclusive), in order and
     apart from one another; ``kept_sha256`` is the hash of the other bytes. A
     null text is empty; texts under ``WIDTH`` bytes lose nothing; a row that
-    repeats a longer text as a whole loses all of it, as do all its copies.
+    repeats a longer text as a whole loses all of it, as do all its copies. Texts
+    of any length are taken as a whole; an empty table gives no rows; other
+    columns don't matter, whatever their names.
     """
     rows, found, alike = _region_rows(docs)
     kind = dict(rows.dtypes)["doc_id"]

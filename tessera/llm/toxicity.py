@@ -145,7 +145,11 @@ def chosen_features(counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Fit on the sampled training rows. With no row of either label, every score is the other's share."""
+    """Fit on the sampled training rows. With no row of either label, every score is the other's share.
+
+    Which rows are sampled depends on their ids alone; an id with several rows
+    counts with its smallest text. Empty tables give a model, too.
+    """
     chosen = sampled_texts(docs, training_labels(labels, "toxic", per_class))  # 2 * per_class rows at most
     rows = checkpointed(mapped(chosen.select("text", "y"), _sampled_buckets, "y int, buckets binary"))
     seen = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
@@ -192,7 +196,9 @@ def fit_ratios(features: list[np.ndarray], y: np.ndarray, scale: np.ndarray) ->
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with a column ``toxicity`` (0 to 1; replaces one of that name).
 
-    Null and empty texts get the score of the n-grams of an empty text.
+    Null and empty texts get the score of the n-grams of an empty text, equal
+    texts equal scores; texts of any length are read as a whole. An empty table
+    gives no rows; other columns stay, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c != "toxicity"]

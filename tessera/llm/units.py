@@ -158,10 +158,11 @@ class UnitTable:
 
     Units are found by a 64-bit hash and then compared byte by byte; of two with
     one hash only the first is kept. Entries are numbered; ``keep`` tells the
-    caller which of its own rows stay.
+    caller which of its own rows stay. Up to ``KEPT_UNITS / share`` are kept.
     """
 
-    def __init__(self):
+    def __init__(self, share: int = 1):
+        self.share = share
         self.hashes = np.empty(0, np.uint64)  # in order
         self.entries = np.empty(0, np.int64)  # the entry of each hash
         self.begins, self.data = np.zeros(1, np.int64), _padded(np.empty(0, np.uint8))
@@ -217,9 +218,10 @@ class UnitTable:
 
     def keep(self) -> np.ndarray | None:
         """If the table is over full, its half used last stays: their former numbers, in the order of the new ones."""
-        if len(self) <= KEPT_UNITS:
+        limit = KEPT_UNITS // self.share
+        if len(self) <= limit:
             return None
-        stay = np.sort(np.argsort(-self.used, kind="stable")[:KEPT_UNITS // 2])
+        stay = np.sort(np.argsort(-self.used, kind="stable")[:limit // 2])
         number = np.full(len(self), -1, np.int64)
         number[stay] = np.arange(len(stay))
         entries = number[self.entries]
