@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept
 and returns the columns of ``documents`` (the last one: token ids). ``run``
 writes each stage's rows as Parquet to the shared checkpoint folder and reads
 them for the next, so a lost executor costs tasks of one stage only.
+
+Null and empty texts pass the first stage by the score of an empty text, are one
+SimHash group, hold no item and no secret, and end without tokens; of repeated
+rows one stays. Texts of any length are handled as a whole, an empty table ends
+as one, and further columns of ``documents`` stay until the last stage.
 """
 
 from __future__ import annotations

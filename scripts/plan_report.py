@@ -36,7 +36,7 @@ def summary(plan: str) -> dict[str, int]:
 
 def executed(df) -> str:
     """The plan that ran, each part that is used again once."""
-    df._jdf.javaRDD().count()
+    df._jdf.queryExecution().toRdd().count()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     return "\n".join(line for line in plan.split("\n") if "ReusedExchange" not in line)
 
