@@ -414,22 +414,110 @@ def snapshot_sql(period: str | None, current: bool, dialect: str = "spark") -> s
                 GROUP BY {k1}, {k2}{by}) keyed) listed"""
 
 
-def snapshot(spark: SparkSession, sf_dir: str, period: str | None, current: bool) -> DataFrame:
-    """Snapshot of one period, or of every period in the table for None, derived from the order lines."""
+# The Spark text of the snapshot: the rows of ``snapshot_sql``, by steps whose cost per row stays low.
+# Groups are formed on numbers (the text keys are made of them, one to one) and dealt as one short row each,
+# before they are listed by concept and get the 30 measures.
+def keyed_sql(period: str | None) -> str:
+    """One row per supplier, part group and month: the text key, the numbers it is made of and the sums."""
+    if period is None:
+        where, by = "", ", year(l_shipdate), month(l_shipdate)"
+        p, months = "concat(cast(y AS string), lpad(cast(m AS string), 2, '0'))", ", year(l_shipdate) AS y, month(l_shipdate) AS m"
+    else:
+        where = "WHERE l_shipdate >= CAST(:start AS TIMESTAMP_NTZ) AND l_shipdate < CAST(:end AS TIMESTAMP_NTZ)"
+        p, by, months = ":period", "", ""
+    sums = ",\n                   ".join(f"CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS {name}" for name, c in (
+        ("price", "l_extendedprice"), ("quantity", "l_quantity"), ("tax", "l_tax"), ("discount", "l_discount")))
+    return f"""
+        SELECT cast(s AS string) AS STRCLINIT, cast(g AS string) AS STROBLOBLIGSARC, {p} AS {PERIOD}, *
+        FROM (
+            SELECT l_suppkey AS s, l_partkey % 50 AS g{months}, count(*) AS n,
+                   {sums},
+                   max(ascii(l_returnflag)) AS flag_max, min(ascii(l_returnflag)) AS flag_min,
+                   max(ascii(l_linestatus)) AS status_max, min(ascii(l_linestatus)) AS status_min,
+                   max(l_linenumber) AS line_max, min(l_linenumber) AS line_min
+            FROM {{lineitem}}
+            {where}
+            GROUP BY l_suppkey, l_partkey % 50{by}) grouped"""
+
+
+def listed_sql(current: bool) -> str:
+    """The snapshot's rows of ``keyed`` rows: one per concept, with attributes and measures.
+
+    The factor of the concept and each weight are multiplied in once per row, so
+    a measure is one subtraction.
+    """
+    from ..operators.periods import MEASURES
+
+    weights = [SNAPSHOT_MEASURE_WEIGHTS[j] for j in range(len(MEASURES))]
+    parts = [f"CAST(price * {a} * CAST(c + 1 AS DECIMAL(1,0)) AS DECIMAL(18,2)) AS price_{a}" for a in sorted({a for a, _ in weights})]
+    parts += [f"CAST(quantity * {b} * CAST(c + 1 AS DECIMAL(1,0)) AS DECIMAL(18,2)) AS quantity_{b}"
+              for b in sorted({b for _, b in weights})]
+    measures = []
+    for j, (name, (a, b)) in enumerate(zip(MEASURES, weights)):
+        value = f"CASE WHEN (s + {j}) % 13 = 0 THEN NULL ELSE CAST(price_{a} - quantity_{b} AS DECIMAL(18,2)) END"
+        measures.append(f"{value} AS {name}")
+    extra = ",\n               concat(chr(flag_max), chr(status_min)) AS STROBLMODALIDAD" if current else ""
+    return f"""
+        SELECT STRCLINIT, STROBLOBLIGSARC, STRANOMES,
+               cast(s % 5 AS string) AS STRPETIPOCREDITO,
+               CASE WHEN (s + g) % 97 = 96 THEN NULL ELSE (s * 7 + g) % 90 END AS NUMPEPROCODIGO,
+               CASE WHEN g % 11 = 10 THEN NULL WHEN c = 1 THEN (g + 1) % 4 ELSE g % 4 END AS NUMTIPOCONCEPTO,
+               concat('C', cast(g % 4 AS string)) AS STRPECONCEPTO,
+               quantity AS NUMPIMATRIZ_B,
+               chr(flag_max) AS STRPECALIFICACION,
+               chr(flag_min) AS STRCALIFHOMOLOGADA,
+               chr(status_max) AS STRCALIFICACIONTEMP,
+               chr(status_min) AS STRCALIFICACIONREF,
+               cast(line_max AS string) AS STRPEMAXGARANTIA,
+               line_min AS NUMPETIPOGARANTIA,
+               tax AS PDI,
+               discount AS VALOR_GAR,
+               CAST(n AS INT) AS TIPO_EMPRESA,
+               CAST(CASE WHEN s % 31 = 30 THEN NULL
+                         WHEN s % 29 = 28 THEN -1
+                         ELSE (n * 37 + s * 11 + g) % 620 END AS INT) AS DIAS_MORA,
+               {(','+chr(10)+'               ').join(measures)}{extra}
+        FROM (
+            SELECT *, {', '.join(parts)}
+            FROM (
+                SELECT *, explode(CASE WHEN (s + g) % 5 = 0 AND (s + g) % 17 = 0 THEN array(0, 1, 2)
+                                       WHEN (s + g) % 5 = 0 THEN array(0, 1)
+                                       WHEN (s + g) % 17 = 0 THEN array(0, 2) ELSE array(0) END) AS c
+                FROM {{keyed}}) each) weighed"""
+
+
+def snapshot(spark: SparkSession, sf_dir: str, period: str | None, current: bool,
+             deal: tuple[int, tuple[str, ...]] | None = None) -> DataFrame:
+    """Snapshot of one period, or of every period in the table for None, derived from the order lines.
+
+    ``deal`` = (partitions, columns) deals the short group rows by these key
+    columns before they are widened; the snapshot's rows stay where they are dealt.
+    """
     args = {} if period is None else dict(zip(("start", "end"), period_bounds(period)), period=period)
-    return sql(spark, snapshot_sql(period, current, "spark"), args, lineitem=table(spark, sf_dir, "lineitem"))
+    keyed = sql(spark, keyed_sql(period), args, lineitem=table(spark, sf_dir, "lineitem"))
+    if deal is not None:
+        keyed = keyed.repartition(deal[0], *deal[1])
+    return sql(spark, listed_sql(current), keyed=keyed)
+
+
+# Buckets of the snapshot store: one task of a period join each. At least these, and one for
+# so many order lines, so that a bucket of all periods stays about as large however many there are.
+SNAPSHOT_BUCKETS, LINES_PER_BUCKET = 4, 1_000_000
+
+
+def snapshot_buckets(lines: int) -> int:
+    """Buckets for the snapshots of so many order lines."""
+    return max(SNAPSHOT_BUCKETS, -(-lines // LINES_PER_BUCKET))
 
 
-# Buckets of the snapshot store: one task of a period join each. A cluster's store has some thousands.
-SNAPSHOT_BUCKETS = 4
 _STORES: dict[tuple[str, str], str] = {}
 
 
 def write_snapshots(snapshots: DataFrame, name: str, folder: str, keys, buckets: int = SNAPSHOT_BUCKETS) -> None:
     """Snapshots of many periods as table ``name`` in ``folder``: partitioned by period, bucketed and sorted by the keys.
 
-    The rows are dealt by the hash that buckets use, so that each task writes
-    one file for each period, and a join or aggregate on the keys shuffles nothing.
+    The rows are dealt by the hash that buckets use (not again if they are dealt so), so that each
+    task writes one file for each period, and a join or aggregate on the keys shuffles nothing.
     """
     (snapshots.repartition(buckets, *keys).write.mode("overwrite").option("path", folder)
      .partitionBy(PERIOD).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
@@ -448,7 +536,8 @@ def snapshot_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _STORES or not spark.catalog.tableExists(_STORES[key]):
         name = "tessera_snapshot_" + hashlib.md5("\x00".join(key).encode()).hexdigest()[:16]
         folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
-        write_snapshots(snapshot(spark, sf_dir, None, True), name, folder, KEYS)
+        buckets = snapshot_buckets(table(spark, sf_dir, "lineitem").count())  # by the files' footers
+        write_snapshots(snapshot(spark, sf_dir, None, True, (buckets, KEYS)), name, folder, KEYS, buckets)
         _STORES[key] = name
     return spark.table(_STORES[key])
 

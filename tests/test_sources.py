@@ -98,3 +98,46 @@ def test_added_columns_are_no_matter(spark, tmp_path):
     spark.createDataFrame([(1, "R", "x")], "r_regionkey int, r_name string, more string").write.parquet(
         str(tmp_path / "region.parquet"))
     assert table(spark, str(tmp_path), "region").collect() == [(1, "R")]
+
+
+def lines(spark, folder, rows):
+    """A folder with order lines of (part, supplier, price, ship date)."""
+    spark.createDataFrame(
+        [(i, part, supp, i % 7 + 1, 2.0, price, 0.05, 0.02, "AN"[i % 2], "F", day) for i, (part, supp, price, day) in enumerate(rows)],
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_snapshot_of_null_negative_and_repeated_keys(spark, tmp_path):
+    days = [None, dt.datetime(1998, 6, 30), dt.datetime(1998, 7, 1), dt.datetime(2000, 12, 31)]
+    rows = [(p, s, x, d) for p in (None, -3, 7, 57, 85) for s in (None, -13, 0, 9, 13) for x in (None, -10.25, 99.5)
+            for d in days for _ in range(2)]
+    folder = lines(spark, tmp_path, rows)
+    for period in (None, "199807"):
+        for deal in (None, (5, ("STRCLINIT", "STROBLOBLIGSARC"))):
+            df = R.snapshot(spark, folder, period, True, deal)
+            args = {} if period is None else dict(zip(("start", "end"), R.period_bounds(period)), period=period)
+            told = R.sql(spark, R.snapshot_sql(period, True, "spark"), args, lineitem=R.table(spark, folder, "lineitem"))
+            assert df.dtypes == told.dtypes and df.count() == told.count() > 0
+            assert df.exceptAll(told).count() == told.exceptAll(df).count() == 0
+
+
+def test_store_has_buckets_by_its_lines_and_deals_short_rows(spark, tmp_path, monkeypatch):
+    from tessera.plans.catalog import QUERIES
+    assert R.snapshot_buckets(0) == R.snapshot_buckets(4_000_000) == 4 and R.snapshot_buckets(216_000_001) == 217
+    monkeypatch.setattr(R, "LINES_PER_BUCKET", 20)
+    days = [dt.datetime(1998, 6, 3), dt.datetime(1998, 7, 4), dt.datetime(1999, 1, 5)]
+    folder = lines(spark, tmp_path, [(p, s, 10.0 * p + s, d) for p in range(5) for s in range(20) for d in days])
+    store = R.snapshot_store(spark, folder)
+    name = R._STORES[(spark.sparkContext.applicationId, folder)]
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert told["Num Buckets"] == "15"
+    direct = R.snapshot(spark, folder, None, True).select(store.columns)
+    assert store.exceptAll(direct).count() == direct.exceptAll(store).count() == 0
+    plan = QUERIES["period_full_outer"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    dealt = R.snapshot(spark, folder, None, True, (15, ("STRCLINIT", "STROBLOBLIGSARC")))
+    plan = dealt.repartition(15, "STRCLINIT", "STROBLOBLIGSARC")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and plan.index("Generate explode") < plan.index("REPARTITION_BY_NUM")
