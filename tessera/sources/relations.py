@@ -440,11 +440,16 @@ def keyed_sql(period: str | None) -> str:
             GROUP BY l_suppkey, l_partkey % 50{by}) grouped"""
 
 
+# A measure that every wide projection reads.
+_APART = "NUMPEDIFK"
+
+
 def listed_sql(current: bool) -> str:
     """The snapshot's rows of ``keyed`` rows: one per concept, with attributes and measures.
 
     The factor of the concept and each weight are multiplied in once per row, so
-    a measure is one subtraction.
+    a measure is one subtraction. One measure passes a lambda: Spark then
+    compiles the projection in parts, not as one method too long for the JIT.
     """
     from ..operators.periods import MEASURES
 
@@ -455,7 +460,7 @@ def listed_sql(current: bool) -> str:
     measures = []
     for j, (name, (a, b)) in enumerate(zip(MEASURES, weights)):
         value = f"CASE WHEN (s + {j}) % 13 = 0 THEN NULL ELSE CAST(price_{a} - quantity_{b} AS DECIMAL(18,2)) END"
-        measures.append(f"{value} AS {name}")
+        measures.append(f"{f'transform(array({value}), x -> x)[0]' if name == _APART else value} AS {name}")
     extra = ",\n               concat(chr(flag_max), chr(status_min)) AS STROBLMODALIDAD" if current else ""
     return f"""
         SELECT STRCLINIT, STROBLOBLIGSARC, STRANOMES,

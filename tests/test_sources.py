@@ -124,6 +124,20 @@ def test_snapshot_of_null_negative_and_repeated_keys(spark, tmp_path):
             assert df.exceptAll(told).count() == told.exceptAll(df).count() == 0
 
 
+@pytest.mark.parametrize("name", ["provision_sums", "period_measures", "period_suffix"])
+def test_wide_period_projections_are_compiled_in_parts(spark, name, capsys):
+    """The JIT leaves methods of more than 8000 bytes to the interpreter."""
+    import re
+    from tessera.plans.catalog import QUERIES
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        QUERIES[name](spark, SF0001).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_store_has_buckets_by_its_lines_and_deals_short_rows(spark, tmp_path, monkeypatch):
     from tessera.plans.catalog import QUERIES
     assert R.snapshot_buckets(0) == R.snapshot_buckets(4_000_000) == 4 and R.snapshot_buckets(216_000_001) == 217
