@@ -24,7 +24,7 @@ from ..operators import periods as P
 from ..operators.audit import counts_of
 from ..operators.decode import active_lists, decode_by, duplicate_codes, unique_labels
 from ..operators.lists import ordered_list
-from ..sources.relations import PERIOD, cte, frames, read_snapshot, snapshot, snapshot_store
+from ..sources.relations import PERIOD, cte, deal_parts, frames, read_snapshot, snapshot, snapshot_store
 from ..sources.tables import csv_lines, parse_csv_lines, sql, table
 from . import oracle_sql as O
 from . import profile as PR
@@ -505,7 +505,7 @@ SELECT STRCLINIT, STROBLOBLIGSARC, STRANOMES, count(*) AS n_rows FROM s
 GROUP BY STRCLINIT, STROBLOBLIGSARC, STRANOMES HAVING count(*) > 1""")
 def q_duplicate_keys(spark, d):
     """Keys that a period's snapshot has several rows of; the comparison as written multiplies them."""
-    return P.duplicate_keys(_every(spark, d), _EVERY)
+    return P.duplicate_keys(snapshot(spark, d, None, True, (deal_parts(spark, d), _EVERY)), _EVERY)
 
 
 def _periods(spark, d):

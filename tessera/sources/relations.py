@@ -505,6 +505,15 @@ def snapshot(spark: SparkSession, sf_dir: str, period: str | None, current: bool
     return sql(spark, listed_sql(current), keyed=keyed)
 
 
+def deal_parts(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions to deal groups into whose rows a task holds in memory: the session's, or four for each part that the scan reads.
+
+    A number given to ``repartition`` stays, while Spark joins the small partitions
+    of a plain aggregate until a task holds millions of groups.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * table(spark, sf_dir, "lineitem").rdd.getNumPartitions())
+
+
 # Buckets of the snapshot store: one task of a period join each. At least these, and one for
 # so many order lines, so that a bucket of all periods stays about as large however many there are.
 SNAPSHOT_BUCKETS, LINES_PER_BUCKET = 4, 1_000_000

@@ -155,3 +155,12 @@ def test_store_has_buckets_by_its_lines_and_deals_short_rows(spark, tmp_path, mo
     dealt = R.snapshot(spark, folder, None, True, (15, ("STRCLINIT", "STROBLOBLIGSARC")))
     plan = dealt.repartition(15, "STRCLINIT", "STROBLOBLIGSARC")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") == 1 and plan.index("Generate explode") < plan.index("REPARTITION_BY_NUM")
+
+
+def test_duplicate_keys_are_counted_where_their_groups_are_dealt(spark):
+    from tessera.plans.catalog import QUERIES
+    df = QUERIES["duplicate_keys"](spark, SF0001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    counted = plan[:plan.index("Generate explode")]
+    assert "Exchange" not in counted and "REPARTITION_BY_NUM" in plan
+    assert df.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))  # not joined to a few
