@@ -373,8 +373,8 @@ def snapshot_sql(period: str | None, current: bool, dialect: str = "spark") -> s
         measures.append(f"CASE WHEN (s + {j}) % 13 = 0 THEN NULL ELSE CAST((price * {a} - quantity * {b}) * (c + 1) "
                         f"AS DECIMAL(18,2)) END AS {name}")
     extra = ",\n               concat(chr(flag_max), chr(status_min)) AS STROBLMODALIDAD" if current else ""
-    # Grouped by the text key itself, so the aggregate's hash partitioning is the one that
-    # the period join needs. Attributes are functions of the key, read with max(); one-letter
+    # What the snapshot is, as DuckDB runs it; ``snapshot`` gives the same rows by steps that
+    # scale (a test holds them against this text). Attributes are functions of the key, read with max(); one-letter
     # flags are aggregated as code points, so every aggregate keeps a fixed-width buffer (hash
     # aggregation, no sort), and the measures are linear in two sums, so a group holds few.
     return f"""
